@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from voltcube.plans.cleaning_queries import CLEANING
 from voltcube.plans.emulated import EMULATED
+from voltcube.plans.model_queries import MODEL
 from voltcube.plans.olap import NATIVE
 from voltcube.plans.warehouse import Warehouse
 from voltcube.session import apply_runtime_conf
@@ -37,6 +38,6 @@ def all_queries() -> dict[str, QueryFn]:
     q: dict[str, QueryFn] = {}
     for k, fn in {**NATIVE, **EMULATED}.items():
         q[k] = _on_warehouse(fn)
-    for k, fn in CLEANING.items():
+    for k, fn in {**CLEANING, **MODEL}.items():
         q[k] = _with_conf(fn)
     return q
