@@ -84,8 +84,8 @@ class Cleaning:
     def ev_filtered(self) -> DataFrame:
         lo, hi = self.p.study_years
         raw = self.r.raw_ev
-        return (raw.where((F.col("category") == P.HISTORICAL_CATEGORY) & F.col("year").between(lo, hi))
-                   .where(not_in_keep_null("region", P.AGGREGATE_REGIONS)))
+        return self._cut(raw.where((F.col("category") == P.HISTORICAL_CATEGORY) & F.col("year").between(lo, hi))
+                            .where(not_in_keep_null("region", P.AGGREGATE_REGIONS)))
 
     @cached_property
     def raw_names(self) -> DataFrame:

@@ -147,7 +147,7 @@ def time_bands(spark, sf_dir) -> DataFrame:
 
 
 def star_join(spark, sf_dir) -> DataFrame:
-    w = Warehouse.build(spark, sf_dir)
+    w = Warehouse.load(spark, sf_dir)
     from voltcube.operators.joins import star_join as join_dims
     j = join_dims(w.ev_market, [(w.country_dim.select("key_c", "country", "continent"), ["key_c"], True),
                                 (w.year_dim.select("key_y", "year", "pandemic_period"), ["key_y"], True),

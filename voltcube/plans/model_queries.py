@@ -87,7 +87,7 @@ def insert_absent(spark, sf_dir) -> DataFrame:
     return insert_absent_op(target, new, ["iso_code"])
 
 
-def _checks(tables):
+def warehouse_checks(tables):
     return {
         "country_dim_pk": duplicate_keys(tables["country_dim"], ["key_c"]),
         "country_dim_iso_unique": duplicate_keys(tables["country_dim"], ["iso_code"]),
@@ -102,7 +102,7 @@ def publish_snapshot(spark, sf_dir) -> DataFrame:
     """All warehouse tables published as one version; returns the manifest."""
     w = Warehouse.build(spark, sf_dir)
     store = VersionedStore(spark, scratch_path(spark, "warehouse"))
-    v = store.publish({t: getattr(w, t) for t in Warehouse.TABLES}, _checks)
+    v = store.publish({t: getattr(w, t) for t in Warehouse.TABLES}, warehouse_checks)
     return store.manifest(v).select("table_name", _b("rows"))
 
 
@@ -175,7 +175,7 @@ def profile_table(spark, sf_dir) -> DataFrame:
 
 def measure_agg(spark, sf_dir) -> DataFrame:
     """Market by continent and year, each measure with its legal aggregate."""
-    w = Warehouse.build(spark, sf_dir)
+    w = Warehouse.load(spark, sf_dir)
     j = (w.ev_market.join(F.broadcast(w.country_dim.select("key_c", "continent")), "key_c")
                     .join(F.broadcast(w.year_dim.select("key_y", "year")), "key_y"))
     g = measure_agg_op(j, ["continent", "year"], S.additivity_of(S.EV_MARKET))

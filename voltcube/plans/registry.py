@@ -19,7 +19,7 @@ QueryFn = Callable[[SparkSession, str], DataFrame]
 def _on_warehouse(fn) -> QueryFn:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         apply_runtime_conf(spark)
-        return fn(Warehouse.build(spark, sf_dir))
+        return fn(Warehouse.load(spark, sf_dir))
     run.__name__ = fn.__name__
     run.__doc__ = fn.__doc__
     return run

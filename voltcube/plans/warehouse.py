@@ -2,12 +2,27 @@
 
 from __future__ import annotations
 
+import hashlib
+import re
 from dataclasses import dataclass
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from voltcube.plans.roles import Roles
+from voltcube.session import shared_dir
+from voltcube.sources.store import VersionedStore
+
+
+def _code_tag() -> str:
+    """Hash of the code that defines the warehouse contents: a change in it
+    gives a new storage folder, so a stale build is never read."""
+    h = hashlib.sha1()
+    for f in ("roles.py", "warehouse.py"):
+        h.update((Path(__file__).parent / f).read_bytes())
+    h.update((Path(__file__).parents[1] / "params.py").read_bytes())
+    return h.hexdigest()[:12]
 
 
 def surrogate_dim(labels: DataFrame, label: str, key: str) -> DataFrame:
@@ -36,8 +51,13 @@ class Warehouse:
               "ev_infrastructure", "country_energy", "country_macro")
 
     @classmethod
-    def from_roles(cls, roles: Roles) -> "Warehouse":
+    def from_roles(cls, roles: Roles, cut: bool = True) -> "Warehouse":
         em = roles.ev_market
+        if cut:
+            # The fact feeds three tables (itself and two dimensions): write it
+            # once to the checkpoint folder instead of re-deriving it per use.
+            shared_dir(roles.spark)
+            em = em.checkpoint(eager=True)
         vt = surrogate_dim(em, "vehicle_type", "key_v")
         pt = surrogate_dim(em, "powertrain", "key_p")
         fact = (em.join(F.broadcast(vt), "vehicle_type").join(F.broadcast(pt), "powertrain")
@@ -48,8 +68,26 @@ class Warehouse:
 
     @classmethod
     def build(cls, spark: SparkSession, sf_dir: str) -> "Warehouse":
+        """Lazily derived from the raw tables (nothing stored)."""
         return cls.from_roles(Roles(spark, sf_dir))
 
+    @classmethod
+    def store_for(cls, spark: SparkSession, sf_dir: str) -> VersionedStore:
+        slug = re.sub(r"[^A-Za-z0-9]+", "_", sf_dir.strip("/"))[-60:]
+        return VersionedStore(spark, f"{shared_dir(spark)}/voltcube/warehouse/{slug}-{_code_tag()}")
+
+    @classmethod
+    def load(cls, spark: SparkSession, sf_dir: str) -> "Warehouse":
+        """The stored warehouse for ``sf_dir``: built and published once (ETL),
+        then read by every query, as a star schema in a database is."""
+        roles = Roles(spark, sf_dir)
+        store = cls.store_for(spark, sf_dir)
+        if store.current_version() is None:
+            from voltcube.plans.model_queries import warehouse_checks
+            store.publish({t: getattr(cls.from_roles(roles), t) for t in cls.TABLES}, warehouse_checks)
+        tabs = {t: store.read(t) for t in cls.TABLES}
+        return cls(**tabs, sf=roles.sf, gdp_cutoffs=roles.gdp_cutoffs())
+
     def write(self, path: str, mode: str = "overwrite") -> None:
         """Materialise every table as Parquet under ``path``."""
         for t in self.TABLES:
