@@ -23,33 +23,36 @@ class AdditivityError(ValueError):
 
 
 def legal_aggregate(measure: str, additivity: str, group_cols: Sequence[str], time_cols: Sequence[str],
-                    override: str | None = None) -> str:
+                    requested: str | None = None, allowed: bool = False) -> str:
+    """The aggregate to use for ``measure``: the requested one if legal (or
+    explicitly allowed), else the default for its additivity class."""
     over_time = not any(t in group_cols for t in time_cols)
-    if override:
-        return override
-    if additivity == FLOW:
-        return "sum"
-    if additivity == LEVEL:
-        if over_time:
-            raise AdditivityError(f"{measure} is a level measure: it cannot be summed over time "
-                                  f"(group by {list(time_cols)} or pass an override)")
-        return "sum"
+    if additivity not in (FLOW, LEVEL, UNIT):
+        raise AdditivityError(f"{measure}: unknown additivity {additivity!r}")
+    how = requested or {FLOW: "sum", LEVEL: "sum", UNIT: "avg"}[additivity]
+    if how not in AGGS:
+        raise AdditivityError(f"{measure}: unknown aggregate {how!r}")
+    if allowed or how != "sum":
+        return how
     if additivity == UNIT:
-        return "avg"
-    raise AdditivityError(f"{measure}: unknown additivity {additivity!r}")
+        raise AdditivityError(f"{measure} is a unit measure and is never summed (allow it explicitly)")
+    if additivity == LEVEL and over_time:
+        raise AdditivityError(f"{measure} is a level measure: it cannot be summed over time "
+                              f"(group by {list(time_cols)}, request another aggregate or allow it)")
+    return how
 
 
 def measure_agg(df: DataFrame, group_cols: Sequence[str], additivity: Mapping[str, str],
-                time_cols: Sequence[str] = ("year",), overrides: Mapping[str, str] | None = None) -> DataFrame:
+                time_cols: Sequence[str] = ("year",), requested: Mapping[str, str] | None = None,
+                allow: Sequence[str] = ()) -> DataFrame:
     """Group ``df`` and aggregate each measure in ``additivity`` legally.
 
-    ``overrides`` maps a measure to an aggregate name; ``sum`` of a unit
-    measure is only possible this way (as one of the questions does)."""
-    overrides = dict(overrides or {})
+    ``requested`` maps a measure to an aggregate name; an illegal request
+    raises ``AdditivityError`` when the plan is built, unless the measure is in
+    ``allow`` (e.g. the sum of a share, as one of the questions computes)."""
+    requested = dict(requested or {})
     aggs: list[Column] = []
     for m, add in additivity.items():
-        how = legal_aggregate(m, add, group_cols, time_cols, overrides.get(m))
-        if add == UNIT and how == "sum" and m not in overrides:
-            raise AdditivityError(f"{m} is a unit measure and is never summed")
+        how = legal_aggregate(m, add, group_cols, time_cols, requested.get(m), m in allow)
         aggs.append(AGGS[how](F.col(m)).alias(m))
     return df.groupBy(*group_cols).agg(*aggs)

@@ -5,16 +5,23 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
-def read_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+def read_csv(spark: SparkSession, path: str, schema: T.StructType, keep_empty: bool = False) -> DataFrame:
     """CSV with a header row and an explicit schema (no inference pass).
 
-    Only an empty field is NULL: a literal ``NA`` (Namibia's code, North
-    America's continent code) stays a value."""
-    return (spark.read.schema(schema).option("header", True).option("nullValue", "")
-                 .option("mode", "FAILFAST").csv(path))
+    A literal ``NA`` (Namibia's code, North America's continent code) always
+    stays a value: only an empty field is missing. With ``keep_empty`` a
+    missing text field reads as an empty string instead of NULL (no text is
+    treated as missing at all)."""
+    df = (spark.read.schema(schema).option("header", True).option("nullValue", "")
+               .option("mode", "FAILFAST").csv(path))
+    if keep_empty:
+        df = df.select(*[F.coalesce(F.col(f.name), F.lit("")).alias(f.name)
+                         if isinstance(f.dataType, T.StringType) else F.col(f.name) for f in schema.fields])
+    return df
 
 
 def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
