@@ -102,3 +102,30 @@ def typed_null(dtype) -> Column:
 
 def year_key(ts, base_year: int) -> Column:
     return F.year(_col(ts)).cast("int") - F.lit(base_year)
+
+
+def exact_mean(col: str, scale: int, out_scale: int = 10, count: str | None = None,
+               prescaled: bool = False) -> Column:
+    """Mean of a DECIMAL(p, ``scale``) column, rounded half away from zero to
+    ``out_scale`` decimals, computed exactly (integer sum, integral division)
+    and returned as a double. A float average depends on summation order and
+    can land on either side of a rounding tie; this one cannot.
+
+    ``count``/``prescaled`` combine partial results: ``col`` then names an
+    integer sum of values scaled by 10**scale and ``count`` a row count."""
+    s = f"sum({col})" if prescaled else f"sum(cast({col} * {10 ** scale} as decimal(38,0)))"
+    n = f"sum({count})" if count else f"count({col})"
+    k = 2 * 10 ** (out_scale - scale)
+    q = f"((abs({s}) * {k} + {n}) div (2 * {n}))"
+    return F.expr(f"case when {n} = 0 then null else "
+                  f"cast(case when {s} < 0 then -{q} else {q} end as double) / {10 ** out_scale} end")
+
+
+def exact_mean_sql(col: str, scale: int, out_scale: int = 10) -> str:
+    """The same mean in DuckDB SQL (``//`` is integral division there)."""
+    s = f"sum(cast({col} * {10 ** scale} as hugeint))"
+    n = f"count({col})"
+    k = 2 * 10 ** (out_scale - scale)
+    q = f"((abs({s}) * {k} + {n}) // (2 * {n}))"
+    return (f"case when {n} = 0 then null else "
+            f"cast(case when {s} < 0 then -{q} else {q} end as double) / {10 ** out_scale} end")

@@ -12,6 +12,9 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from voltcube.functions.scalar import exact_mean
 
 from voltcube.schema import FLOW, LEVEL, UNIT
 
@@ -54,5 +57,9 @@ def measure_agg(df: DataFrame, group_cols: Sequence[str], additivity: Mapping[st
     aggs: list[Column] = []
     for m, add in additivity.items():
         how = legal_aggregate(m, add, group_cols, time_cols, requested.get(m), m in allow)
-        aggs.append(AGGS[how](F.col(m)).alias(m))
+        dtype = df.schema[m].dataType
+        if how == "avg" and isinstance(dtype, T.DecimalType):
+            aggs.append(exact_mean(m, dtype.scale).alias(m))    # exact, order independent
+        else:
+            aggs.append(AGGS[how](F.col(m)).alias(m))
     return df.groupBy(*group_cols).agg(*aggs)

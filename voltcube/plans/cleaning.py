@@ -19,7 +19,7 @@ from voltcube.operators.joins import first_per_key, lookup
 from voltcube.operators.reshape import columns_matching, pivot_first, pivot_sum, unpivot_columns
 from voltcube.operators.resolve import STEP_NAMES, resolve_exact, resolve_names
 from voltcube.plans.roles import Roles
-from voltcube.session import shared_dir
+from voltcube.session import materialize
 
 # Input order of the long EV table (unique per row): "first" rules follow it.
 RAW_EV_ORDER = ("region", "year", "mode", "powertrain", "parameter", "dup")
@@ -38,14 +38,13 @@ class Cleaning:
         self.p = roles.p
 
     def _cut(self, df: DataFrame) -> DataFrame:
-        """Materialise ``df`` in the shared checkpoint folder and cut its lineage.
+        """Write ``df`` to the shared folder and continue from the files.
 
         Used on small, reused intermediates (distinct names, candidates,
         resolved names) and on the cleaned long table every later flow reads,
         so their plans do not re-derive the whole input lineage per reference.
         """
-        shared_dir(self.r.spark)
-        return df.checkpoint(eager=True)
+        return materialize(self.r.spark, df, "clean")
 
     def _bands(self, df: DataFrame) -> DataFrame:
         return df.withColumns({"half_decade": band("year", self.p.half_decade_bands),

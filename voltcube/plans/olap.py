@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from voltcube.functions.scalar import gdp_class as gdp_class_expr
+from voltcube.functions.scalar import exact_mean, gdp_class as gdp_class_expr
 from voltcube.operators.grouping import cube_levels, grouping_sets, rollup_levels
 from voltcube.operators.windows import lag_growth as lag_growth_op
 from voltcube.operators.windows import rank_desc
@@ -68,13 +68,14 @@ def drill_across_2(w: Warehouse) -> DataFrame:
 # Q3 ------------------------------------------------------------------------
 def gdp_class(w: Warehouse) -> DataFrame:
     high, medium = w.gdp_cutoffs
-    m = market_by_country_year(w, F.sum("ev_sales_share").alias("s"), F.count("ev_sales_share").alias("n"))
+    # Partial sums per country-year (scaled to integers), combined exactly.
+    m = market_by_country_year(w, F.sum((F.col("ev_sales_share") * 10 ** 6).cast("decimal(38,0)")).alias("si"),
+                               F.count("ev_sales_share").alias("n"))
     j = (w.country_macro.select("key_c", "key_y", "gdp").join(m, ["key_c", "key_y"])
           .join(_yd(w, "year"), "key_y")
           .withColumn("gdp_class", gdp_class_expr("gdp", high, medium)))
-    g = j.groupBy("year", "gdp_class").agg(F.sum("s").alias("s"), F.sum("n").alias("n"))
-    return g.select(F.col("year").cast("bigint").alias("year"), "gdp_class",
-                    r6(F.col("s").cast("double") / F.col("n")).alias("avg_ev_share"))
+    g = j.groupBy("year", "gdp_class").agg(exact_mean("si", 6, count="n", prescaled=True).alias("avg_ev_share"))
+    return g.select(F.col("year").cast("bigint").alias("year"), "gdp_class", "avg_ev_share")
 
 
 # Q4 ------------------------------------------------------------------------
@@ -105,7 +106,7 @@ def cube_sales(w: Warehouse) -> DataFrame:
 # Q6 ------------------------------------------------------------------------
 def period_avg(w: Warehouse) -> DataFrame:
     j = w.ev_market.join(_yd(w, "pandemic_period"), "key_y")
-    return j.groupBy("pandemic_period").agg(r6(F.avg(F.col("ev_sales_share").cast("double"))).alias("avg_share"))
+    return j.groupBy("pandemic_period").agg(exact_mean("ev_sales_share", 6).alias("avg_share"))
 
 
 # Q7 ------------------------------------------------------------------------

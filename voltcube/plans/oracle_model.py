@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from voltcube.functions.scalar import exact_mean_sql
 from voltcube.plans.oracle_cleaning import CL, CO2, PF, PS, WB
 
 PFX = """pfx as (select * from pf
@@ -113,12 +114,12 @@ union all select 'co2', cast(count(*) as bigint), cast(count(*) filter (where is
        cast(min(year) as bigint), cast(max(year) as bigint) from co2o
 union all select 'energy', cast(count(*) as bigint), cast(count(*) filter (where iso_code is null) as bigint),
        cast(min(year) as bigint), cast(max(year) as bigint) from energy_primary""",
-    "measure_agg": """
+    "measure_agg": f"""
 select c.continent, cast(y.year as bigint) as year,
        round(cast(sum(m.ev_sales) as double), 6) as ev_sales,
-       round(avg(cast(m.ev_sales_share as double)), 6) as ev_sales_share,
+       {exact_mean_sql('m.ev_sales_share', 6)} as ev_sales_share,
        round(cast(sum(m.ev_stock) as double), 6) as ev_stock,
-       round(avg(cast(m.ev_stock_share as double)), 6) as ev_stock_share,
+       {exact_mean_sql('m.ev_stock_share', 6)} as ev_stock_share,
        round(cast(sum(m.ev_electricity_demand) as double), 6) as ev_electricity_demand
 from ev_market m join country_dim c on m.key_c = c.key_c join year_dim y on m.key_y = y.key_y
 group by c.continent, y.year""",

@@ -11,7 +11,12 @@ section 4. Plans are written for size:
   join (about 37 lineitems per group), so the big shuffle carries sums;
 * per-year totals are a grouped aggregate joined back (bounded by the
   number of calendar years), not a window partitioned by year, which would
-  put each year in one task.
+  put each year in one task;
+* the four facts are aggregates whose size is bounded by their grain
+  (nations x years x labels), while their inputs are the largest tables.
+  Each is written once to the shared checkpoint folder on first use, so the
+  role tables and the warehouse that read a fact several times do not repeat
+  the big joins (and a lost executor re-reads the checkpoint, not the join).
 """
 
 from __future__ import annotations
@@ -24,6 +29,7 @@ from pyspark.sql import types as T
 
 from voltcube.functions.scalar import band
 from voltcube.params import ROLE, RoleParams, sf_of
+from voltcube.session import materialize
 from voltcube.sources.tables import TableSource
 
 D18_2 = T.DecimalType(18, 2)
@@ -38,14 +44,18 @@ def fixed_size(df: DataFrame) -> DataFrame:
 class Roles:
     """Lazily built role tables for one input folder."""
 
-    def __init__(self, spark: SparkSession, sf_dir: str, params: RoleParams = ROLE):
+    def __init__(self, spark: SparkSession, sf_dir: str, params: RoleParams = ROLE, materialize: bool = True):
         self.spark = spark
+        self.materialize = materialize
         self.sf_dir = sf_dir
         self.sf = sf_of(sf_dir)
         self.p = params
         self.src = TableSource(spark, sf_dir)
 
     # -- helpers ---------------------------------------------------------
+    def _cut(self, df: DataFrame, name: str = "fact") -> DataFrame:
+        return materialize(self.spark, df, f"role-{name}") if self.materialize else df
+
     def _key_y(self, ts: str):
         return F.year(F.col(ts)).cast("int") - F.lit(self.p.base_year)
 
@@ -91,15 +101,21 @@ class Roles:
     # -- facts -----------------------------------------------------------
     @cached_property
     def market_base(self) -> DataFrame:
-        orders = self._orders_with_nation("o_orderkey")
+        # lineitem meets orders first: both are base tables, so the planner
+        # sizes them from their files (a join output would be estimated as a
+        # product and make lineitem look like the small side). Customer and
+        # part come after, each joined on its own key.
         li = self.src.read("lineitem", "l_orderkey", "l_partkey", "l_quantity", "l_extendedprice",
                            "l_tax", "l_returnflag", "l_linestatus")
+        o = self.src.read("orders", "o_orderkey", "o_custkey", "o_orderdate")
+        c = self.src.read("customer", "c_custkey", "c_nationkey")
         part = self.src.read("part", "p_partkey", "p_type")
-        j = (li.join(orders, li.l_orderkey == orders.o_orderkey)
+        j = (li.join(o, li.l_orderkey == o.o_orderkey)
+               .join(c, o.o_custkey == c.c_custkey)
                .join(part, li.l_partkey == part.p_partkey))
         zero = F.lit(0).cast(D18_2)
-        return (j.groupBy("key_c", "key_y", F.col("p_type").alias("vehicle_type"),
-                          F.col("l_returnflag").alias("powertrain"))
+        return (j.groupBy(F.col("c_nationkey").alias("key_c"), self._key_y("o_orderdate").alias("key_y"),
+                          F.col("p_type").alias("vehicle_type"), F.col("l_returnflag").alias("powertrain"))
                  .agg(F.sum(F.col("l_quantity").cast(D18_2)).cast(D18_2).alias("q"),
                       F.sum(F.col("l_extendedprice").cast(D18_2)).cast(D18_2).alias("p"),
                       F.sum(F.when(F.col("l_linestatus") == "F", F.col("l_tax").cast(D18_2))
@@ -116,14 +132,14 @@ class Roles:
             return F.round(F.lit(100) * F.col(x).cast("double") / F.col(tot).cast("double"), 6) \
                     .cast(T.DecimalType(10, 6))
 
-        return j.select(
+        return self._cut(j.select(
             "key_c", "key_y", "vehicle_type", "powertrain",
             F.col("q").cast("int").alias("ev_sales"),
             F.col("p").cast(T.DecimalType(15, 1)).alias("ev_stock"),
             share("q", "yq").alias("ev_sales_share"),
             share("p", "yp").alias("ev_stock_share"),
             F.col("d").cast(T.DecimalType(10, 2)).alias("ev_electricity_demand"),
-        )
+        ))
 
     @cached_property
     def ev_infrastructure(self) -> DataFrame:
@@ -132,7 +148,7 @@ class Roles:
         gap = ((F.col("key_c") % p.gap_mod == p.gap_rem)
                & (F.col("key_y") == F.lit(p.gap_year - p.base_year)))
         st = F.col("o_orderstatus")
-        return (o.where(~gap)
+        return self._cut(o.where(~gap)
                  .groupBy("key_c", "key_y")
                  .agg(F.count(F.when(st.isin("F", "O"), 1)).cast("int").alias("ev_charging_points"),
                       F.count(F.when(st == "F", 1)).cast("int").alias("fast_charging_points"),
@@ -154,7 +170,7 @@ class Roles:
         def total(cond):
             return F.sum(F.when(cond, F.col("qs")).otherwise(zero)).cast(D18_4)
 
-        return (j.groupBy(F.col("s_nationkey").alias("key_c"), "key_y")
+        return self._cut(j.groupBy(F.col("s_nationkey").alias("key_c"), "key_y")
                  .agg(total((st == "O") & keep).alias("renewable_generation"),
                       total((st == "F") & keep).alias("fossil_generation"),
                       total(keep).alias("electricity_generation")))
@@ -167,13 +183,13 @@ class Roles:
               .agg(F.countDistinct("o_custkey").alias("population"),
                    F.sum(F.col("o_totalprice").cast(D18_2)).cast(D18_2).alias("gdp_sum"),
                    F.count(F.lit(1)).alias("n")))
-        return g.select(
+        return self._cut(g.select(
             "key_c", "key_y", "population",
             F.when(F.col("key_c") == F.lit(p.null_gdp_nation), F.lit(None).cast(D18_2))
              .otherwise(F.col("gdp_sum")).alias("gdp"),
             F.col("n").cast(D18_4).alias("co2_emissions"),
             F.round(F.col("n").cast("double") / F.col("population"), 4).cast(D18_4).alias("co2_per_capita"),
-        )
+        ))
 
     # -- raw-shaped inputs of the cleaning flows ---------------------------
     @cached_property

@@ -51,13 +51,8 @@ class Warehouse:
               "ev_infrastructure", "country_energy", "country_macro")
 
     @classmethod
-    def from_roles(cls, roles: Roles, cut: bool = True) -> "Warehouse":
-        em = roles.ev_market
-        if cut:
-            # The fact feeds three tables (itself and two dimensions): write it
-            # once to the checkpoint folder instead of re-deriving it per use.
-            shared_dir(roles.spark)
-            em = em.checkpoint(eager=True)
+    def from_roles(cls, roles: Roles) -> "Warehouse":
+        em = roles.ev_market        # materialised once by Roles: it feeds three tables
         vt = surrogate_dim(em, "vehicle_type", "key_v")
         pt = surrogate_dim(em, "powertrain", "key_p")
         fact = (em.join(F.broadcast(vt), "vehicle_type").join(F.broadcast(pt), "powertrain")

@@ -68,6 +68,17 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/voltcube/{name}-{uuid.uuid4().hex[:12]}"
 
 
+def materialize(spark: SparkSession, df, name: str):
+    """Write ``df`` as Parquet under the shared folder and read it back.
+
+    Cuts the lineage (later plans start from the files, and a lost executor
+    re-reads them instead of recomputing the joins) in one job; used for
+    bounded intermediates that several later steps read."""
+    path = scratch_path(spark, name)
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
+
+
 def local_path(path: str) -> str:
     """Strip a ``file:`` scheme for local file-system checks in tests."""
     return path[5:] if path.startswith("file:") else path

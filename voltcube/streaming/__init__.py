@@ -1,0 +1,5 @@
+"""Streaming: intentionally empty.
+
+The source project has no stream input, watermark, window or state (every
+load is a batch), so there is nothing to express with Structured Streaming.
+"""
