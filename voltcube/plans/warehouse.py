@@ -7,6 +7,7 @@ import re
 from dataclasses import dataclass
 from pathlib import Path
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -15,6 +16,10 @@ from voltcube.session import shared_dir
 from voltcube.sources.store import VersionedStore
 
 
+# Loaded (cached) warehouse tables per (application, store, version).
+_LOADED: dict = {}
+
+
 def _code_tag() -> str:
     """Hash of the code that defines the warehouse contents: a change in it
     gives a new storage folder, so a stale build is never read."""
@@ -72,15 +77,28 @@ class Warehouse:
         return VersionedStore(spark, f"{shared_dir(spark)}/voltcube/warehouse/{slug}-{_code_tag()}")
 
     @classmethod
-    def load(cls, spark: SparkSession, sf_dir: str) -> "Warehouse":
+    def load(cls, spark: SparkSession, sf_dir: str, cache: bool = True) -> "Warehouse":
         """The stored warehouse for ``sf_dir``: built and published once (ETL),
-        then read by every query, as a star schema in a database is."""
+        then read by every query, as a star schema in a database is.
+
+        The tables are bounded by their grain (nations x years x labels) at any
+        input size, so they are kept in executor memory, spilling to disk
+        (a lost block is re-read from the published files). One cached copy
+        per application and published version is shared by all queries."""
         roles = Roles(spark, sf_dir)
         store = cls.store_for(spark, sf_dir)
-        if store.current_version() is None:
+        version = store.current_version()
+        if version is None:
             from voltcube.plans.model_queries import warehouse_checks
-            store.publish({t: getattr(cls.from_roles(roles), t) for t in cls.TABLES}, warehouse_checks)
-        tabs = {t: store.read(t) for t in cls.TABLES}
+            w = cls.from_roles(roles)
+            version = store.publish({t: getattr(w, t) for t in cls.TABLES}, warehouse_checks)
+        memo = (spark.sparkContext.applicationId, store.root, version)
+        tabs = _LOADED.get(memo)
+        if tabs is None:
+            tabs = {t: store.read(t, version) for t in cls.TABLES}
+            if cache:
+                tabs = {t: df.persist(StorageLevel.MEMORY_AND_DISK) for t, df in tabs.items()}
+                _LOADED[memo] = tabs
         return cls(**tabs, sf=roles.sf, gdp_cutoffs=roles.gdp_cutoffs())
 
     def write(self, path: str, mode: str = "overwrite") -> None:
