@@ -114,12 +114,13 @@ class Roles:
                .join(c, o.o_custkey == c.c_custkey)
                .join(part, li.l_partkey == part.p_partkey))
         zero = F.lit(0).cast(D18_2)
-        return (j.groupBy(F.col("c_nationkey").alias("key_c"), self._key_y("o_orderdate").alias("key_y"),
+        # Written once: it feeds both the per-year totals and the shares.
+        return self._cut(j.groupBy(F.col("c_nationkey").alias("key_c"), self._key_y("o_orderdate").alias("key_y"),
                           F.col("p_type").alias("vehicle_type"), F.col("l_returnflag").alias("powertrain"))
                  .agg(F.sum(F.col("l_quantity").cast(D18_2)).cast(D18_2).alias("q"),
                       F.sum(F.col("l_extendedprice").cast(D18_2)).cast(D18_2).alias("p"),
                       F.sum(F.when(F.col("l_linestatus") == "F", F.col("l_tax").cast(D18_2))
-                             .otherwise(zero)).cast(D18_2).alias("d")))
+                             .otherwise(zero)).cast(D18_2).alias("d")), "market")
 
     @cached_property
     def ev_market(self) -> DataFrame:
