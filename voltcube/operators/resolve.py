@@ -40,102 +40,111 @@ def _tokens(s):
 
 
 def _prefixes(strings: DataFrame, col: str, freq: DataFrame, cutoff: float) -> DataFrame:
-    """Prefix tokens of each string under the global (frequency, token) order.
+    """Prefix tokens of each (group, string) under the (frequency, token) order.
 
     A string of length L needs at least a = ceil(c*L/(2-c)) common tokens with
     any partner scoring >= c, so its first L - a + 1 tokens are enough."""
     c = cutoff
     length = F.length(col)
     alpha = F.greatest(F.lit(1), F.ceil(F.lit(c) * length / F.lit(2 - c) - F.lit(1e-9)))
-    t = strings.select(col, (length - alpha + 1).alias("_plen"), F.explode(_tokens(F.col(col))).alias("token"))
-    t = t.join(freq, "token", "left").withColumn("_f", F.coalesce("_f", F.lit(0)))
-    w = Window.partitionBy(col).orderBy("_f", "token")
+    t = strings.select("_g", col, (length - alpha + 1).alias("_plen"), F.explode(_tokens(F.col(col))).alias("token"))
+    t = t.join(freq, ["_g", "token"], "left").withColumn("_f", F.coalesce("_f", F.lit(0)))
+    w = Window.partitionBy("_g", col).orderBy("_f", "token")
     return (t.withColumn("_pos", F.row_number().over(w))
-             .where(F.col("_pos") <= F.col("_plen")).select(col, "token"))
+             .where(F.col("_pos") <= F.col("_plen")).select("_g", col, "token"))
 
 
 def similarity_join(queries: DataFrame, q: str, cands: DataFrame, c: str,
-                    cutoff: float = P.FUZZY_CUTOFF) -> DataFrame:
+                    cutoff: float = P.FUZZY_CUTOFF, group: str | None = None) -> DataFrame:
     """All (query, candidate, score) with ``ratio(candidate, query) >= cutoff``.
 
-    Input frames hold distinct strings in columns ``q`` and ``c``."""
-    qs = queries.select(F.col(q).alias("_q")).where(F.col("_q").isNotNull()).distinct()
-    cs = cands.select(F.col(c).alias("_c")).where(F.col("_c").isNotNull()).distinct()
-    freq = (cs.select(F.explode(_tokens(F.col("_c"))).alias("token"))
-              .groupBy("token").agg(F.count(F.lit(1)).alias("_f")))
+    Input frames hold strings in columns ``q`` and ``c``; with ``group`` only
+    strings of the same group are compared (several matchings in one pass)."""
+    g = F.col(group) if group else F.lit(0)
+    qs = queries.select(g.alias("_g"), F.col(q).alias("_q")).where(F.col("_q").isNotNull()).distinct()
+    cs = cands.select(g.alias("_g"), F.col(c).alias("_c")).where(F.col("_c").isNotNull()).distinct()
+    freq = (cs.select("_g", F.explode(_tokens(F.col("_c"))).alias("token"))
+              .groupBy("_g", "token").agg(F.count(F.lit(1)).alias("_f")))
     qp = _prefixes(qs, "_q", freq, cutoff)
     cp = _prefixes(cs, "_c", freq, cutoff)
     lo, hi = cutoff / (2 - cutoff), (2 - cutoff) / cutoff
-    pairs = (qp.join(cp, "token").select("_q", "_c").distinct()
+    pairs = (qp.join(cp, ["_g", "token"]).select("_g", "_q", "_c").distinct()
                .where((F.length("_c") >= F.length("_q") * lo - 1e-9) & (F.length("_c") <= F.length("_q") * hi + 1e-9)))
     # Two empty strings score 1.0 and share no token.
-    empty = (qs.where(F.length("_q") == 0).join(cs.where(F.length("_c") == 0), F.col("_q") == F.col("_c"))
-               .select("_q", "_c"))
+    empty = (qs.where(F.length("_q") == 0)
+               .join(cs.where(F.length("_c") == 0), (qs._g == cs._g) & (F.col("_q") == F.col("_c")))
+               .select(qs._g, "_q", "_c"))
     scored = pairs.unionByName(empty).withColumn("score", similarity_ratio(F.col("_c"), F.col("_q")))
-    return scored.where(F.col("score") >= cutoff).select(F.col("_q").alias(q), F.col("_c").alias(c), "score")
+    out = scored.where(F.col("score") >= cutoff)
+    cols = [F.col("_q").alias(q), F.col("_c").alias(c), "score"]
+    return out.select(F.col("_g").alias(group), *cols) if group else out.select(*cols)
 
 
-def _best(scored: DataFrame, q: str, c: str) -> DataFrame:
+def _best(scored: DataFrame, keys, c: str) -> DataFrame:
     """Best candidate per query by (score, candidate string), both descending."""
-    g = scored.groupBy(q).agg(F.max(F.struct("score", c)).alias("_b"))
-    return g.select(q, F.col("_b.score").alias("score"), F.col(f"_b.{c}").alias(c))
+    g = scored.groupBy(*keys).agg(F.max(F.struct("score", c)).alias("_b"))
+    return g.select(*keys, F.col("_b.score").alias("score"), F.col(f"_b.{c}").alias(c))
+
+
+def _keyed(df: DataFrame, col: str, keys) -> DataFrame:
+    """One row per (string, step key): ``keys`` are (step, key column or NULL)."""
+    items = F.array(*[F.struct(F.lit(step).alias("step"), k.alias("k")) for step, k in keys])
+    return df.select("*", F.explode(items).alias("_x")).where(F.col("_x.k").isNotNull()) \
+             .select("*", F.col("_x.step").alias("step"), F.col("_x.k").alias("k")).drop("_x")
 
 
 def resolve_exact(names: DataFrame, cands: DataFrame, phrases=P.CLEAN_NAME_PHRASES,
                   aliases=P.NAME_ALIASES) -> DataFrame:
-    """Steps 1-4. ``names``: column ``name``; ``cands``: ``cand``, ``iso``, ``seq``.
+    """Steps 1-4 as one equi-join: every name and every candidate get one
+    tagged key per step (lower-cased name, ISO code, cleaned name, alias rule)
+    and the lowest matching step, then the first candidate, wins.
 
+    ``names``: column ``name``; ``cands``: ``cand``, ``iso``, ``seq``.
     Returns name, iso_code, country, step for every name resolved."""
     n = names.select("name").where(F.col("name").isNotNull()).distinct()
     cd = cands.select("cand", "iso", "seq")
-    hits = [
-        n.join(cd, F.lower(n.name) == F.lower(cd.cand)).select("name", "cand", "iso", "seq", F.lit(1).alias("step")),
-        n.join(cd, F.upper(n.name) == cd.iso).select("name", "cand", "iso", "seq", F.lit(2).alias("step")),
-        n.join(cd, clean_name(n.name, phrases) == clean_name(cd.cand, phrases))
-         .select("name", "cand", "iso", "seq", F.lit(3).alias("step")),
-    ]
+    name_keys = [(1, F.concat(F.lit("L|"), F.lower("name"))),
+                 (2, F.concat(F.lit("I|"), F.upper("name"))),
+                 (3, F.concat(F.lit("C|"), clean_name("name", phrases)))]
+    cand_keys = [(1, F.concat(F.lit("L|"), F.lower("cand"))),
+                 (2, F.concat(F.lit("I|"), F.col("iso"))),
+                 (3, F.concat(F.lit("C|"), clean_name("cand", phrases)))]
     for i, (frm, to) in enumerate(aliases):
-        rule = F.lit(i)
-        target = cd.where(F.lower("cand").contains(to)).withColumn("_rule", rule)
-        hits.append(n.where(F.lower("name").contains(frm)).withColumn("_rule", rule)
-                     .join(target, "_rule").select("name", "cand", "iso", "seq", F.lit(4).alias("step")))
-    u = hits[0]
-    for h in hits[1:]:
-        u = u.unionByName(h)
-    best = first_per_key(u, ["name"], F.struct("step", "seq"), ["cand", "iso", "step"])
+        name_keys.append((4, F.when(F.lower("name").contains(frm), F.lit(f"A{i}|"))))
+        cand_keys.append((4, F.when(F.lower("cand").contains(to), F.lit(f"A{i}|"))))
+    hits = _keyed(n, "name", name_keys).join(_keyed(cd, "cand", cand_keys).drop("step"), "k")
+    best = first_per_key(hits, ["name"], F.struct("step", "seq"), ["cand", "iso", "step"])
     return best.select("name", F.col("iso").alias("iso_code"), F.col("cand").alias("country"), "step")
 
 
 def resolve_fuzzy(names: DataFrame, cands: DataFrame, phrases=P.CLEAN_NAME_PHRASES,
                   cutoff: float = P.FUZZY_CUTOFF) -> DataFrame:
-    """Steps 5-6 for the given names. Returns name, iso_code, country, step, score."""
+    """Steps 5-6 for the given names in one similarity join: group 5 compares
+    cleaned names (candidates sharing a cleaned name collapse to the last one),
+    group 6 lower-cased names (to the first one); a name takes step 5 if it
+    matched there. Returns name, iso_code, country, step, score."""
     n = names.select("name").where(F.col("name").isNotNull()).distinct()
     cd = cands.select("cand", "iso", "seq")
-
-    # Step 5: cleaned query against cleaned candidate names (last candidate wins per cleaned name).
-    c5 = first_per_key(cd.withColumn("ckey", clean_name("cand", phrases)), ["ckey"], "seq", ["cand", "iso"], last=True)
-    q5 = n.withColumn("qkey", clean_name("name", phrases))
-    s5 = _best(similarity_join(q5, "qkey", c5, "ckey", cutoff), "qkey", "ckey")
-    r5 = (q5.join(s5, "qkey").join(c5, "ckey")
-            .select("name", F.col("iso").alias("iso_code"), F.col("cand").alias("country"),
-                    F.lit(5).alias("step"), "score"))
-
-    # Step 6: lower-cased query against lower-cased names (first candidate wins per lower name).
-    rest = n.join(r5.select("name"), "name", "left_anti")
-    c6 = first_per_key(cd.withColumn("lkey", F.lower("cand")), ["lkey"], "seq", ["cand", "iso"])
-    q6 = rest.withColumn("qkey", F.lower("name"))
-    s6 = _best(similarity_join(q6, "qkey", c6, "lkey", cutoff), "qkey", "lkey")
-    r6 = (q6.join(s6, "qkey").join(c6, "lkey")
-            .select("name", F.col("iso").alias("iso_code"), F.col("cand").alias("country"),
-                    F.lit(6).alias("step"), "score"))
-    return r5.unionByName(r6)
+    c5 = first_per_key(cd.withColumn("key", clean_name("cand", phrases)), ["key"], "seq", ["cand", "iso"], last=True)
+    c6 = first_per_key(cd.withColumn("key", F.lower("cand")), ["key"], "seq", ["cand", "iso"])
+    cand_keys = c5.withColumn("step", F.lit(5)).unionByName(c6.withColumn("step", F.lit(6)))
+    query_keys = (n.select("name", F.lit(5).alias("step"), clean_name("name", phrases).alias("qkey"))
+                   .unionByName(n.select("name", F.lit(6).alias("step"), F.lower("name").alias("qkey"))))
+    scored = similarity_join(query_keys, "qkey", cand_keys, "key", cutoff, group="step")
+    best = _best(scored, ["step", "qkey"], "key")
+    hits = (query_keys.join(best, ["step", "qkey"]).join(cand_keys, ["step", "key"])
+                      .select("name", "step", "score", "cand", "iso"))
+    first = first_per_key(hits, ["name"], "step", ["cand", "iso", "step", "score"])
+    return first.select("name", F.col("iso").alias("iso_code"), F.col("cand").alias("country"), "step", "score")
 
 
 def resolve_names(names: DataFrame, cands: DataFrame, phrases=P.CLEAN_NAME_PHRASES,
                   aliases=P.NAME_ALIASES, cutoff: float = P.FUZZY_CUTOFF) -> DataFrame:
     """All steps. Returns name, iso_code, country, step for resolved names;
     unresolved names are absent (the caller keeps or drops them)."""
-    exact = resolve_exact(names, cands, phrases, aliases)
-    rest = names.select("name").distinct().join(exact.select("name"), "name", "left_anti")
-    fuzzy = resolve_fuzzy(rest, cands, phrases, cutoff).drop("score")
-    return exact.unionByName(fuzzy)
+    n = names.select("name").distinct()
+    exact = resolve_exact(n, cands, phrases, aliases)
+    fuzzy = resolve_fuzzy(n, cands, phrases, cutoff).drop("score")
+    # Lowest step per name: exact steps (1-4) come before fuzzy ones (5-6).
+    both = exact.unionByName(fuzzy)
+    return first_per_key(both, ["name"], "step", ["iso_code", "country", "step"])
