@@ -21,7 +21,9 @@ section 4. Plans are written for size:
 
 from __future__ import annotations
 
+import hashlib
 from functools import cached_property
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -29,13 +31,18 @@ from pyspark.sql import types as T
 
 from voltcube.functions.scalar import band
 from voltcube.params import ROLE, RoleParams, sf_of
-from voltcube.session import materialize
+from voltcube.session import scratch_path
 from voltcube.sources.tables import TableSource
 
 D18_2 = T.DecimalType(18, 2)
 D18_4 = T.DecimalType(18, 4)
 
 
+# Role facts already written in this process: (application, input, name, code) -> folder.
+_WRITTEN: dict = {}
+_CODE_TAG = hashlib.sha1(Path(__file__).read_bytes()).hexdigest()[:12]
+
+
 def fixed_size(df: DataFrame) -> DataFrame:
     """Broadcast a table whose row count is fixed by the data specification."""
     return F.broadcast(df)
@@ -44,17 +51,32 @@ def fixed_size(df: DataFrame) -> DataFrame:
 class Roles:
     """Lazily built role tables for one input folder."""
 
-    def __init__(self, spark: SparkSession, sf_dir: str, params: RoleParams = ROLE, materialize: bool = True):
+    def __init__(self, spark: SparkSession, sf_dir: str, params: RoleParams = ROLE, materialize: bool = True,
+                 reuse: bool = True):
         self.spark = spark
         self.materialize = materialize
+        self.reuse = reuse
         self.sf_dir = sf_dir
         self.sf = sf_of(sf_dir)
         self.p = params
         self.src = TableSource(spark, sf_dir)
 
     # -- helpers ---------------------------------------------------------
-    def _cut(self, df: DataFrame, name: str = "fact") -> DataFrame:
-        return materialize(self.spark, df, f"role-{name}") if self.materialize else df
+    def _cut(self, df: DataFrame, name: str) -> DataFrame:
+        """Write a bounded role fact once; later Roles of the same application
+        and input folder (and code version) read the same files."""
+        if not self.materialize:
+            return df
+        key = (self.spark.sparkContext.applicationId, self.sf_dir, name, _CODE_TAG)
+        path = _WRITTEN.get(key) if self.reuse else None
+        if path is None:
+            path = scratch_path(self.spark, f"role-{name}")
+            df.write.mode("overwrite").parquet(path)
+            _WRITTEN[key] = path
+        return self.spark.read.parquet(path)
+
+    def _cut_as(self, name: str, df: DataFrame) -> DataFrame:
+        return self._cut(df, name)
 
     def _key_y(self, ts: str):
         return F.year(F.col(ts)).cast("int") - F.lit(self.p.base_year)
@@ -115,12 +137,12 @@ class Roles:
                .join(part, li.l_partkey == part.p_partkey))
         zero = F.lit(0).cast(D18_2)
         # Written once: it feeds both the per-year totals and the shares.
-        return self._cut(j.groupBy(F.col("c_nationkey").alias("key_c"), self._key_y("o_orderdate").alias("key_y"),
+        return self._cut_as("market_base", j.groupBy(F.col("c_nationkey").alias("key_c"), self._key_y("o_orderdate").alias("key_y"),
                           F.col("p_type").alias("vehicle_type"), F.col("l_returnflag").alias("powertrain"))
                  .agg(F.sum(F.col("l_quantity").cast(D18_2)).cast(D18_2).alias("q"),
                       F.sum(F.col("l_extendedprice").cast(D18_2)).cast(D18_2).alias("p"),
                       F.sum(F.when(F.col("l_linestatus") == "F", F.col("l_tax").cast(D18_2))
-                             .otherwise(zero)).cast(D18_2).alias("d")), "market")
+                             .otherwise(zero)).cast(D18_2).alias("d")))
 
     @cached_property
     def ev_market(self) -> DataFrame:
@@ -133,7 +155,7 @@ class Roles:
             return F.round(F.lit(100) * F.col(x).cast("double") / F.col(tot).cast("double"), 6) \
                     .cast(T.DecimalType(10, 6))
 
-        return self._cut(j.select(
+        return self._cut_as("ev_market", j.select(
             "key_c", "key_y", "vehicle_type", "powertrain",
             F.col("q").cast("int").alias("ev_sales"),
             F.col("p").cast(T.DecimalType(15, 1)).alias("ev_stock"),
@@ -149,7 +171,7 @@ class Roles:
         gap = ((F.col("key_c") % p.gap_mod == p.gap_rem)
                & (F.col("key_y") == F.lit(p.gap_year - p.base_year)))
         st = F.col("o_orderstatus")
-        return self._cut(o.where(~gap)
+        return self._cut_as("ev_infrastructure", o.where(~gap)
                  .groupBy("key_c", "key_y")
                  .agg(F.count(F.when(st.isin("F", "O"), 1)).cast("int").alias("ev_charging_points"),
                       F.count(F.when(st == "F", 1)).cast("int").alias("fast_charging_points"),
@@ -171,7 +193,7 @@ class Roles:
         def total(cond):
             return F.sum(F.when(cond, F.col("qs")).otherwise(zero)).cast(D18_4)
 
-        return self._cut(j.groupBy(F.col("s_nationkey").alias("key_c"), "key_y")
+        return self._cut_as("country_energy", j.groupBy(F.col("s_nationkey").alias("key_c"), "key_y")
                  .agg(total((st == "O") & keep).alias("renewable_generation"),
                       total((st == "F") & keep).alias("fossil_generation"),
                       total(keep).alias("electricity_generation")))
@@ -184,7 +206,7 @@ class Roles:
               .agg(F.countDistinct("o_custkey").alias("population"),
                    F.sum(F.col("o_totalprice").cast(D18_2)).cast(D18_2).alias("gdp_sum"),
                    F.count(F.lit(1)).alias("n")))
-        return self._cut(g.select(
+        return self._cut_as("country_macro", g.select(
             "key_c", "key_y", "population",
             F.when(F.col("key_c") == F.lit(p.null_gdp_nation), F.lit(None).cast(D18_2))
              .otherwise(F.col("gdp_sum")).alias("gdp"),
