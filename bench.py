@@ -40,7 +40,7 @@ def timed(fn):
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1").rstrip("/")
     cpus = env_int("BENCH_CPUS", 8)
-    runs = env_int("BENCH_RUNS", 3)
+    runs = env_int("BENCH_RUNS", 5)
     spark = get_spark(f"local[{cpus}]", shuffle_partitions=cpus,
                       extra={"spark.driver.memory": os.environ.get("BENCH_DRIVER_MEMORY", "16g")})
 
