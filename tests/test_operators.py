@@ -186,3 +186,31 @@ def test_csv_keeps_literal_na(spark):
     assert back == {"Namibia": "NA", "Nowhere": None, "Empty": None}
     kept = {r.name: r.code for r in read_csv(spark, path, schema, keep_empty=True).collect()}
     assert kept["Namibia"] == "NA" and kept["Nowhere"] == ""
+
+
+def test_exact_mean_matches_decimal_arithmetic(spark):
+    from decimal import ROUND_HALF_UP, Decimal
+
+    from voltcube.functions.scalar import exact_mean
+    rnd = random.Random(3)
+    rows = [(g, Decimal(rnd.randint(-10 ** 7, 10 ** 7)).scaleb(-6)) for g in range(6) for _ in range(rnd.randint(1, 9))]
+    rows += [(6, Decimal("0.000001")), (6, Decimal("0.000002"))]     # mean 0.0000015, a tie
+    rows += [(7, Decimal("-0.000001")), (7, Decimal("-0.000002"))]                                      # mean -0.0000015
+    df = spark.createDataFrame(rows, "g int, x decimal(10,6)")
+    got = {r.g: r.m for r in df.groupBy("g").agg(exact_mean("x", 6, out_scale=6).alias("m")).collect()}
+    for g in {g for g, _ in rows}:
+        xs = [x for k, x in rows if k == g]
+        exact = (sum(xs) / len(xs)).quantize(Decimal("0.000001"), rounding=ROUND_HALF_UP)
+        assert got[g] == float(exact), (g, got[g], exact)
+
+
+def test_hot_key_holding_a_third_of_rows(spark):
+    n = 3000
+    rows = [("hot" if i % 3 == 0 else f"k{i}", "A" if i % 2 else "B", float(i), i) for i in range(n)]
+    df = spark.createDataFrame(rows, "k string, p string, v double, seq int").repartition(8)
+    first = {r.k: r.v for r in first_per_key(df, ["k"], "seq", ["v"]).collect()}
+    assert first["hot"] == 0.0 and len(first) == 1 + (n - n // 3)
+    piv = {r.k: (r.a, r.b) for r in pivot_first(df, ["k"], "p", ["A", "B"], "v", "seq").collect()}
+    assert piv["hot"] == (3.0, 0.0)
+    up = merge_upsert(df.select("k", "seq").dropDuplicates(["k"]), df.select("k", "seq"), ["k"], order="seq")
+    assert {r.k: r.seq for r in up.collect()}["hot"] == max(i for i in range(n) if i % 3 == 0)
