@@ -87,12 +87,18 @@ class Warehouse:
         per application and published version is shared by all queries."""
         roles = Roles(spark, sf_dir)
         store = cls.store_for(spark, sf_dir)
+        app = spark.sparkContext.applicationId
+        # Every version under one store holds the same tables (same inputs,
+        # same code), so a version already loaded here needs no new lookup.
+        held = [k for k in _LOADED if k[0] == app and k[1] == store.root]
+        if cache and held:
+            return cls(**_LOADED[max(held)], sf=roles.sf, gdp_cutoffs=roles.gdp_cutoffs())
         version = store.current_version()
         if version is None:
             from voltcube.plans.model_queries import warehouse_checks
             w = cls.from_roles(roles)
             version = store.publish({t: getattr(w, t) for t in cls.TABLES}, warehouse_checks)
-        memo = (spark.sparkContext.applicationId, store.root, version)
+        memo = (app, store.root, version)
         tabs = _LOADED.get(memo)
         if tabs is None:
             tabs = {t: store.read(t, version) for t in cls.TABLES}
