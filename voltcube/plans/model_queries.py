@@ -11,6 +11,7 @@ from voltcube.operators.checks import duplicate_keys, max_length, not_null, orph
 from voltcube.operators.joins import missing_keys
 from voltcube.operators.measures import measure_agg as measure_agg_op
 from voltcube.plans.cleaning import Cleaning
+from voltcube.plans.compare import summarize_timings
 from voltcube.plans.model import Model
 from voltcube.plans.olap import r6
 from voltcube.plans.roles import Roles
@@ -186,17 +187,8 @@ def measure_agg(spark, sf_dir) -> DataFrame:
 
 # -- A17 ---------------------------------------------------------------------
 def variant_ratio(spark, sf_dir) -> DataFrame:
-    """Mean timing per query and variant (failed runs, i.e. NULL metrics,
-    skipped), the A/B ratio (NULL when B is 0) and the slowest run."""
-    t = Roles(spark, sf_dir).run_timing
-    g = (t.groupBy("query_id").pivot("variant", ["A", "B"])
-          .agg(F.avg("total_ms").alias("total_ms"), F.avg("planning_ms").alias("planning_ms")))
-    mx = t.groupBy("query_id").agg(F.max("total_ms").alias("max_total_ms"))
-    j = g.join(mx, "query_id")
-    return j.select("query_id", r6("A_total_ms").alias("a_total_ms"), r6("B_total_ms").alias("b_total_ms"),
-                    r6(F.try_divide(F.col("A_total_ms"), F.col("B_total_ms"))).alias("ratio"),
-                    r6("A_planning_ms").alias("a_planning_ms"), r6("B_planning_ms").alias("b_planning_ms"),
-                    r6("max_total_ms").alias("max_total_ms"))
+    """Mean timing per query and variant, A/B ratio and slowest run."""
+    return summarize_timings(Roles(spark, sf_dir).run_timing)
 
 
 MODEL = {
