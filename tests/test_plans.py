@@ -61,3 +61,19 @@ def test_rollup_is_one_pass(wh):
     p = plan_of(olap.cube_sales(wh))
     assert p.count("Expand") == 1
     assert "Union" not in p
+
+
+ROW_PYTHON = ("BatchEvalPython",)   # row-at-a-time Python UDF; Arrow UDFs show as ArrowEvalPython
+
+
+def _registered():
+    import __spark_entry__ as entry
+    return entry.queries()
+
+
+@pytest.mark.parametrize("key", sorted(_registered()))
+def test_registered_plan_has_no_pairwise_join_or_row_python(spark, key):
+    """Every registered query: no join without keys (cartesian or nested
+    loop) and no per-row Python on the data path."""
+    p = plan_of(_registered()[key](spark, SF_SMALL))
+    assert not any(k in p for k in NO_PAIRS + ROW_PYTHON), p
