@@ -68,12 +68,14 @@ class Roles:
         if not self.materialize:
             return df
         key = (self.spark.sparkContext.applicationId, self.sf_dir, name, _CODE_TAG)
-        path = _WRITTEN.get(key) if self.reuse else None
-        if path is None:
-            path = scratch_path(self.spark, f"role-{name}")
-            df.write.mode("overwrite").parquet(path)
-            _WRITTEN[key] = path
-        return self.spark.read.parquet(path)
+        hit = _WRITTEN.get(key) if self.reuse else None
+        if hit is None:
+            hit = (scratch_path(self.spark, f"role-{name}"), df.schema)
+            df.write.mode("overwrite").parquet(hit[0])
+            _WRITTEN[key] = hit
+        path, schema = hit
+        # The schema is known: read back without a footer-reading job.
+        return self.spark.read.schema(schema).parquet(path)
 
     def _cut_as(self, name: str, df: DataFrame) -> DataFrame:
         return self._cut(df, name)

@@ -76,7 +76,7 @@ def materialize(spark: SparkSession, df, name: str):
     bounded intermediates that several later steps read."""
     path = scratch_path(spark, name)
     df.write.mode("overwrite").parquet(path)
-    return spark.read.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def local_path(path: str) -> str:

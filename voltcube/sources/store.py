@@ -107,7 +107,9 @@ class VersionedStore:
         version = 1 if cur is None else cur + 1
         for name, df in tables.items():
             df.write.mode("overwrite").parquet(self.table_path(name, version))
-        staged = {name: self.spark.read.parquet(self.table_path(name, version)) for name in tables}
+        # Read back with the known schemas (no footer-reading job per table).
+        staged = {name: self.spark.read.schema(df.schema).parquet(self.table_path(name, version))
+                  for name, df in tables.items()}
         if checks is not None:
             # One job for all checks: each contributes its name if it has any violation.
             probes = [v.select(F.lit(n).alias("check")).limit(1) for n, v in checks(staged).items()]
