@@ -142,9 +142,10 @@ def resolve_names(names: DataFrame, cands: DataFrame, phrases=P.CLEAN_NAME_PHRAS
                   aliases=P.NAME_ALIASES, cutoff: float = P.FUZZY_CUTOFF) -> DataFrame:
     """All steps. Returns name, iso_code, country, step for resolved names;
     unresolved names are absent (the caller keeps or drops them)."""
-    n = names.select("name").distinct()
+    n = names.select("name").where(F.col("name").isNotNull()).distinct()
     exact = resolve_exact(n, cands, phrases, aliases)
-    fuzzy = resolve_fuzzy(n, cands, phrases, cutoff).drop("score")
-    # Lowest step per name: exact steps (1-4) come before fuzzy ones (5-6).
-    both = exact.unionByName(fuzzy)
-    return first_per_key(both, ["name"], "step", ["iso_code", "country", "step"])
+    # Exact steps (1-4) come before fuzzy ones (5-6), so only the names no
+    # exact step resolves are scored in the similarity join.
+    rest = n.join(exact.select("name"), "name", "left_anti")
+    fuzzy = resolve_fuzzy(rest, cands, phrases, cutoff).drop("score")
+    return exact.unionByName(fuzzy)
