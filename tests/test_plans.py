@@ -77,3 +77,14 @@ def test_registered_plan_has_no_pairwise_join_or_row_python(spark, key):
     loop) and no per-row Python on the data path."""
     p = plan_of(_registered()[key](spark, SF_SMALL))
     assert not any(k in p for k in NO_PAIRS + ROW_PYTHON), p
+
+
+def test_similarity_scored_once(spark):
+    """The score filter must not be pushed below the UDF as a second
+    evaluation: one Arrow UDF node scores all candidate pairs of both steps."""
+    from voltcube.operators.resolve import resolve_names
+    names = spark.createDataFrame([("Germny",), ("france",), ("Kingdom of Spain",)], "name string")
+    cands = spark.createDataFrame([("GERMANY", "N07", 0), ("FRANCE", "N06", 1), ("SPAIN", "N20", 2)],
+                                  "cand string, iso string, seq int")
+    p = plan_of(resolve_names(names, cands))
+    assert p.count("ArrowEvalPython") == 1, p

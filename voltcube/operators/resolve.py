@@ -74,7 +74,11 @@ def similarity_join(queries: DataFrame, q: str, cands: DataFrame, c: str,
     empty = (qs.where(F.length("_q") == 0)
                .join(cs.where(F.length("_c") == 0), (qs._g == cs._g) & (F.col("_q") == F.col("_c")))
                .select(qs._g, "_q", "_c"))
-    scored = pairs.unionByName(empty).withColumn("score", similarity_ratio(F.col("_c"), F.col("_q")))
+    # Non-deterministic for the optimizer: the score filter then stays above the
+    # UDF instead of being pushed below it as a second evaluation, so each
+    # candidate pair is scored once.
+    score = similarity_ratio.asNondeterministic()
+    scored = pairs.unionByName(empty).withColumn("score", score(F.col("_c"), F.col("_q")))
     out = scored.where(F.col("score") >= cutoff)
     cols = [F.col("_q").alias(q), F.col("_c").alias(c), "score"]
     return out.select(F.col("_g").alias(group), *cols) if group else out.select(*cols)
