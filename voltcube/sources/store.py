@@ -111,9 +111,11 @@ class VersionedStore:
         staged = {name: self.spark.read.schema(df.schema).parquet(self.table_path(name, version))
                   for name, df in tables.items()}
         if checks is not None:
-            # One job for all checks: each contributes its name if it has any violation.
-            probes = [v.select(F.lit(n).alias("check")).limit(1) for n, v in checks(staged).items()]
-            bad = sorted(r.check for r in reduce(DataFrame.unionByName, probes).collect()) if probes else []
+            # One job for all checks: the violation count of each.
+            counted = [v.groupBy().agg(F.count(F.lit(1)).alias("n")).select(F.lit(n).alias("check"), "n")
+                       for n, v in checks(staged).items()]
+            found = reduce(DataFrame.unionByName, counted).collect() if counted else []
+            bad = sorted(f"{r.check} ({r.n})" for r in found if r.n)
             if bad:
                 raise PublishError(f"version {version} not published, failed checks: {bad}")
         # One job counts every written table and appends the commit record.
