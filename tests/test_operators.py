@@ -122,12 +122,15 @@ def test_similarity_join_equals_brute_force(spark):
 
 def test_resolution_steps(spark):
     cands = spark.createDataFrame([("South Korea", "KOR", 1), ("Russia", "RUS", 2), ("Germany", "DEU", 3),
-                                   ("United Kingdom", "GBR", 4)], "cand string, iso string, seq int")
+                                   ("United Kingdom", "GBR", 4), ("North Koreas", "PRK", 5)],
+                                  "cand string, iso string, seq int")
+    # "North Korea" scores high against "North Koreas" (fuzzy), but the alias
+    # step comes first and wins: fuzzy steps only see names no exact step resolves.
     names = spark.createDataFrame([("germany",), ("RUS",), ("Kingdom of Germany",), ("Korea, Rep.",),
-                                   ("Untied Kingdom",), ("Atlantis",)], "name string")
+                                   ("Untied Kingdom",), ("Atlantis",), ("North Korea",)], "name string")
     got = {r.name: (r.iso_code, r.step) for r in resolve_names(names, cands).collect()}
     assert got == {"germany": ("DEU", 1), "RUS": ("RUS", 2), "Kingdom of Germany": ("DEU", 3),
-                   "Korea, Rep.": ("KOR", 4), "Untied Kingdom": ("GBR", 5)}
+                   "Korea, Rep.": ("KOR", 4), "Untied Kingdom": ("GBR", 5), "North Korea": ("KOR", 4)}
 
 
 def test_measure_agg_refuses_illegal_sums(spark):
