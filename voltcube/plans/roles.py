@@ -141,16 +141,21 @@ class Roles:
                            "l_tax", "l_returnflag", "l_linestatus")
         o = self._orders_with_nation("o_orderkey")
         part = self.src.read("part", "p_partkey", "p_type")
-        j = (li.join(o, li.l_orderkey == o.o_orderkey)
-               .join(part, li.l_partkey == part.p_partkey))
         zero = F.lit(0).cast(D18_2)
+        # Per-line measures are computed before the part-key shuffle, so it
+        # carries three decimals instead of quantity, price, tax and status.
+        lo = (li.join(o, li.l_orderkey == o.o_orderkey)
+                .select("key_c", "key_y", "l_partkey", F.col("l_returnflag").alias("powertrain"),
+                        F.col("l_quantity").cast(D18_2).alias("lq"),
+                        F.col("l_extendedprice").cast(D18_2).alias("lp"),
+                        F.when(F.col("l_linestatus") == "F", F.col("l_tax").cast(D18_2)).otherwise(zero).alias("ld")))
+        j = lo.join(part, lo.l_partkey == part.p_partkey)
         # Written once: it feeds both the per-year totals and the shares.
-        return self._cut_as("market_base", j.groupBy("key_c", "key_y",
-                          F.col("p_type").alias("vehicle_type"), F.col("l_returnflag").alias("powertrain"))
-                 .agg(F.sum(F.col("l_quantity").cast(D18_2)).cast(D18_2).alias("q"),
-                      F.sum(F.col("l_extendedprice").cast(D18_2)).cast(D18_2).alias("p"),
-                      F.sum(F.when(F.col("l_linestatus") == "F", F.col("l_tax").cast(D18_2))
-                             .otherwise(zero)).cast(D18_2).alias("d")))
+        return self._cut_as("market_base", j.groupBy("key_c", "key_y", F.col("p_type").alias("vehicle_type"),
+                                                     "powertrain")
+                 .agg(F.sum("lq").cast(D18_2).alias("q"),
+                      F.sum("lp").cast(D18_2).alias("p"),
+                      F.sum("ld").cast(D18_2).alias("d")))
 
     @cached_property
     def ev_market(self) -> DataFrame:
