@@ -88,3 +88,17 @@ def test_similarity_scored_once(spark):
                                   "cand string, iso string, seq int")
     p = plan_of(resolve_names(names, cands))
     assert p.count("ArrowEvalPython") == 1, p
+
+
+def test_hot_key_is_reduced_before_the_shuffle(spark):
+    """First-row-per-key and pivot-first keep one running value per task for
+    a key holding a third of the rows: a partial aggregate sits below the
+    exchange, so the hot group is never gathered whole into one task."""
+    from voltcube.operators.joins import first_per_key
+    from voltcube.operators.reshape import pivot_first
+    rows = [("hot" if i % 3 == 0 else f"k{i}", "A" if i % 2 else "B", float(i), i) for i in range(300)]
+    df = spark.createDataFrame(rows, "k string, p string, v double, seq int").repartition(8)
+    for out in (first_per_key(df, ["k"], "seq", ["v"]), pivot_first(df, ["k"], "p", ["A", "B"], "v", "seq")):
+        p = plan_of(out)
+        below = p[p.index("Exchange hashpartitioning"):]
+        assert "partial_" in below, p
