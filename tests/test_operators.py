@@ -170,6 +170,15 @@ def test_publish_is_all_or_nothing(spark):
     assert sorted(r.k for r in store.read("t").collect()) == [1, 2]
 
 
+def test_read_all_uses_the_schema_recorded_at_publish(spark):
+    store = VersionedStore(spark, scratch_path(spark, "test-store-schema"))
+    df = spark.createDataFrame([(1, "a")], "k int, s string").selectExpr("k", "s", "cast(k as decimal(10,2)) as d")
+    v = store.publish({"t": df})
+    assert store._commits().where("version = %d" % v).first().schema_json is not None
+    back = store.read_all(["t"], v)["t"]
+    assert back.dtypes == df.dtypes and back.collect() == df.collect()
+
+
 def test_checks_find_seeded_violations(spark):
     fact = spark.createDataFrame([(1, 1), (1, 1), (9, 2), (None, 3)], "key_c int, key_y int")
     dim = spark.createDataFrame([(1,)], "key_c int")

@@ -101,7 +101,7 @@ class Warehouse:
         memo = (app, store.root, version)
         tabs = _LOADED.get(memo)
         if tabs is None:
-            tabs = {t: store.read(t, version) for t in cls.TABLES}
+            tabs = store.read_all(cls.TABLES, version)
             if cache:
                 tabs = {t: df.persist(StorageLevel.MEMORY_AND_DISK) for t, df in tabs.items()}
                 _LOADED[memo] = tabs

@@ -13,6 +13,7 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable, Mapping, Sequence
 from functools import reduce
 
@@ -54,6 +55,7 @@ COMMIT_SCHEMA = T.StructType([
     T.StructField("version", T.LongType(), False),
     T.StructField("table_name", T.StringType(), False),
     T.StructField("rows", T.LongType(), False),
+    T.StructField("schema_json", T.StringType(), True),   # NULL in logs written before it existed
 ])
 
 
@@ -94,6 +96,20 @@ class VersionedStore:
             raise PublishError(f"no committed version under {self.root}")
         return self.spark.read.parquet(self.table_path(name, v))
 
+    def read_all(self, names: Sequence[str], version: int) -> dict[str, DataFrame]:
+        """Every table of a version, read with the schema recorded at publish
+        (one small job over the commit log instead of one footer-reading job
+        per table). Tables without a recorded schema are read by inference."""
+        recorded = {r.table_name: r.schema_json for r in
+                    self._commits().where(F.col("version") == version)
+                        .select("table_name", "schema_json").collect()}
+        out = {}
+        for name in names:
+            js = recorded.get(name)
+            reader = self.spark.read.schema(T.StructType.fromJson(json.loads(js))) if js else self.spark.read
+            out[name] = reader.parquet(self.table_path(name, version))
+        return out
+
     def manifest(self, version: int | None = None) -> DataFrame:
         v = self.current_version() if version is None else version
         return self._commits().where(F.col("version") == v).select("table_name", "rows")
@@ -121,7 +137,8 @@ class VersionedStore:
         # One job counts every written table and appends the commit record.
         counts = [staged[name].groupBy().agg(F.count(F.lit(1)).alias("rows"))
                               .select(F.lit(version).cast("long").alias("version"),
-                                      F.lit(name).alias("table_name"), "rows")
+                                      F.lit(name).alias("table_name"), "rows",
+                                      F.lit(tables[name].schema.json()).alias("schema_json"))
                   for name in tables]
         reduce(DataFrame.unionByName, counts).coalesce(1).write.mode("append").parquet(self.commits_path)
         return version
