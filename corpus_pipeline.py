@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from voltcube.llm import langid, linededup, mixing, pieces, queries
+from voltcube.llm import jaccard, langid, linededup, mixing, pieces, queries
 from voltcube.llm.common import fresh, ship
 from voltcube.session import apply_runtime_conf, scratch_path
 
@@ -35,6 +35,12 @@ def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return out.select(*docs.columns)
 
 
+def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Operator 10: one document of each group of near copies (five-word shingles, similarity 0.8) stays."""
+    ship(spark)
+    return jaccard.keep_one(docs)
+
+
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Operator 5: documents as often as the mix takes them (0 to 3 times)."""
     (size,) = fresh(docs, "_size")
@@ -49,7 +55,7 @@ def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_pieces", "ids", "intact")
 
 
-STAGES = [("language", language), ("lines", lines), ("mix", mix), ("encode", encode)]
+STAGES = [("language", language), ("lines", lines), ("near_copies", near_copies), ("mix", mix), ("encode", encode)]
 
 #: Naive Bayes and piece merges have no SQL form; the tests compare with plain Python versions.
 ORACLE_SQL = None

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from voltcube.llm import langid, linededup, mixing, pieces, quality, sharding, warc
+from voltcube.llm import ann, jaccard, langid, linededup, mixing, pieces, quality, sharding, topk, warc
 from voltcube.llm.common import cut, ship, table
 from voltcube.session import apply_runtime_conf
 
@@ -16,6 +16,11 @@ SHARDS = 16
 PIECE_MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 
 
+def op1_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = ann.search(table(spark, sf_dir, "embeddings", "vec_id", "embedding"), k=20, every=20)
+    return found.select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")
+
+
 def op2_histogram_shard(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Shards of nearly equal bytes. The text is read once; only ids, sizes and hashes are written and exchanged."""
     docs = table(spark, sf_dir, "documents", "doc_id", "text")
@@ -63,14 +68,24 @@ def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.score(docs.select("doc_id", "held_out", "text"), model).select("doc_id", "held_out", "score", "predicted")
 
 
+def op8_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = topk.search(table(spark, sf_dir, "embeddings", "vec_id", "embedding"), k=20, every=20, scale=64.0)
+    return found.select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", F.col("score").cast("long").alias("score"))
+
+
 def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = table(spark, sf_dir, "pages", "page_id", "url", "html")
     back = warc.round_trip(pages)
     return back.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "intact")
 
 
+def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.link_components(table(spark, sf_dir, "documents", "doc_id", "text"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op2_histogram_shard, op3_sentencepiece, op4_line_dedup, op5_mix_sources, op6_language_id, op7_quality, op9_warc)}
+    f.__name__: f for f in (op1_nearest_neighbours, op2_histogram_shard, op3_sentencepiece, op4_line_dedup, op5_mix_sources, op6_language_id, op7_quality,
+                              op8_exact_topk, op9_warc, op10_jaccard_join)}
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
