@@ -258,7 +258,8 @@ def dedup_lines(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text",
     for p in paths:
         drop_path(spark, p)
     hid, got = fresh(docs, "_hid", "_hits")
-    joined = docs.join(hits.select(F.col("doc_id").alias(hid), F.col("hits").alias(got)), F.col(doc_id).cast("long") == F.col(hid), "left").drop(hid)
+    # The hits grow with the input, so the plan is the same at every size: no broadcast.
+    joined = docs.join(hits.select(F.col("doc_id").alias(hid), F.col("hits").alias(got)).hint("merge"), F.col(doc_id).cast("long") == F.col(hid), "left").drop(hid)
     out = with_fields(docs, n_lines=T.LongType(), n_dropped=T.LongType())
     kept_columns = docs.columns
 
