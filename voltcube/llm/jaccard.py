@@ -269,7 +269,7 @@ def _not_alone(rows: DataFrame, partitions: int) -> DataFrame:
 
 def _sets(docs: DataFrame, want: DataFrame) -> DataFrame:
     """(node, items, sig) of the wanted nodes; ``want``: (node, rep), rep being a document of that node."""
-    rows = docs.join(want, docs["doc_id"] == want["rep"]).select("node", "text")
+    rows = docs.join(want.hint("merge"), docs["doc_id"] == want["rep"]).select("node", "text")
 
     def run(batches):
         for b in small_batches(batches, "text"):
@@ -412,6 +412,6 @@ def keep_one(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text") ->
     gone = found.filter("doc_id is not null and component_id <> doc_id").select(F.col("doc_id").alias("gone_id")).distinct()
     (nr,) = fresh(docs, "_nr")
     known = docs.filter(F.col(doc_id).isNotNull())
-    known = known.join(gone, F.col(doc_id).cast("long") == F.col("gone_id"), "left_anti")
+    known = known.join(gone.hint("merge"), F.col(doc_id).cast("long") == F.col("gone_id"), "left_anti")
     known = known.withColumn(nr, F.row_number().over(W.partitionBy(doc_id).orderBy(text))).filter(F.col(nr) == 1).select(*docs.columns)
     return known.union(docs.filter(F.col(doc_id).isNull()))
