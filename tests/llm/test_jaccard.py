@@ -66,6 +66,15 @@ def test_links_whatever_the_sizes(spark, monkeypatch, seed, tile, spine, common,
     assert len({c for _, c in got.values()}) < len(got)
 
 
+def test_small_arrow_batches(spark):
+    """Runs of equal tokens, tiles and places that go over many batches."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", 3)
+    try:
+        check(spark, corpus(5, 30, 10))
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+
+
 def test_null_ids_repeats_and_empty(spark):
     text = "one two three four five six seven"
     df = spark.createDataFrame([(5, text), (5, text), (7, text), (None, text), (9, None), (None, ""), (8, "other")], "doc_id long, text string")

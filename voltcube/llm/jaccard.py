@@ -245,26 +245,23 @@ def _not_alone(rows: DataFrame, partitions: int) -> DataFrame:
     dealt = F.when(F.col("common"), F.xxhash64("token", "node")).otherwise(F.col("token"))
 
     def run(batches):
-        held = None
+        held, paired = None, False           # the last row so far, and whether it is known to have a partner
         for b in batches:
             if held is not None:
                 b = pa.Table.from_batches([held, b]).combine_chunks().to_batches()[0]
             k = b.column("dealt").to_numpy()
             if not len(k):
                 continue
-            # The last run may go on in the next batch; one row of it that is known to have a partner is enough.
             same = np.concatenate([[False], k[1:] == k[:-1]])
-            keep = same | np.concatenate([same[1:], [False]]) | b.column("common").to_numpy(zero_copy_only=False) | b.column("paired").to_numpy(zero_copy_only=False)
-            start = len(k) - 1
-            yield b.slice(0, start).filter(pa.array(keep[:start])).drop_columns(["dealt", "paired"])
-            held = b.slice(start)
-            if keep[start]:
-                held = held.set_column(held.schema.get_field_index("paired"), "paired", pa.array([True]))
-        if held is not None and held.column("paired")[0].as_py() | held.column("common")[0].as_py():
-            yield held.drop_columns(["dealt", "paired"])
-
-    rows = rows.select("token", "node", "pos", "common", dealt.alias("dealt"), F.lit(False).alias("paired"))
-    return (rows.repartition(partitions, "dealt").sortWithinPartitions("dealt").mapInArrow(run, "token long, node long, pos int, common boolean"))
+            keep = same | np.concatenate([same[1:], [False]]) | b.column("common").to_numpy(zero_copy_only=False)
+            keep[0] |= paired
+            yield b.slice(0, len(k) - 1).filter(pa.array(keep[:-1])).drop_columns(["dealt"])
+            held, paired = b.slice(len(k) - 1), bool(keep[-1])
+        if paired:
+            yield held.drop_columns(["dealt"])
+
+    rows = rows.select("token", "node", "pos", "common", dealt.alias("dealt"))
+    return rows.repartition(partitions, "dealt").sortWithinPartitions("dealt").mapInArrow(run, "token long, node long, pos int, common boolean")
 
 
 def _sets(docs: DataFrame, want: DataFrame) -> DataFrame:
