@@ -38,17 +38,16 @@ from pathlib import Path
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from voltcube.llm.common import add_columns, fresh, small_batches, with_fields
+from voltcube.llm.common import add_columns, small_batches, with_fields
 
 MARK = "▁"
 NEVER = float("inf")
 #: Marks cache keys that hold a whole word; texts that contain it go by the pattern.
 LINE = "\x1e"
-#: Words kept between batches of a task; characters of text encoded together.
-CACHE_WORDS, BATCH_BYTES = 1 << 20, 4 << 20
+#: Words and pairs of pieces kept between batches (about 250 and 100 bytes each); bytes of text encoded together.
+CACHE_WORDS, CACHE_PAIRS, BATCH_BYTES = 1 << 18, 1 << 18, 2 << 20
 
 
 def fields_of(data: bytes):
@@ -170,7 +169,7 @@ class Encoder:
     def is_stable(self, a: int, b: int) -> bool:
         key = a << 32 | b
         if (s := self.stable.get(key)) is None:
-            if len(self.stable) > 1 << 21:
+            if len(self.stable) > CACHE_PAIRS:
                 self.stable.clear()
             s = self.stable[key] = self._stays(self.v.pieces[a], self.v.pieces[b])
         return s
@@ -323,9 +322,10 @@ def _encoder(shared) -> Encoder:
     return e
 
 
-def encode(docs: DataFrame, vocab: Vocabulary, *, text: str = "text") -> DataFrame:
-    """``docs`` with ``ids`` (array of int) and ``n_pieces``."""
-    docs = docs.drop("ids", "n_pieces")
+def encode(docs: DataFrame, vocab: Vocabulary, *, text: str = "text", check: bool = False) -> DataFrame:
+    """``docs`` with ``ids`` (array of int) and ``n_pieces``; with ``check`` also ``intact``: whether
+    decoding the ids gives the text back."""
+    docs = docs.drop("ids", "n_pieces", *["intact"] * check)
     shared = docs.sparkSession.sparkContext.broadcast(vocab)
 
     def run(batches):
@@ -337,9 +337,11 @@ def encode(docs: DataFrame, vocab: Vocabulary, *, text: str = "text") -> DataFra
             n = np.array([len(g) for g in got], np.int32)
             flat = pa.array(np.concatenate([*got, np.zeros(0, np.int32)]).astype(np.int32))
             offsets = pa.array(np.concatenate([[0], np.cumsum(n)]).astype(np.int32), mask=np.append(null, False))
-            yield add_columns(b, ids=pa.ListArray.from_arrays(offsets, flat), n_pieces=pa.array(n.astype(np.int64), mask=null))
+            more = {"intact": pa.array([None if t is None else e.decode(g) == t for t, g in zip(texts, got, strict=True)], pa.bool_())} if check else {}
+            yield add_columns(b, ids=pa.ListArray.from_arrays(offsets, flat), n_pieces=pa.array(n.astype(np.int64), mask=null), **more)
 
-    return docs.mapInArrow(run, with_fields(docs, ids=T.ArrayType(T.IntegerType()), n_pieces=T.LongType()))
+    fields = {"ids": T.ArrayType(T.IntegerType()), "n_pieces": T.LongType()} | ({"intact": T.BooleanType()} if check else {})
+    return docs.mapInArrow(run, with_fields(docs, **fields))
 
 
 def decode(rows: DataFrame, vocab: Vocabulary, *, ids: str = "ids", into: str = "decoded") -> DataFrame:
@@ -360,8 +362,5 @@ def decode(rows: DataFrame, vocab: Vocabulary, *, ids: str = "ids", into: str =
 
 
 def round_trip(docs: DataFrame, vocab: Vocabulary, *, text: str = "text") -> DataFrame:
-    """``encode`` and, in the same pass, ``intact``: whether decoding the ids gives the text back."""
-    docs = docs.drop("ids", "n_pieces", "intact")
-    rows = encode(docs, vocab, text=text)
-    (back,) = fresh(rows, "_back")
-    return decode(rows, vocab, into=back).withColumn("intact", F.col(back) == F.col(text)).drop(back)
+    """``encode`` and, in the same pass, the check that decoding gives the text back."""
+    return encode(docs, vocab, text=text, check=True)
