@@ -93,6 +93,17 @@ def test_keep_one(spark):
     assert sorted(r.doc_id for r in out.collect()) == sorted({c for _, c in brute.jaccard_components(docs).values()})
 
 
+def test_a_cluster_over_many_tiles(spark, monkeypatch):
+    """Documents that may all link by their signatures, of which only some do: clusters are cut and met again."""
+    monkeypatch.setattr(jaccard, "TILE", 10)
+    monkeypatch.setattr(jaccard, "SPINE", 1)
+    rng = random.Random(3)
+    base = [f"w{rng.randrange(10**6)}" for _ in range(60)]
+    docs = list(enumerate([edited(rng, base, k) for k in (0, 1, 1, 2, 2, 2, 3, 3, 4) for _ in range(12)]))
+    got = check(spark, docs)
+    assert len({c for _, c in got.values()}) > 3
+
+
 def test_signatures_bound_the_difference():
     rng = np.random.default_rng(4)
     for _ in range(200):

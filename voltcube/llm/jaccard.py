@@ -7,15 +7,16 @@ sets are one node. Links are all pairs with 100 * intersection >= 80 * union.
    come last, by their count; all others by hash. Any order gives the same links, this one
    keeps passages that many documents share out of the prefixes.
 2. Prefixes. Linked sets overlap in at least 4/5 of each, so their first n - ceil(4n/5) + 1
-   tokens share one. Rows (token, node) of tokens that occur once are dropped.
-3. First tiles. Each node joins the tile of its rarest shared token and of its most common
-   one. A tile compares its nodes by size, then by signature, then by exact intersection of
-   sorted arrays, and leaves out pairs that it has already connected. A token of more nodes
-   than a tile takes is salted; a few of its nodes are in all its tiles.
-4. Rest. Tokens whose nodes are not all in one component yet are gone through in size-banded
-   order: each node outside the token's largest component meets all its nodes. Where sizes
-   and signatures allow a link, the node asks for the other component. Asked components are
-   cut into blocks and compared with the asking nodes, exactly.
+   tokens share one. Rows (token, node) go on if the token has a row of a size within the
+   band 4/5 to 5/4; sorted by size, that is a look at the neighbours.
+3. Signatures. The nodes of a token are a tile, taken in the order of their sizes; pairs that
+   sizes and signatures allow to link connect them, whatever connects them already being left
+   out. Tokens of more nodes than a tile takes are salted; then each node outside the token's
+   largest component meets all its tiles.
+4. Exact intersections. The components of what may link are clusters. Only their nodes' sets
+   are fetched, and each cluster is a tile, in which pairs are tested by size, signature and
+   exact intersection of sorted arrays. A cluster larger than a tile is cut into blocks that
+   share a few nodes; then each node outside its largest component meets all its blocks.
 
 A signature is the parity bitmap of the hashed shingles, as wide as the set is large; the
 bits in which two differ are at most the shingles in which the sets differ, so
@@ -44,7 +45,7 @@ from voltcube.llm.components import components
 SHINGLE = 5
 #: A shingle is common once a task has met it in so many documents; the FREQUENT most common are told to all.
 COMMON, CHUNK, FREQUENT = 3, 1 << 23, 1 << 18
-#: Nodes of a tile, and nodes of a salted token that are in all of its tiles.
+#: Nodes of a tile, and nodes of a salted token or a cut cluster that are in all of its tiles.
 TILE, SPINE = 2048, 32
 _M = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F)]
 
@@ -135,21 +136,19 @@ class Pile:
         return others[(a + b - self.differing(i, others)) // 2 >= needed(a, b)]
 
 
-def tile_links(nodes: np.ndarray, comp: np.ndarray, sets: list[np.ndarray]) -> list[tuple[int, int]]:
-    """Links that connect the nodes of a tile as all its links do; nodes of one component count as connected."""
-    order = np.argsort([len(s) for s in sets], kind="stable")          # bands of like sizes lie together
-    nodes, comp, sets = nodes[order], comp[order], [sets[i] for i in order]
-    n = np.array([len(s) for s in sets])
-    pile, out = Pile(n, [signature(s) for s in sets]), []
-    label = np.unique(comp, return_inverse=True)[1]
+def tile_links(nodes: np.ndarray, comp: np.ndarray, n: np.ndarray, sigs: list[np.ndarray], sets: list[np.ndarray] | None) -> list[tuple[int, int]]:
+    """Links that connect the nodes of a tile as all its links do; nodes of one component count as connected.
+    Without the sets: pairs that sizes and signatures allow to link."""
+    order = np.argsort(n, kind="stable")          # bands of like sizes lie together
+    nodes, n, label = nodes[order], n[order], np.unique(comp[order], return_inverse=True)[1]
+    pile, out = Pile(n, [sigs[i] for i in order]), []
     for i in range(len(nodes)):
-        upto = np.searchsorted(n, 5 * n[i] // 4, side="right")
-        others = np.arange(i + 1, upto)
+        others = np.arange(i + 1, np.searchsorted(n, 5 * n[i] // 4, side="right"))
         others = others[label[others] != label[i]]
         if not len(others):
             continue
         for j in pile.possible(i, others):
-            if label[j] != label[i] and len(np.intersect1d(sets[i], sets[j], assume_unique=True)) >= needed(n[i], n[j]):
+            if label[j] != label[i] and (sets is None or len(np.intersect1d(sets[order[i]], sets[order[j]], assume_unique=True)) >= needed(n[i], n[j])):
                 out.append((int(nodes[i]), int(nodes[j])))
                 label[label == label[j]] = label[i]
     return out
@@ -175,21 +174,25 @@ def runs(batches, key: str) -> Iterator[pa.Table]:
 
 
 def _survey(docs: DataFrame) -> DataFrame:
-    """Rows (doc_id, n, node) of documents, and rows (token, times) of shingles met in several documents of a task."""
+    """Rows (doc_id, n, node, sig) of documents, and rows (token, times) of shingles met in several documents of a task."""
+    schema = pa.schema([("doc_id", pa.int64()), ("n", pa.int64()), ("node", pa.int64()), ("sig", pa.binary()), ("token", pa.int64()), ("times", pa.int64())])
+
+    def full(m: int, **columns) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([columns.get(f.name, pa.nulls(m, f.type)) for f in schema], schema=schema)
+
     def run(batches):
         chunk, size, seen = [], 0, set()
 
         def common():
             tokens, times = np.unique(np.concatenate(chunk), return_counts=True)
             at = times >= COMMON
-            return pa.record_batch({"doc_id": pa.nulls(at.sum(), pa.int64()), "n": pa.nulls(at.sum(), pa.int64()), "node": pa.nulls(at.sum(), pa.int64()),
-                                    "token": pa.array(tokens[at].view(np.int64)), "times": pa.array(times[at].astype(np.int64))})
+            return full(int(at.sum()), token=pa.array(tokens[at].view(np.int64)), times=pa.array(times[at].astype(np.int64)))
 
         for b in small_batches(batches, "text"):
             sets = [shingle_set(t) for t in b.column("text").to_pylist()]
             ids = [set_id(s) if len(s) else None for s in sets]
-            none = pa.nulls(len(sets), pa.int64())
-            yield pa.record_batch({"doc_id": b.column("doc_id"), "n": pa.array([len(s) for s in sets], pa.int64()), "node": pa.array(ids, pa.int64()), "token": none, "times": none})
+            sigs = [signature(s).tobytes() if len(s) else None for s in sets]
+            yield full(len(sets), doc_id=b.column("doc_id"), n=pa.array([len(s) for s in sets], pa.int64()), node=pa.array(ids, pa.int64()), sig=pa.array(sigs, pa.binary()))
             for i, s in zip(ids, sets, strict=True):
                 if i is not None and i not in seen:
                     seen.add(i)
@@ -201,11 +204,12 @@ def _survey(docs: DataFrame) -> DataFrame:
         if chunk:
             yield common()
 
-    return docs.mapInArrow(run, "doc_id long, n long, node long, token long, times long")
+    return docs.mapInArrow(run, "doc_id long, n long, node long, sig binary, token long, times long")
 
 
 def _prefixes(docs: DataFrame, frequent: pa.Table) -> DataFrame:
-    """(token, node, pos, common) of each node's prefix; a task gives a node once (as long as it remembers it)."""
+    """(token, node, meta) of each node's prefix; a task gives a node once (as long as it remembers it).
+    ``meta`` is the set's size, the token's position and whether it is common, in one number that sorts by size."""
     tokens = frequent.column("token").to_numpy().view(np.uint64)
     order = np.argsort(tokens)
     # Rank 0 is left to tokens that are not common; equal counts fall back on the hash.
@@ -216,7 +220,7 @@ def _prefixes(docs: DataFrame, frequent: pa.Table) -> DataFrame:
         known, ranks = shared.value
         seen: set[int] = set()
         for b in small_batches(batches, "text"):
-            out_t, out_n, out_p, out_c = [], [], [], []
+            out_t, out_n, out_m = [], [], []
             for t in b.column("text").to_pylist():
                 s = shingle_set(t)
                 if not len(s) or (node := set_id(s)) in seen:
@@ -232,168 +236,170 @@ def _prefixes(docs: DataFrame, frequent: pa.Table) -> DataFrame:
                 first = np.argsort(r, kind="stable")[:p]
                 out_t.append(s[first].view(np.int64))
                 out_n.append(np.full(p, node, np.int64))
-                out_p.append(np.arange(p, dtype=np.int32))
-                out_c.append(r[first] > 0)
-            cat = lambda xs, d: np.concatenate([*xs, np.zeros(0, d)]).astype(d)
-            yield pa.record_batch({"token": pa.array(cat(out_t, np.int64)), "node": pa.array(cat(out_n, np.int64)), "pos": pa.array(cat(out_p, np.int32)), "common": pa.array(cat(out_c, bool))})
+                out_m.append((len(s) << 32) + (np.arange(p) << 1) + (r[first] > 0))
+            cat = lambda xs: pa.array(np.concatenate([*xs, np.zeros(0, np.int64)]).astype(np.int64))
+            yield pa.record_batch({"token": cat(out_t), "node": cat(out_n), "meta": cat(out_m)})
 
-    return docs.mapInArrow(run, "token long, node long, pos int, common boolean")
+    return docs.mapInArrow(run, "token long, node long, meta long")
 
 
 def _not_alone(rows: DataFrame, partitions: int) -> DataFrame:
-    """Rows whose token another row has as well. Common tokens pass at once and are dealt by node too, so none crowds a task."""
-    dealt = F.when(F.col("common"), F.xxhash64("token", "node")).otherwise(F.col("token"))
+    """(token, node, n) of rows whose token has another row of a like size. Common tokens pass at once and are
+    dealt by node too, so none crowds a task."""
+    common = F.col("meta") % 2 == 1
 
     def run(batches):
         held, paired = None, False           # the last row so far, and whether it is known to have a partner
         for b in batches:
             if held is not None:
                 b = pa.Table.from_batches([held, b]).combine_chunks().to_batches()[0]
-            k = b.column("dealt").to_numpy()
+            k, meta = b.column("token").to_numpy(), b.column("meta").to_numpy()
             if not len(k):
                 continue
-            same = np.concatenate([[False], k[1:] == k[:-1]])
-            keep = same | np.concatenate([same[1:], [False]]) | b.column("common").to_numpy(zero_copy_only=False)
-            keep[0] |= paired
-            yield b.slice(0, len(k) - 1).filter(pa.array(keep[:-1])).drop_columns(["dealt"])
+            n, pos = meta >> 32, (meta & 0xFFFFFFFF) >> 1
+            same = k[1:] == k[:-1]
+            ok = same & (5 * n[:-1] >= 4 * n[1:])
+            # Where the token surely has these two rows only, it must be early enough in both to be their first shared one.
+            two = same & np.concatenate([[False], ~same[:-1]]) & np.concatenate([~same[1:], [False]])
+            need = needed(n[:-1], n[1:])
+            ok &= ~two | (n[:-1] - pos[:-1] >= need) & (n[1:] - pos[1:] >= need)
+            keep = np.concatenate([[paired], ok]) | np.concatenate([ok, [False]]) | (meta & 1 == 1)
+            out = b.slice(0, len(k) - 1).filter(pa.array(keep[:-1]))
+            yield pa.record_batch({"token": out.column("token"), "node": out.column("node"), "n": pa.array(n[:-1][keep[:-1]])})
             held, paired = b.slice(len(k) - 1), bool(keep[-1])
         if paired:
-            yield held.drop_columns(["dealt"])
+            yield pa.record_batch({"token": held.column("token"), "node": held.column("node"), "n": pa.array(held.column("meta").to_numpy() >> 32)})
 
-    rows = rows.select("token", "node", "pos", "common", dealt.alias("dealt"))
-    return rows.repartition(partitions, "dealt").sortWithinPartitions("dealt").mapInArrow(run, "token long, node long, pos int, common boolean")
+    rows = rows.repartition(partitions, "token", F.when(common, F.col("node")))
+    return rows.sortWithinPartitions("token", "meta").mapInArrow(run, "token long, node long, n long")
 
 
 def _sets(docs: DataFrame, want: DataFrame) -> DataFrame:
-    """(node, items, sig) of the wanted nodes; ``want``: (node, rep), rep being a document of that node."""
+    """(node, items) of the wanted nodes; ``want``: (node, rep), rep being a document of that node."""
+    # What is wanted grows with the input, so the plan is the same at every size: no broadcast.
     rows = docs.join(want.hint("merge"), docs["doc_id"] == want["rep"]).select("node", "text")
 
     def run(batches):
         for b in small_batches(batches, "text"):
-            nodes, items, sigs = [], [], []
+            nodes, items = [], []
             for node, t in zip(b.column("node").to_pylist(), b.column("text").to_pylist(), strict=True):
                 s = shingle_set(t)
                 if len(s) and set_id(s) == node:
                     nodes.append(node)
                     items.append(s.tobytes())
-                    sigs.append(signature(s).tobytes())
-            yield pa.record_batch({"node": pa.array(nodes, pa.int64()), "n": pa.array([len(x) // 8 for x in items], pa.int64()),
-                                   "items": pa.array(items, pa.binary()), "sig": pa.array(sigs, pa.binary())})
+            yield pa.record_batch({"node": pa.array(nodes, pa.int64()), "items": pa.array(items, pa.binary())})
 
-    return rows.mapInArrow(run, "node long, n long, items binary, sig binary")
+    return rows.mapInArrow(run, "node long, items binary")
 
 
-def _verify(tiles: DataFrame, sets: DataFrame, partitions: int) -> DataFrame:
-    """Links (a, b) that connect the nodes of each tile (tile, node, component)."""
-    rows = tiles.join(sets.select("node", "items"), "node").select("tile", "node", "component", "items")
+def _links(tiles: DataFrame, more: DataFrame, partitions: int) -> DataFrame:
+    """Links (a, b) that connect the nodes of each tile (tile, node, component). ``more`` has the nodes' sizes and
+    signatures (n, sig), for links that are possible, or their sets (items), for links that are."""
+    exact = "items" in more.columns
 
     def run(batches):
         for t in runs(batches, "tile"):
             if t.num_rows < 2:
                 continue
             nodes, first = np.unique(t.column("node").to_numpy(), return_index=True)
-            items = t.column("items").to_pylist()
-            links = tile_links(nodes, t.column("component").to_numpy()[first], [np.frombuffer(items[i], np.uint64) for i in first])
+            held = t.column("items" if exact else "sig").to_pylist()
+            sets = [np.frombuffer(held[i], np.uint64) for i in first]
+            n = np.array([len(x) for x in sets]) if exact else t.column("n").to_numpy()[first]
+            links = tile_links(nodes, t.column("component").to_numpy()[first], n, [signature(x) for x in sets] if exact else sets, sets if exact else None)
             if links:
                 yield pa.record_batch({"a": pa.array([x for x, _ in links], pa.int64()), "b": pa.array([y for _, y in links], pa.int64())})
 
+    rows = tiles.select("tile", "node", "component").join(more, "node")
     return rows.repartition(partitions, "tile").sortWithinPartitions("tile").mapInArrow(run, "a long, b long")
 
 
-def _requests(rows: DataFrame, partitions: int) -> DataFrame:
-    """(node, asked) pairs: nodes that may link with a component they share a token with.
+def _salted(rows: DataFrame, key: str, salts: str, spread) -> DataFrame:
+    """Rows with their tile: one of the key's salts, or all of them where ``spread`` holds."""
+    own = F.array(F.pmod(F.xxhash64("node", F.lit(11)), F.col(salts)))
+    at = F.explode(F.when(spread, F.sequence(F.lit(0).cast("long"), F.col(salts) - 1)).otherwise(own))
+    return rows.withColumn("at", at).withColumn("tile", F.xxhash64(key, "at"))
 
-    ``rows``: (place, node, component, size of the component, n, sig, outer); nodes with ``outer`` meet
-    all nodes of their place that are of other components. The one of the smaller component asks."""
-    def run(batches):
-        for t in runs(batches, "place"):
-            outer = t.column("outer").to_numpy()
-            if t.num_rows < 2 or not outer.any():
-                continue
-            node, comp, size, n = (t.column(c).to_numpy() for c in ("node", "component", "size", "n"))
-            order = np.argsort(n, kind="stable")
-            node, comp, size, n, outer = node[order], comp[order], size[order], n[order], outer[order]
-            sigs = t.column("sig").to_pylist()
-            pile, asked = Pile(n, [np.frombuffer(sigs[i], np.uint64) for i in order]), set()
-            for i in np.flatnonzero(outer):
-                band = np.arange(np.searchsorted(n, -(-4 * n[i] // 5)), np.searchsorted(n, 5 * n[i] // 4, side="right"))
-                band = band[comp[band] != comp[i]]
-                for j in pile.possible(i, band):
-                    small, large = (i, j) if (size[i], comp[i]) <= (size[j], comp[j]) else (j, i)
-                    asked.add((int(node[small]), int(comp[large])))
-            if asked:
-                yield pa.record_batch({"node": pa.array([x for x, _ in asked], pa.int64()), "asked": pa.array([y for _, y in asked], pa.int64())})
 
-    return rows.repartition(partitions, "place").sortWithinPartitions("place").mapInArrow(run, "node long, asked long").distinct()
+def _spine(size: str):
+    """The few nodes that all tiles of a key of this size have."""
+    return F.pmod(F.xxhash64("node", F.lit(13)), F.col(size)) < SPINE
 
 
-def _salted(rows: DataFrame, key: str, salt: str, spread) -> DataFrame:
-    """Rows of a key in one of its salts, or in all of them where ``spread`` holds."""
-    own = F.array(F.pmod(F.xxhash64("node", F.lit(11)), F.col(salt)))
-    return rows.withColumn("at", F.explode(F.when(spread, F.sequence(F.lit(0).cast("long"), F.col(salt) - 1)).otherwise(own))).withColumn("place", F.xxhash64(key, "at"))
+def _outer(rows: DataFrame, key: str) -> DataFrame:
+    """Rows of keys that still have several components; ``outer``: not in the key's largest one."""
+    per = (rows.groupBy(key, "component").agg(F.count("*").alias("k")).groupBy(key)
+               .agg(F.count("*").alias("r"), F.max_by("component", F.struct("k", "component")).alias("largest")))
+    return rows.join(per.filter("r > 1").select(key, "largest"), key).withColumn("outer", F.col("component") != F.col("largest"))
+
+
+def _in(rows: DataFrame, comp: DataFrame) -> DataFrame:
+    """``rows`` with the component of their node (a node without links is its own)."""
+    return rows.drop("component").join(comp, "node", "left").withColumn("component", F.coalesce("component", "node"))
 
 
 def link_components(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """One row per document: doc_id, n_shingles and component_id."""
     spark = docs.sparkSession
     docs = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
-    survey, survey_path = cut(spark, _survey(docs), "shingle-survey")
-    signed = survey.filter("n is not null").select("doc_id", "n", "node")
-    frequent = (survey.filter("token is not null").groupBy("token").agg(F.sum("times").alias("times"))
-                      .orderBy(F.desc("times"), "token").limit(FREQUENT).toArrow())
-    # A partition of prefix rows is bounded by the input's rows, not by the session's setting alone.
-    total = signed.agg(F.sum("n")).head()[0] or 0
-    partitions = max(int(spark.conf.get("spark.sql.shuffle.partitions")), total // 5_000_000)
-    paths = [survey_path]
+    paths: dict[str, str] = {}
 
     def keep(df: DataFrame, name: str) -> DataFrame:
-        df, path = cut(spark, df, name)
-        paths.append(path)
+        df, paths[name] = cut(spark, df, name)
         return df
 
-    rows = keep(_not_alone(_prefixes(docs, frequent), partitions).groupBy("token", "node").agg(F.min("pos").alias("pos")), "prefix-rows")
-    shared = keep(rows.groupBy("token").agg(F.count("*").alias("c")).filter("c > 1"), "prefix-shared")
-    rows = keep(rows.join(shared, "token"), "prefix-pairs")
+    def drop(*names: str) -> None:
+        for n in names:
+            drop_path(spark, paths.pop(n))
 
-    chosen = (rows.groupBy("node").agg(F.min_by(F.struct("token", "c"), F.struct("pos", "token")).alias("x"), F.max_by(F.struct("token", "c"), F.struct("c", "token")).alias("y"))
-                  .select("node", F.explode(F.array_distinct(F.array("x", "y"))).alias("t")).select("node", "t.*"))
+    survey = keep(_survey(docs), "survey")
+    signed = survey.filter("n is not null")
+    frequent = (survey.filter("token is not null").groupBy("token").agg(F.sum("times").alias("times"))
+                      .orderBy(F.desc("times"), "token").limit(FREQUENT).toArrow())
+    # A partition of prefix rows is bounded by the input's rows, not by the session's setting alone.
+    total = signed.agg(F.sum("n")).head()[0] or 0
+    partitions = max(int(spark.conf.get("spark.sql.shuffle.partitions")), total // 5_000_000)
+    # Of each token the distinct nodes, and of tokens of several nodes their number.
+    rows = keep(_not_alone(_prefixes(docs, frequent), partitions).distinct(), "rows")
+    shared = keep(rows.groupBy("token").agg(F.count("*").alias("c")).filter("c > 1"), "shared")
+    rows = keep(rows.join(shared, "token").withColumn("salts", F.ceil(F.col("c") / TILE)), "pairs")
+    drop("rows", "shared")
+
+    # What may link, by signatures.
+    sigs = signed.filter("node is not null").groupBy("node").agg(F.first("n").alias("n"), F.first("sig").alias("sig"))
+    single = rows.withColumn("component", F.col("node")).drop("n")
+    spread = (F.col("salts") > 1) & _spine("c")
+    may = keep(_links(_salted(single, "token", "salts", spread), sigs, partitions), "may")
+    comp = keep(components(may), "clusters")
+    crowded = keep(_outer(_in(single.filter("salts > 1"), comp), "token"), "crowded")
+    if crowded.head() is not None:
+        more = keep(_links(_salted(crowded, "token", "salts", F.col("outer")), sigs, partitions), "may-more")
+        comp = keep(components(comp.select(F.col("node").alias("a"), F.col("component").alias("b")).union(more)), "clusters-more")
+    drop("pairs", "may", "crowded")
+
+    # What links, by exact intersections within the clusters.
+    size = comp.groupBy("component").agg(F.count("*").alias("c"))
+    clusters = comp.join(size, "component").withColumnRenamed("component", "cluster").withColumn("salts", F.ceil(F.col("c") / TILE)).withColumn("component", F.col("node"))
+    clusters = keep(clusters, "clustered")
     reps = signed.filter("doc_id is not null and node is not null").groupBy("node").agg(F.min("doc_id").alias("rep"))
-    sets = keep(_sets(docs, chosen.select("node").distinct().join(reps, "node")), "sets")
-
-    salts = F.ceil(F.col("c") / TILE)
-    spine = (F.col("salts") > 1) & (F.pmod(F.xxhash64("node", F.lit(13)), F.col("c")) < SPINE)
-    tiles = _salted(chosen.withColumn("salts", salts), "token", "salts", spine).select(F.col("place").alias("tile"), "node", F.col("node").alias("component"))
-    links = keep(_verify(tiles, sets, partitions), "links-first")
-    comp = keep(components(links), "components-first")
-
-    # What is left: tokens that more than one component shares.
-    sized = comp.join(comp.groupBy("component").agg(F.count("*").alias("size")), "component")
-    rows = keep(rows.join(sized, "node", "left").select("token", "node", "c", F.coalesce("component", "node").alias("component"), F.coalesce("size", F.lit(1)).alias("size")), "prefix-components")
-    per = rows.groupBy("token", "component").agg(F.count("*").alias("k")).groupBy("token").agg(F.count("*").alias("r"), F.max_by("component", F.struct("k", "component")).alias("largest"))
-    open_tokens = keep(per.filter("r > 1").select("token", "largest"), "open-tokens")
-    left = rows.join(open_tokens, "token").withColumn("outer", F.col("component") != F.col("largest")).withColumn("salts", salts)
-    left = _salted(left, "token", "salts", F.col("outer")).join(sets.select("node", "n", "sig"), "node")
-    asked = keep(_requests(left.select("place", "node", "component", "size", "n", "sig", "outer"), partitions), "requests")
-
-    every = sets.select("node").join(comp, "node", "left").select("node", F.coalesce("component", "node").alias("component"))
-    many = keep(asked.groupBy("asked").agg(F.count("*").alias("askers")).join(every.groupBy("component").agg(F.count("*").alias("members")), F.col("asked") == F.col("component"))
-                     .select("asked", F.ceil(F.col("askers") / TILE).alias("parts"), F.ceil(F.col("members") / TILE).alias("blocks")), "requests-many")
-    part = F.pmod(F.xxhash64("node", F.lit(17)), F.col("parts"))
-    block = F.pmod(F.xxhash64("node", F.lit(19)), F.col("blocks"))
-    upto = lambda c: F.sequence(F.lit(0).cast("long"), F.col(c) - 1)
-    members = (every.join(many, F.col("component") == F.col("asked")).withColumn("block", block).withColumn("part", F.explode(upto("parts"))))
-    askers = (asked.join(many, "asked").join(every, "node").withColumn("part", part).withColumn("block", F.explode(upto("blocks"))))
-    tile = [F.xxhash64("asked", "part", "block").alias("tile"), "node", "component"]
-    more = keep(_verify(members.select(*tile).union(askers.select(*tile)), sets, partitions), "links-rest")
-    if more.head() is not None:
-        comp = keep(components(comp.select(F.col("node").alias("a"), F.col("component").alias("b")).union(more)), "components")
-
-    grouped = keep(signed.join(comp, "node", "left").select("doc_id", "n", F.coalesce("component", "node").alias("g")), "grouped")
+    sets = keep(_sets(docs, clusters.select("node").join(reps, "node")), "sets")
+    spread = (F.col("salts") > 1) & _spine("c")
+    links = keep(_links(_salted(clusters, "cluster", "salts", spread), sets, partitions), "links")
+    comp = keep(components(links), "components")
+    left = keep(_outer(_in(clusters.filter("salts > 1"), comp), "cluster"), "left")
+    if left.head() is not None:
+        parts = left.groupBy("cluster").agg(F.ceil(F.count_if("outer") / TILE).alias("parts"))
+        left = left.join(parts, "cluster").withColumn("block", F.pmod(F.xxhash64("node", F.lit(11)), F.col("salts"))).withColumn("part", F.pmod(F.xxhash64("node", F.lit(17)), F.col("parts")))
+        upto = lambda c: F.explode(F.sequence(F.lit(0).cast("long"), F.col(c) - 1))
+        meet = left.withColumn("part", upto("parts")).unionByName(left.filter("outer").withColumn("block", upto("salts")))
+        more = keep(_links(meet.withColumn("tile", F.xxhash64("cluster", "block", "part")), sets, partitions), "links-more")
+        comp = keep(components(comp.select(F.col("node").alias("a"), F.col("component").alias("b")).union(more)), "components-more")
+    drop("sets", "links", "left", "clustered")
+
+    grouped = keep(signed.select("doc_id", "n", "node").join(comp, "node", "left").select("doc_id", "n", F.coalesce("component", "node").alias("g")), "grouped")
     least, _ = cut(spark, grouped.filter("g is not null").groupBy("g").agg(F.min("doc_id").alias("least")), "least")
     out, _ = cut(spark, grouped.join(least, "g", "left").select("doc_id", F.col("n").alias("n_shingles"),
                                                                F.when(F.col("g").isNull(), F.col("doc_id")).otherwise(F.col("least")).alias("component_id")), "jaccard")
-    for p in paths:
-        drop_path(spark, p)
+    drop(*paths)
     return out
 
 
