@@ -1,7 +1,6 @@
 """Layers 3-4: edge semantics and invariants on small fixtures."""
 
 import random
-from difflib import get_close_matches
 
 import pytest
 from pyspark.sql import functions as F
@@ -81,6 +80,8 @@ def test_clean_name_order_matters(spark):
     df = spark.createDataFrame([("Republic of Korea",), ("  Russian Federation ",), ("Korea, Democratic People's Republic of",)],
                                "n string")
     assert [r[0] for r in df.select(clean_name("n")).collect()] == ["korea", "russian", "korea,  "[:-2]]
+    odd = spark.createDataFrame([("\tFrance\n",), ("\u00a0 Kingdom of\u2003Spain\x1f\u3000",)], "n string")
+    assert [r[0] for r in odd.select(clean_name("n")).collect()] == ["france", "spain"]
 
 
 def test_pivot_first_takes_first_non_null_in_order(spark):
@@ -92,6 +93,7 @@ def test_pivot_first_takes_first_non_null_in_order(spark):
 
 def test_pivot_sum_fills_zero(spark):
     df = spark.createDataFrame([("k", "fast", 2.0), ("k", "fast", 3.0), ("m", "slow", 1.0)], "k string, p string, v double")
+    df = df.unionByName(spark.createDataFrame([(None, "fast", 9.0)], df.schema))     # no index value: dropped
     out = {r.k: (r.fast, r.slow) for r in pivot_sum(df, ["k"], "p", ["fast", "slow"], "v").collect()}
     assert out == {"k": (5.0, 0.0), "m": (0.0, 1.0)}
 
@@ -102,22 +104,46 @@ def test_first_per_key_first_and_last(spark):
     assert {r.iso: r.c for r in first_per_key(df, ["iso"], "seq", ["c"], last=True).collect()}["AZE"] == "Europe"
 
 
+def grams(x):
+    p = f"  {x} "
+    return {p[i:i + 3] for i in range(len(x) + 1)}
+
+
+def similarity(a, b):
+    a, b = grams(a), grams(b)
+    return len(a & b) / len(a | b)
+
+
 def test_similarity_join_equals_brute_force(spark):
     rnd = random.Random(7)
     alphabet = "abcdeklmnorst "
-    cands = sorted({"".join(rnd.choice(alphabet) for _ in range(rnd.randint(3, 14))) for _ in range(60)})
+    cands = sorted({"".join(rnd.choice(alphabet) for _ in range(rnd.randint(3, 14))) for _ in range(60)} | {""})
     queries = sorted({c[:-1] + rnd.choice(alphabet) if rnd.random() < .7 else "".join(rnd.sample(c, len(c)))
-                      for c in rnd.sample(cands, 30)} | {"zzzz", ""})
+                      for c in rnd.sample(cands, 30)} | {"zzzz", "", "a", "aaaa"})
     qd = spark.createDataFrame([(q,) for q in queries], "q string")
     cd = spark.createDataFrame([(c,) for c in cands], "c string")
-    best = {}
-    for r in similarity_join(qd, "q", cd, "c").collect():
-        cur = best.get(r.q)
-        if cur is None or (r.score, r.c) > cur:
-            best[r.q] = (r.score, r.c)
-    for q in queries:
-        m = get_close_matches(q, cands, n=1, cutoff=0.6)
-        assert (best[q][1] if q in best else None) == (m[0] if m else None), q
+    for cutoff in (0.3, 0.5, 0.8):
+        got = {(r.q, r.c): r.score for r in similarity_join(qd, "q", cd, "c", cutoff).collect()}
+        want = {(q, c): similarity(q, c) for q in queries for c in cands if similarity(q, c) >= cutoff}
+        assert got.keys() == want.keys() and all(got[k] == pytest.approx(want[k]) for k in want)
+
+
+def test_similarity_candidates_are_few_and_no_gram_is_hot(spark):
+    from voltcube.operators.resolve import candidate_pairs
+    rnd = random.Random(11)
+    parts = ["".join(rnd.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(rnd.randint(2, 4))) for _ in range(900)]
+    names = sorted({"".join(rnd.choice(parts) for _ in range(rnd.randint(2, 4))) for _ in range(2000)})
+    df = spark.createDataFrame([(n,) for n in names], "n string")
+    pairs = candidate_pairs(df, "n", df.withColumnRenamed("n", "c"), "c").count()
+    assert pairs <= 0.03 * len(names) ** 2, pairs
+    from pyspark.sql import functions as F
+    from voltcube.operators.resolve import _prefixes
+    from voltcube.functions.similarity import trigrams
+    s = df.select(F.lit(0).alias("_g"), F.col("n").alias("_q"), trigrams(F.col("n")).alias("_grams"))
+    freq = s.select("_g", F.explode("_grams").alias("gram")).groupBy("_g", "gram").agg(F.count("*").alias("_f"))
+    joined = _prefixes(s, "_q", freq, 0.5).groupBy("gram").agg((F.count("*") * F.count("*")).alias("rows"))
+    total, top = joined.agg(F.sum("rows"), F.max("rows")).first()
+    assert total <= 0.03 * len(names) ** 2 and top <= 0.01 * total, (total, top)
 
 
 def test_resolution_steps(spark):
@@ -127,10 +153,10 @@ def test_resolution_steps(spark):
     # "North Korea" scores high against "North Koreas" (fuzzy), but the alias
     # step comes first and wins: fuzzy steps only see names no exact step resolves.
     names = spark.createDataFrame([("germany",), ("RUS",), ("Kingdom of Germany",), ("Korea, Rep.",),
-                                   ("Untied Kingdom",), ("Atlantis",), ("North Korea",)], "name string")
+                                   ("Untied Kingdom",), ("Atlantis",), ("North Korea",), ("\u00a0Russia\t\n",)], "name string")
     got = {r.name: (r.iso_code, r.step) for r in resolve_names(names, cands).collect()}
     assert got == {"germany": ("DEU", 1), "RUS": ("RUS", 2), "Kingdom of Germany": ("DEU", 3),
-                   "Korea, Rep.": ("KOR", 4), "Untied Kingdom": ("GBR", 5), "North Korea": ("KOR", 4)}
+                   "Korea, Rep.": ("KOR", 4), "Untied Kingdom": ("GBR", 5), "North Korea": ("KOR", 4), "\u00a0Russia\t\n": ("RUS", 3)}
 
 
 def test_measure_agg_refuses_illegal_sums(spark):
@@ -174,11 +200,133 @@ def test_read_all_uses_the_schema_recorded_at_publish(spark):
     store = VersionedStore(spark, scratch_path(spark, "test-store-schema"))
     df = spark.createDataFrame([(1, "a")], "k int, s string").selectExpr("k", "s", "cast(k as decimal(10,2)) as d")
     v = store.publish({"t": df})
-    assert store._commits().where("version = %d" % v).first().schema_json is not None
     back = store.read_all(["t"], v)["t"]
     assert back.dtypes == df.dtypes and back.collect() == df.collect()
 
 
+def test_an_unreadable_log_is_not_an_empty_store(spark, monkeypatch):
+    store = VersionedStore(spark, scratch_path(spark, "test-store-log"))
+    df = spark.createDataFrame([(1,)], "k int")
+    assert store.current_version() is None and store.publish({"t": df}) == 1
+    from pyspark.sql.readwriter import DataFrameReader
+
+    def fail(self, *a, **k):
+        raise OSError("storage is away")
+
+    with monkeypatch.context() as m:
+        m.setattr(DataFrameReader, "json", fail)
+        with pytest.raises(OSError):
+            store.current_version()
+        with pytest.raises(OSError):
+            store.publish({"t": df.union(df)})
+    assert store.current_version() == 1 and [r.k for r in store.read("t").collect()] == [1]
+
+
+def test_two_publishers_get_two_versions(spark, monkeypatch):
+    root = scratch_path(spark, "test-store-race")
+    a, b = VersionedStore(spark, root), VersionedStore(spark, root)
+    df = spark.createDataFrame([(1,)], "k int")
+    seen = a.current_version
+    stale = iter([None])                # a looks at the log before b commits
+    monkeypatch.setattr(a, "current_version", lambda: next(stale, None) or seen())
+    real = b._commit
+    assert b.publish({"t": df}) == 1
+    assert a.publish({"t": df.union(df)}) == 2 and real is not None
+    assert len(b.read("t", 1).collect()) == 1 and len(b.read("t", 2).collect()) == 2
+
+
+def test_a_half_written_commit_is_no_version(spark):
+    from voltcube.session import file_system
+    store = VersionedStore(spark, scratch_path(spark, "test-store-half"))
+    df = spark.createDataFrame([(1,)], "k int")
+    store.publish({"t": df, "u": df})
+    fs, p = file_system(spark, f"{store.commits_path}/v00000002.json")
+    out = fs.create(p, False)
+    out.write(bytearray(b'{"version": 2, "folder": "x", "tables": 2, "table_name": "t", "rows": 1, "schema_json": "{}"}\n'))
+    out.close()
+    assert store.current_version() == 1
+
+
+def test_failed_publish_leaves_no_files(spark):
+    from voltcube.session import file_system
+    store = VersionedStore(spark, scratch_path(spark, "test-store-clean"))
+    with pytest.raises(PublishError):
+        store.publish({"t": spark.createDataFrame([(1,)], "k int")}, lambda t: {"never": t["t"]})
+    fs, p = file_system(spark, f"{store.root}/data")
+    assert len(list(fs.listStatus(p))) == 0
+
+
+def test_only_a_local_master_gets_a_folder_of_its_own(spark, monkeypatch):
+    from types import SimpleNamespace
+
+    from voltcube.session import SharedFolderError, is_local, shared_dir
+    assert is_local("local[4]") and not is_local("local-cluster[2,1,1024]") and not is_local("yarn")
+    fake = SimpleNamespace(sparkContext=SimpleNamespace(master="spark://host:7077", getCheckpointDir=lambda: None), conf=SimpleNamespace(get=lambda k, d: d))
+    with pytest.raises(SharedFolderError):
+        shared_dir(fake)
+
+
+def test_store_follows_path_files_and_parameters(spark, tmp_path):
+    import shutil
+
+    from voltcube.params import RoleParams
+    from voltcube.plans.roles import Roles
+    from voltcube.plans.stored import store_for
+    from voltcube.plans.warehouse import Warehouse
+    long = "x" * 90
+    a, b = tmp_path / "a" / long / "data", tmp_path / "b" / long / "data"
+    for d, src in ((a, "/root/testdata/sf0.001"), (b, "/root/testdata/sf0.01")):
+        d.parent.mkdir(parents=True)
+        d.symlink_to(src)
+    roots = {store_for(Roles(spark, str(d)), "warehouse").root for d in (a, b)}
+    assert len(roots) == 2
+    assert Warehouse.load(spark, str(a)).ev_market.count() != Warehouse.load(spark, str(b)).ev_market.count()
+    # Other files under the same path, and other parameters, give another store.
+    own = tmp_path / "own"
+    own.mkdir()
+    shutil.copy("/root/testdata/sf0.001/nation.parquet", own)
+    before = store_for(Roles(spark, str(own)), "warehouse").root
+    shutil.copy("/root/testdata/sf0.001/region.parquet", own)
+    assert store_for(Roles(spark, str(own)), "warehouse").root != before
+    p = RoleParams(gap_mod=2, gap_year=1997)
+    assert Roles(spark, str(a), p).ev_infrastructure.count() != Roles(spark, str(a)).ev_infrastructure.count()
+    assert store_for(Roles(spark, str(a), p), "warehouse").root != store_for(Roles(spark, str(a)), "warehouse").root
+
+
+def test_scratch_tables_go(spark):
+    from voltcube import session
+    path = scratch_path(spark, "test-scratch")
+    spark.range(3).write.parquet(path)
+    app = spark.sparkContext.applicationId
+    others = [p for p in session._SCRATCH[app] if p != path]
+    session._SCRATCH[app] = [path]
+    assert session.clear_scratch(spark) == 1 and not session.file_system(spark, path)[0].exists(session.file_system(spark, path)[1])
+    session._SCRATCH[app] = others
+
+
+def test_package_imports_from_an_archive(tmp_path):
+    import subprocess
+    import sys
+    import zipfile
+    from pathlib import Path
+
+    root = Path(__file__).resolve().parents[1]
+    with zipfile.ZipFile(tmp_path / "p.zip", "w") as z:
+        for f in (root / "voltcube").rglob("*.py"):
+            z.write(f, f.relative_to(root))
+    code = f"import sys; sys.path.insert(0, {str(tmp_path / 'p.zip')!r}); import voltcube.plans.registry as r; assert '.zip' in r.__file__; r.all_queries()"
+    subprocess.run([sys.executable, "-c", code], check=True, cwd=tmp_path)
+
+
+def test_first_of_two_names_and_pivots_do_not_depend_on_row_order(spark):
+    from voltcube.plans.model import first_of_sources
+    rows = [("B", "X1", 2000, "p"), ("A", "X1", 2001, "q"), ("A", "X1", 2000, "r")]
+    co2 = spark.createDataFrame(rows, "country string, iso_code string, year int, continent string")
+    for n in (1, 2, 3):
+        got = first_of_sources(co2.limit(0), co2.repartition(n, "year"), "iso_code", ["country", "continent"]).collect()
+        assert [tuple(r) for r in got] == [("X1", "A", "r")]
+
+
 def test_checks_find_seeded_violations(spark):
     fact = spark.createDataFrame([(1, 1), (1, 1), (9, 2), (None, 3)], "key_c int, key_y int")
     dim = spark.createDataFrame([(1,)], "key_c int")

@@ -40,6 +40,15 @@ def test_lineitem_scan_is_pruned(roles):
     assert sorted(cols) == sorted(["l_orderkey", "l_partkey", "l_quantity", "l_extendedprice", "l_tax",
                                    "l_returnflag", "l_linestatus"])
     assert len(scan_columns(p, "orders")) == 3
+    assert len(scan_columns(plan_of(roles.nation_year), "orders")) == 5
+
+
+def test_orders_reduced_before_customer_join(roles):
+    """The customer decides the nation, so counting customers needs no second distinct shuffle."""
+    p = plan_of(roles.nation_year)
+    # Customer-years, then nation-years; two more where the customer join is not a broadcast.
+    assert p.count("Exchange hashpartitioning") == (2 if "BroadcastHashJoin" in p else 4), p
+    assert "partial_count" in p[p.index("Join"):]
 
 
 def test_lineitem_reduced_before_supplier_join(roles):
@@ -67,27 +76,45 @@ ROW_PYTHON = ("BatchEvalPython",)   # row-at-a-time Python UDF; Arrow UDFs show
 
 
 def _registered():
-    import __spark_entry__ as entry
-    return entry.queries()
-
-
-@pytest.mark.parametrize("key", sorted(_registered()))
-def test_registered_plan_has_no_pairwise_join_or_row_python(spark, key):
-    """Every registered query: no join without keys (cartesian or nested
-    loop) and no per-row Python on the data path."""
-    p = plan_of(_registered()[key](spark, SF_SMALL))
-    assert not any(k in p for k in NO_PAIRS + ROW_PYTHON), p
-
-
-def test_similarity_scored_once(spark):
-    """The score filter must not be pushed below the UDF as a second
-    evaluation: one Arrow UDF node scores all candidate pairs of both steps."""
-    from voltcube.operators.resolve import resolve_names
-    names = spark.createDataFrame([("Germny",), ("france",), ("Kingdom of Spain",)], "name string")
-    cands = spark.createDataFrame([("GERMANY", "N07", 0), ("FRANCE", "N06", 1), ("SPAIN", "N20", 2)],
-                                  "cand string, iso string, seq int")
-    p = plan_of(resolve_names(names, cands))
-    assert p.count("ArrowEvalPython") == 1, p
+    from voltcube.plans.registry import all_queries
+    return all_queries()
+
+
+@pytest.fixture()
+def written_plans(monkeypatch):
+    """Plans of every table that is written while a query runs (role facts, clean tables, published tables)."""
+    from pyspark.sql import DataFrameWriter
+    plans, write = [], DataFrameWriter.parquet
+
+    def spy(self, path, *a, **k):
+        plans.append(plan_of(self._df))
+        return write(self, path, *a, **k)
+
+    monkeypatch.setattr(DataFrameWriter, "parquet", spy)
+    return plans
+
+
+def test_written_steps_have_no_pairwise_join_or_row_python(spark, written_plans, tmp_path):
+    """All steps behind the registered queries, from the raw tables on: a new input path gives new stores."""
+    new = tmp_path / "input"
+    new.symlink_to(SF_SMALL)
+    for fn in _registered().values():
+        written_plans.append(plan_of(fn(spark, str(new))))
+    assert len(written_plans) > len(_registered()) + 30
+    assert any("_grams" in p for p in written_plans)
+    for p in written_plans:
+        assert not any(k in p for k in NO_PAIRS + ROW_PYTHON + ("ArrowEvalPython",)), p
+
+
+def test_pivot_sum_shuffles_once(spark):
+    from voltcube.operators.reshape import pivot_sum
+    df = spark.createDataFrame([("k", "fast", 2.0)], "k string, p string, v double")
+    assert plan_of(pivot_sum(df, ["k"], "p", ["fast", "slow"], "v")).count("Exchange hashpartitioning") == 1
+
+
+def test_growth_window_runs_on_the_key(wh):
+    p = plan_of(olap.lag_growth(wh))
+    assert "Exchange hashpartitioning(key_c" in p and "hashpartitioning(country" not in p
 
 
 def test_hot_key_is_reduced_before_the_shuffle(spark):

@@ -107,10 +107,6 @@ def main():
                     print(f"--  {k}: {n} rows (no oracle)")
                     continue
                 sql = sqls[k]
-                if k == "gdp_class":   # the oracle text holds the sf0.01 cut-offs; they scale with sf
-                    from voltcube.params import ROLE, sf_of
-                    hi, mid = ROLE.gdp_cutoffs(sf_of(a.sf_dir))
-                    sql = sql.replace(">= 25000000", f">= {hi!r}").replace(">= 18000000", f">= {mid!r}")
                 if not compare(k, df, con, sql):
                     bad.append(k)
             except Exception as e:  # report and continue

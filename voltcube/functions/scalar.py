@@ -44,11 +44,20 @@ def gdp_class(gdp, high=P.GDP_HIGH, medium=P.GDP_MEDIUM, labels=P.GDP_LABELS) ->
              .otherwise(F.lit(labels[2])))
 
 
+# All characters that count as white space in a Unicode text.
+WHITE_SPACE = "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
+
+
+def strip(c) -> Column:
+    """White space of any kind removed from both ends."""
+    return F.trim(_col(c), F.lit(WHITE_SPACE))
+
+
 def clean_name(name, phrases=P.CLEAN_NAME_PHRASES) -> Column:
-    """Lower-case, remove each phrase in order (literal replace), trim the ends."""
+    """Lower-case, remove each phrase in order (literal replace), strip the ends."""
     low = F.lower(_col(name))
     removed = reduce(lambda acc, ph: F.replace(acc, F.lit(ph), F.lit("")), phrases, low)
-    return F.trim(removed)
+    return strip(removed)
 
 
 def nan_to_null(c) -> Column:
@@ -96,14 +105,6 @@ def ne_keep_null(c, value) -> Column:
     return ~_col(c).eqNullSafe(F.lit(value))
 
 
-def typed_null(dtype) -> Column:
-    return F.lit(None).cast(dtype)
-
-
-def year_key(ts, base_year: int) -> Column:
-    return F.year(_col(ts)).cast("int") - F.lit(base_year)
-
-
 def exact_mean(col: str, scale: int, out_scale: int = 10, count: str | None = None,
                prescaled: bool = False) -> Column:
     """Mean of a DECIMAL(p, ``scale``) column, rounded half away from zero to

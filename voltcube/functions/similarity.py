@@ -1,39 +1,19 @@
-"""String similarity as difflib computes it (Ratcliff-Obershelp ratio)."""
+"""String similarity on character 3-grams, as Spark expressions (no Python on the data path)."""
 
 from __future__ import annotations
 
-import math
-import sys
-from difflib import SequenceMatcher
-
-import pandas as pd
-from pyspark import cloudpickle
+from pyspark.sql import Column
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
-
-# Ship this module's functions by value: executors need not have the package
-# installed to run the UDF.
-cloudpickle.register_pickle_by_value(sys.modules[__name__])
-
-
-def ratio(candidate: str, query: str) -> float:
-    """``SequenceMatcher(None, candidate, query).ratio()``: the argument order
-    ``get_close_matches`` uses (possibility as ``a``, word as ``b``)."""
-    return SequenceMatcher(None, candidate, query).ratio()
-
 
-@F.pandas_udf(T.DoubleType())
-def similarity_ratio(candidate: pd.Series, query: pd.Series) -> pd.Series:
-    """Arrow-batched ratio for candidate pairs (already reduced by prefix filtering)."""
-    return pd.Series([ratio(c, q) if c is not None and q is not None else None
-                      for c, q in zip(candidate, query)], dtype="float64")
 
+def trigrams(c) -> Column:
+    """Distinct 3-grams of a string with two blanks in front and one behind
+    (the start of a name counts more than its end). An empty string has one."""
+    padded = F.concat(F.lit("  "), c, F.lit(" "))
+    return F.array_distinct(F.transform(F.sequence(F.lit(1), F.length(c) + 1), lambda i: F.substring(padded, i, F.lit(3))))
 
-def min_overlap(length: int, cutoff: float) -> int:
-    """Smallest character-multiset overlap any partner of a string of
-    ``length`` characters needs for ``ratio >= cutoff``.
 
-    ratio = 2M / (la + lb) and M <= min(la, lb) give lb >= c*la / (2 - c) and
-    so M >= c*la / (2 - c). M never exceeds the multiset overlap.
-    """
-    return max(1, math.ceil(cutoff * length / (2 - cutoff) - 1e-9))
+def similarity(a: Column, b: Column) -> Column:
+    """Jaccard similarity of two 3-gram arrays: shared / all distinct grams."""
+    both = F.size(F.array_intersect(a, b))
+    return both / (F.size(a) + F.size(b) - both)

@@ -10,6 +10,7 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 def duplicate_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -50,7 +51,44 @@ def max_length(c: str, n: int) -> Column:
 
 
 def out_of_range(c: str, bound: float) -> Column:
-    return F.abs(F.col(c)) > F.lit(bound)
+    return F.abs(F.col(c).cast("double")) > F.lit(bound)
+
+
+def column_rules(schema: T.StructType, lengths: Mapping[str, int]) -> dict[str, Column]:
+    """NOT NULL, text length and decimal range of every column, as violation conditions."""
+    rules = {}
+    for f in schema.fields:
+        if not f.nullable:
+            rules[f"{f.name}_not_null"] = not_null(f.name)
+        if f.name in lengths:
+            rules[f"{f.name}_length"] = max_length(f.name, lengths[f.name])
+        if isinstance(f.dataType, T.DecimalType):
+            rules[f"{f.name}_range"] = out_of_range(f.name, 10 ** (f.dataType.precision - f.dataType.scale) - 10 ** -f.dataType.scale)
+    return rules
+
+
+def constraint_counts(tables: Mapping[str, DataFrame], constraints) -> DataFrame:
+    """(table_name, rule, violations) of every constraint of every table:
+    column rules in one pass per table, one row per key, unique column and
+    foreign key. ``constraints``: name -> (schema, primary key, unique columns,
+    foreign keys {column: table}) plus text lengths."""
+    specs, lengths = constraints
+    parts = []
+
+    def counted(name, rule, violations):
+        return violations.groupBy().agg(F.count(F.lit(1)).cast("bigint").alias("violations")).select(
+            F.lit(name).alias("table_name"), F.lit(rule).alias("rule"), "violations")
+
+    for name, (schema, pk, unique, fks) in specs.items():
+        t = tables[name]
+        parts.append(violation_counts(t, name, column_rules(schema, lengths)))
+        parts.append(counted(name, "primary_key", duplicate_keys(t, pk)))
+        parts += [counted(name, f"{u}_unique", duplicate_keys(t.where(F.col(u).isNotNull()), [u])) for u in unique]
+        parts += [counted(name, f"{c}_references_{dim}", orphan_rows(t, tables[dim], [c])) for c, dim in fks.items()]
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
 
 
 def profile(df: DataFrame, table: str, key: str, year: str) -> DataFrame:

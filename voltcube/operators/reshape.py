@@ -35,11 +35,13 @@ def pivot_first(df: DataFrame, index: Sequence[str], pivot_col: str, labels: Seq
 
 def pivot_sum(df: DataFrame, index: Sequence[str], pivot_col: str, labels: Sequence[str],
               value_col: str, names: Sequence[str] | None = None, fill: float | None = 0.0) -> DataFrame:
-    """Long to wide with ``sum`` per cell; the value list is explicit (no
-    extra job to discover it) and empty cells become ``fill``."""
+    """Long to wide with ``sum`` per cell: one aggregate over the index (one
+    shuffle, partial per task) with a conditional sum per label; empty cells
+    become ``fill``. Groups with a NULL index value are dropped."""
     names = list(names) if names else [normalise_label(x) for x in labels]
-    g = df.groupBy(*index).pivot(pivot_col, list(labels)).agg(F.sum(value_col))
-    g = g.withColumnsRenamed(dict(zip(labels, names)))
+    aggs = [F.sum(F.when(F.col(pivot_col) == F.lit(lbl), F.col(value_col))).alias(n) for lbl, n in zip(labels, names)]
+    keep = reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in index])
+    g = df.where(keep).groupBy(*index).agg(*aggs)
     return g.fillna(fill, subset=names) if fill is not None else g
 
 

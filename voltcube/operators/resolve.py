@@ -12,11 +12,11 @@ Steps, first success wins (a name is resolved by the lowest step that matches):
 Within steps 1-4 several candidates can qualify: the first in candidate order
 (``seq``) wins. In step 5 candidates sharing a cleaned name collapse to the
 last one; in step 6 to the first one. Ties on the score go to the larger
-matched string, as ``difflib.get_close_matches`` orders them.
+matched string.
 
-Steps 5-6 are a similarity join. Pairs are generated by exact prefix
-filtering on character multisets, so no name is compared with every
-candidate, and no qualifying pair is lost.
+Steps 5-6 are a set similarity join on character 3-grams. Pairs are generated
+by exact prefix filtering (rare grams first), so no name is compared with every
+candidate, and no qualifying pair is lost. All of it is built-in expressions.
 """
 
 from __future__ import annotations
@@ -26,60 +26,54 @@ from pyspark.sql import functions as F
 
 from voltcube import params as P
 from voltcube.functions.scalar import clean_name
-from voltcube.functions.similarity import similarity_ratio
+from voltcube.functions.similarity import similarity, trigrams
 from voltcube.operators.joins import first_per_key
 
 STEP_NAMES = {1: "exact", 2: "iso", 3: "cleaned", 4: "alias", 5: "fuzzy_cleaned", 6: "fuzzy_raw"}
 
 
-def _tokens(s):
-    """Character multiset as tokens ``char + occurrence number``."""
-    chars = F.regexp_extract_all(s, F.lit("(?s)."), 0)
-    return F.transform(chars, lambda c, i: F.concat(
-        c, F.lit("\u0001"), F.size(F.filter(F.slice(chars, 1, i), lambda x: x == c)).cast("string")))
-
-
 def _prefixes(strings: DataFrame, col: str, freq: DataFrame, cutoff: float) -> DataFrame:
-    """Prefix tokens of each (group, string) under the (frequency, token) order.
-
-    A string of length L needs at least a = ceil(c*L/(2-c)) common tokens with
-    any partner scoring >= c, so its first L - a + 1 tokens are enough."""
-    c = cutoff
-    length = F.length(col)
-    alpha = F.greatest(F.lit(1), F.ceil(F.lit(c) * length / F.lit(2 - c) - F.lit(1e-9)))
-    t = strings.select("_g", col, (length - alpha + 1).alias("_plen"), F.explode(_tokens(F.col(col))).alias("token"))
-    t = t.join(freq, ["_g", "token"], "left").withColumn("_f", F.coalesce("_f", F.lit(0)))
-    w = Window.partitionBy("_g", col).orderBy("_f", "token")
-    return (t.withColumn("_pos", F.row_number().over(w))
-             .where(F.col("_pos") <= F.col("_plen")).select("_g", col, "token"))
+    """(group, gram, string, grams, position) of each string's prefix, rare grams first.
+
+    A set of n grams shares at least ceil(cutoff * n) with any partner scoring
+    >= cutoff, so two such sets meet in their first n - ceil(cutoff * n) + 1."""
+    n = F.size("_grams")
+    length = n - F.ceil(F.lit(cutoff) * n - F.lit(1e-9)).cast("int") + 1
+    t = strings.select("_g", col, "_grams", length.alias("_plen"), F.explode("_grams").alias("gram"))
+    t = t.join(freq, ["_g", "gram"], "left").withColumn("_f", F.coalesce("_f", F.lit(0)))
+    w = Window.partitionBy("_g", col).orderBy("_f", "gram")
+    return t.withColumn("_pos", F.row_number().over(w)).where(F.col("_pos") <= F.col("_plen")).select("_g", "gram", col, "_grams", "_pos")
+
+
+def candidate_pairs(queries: DataFrame, q: str, cands: DataFrame, c: str, cutoff: float = P.FUZZY_CUTOFF,
+                    group: str | None = None) -> DataFrame:
+    """Pairs (_g, _q, _c and their grams) that share a prefix gram and whose sizes and
+    positions allow the cutoff. A superset of all pairs that reach it."""
+    g = F.col(group) if group else F.lit(0)
+    grams = trigrams(F.col("_s"))
+    qs = queries.select(g.alias("_g"), F.col(q).alias("_s")).where(F.col("_s").isNotNull()).distinct().select("_g", F.col("_s").alias("_q"), grams.alias("_grams"))
+    cs = cands.select(g.alias("_g"), F.col(c).alias("_s")).where(F.col("_s").isNotNull()).distinct().select("_g", F.col("_s").alias("_c"), grams.alias("_grams"))
+    freq = cs.select("_g", F.explode("_grams").alias("gram")).groupBy("_g", "gram").agg(F.count(F.lit(1)).alias("_f"))
+    qp = _prefixes(qs, "_q", freq, cutoff).withColumnsRenamed({"_grams": "_qg", "_pos": "_qp"})
+    cp = _prefixes(cs, "_c", freq, cutoff).withColumnsRenamed({"_grams": "_cg", "_pos": "_cp"})
+    a, b = F.size("_qg"), F.size("_cg")
+    # At this shared gram at most so many can be common: it and what is left of the shorter rest.
+    most = F.lit(1) + F.least(a - F.col("_qp"), b - F.col("_cp"))
+    first = qp.join(cp, ["_g", "gram"]).where((F.least(a, b) >= F.lit(cutoff) * F.greatest(a, b) - 1e-9))
+    # The first shared gram of a pair has the smallest positions; only there the bound holds.
+    first = first.groupBy("_g", "_q", "_c").agg(F.max(most).alias("_most"), F.first("_qg").alias("_qg"), F.first("_cg").alias("_cg"))
+    need = F.lit(cutoff) / F.lit(1 + cutoff) * (F.size("_qg") + F.size("_cg"))
+    return first.where(F.col("_most") >= need - 1e-9).drop("_most")
 
 
 def similarity_join(queries: DataFrame, q: str, cands: DataFrame, c: str,
                     cutoff: float = P.FUZZY_CUTOFF, group: str | None = None) -> DataFrame:
-    """All (query, candidate, score) with ``ratio(candidate, query) >= cutoff``.
+    """All (query, candidate, score) with 3-gram similarity >= cutoff.
 
     Input frames hold strings in columns ``q`` and ``c``; with ``group`` only
     strings of the same group are compared (several matchings in one pass)."""
-    g = F.col(group) if group else F.lit(0)
-    qs = queries.select(g.alias("_g"), F.col(q).alias("_q")).where(F.col("_q").isNotNull()).distinct()
-    cs = cands.select(g.alias("_g"), F.col(c).alias("_c")).where(F.col("_c").isNotNull()).distinct()
-    freq = (cs.select("_g", F.explode(_tokens(F.col("_c"))).alias("token"))
-              .groupBy("_g", "token").agg(F.count(F.lit(1)).alias("_f")))
-    qp = _prefixes(qs, "_q", freq, cutoff)
-    cp = _prefixes(cs, "_c", freq, cutoff)
-    lo, hi = cutoff / (2 - cutoff), (2 - cutoff) / cutoff
-    pairs = (qp.join(cp, ["_g", "token"]).select("_g", "_q", "_c").distinct()
-               .where((F.length("_c") >= F.length("_q") * lo - 1e-9) & (F.length("_c") <= F.length("_q") * hi + 1e-9)))
-    # Two empty strings score 1.0 and share no token.
-    empty = (qs.where(F.length("_q") == 0)
-               .join(cs.where(F.length("_c") == 0), (qs._g == cs._g) & (F.col("_q") == F.col("_c")))
-               .select(qs._g, "_q", "_c"))
-    # Non-deterministic for the optimizer: the score filter then stays above the
-    # UDF instead of being pushed below it as a second evaluation, so each
-    # candidate pair is scored once.
-    score = similarity_ratio.asNondeterministic()
-    scored = pairs.unionByName(empty).withColumn("score", score(F.col("_c"), F.col("_q")))
-    out = scored.where(F.col("score") >= cutoff)
+    pairs = candidate_pairs(queries, q, cands, c, cutoff, group)
+    out = pairs.withColumn("score", similarity(F.col("_qg"), F.col("_cg"))).where(F.col("score") >= cutoff)
     cols = [F.col("_q").alias(q), F.col("_c").alias(c), "score"]
     return out.select(F.col("_g").alias(group), *cols) if group else out.select(*cols)
 

@@ -7,7 +7,6 @@ the role tables derived from the TPC-H-shaped test data.
 
 from __future__ import annotations
 
-import re
 from dataclasses import dataclass, field
 
 # ---------------------------------------------------------------------------
@@ -26,8 +25,6 @@ CLEAN_NAME_PHRASES = (
 # whose name contains the second.
 NAME_ALIASES = (("korea", "south korea"),)
 
-# Minimum similarity ratio (Ratcliff-Obershelp, as difflib computes it).
-FUZZY_CUTOFF = 0.6
 
 # Aggregate regions dropped from the long EV table.
 AGGREGATE_REGIONS = ("World", "Europe", "EU27", "Rest of the world")
@@ -104,7 +101,10 @@ class RoleParams:
     renewable_null_mod: int = 6            # energy_primary NULL renewable where (c + y) % 6 == 0
     fossil_null_mod: int = 5               # energy_primary NULL fossil where (c + y) % 5 == 0
     region_iso: str = "N00"
-    macro_years: tuple = (1995, 1996)
+    missing_nation: int = 22               # not in the EV table; two spellings in the CO2 table
+    energy_only_nation: int = 23           # in the energy table alone: its rows find no dimension row
+    macro_duplicate_nation: int = 3        # two rows of each series in the wide table
+    macro_years: tuple = (1995, 1996, 1997, 1998, 1999, 2000, 2001)
     timing_null_mod: int = 97
     # Role year bands (same shape as the source bands, shifted to role years).
     half_decade_bands: tuple = field(default=(((1996, "1995-1996"), (1998, "1997-1998")), "1999-2001"))
@@ -112,15 +112,16 @@ class RoleParams:
     # The historical window of the role data (the projection year lies outside).
     study_years: tuple = (1995, 2000)
 
-    def gdp_cutoffs(self, sf: float) -> tuple[float, float]:
-        """GDP class cut-offs scaled to the data size (25e6 / 18e6 at sf0.01)."""
-        return 2_500_000_000 * sf, 1_800_000_000 * sf
+    # GDP class cut-offs of the role data (inclusive lower bounds of High and Medium).
+    gdp_high: float = 25_000_000.0
+    gdp_medium: float = 18_000_000.0
 
 
 ROLE = RoleParams()
 
+# Parameters of the name match: shared share of character 3-grams. Not the
+# source project's value, whose ratio works on whole pairs of strings.
+FUZZY_CUTOFF = 0.5
 
-def sf_of(sf_dir: str, default: float = 0.01) -> float:
-    """Scale factor from a directory name such as ``.../sf0.01``."""
-    m = re.search(r"sf([0-9]*\.?[0-9]+)", sf_dir or "")
-    return float(m.group(1)) if m else default
+# Changes whenever the code gives stored tables other contents.
+CODE_VERSION = "2"

@@ -1,16 +1,18 @@
 """Cleaning flows: long EV table -> market and infrastructure tables, World
 Bank unpivot, CO2 and energy tables with a second source patched in.
 
-Everything is a lazy DataFrame over the role tables. Name resolution works on
-the distinct names only and is joined back; pivots pass their value lists
-explicitly; lookups are left joins on key-unique sides.
+Name resolution works on the distinct names only and is joined back; pivots
+pass their value lists explicitly; lookups are left joins on key-unique sides.
+The filtered and resolved tables that every flow reads, and the four clean
+tables, are written once per input version through a ``VersionedStore``
+(``Cleaning.load``); all cleaning keys and the model read them from there.
 """
 
 from __future__ import annotations
 
 from functools import cached_property
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from voltcube import params as P
@@ -18,12 +20,16 @@ from voltcube.functions.scalar import band, ieee_divide, nan_to_null, ne_keep_nu
 from voltcube.operators.joins import first_per_key, lookup
 from voltcube.operators.reshape import columns_matching, pivot_first, pivot_sum, unpivot_columns
 from voltcube.operators.resolve import STEP_NAMES, resolve_exact, resolve_names
-from voltcube.plans.roles import Roles
+from voltcube.plans.roles import ENERGY_MEASURES, Roles
+from voltcube.plans.stored import read_or_publish
 from voltcube.session import materialize
 
 # Input order of the long EV table (unique per row): "first" rules follow it.
 RAW_EV_ORDER = ("region", "year", "mode", "powertrain", "parameter", "dup")
 
+# The year a pivoted row belongs to is an index, so within it rows follow their sequence.
+SOURCE_ORDER = "seq"
+
 
 def step_name(step_col: str = "step"):
     expr = None
@@ -33,19 +39,36 @@ def step_name(step_col: str = "step"):
 
 
 class Cleaning:
+    """The flows, lazily. ``Cleaning.load`` gives the stored tables instead."""
+
+    #: What ``load`` stores: shared intermediates, then the four clean tables.
+    TABLES = ("name_map", "ev_filtered", "resolved_names", "clean_long", "wb", "market_clean", "infra_clean", "co2_clean", "energy_clean")
+
     def __init__(self, roles: Roles):
         self.r = roles
         self.p = roles.p
 
-    def _cut(self, df: DataFrame) -> DataFrame:
-        """Write ``df`` to the shared folder and continue from the files.
+    @classmethod
+    def load(cls, spark: SparkSession, sf_dir: str, roles: Roles | None = None) -> "Cleaning":
+        """Flows whose tables are read from the store; built and published
+        first where this input version has none."""
+        c = cls(roles or Roles(spark, sf_dir))
 
-        Used on small, reused intermediates (distinct names, candidates,
-        resolved names) and on the cleaned long table every later flow reads,
-        so their plans do not re-derive the whole input lineage per reference.
-        """
-        return materialize(self.r.spark, df, "clean")
+        def build() -> dict[str, DataFrame]:
+            made = cls(c.r)
+            made._written = True
+            return {t: getattr(made, t) for t in cls.TABLES}
 
+        for name, df in read_or_publish(c.r, "clean", cls.TABLES, build).items():
+            c.__dict__[name] = df           # takes the place of the cached property
+        return c
+
+    _written = False
+
+    def _cut(self, df: DataFrame, name: str) -> DataFrame:
+        """While the tables are built: written to the shared folder, so that the
+        flows that share a table do not derive it again."""
+        return materialize(self.r.spark, df, name) if self._written else df
     def _bands(self, df: DataFrame) -> DataFrame:
         return df.withColumns({"half_decade": band("year", self.p.half_decade_bands),
                                "pandemic_period": band("year", self.p.pandemic_bands)})
@@ -58,19 +81,17 @@ class Cleaning:
         appearance (CO2 names first), the order name lookups iterate in."""
         r = self.r
         co2 = r.raw_co2.select(F.col("country").alias("name"), "iso_code").where(F.col("iso_code").isNotNull())
-        energy = (r.country_energy.select("key_c").distinct()
-                    .join(F.broadcast(r.country_dim), "key_c")
-                    .select(F.col("country").alias("name"), "iso_code", "key_c"))
-        co2 = co2.join(F.broadcast(r.country_dim.select(F.col("country").alias("name"), "key_c")), "name")
-        u = (co2.select("name", "iso_code", F.struct(F.lit(0).alias("src"), "key_c").alias("pos"))
-                .unionByName(energy.select("name", "iso_code", F.struct(F.lit(1).alias("src"), "key_c").alias("pos"))))
+        energy = r.energy_primary.select(F.col("country").alias("name"), "iso_code").where(F.col("iso_code").isNotNull())
+        # Both files are sorted by country name.
+        pos = lambda src: F.struct(F.lit(src).alias("src"), F.col("name").alias("at"))
+        u = co2.select("name", "iso_code", pos(0).alias("pos")).unionByName(energy.select("name", "iso_code", pos(1).alias("pos")))
         last = first_per_key(u, ["name"], "pos", ["iso_code"], last=True)
         first = u.groupBy("name").agg(F.min("pos").alias("seq"))
-        return last.join(first, "name")
+        return self._cut(last.join(first, "name"), "names")
 
     @cached_property
     def candidates(self) -> DataFrame:
-        return self._cut(self.name_map.select(F.col("name").alias("cand"), F.col("iso_code").alias("iso"), "seq"))
+        return self.name_map.select(F.col("name").alias("cand"), F.col("iso_code").alias("iso"), "seq")
 
     @cached_property
     def continent_map(self) -> DataFrame:
@@ -84,16 +105,16 @@ class Cleaning:
         lo, hi = self.p.study_years
         raw = self.r.raw_ev
         return self._cut(raw.where((F.col("category") == P.HISTORICAL_CATEGORY) & F.col("year").between(lo, hi))
-                            .where(not_in_keep_null("region", P.AGGREGATE_REGIONS)))
+                            .where(not_in_keep_null("region", P.AGGREGATE_REGIONS)), "ev-filtered")
 
     @cached_property
     def raw_names(self) -> DataFrame:
         """Distinct names to resolve (one row per spelling, not per data row)."""
-        return self._cut(self.ev_filtered.select(F.col("region").alias("name")).distinct())
+        return self.ev_filtered.select(F.col("region").alias("name")).distinct()
 
     @cached_property
     def resolved_names(self) -> DataFrame:
-        return self._cut(resolve_names(self.raw_names, self.candidates))
+        return self._cut(resolve_names(self.raw_names, self.candidates), "resolved")
 
     @cached_property
     def exact_names(self) -> DataFrame:
@@ -105,7 +126,7 @@ class Cleaning:
         j = self.ev_filtered.join(res, "region")   # unresolved names drop out
         j = j.where(not_in_keep_null("parameter", P.UNWANTED_PARAMETERS))
         return self._cut(j.select("region", "country", "iso_code", "year", "mode", "powertrain", "parameter",
-                                  "dup", "value"))
+                                  "dup", "value"), "clean-long")
 
     # -- F4: split -----------------------------------------------------------
     @cached_property
@@ -121,26 +142,30 @@ class Cleaning:
     def wb_long(self) -> DataFrame:
         rm = self.r.raw_macro.where(F.col("iso_code").isNotNull())
         year_cols = columns_matching(rm, "YR")
-        long = unpivot_columns(rm, ["iso_code", "series_code"], year_cols, "year_str", "value_str")
-        return long.select("iso_code", "series_code",
+        long = unpivot_columns(rm, ["iso_code", "series_code", SOURCE_ORDER], year_cols, "year_str", "value_str")
+        return long.select("iso_code", "series_code", SOURCE_ORDER,
                            F.split(F.trim("year_str"), r"\s+")[0].cast("int").alias("year"),
                            F.col("value_str").try_cast("double").alias("value"))
 
     @cached_property
     def wb(self) -> DataFrame:
-        return pivot_first(self.wb_long, ["iso_code", "year"], "series_code",
-                           [P.SERIES_POPULATION, P.SERIES_GDP], "value", F.lit(0),
-                           ["population_wb", "gdp_wb"])
+        return self._cut(pivot_first(self.wb_long, ["iso_code", "year"], "series_code",
+                                     [P.SERIES_POPULATION, P.SERIES_GDP], "value", SOURCE_ORDER,
+                                     ["population_wb", "gdp_wb"]), "wb")
 
-    # -- C2: infrastructure ----------------------------------------------------
+    # -- C2 + C9: infrastructure ------------------------------------------------
     @cached_property
     def infra_clean(self) -> DataFrame:
         w = pivot_sum(self.infra_long, ["country", "iso_code", "year"], "powertrain",
                       [P.FAST_LABEL, P.SLOW_LABEL], "value", ["fast_charging_points", "slow_charging_points"])
         w = w.withColumn("ev_charging_points", F.col("fast_charging_points") + F.col("slow_charging_points"))
         w = lookup(self._bands(w), self.continent_map, ["iso_code"])
+        # C9: chargers per EV; a year without stock has none.
+        stock = self.market_clean.groupBy("iso_code", "year").agg(F.sum("ev_stock").alias("total_stock"))
+        w = lookup(w, stock, ["iso_code", "year"])
+        w = w.withColumn("charging_points_per_ev", zero_if_invalid(ieee_divide("ev_charging_points", "total_stock")))
         return w.select("country", "iso_code", "continent", "continent_code", "year", "half_decade", "pandemic_period",
-                        "ev_charging_points", "fast_charging_points", "slow_charging_points")
+                        "ev_charging_points", "fast_charging_points", "slow_charging_points", "charging_points_per_ev")
 
     # -- C3 + C6: market ----------------------------------------------------
     @cached_property
@@ -153,25 +178,17 @@ class Cleaning:
         # C6: population and GDP from the second source only, no fallback.
         w = lookup(w, self.wb.select("iso_code", "year", F.col("population_wb").alias("population"),
                                      F.col("gdp_wb").alias("gdp")), ["iso_code", "year"])
-        return w.select("country", "iso_code", "continent", "continent_code", "year", "half_decade", "pandemic_period",
-                        "vehicle_type", "powertrain", *names, "population", "gdp")
-
-    # -- C9 ------------------------------------------------------------------
-    @cached_property
-    def charger_ratio(self) -> DataFrame:
-        stock = self.market_clean.groupBy("iso_code", "year").agg(F.sum("ev_stock").alias("total_stock"))
-        j = self.infra_clean.join(stock, ["iso_code", "year"], "left")
-        return j.withColumn("charging_points_per_ev",
-                            zero_if_invalid(ieee_divide("ev_charging_points", "total_stock")))
+        return self._cut(w.select("country", "iso_code", "continent", "continent_code", "year", "half_decade", "pandemic_period",
+                                  "vehicle_type", "powertrain", *names, "population", "gdp"), "market")
 
     # -- CO2 table (P1, P2, P5, F1, F3, C5, C7) ------------------------------
     @cached_property
     def co2_selected(self) -> DataFrame:
         lo, hi = self.p.study_years
-        co2 = self.r.raw_co2.select("country", "year", "iso_code", "population", "gdp", "co2", "co2_per_capita")
-        co2 = co2.dropna(subset=["iso_code"]).where(F.col("year").between(lo, hi))
-        co2 = co2.withColumnsRenamed({"co2": "co2_emissions"})
-        return co2.select("country", "iso_code", "year", "population", "gdp", "co2_emissions", "co2_per_capita")
+        co2 = self.r.raw_co2.dropna(subset=["iso_code"]).where(F.col("year").between(lo, hi))
+        co2 = co2.withColumnsRenamed({"co2": "co2_emissions", "primary_energy_consumption": "energy_consumption"})
+        return co2.select("country", "iso_code", "year", "population", "gdp", "co2_emissions", "co2_per_capita", "co2_per_gdp",
+                          "oil_co2", "oil_co2_per_capita", "coal_co2", "coal_co2_per_capita", "co2_per_unit_energy", "energy_consumption")
 
     @cached_property
     def co2_override(self) -> DataFrame:
@@ -188,26 +205,32 @@ class Cleaning:
         c = c.withColumns({
             "co2_per_capita": nan_to_null(ieee_divide(F.col("co2_emissions") * 1e6, F.col("population"))),
             "co2_per_gdp": nan_to_null(ieee_divide(F.col("co2_emissions") * 1e9, F.col("gdp"))),
+            "oil_co2_per_capita": nan_to_null(ieee_divide(F.col("oil_co2") * 1e6, F.col("population"))),
+            "coal_co2_per_capita": nan_to_null(ieee_divide(F.col("coal_co2") * 1e6, F.col("population"))),
         })
-        return lookup(self._bands(c), self.continent_map, ["iso_code"])
+        c = lookup(self._bands(c), self.continent_map, ["iso_code"])
+        return c.select("country", "iso_code", "continent", "continent_code", "year", "half_decade", "pandemic_period", "population", "gdp",
+                        "co2_emissions", "co2_per_capita", "co2_per_gdp", "oil_co2", "oil_co2_per_capita", "coal_co2", "coal_co2_per_capita",
+                        "co2_per_unit_energy", "energy_consumption")
 
-    # -- Energy table (C4) ------------------------------------------------------
+    # -- Energy table (C4, C5) ------------------------------------------------
     @cached_property
     def generation_secondary(self) -> DataFrame:
         g = self.r.raw_generation.where(F.col("area_type") == P.COUNTRY_AREA_TYPE)
         labels = [s for s, _ in P.GENERATION_SOURCES]
         names = [f"{c}_secondary" for _, c in P.GENERATION_SOURCES]
-        return pivot_first(g, ["iso_code", "year"], "source", labels, "generation", F.lit(0), names)
+        return pivot_first(g, ["iso_code", "year"], "source", labels, "generation", SOURCE_ORDER, names)
 
     @cached_property
     def energy_clean(self) -> DataFrame:
-        """C4: the table's own value wins; the second source fills its NULLs."""
-        e = self.r.energy_primary
-        e = e.select("iso_code", "year", *[F.col(c).cast("double").alias(c) for c in e.columns
-                                           if c not in ("iso_code", "year")])
+        """C4: the table's own value wins; the second source fills its NULLs in
+        all twelve patched columns. C5: population and GDP as in the CO2 table."""
+        lo, hi = self.p.study_years
+        e = self.r.energy_primary.where(F.col("iso_code").isNotNull() & F.col("year").between(lo, hi))
+        e = e.select("country", "iso_code", "year", *[F.col(c).cast("double").alias(c) for c in ("population", "gdp", *ENERGY_MEASURES)])
         j = lookup(e, self.generation_secondary, ["iso_code", "year"])
-        for _, c in P.GENERATION_SOURCES:
-            if c in e.columns:
-                j = j.withColumn(c, F.coalesce(F.col(c), F.col(f"{c}_secondary")))
-        j = j.drop(*[f"{c}_secondary" for _, c in P.GENERATION_SOURCES])
-        return lookup(self._bands(j), self.continent_map, ["iso_code"])
+        j = j.withColumns({c: F.coalesce(F.col(c), F.col(f"{c}_secondary")) for _, c in P.GENERATION_SOURCES})
+        j = lookup(j.drop(*[f"{c}_secondary" for _, c in P.GENERATION_SOURCES]), self.wb, ["iso_code", "year"])
+        j = j.withColumns({"population": F.coalesce("population_wb", "population"), "gdp": F.coalesce("gdp_wb", "gdp")})
+        j = lookup(self._bands(j.drop("population_wb", "gdp_wb")), self.continent_map, ["iso_code"])
+        return j.select("country", "iso_code", "continent", "continent_code", "year", "half_decade", "pandemic_period", "population", "gdp", *ENERGY_MEASURES)

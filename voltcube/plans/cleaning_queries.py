@@ -9,12 +9,15 @@ from voltcube import params as P
 from voltcube.functions.scalar import band, clean_name as clean_name_expr, ieee_divide, nan_to_null, to_decimal, to_int_rounded
 from voltcube.plans.cleaning import Cleaning, step_name
 from voltcube.plans.olap import r6
-from voltcube.plans.roles import Roles
+from voltcube.plans.roles import ENERGY_MEASURES, Roles
 from voltcube.plans.warehouse import Warehouse
+from voltcube.session import scratch_path
+from voltcube.sources.files import read_csv, write_csv
 
 
 def _cleaning(spark: SparkSession, sf_dir: str) -> Cleaning:
-    return Cleaning(Roles(spark, sf_dir))
+    """The stored clean tables (one version per input, shared by all keys)."""
+    return Cleaning.load(spark, sf_dir)
 
 
 def _y(c="year"):
@@ -65,39 +68,40 @@ def pivot_sum(spark, sf_dir) -> DataFrame:
 
 def unpivot_years(spark, sf_dir) -> DataFrame:
     w = _cleaning(spark, sf_dir).wb_long
-    return w.select("iso_code", "series_code", _y(), r6("value").alias("value"))
+    return w.select("iso_code", "series_code", F.col("seq").cast("bigint").alias("seq"), _y(), r6("value").alias("value"))
 
 
 def gap_patch(spark, sf_dir) -> DataFrame:
     e = _cleaning(spark, sf_dir).energy_clean
-    nums = ["electricity_generation", "renewable_generation", "fossil_generation"]
-    return e.select("iso_code", _y(), *[r6(c).alias(c) for c in nums])
+    return e.select("iso_code", _y(), *[r6(c).alias(c) for c in ("population", "gdp", *ENERGY_MEASURES)])
+
+
+CO2_MEASURES = ("population", "gdp", "co2_emissions", "co2_per_capita", "co2_per_gdp", "oil_co2", "oil_co2_per_capita", "coal_co2",
+                "coal_co2_per_capita", "co2_per_unit_energy", "energy_consumption")
 
 
 def clean_macro(spark, sf_dir) -> DataFrame:
     c = _cleaning(spark, sf_dir).co2_selected
-    nums = ["population", "gdp", "co2_emissions", "co2_per_capita"]
-    return c.select("country", "iso_code", _y(), *[r6(x).alias(x) for x in nums])
+    return c.select("country", "iso_code", _y(), *[r6(x).alias(x) for x in CO2_MEASURES])
 
 
 def source_override(spark, sf_dir) -> DataFrame:
     c = _cleaning(spark, sf_dir).co2_override
-    return c.select("iso_code", _y(), r6("population").alias("population"), r6("gdp").alias("gdp"))
+    return c.select("country", "iso_code", _y(), r6("population").alias("population"), r6("gdp").alias("gdp"))
 
 
 def derived_ratios(spark, sf_dir) -> DataFrame:
     c = _cleaning(spark, sf_dir).co2_clean
-    return c.select("iso_code", _y(), r6("co2_per_capita").alias("co2_per_capita"),
-                    r6("co2_per_gdp").alias("co2_per_gdp"))
+    return c.select("country", "iso_code", _y(), *[r6(x).alias(x) for x in ("co2_per_capita", "co2_per_gdp", "oil_co2_per_capita", "coal_co2_per_capita")])
 
 
 def lookup_attr(spark, sf_dir) -> DataFrame:
     c = _cleaning(spark, sf_dir).co2_clean
-    return c.select("iso_code", _y(), "continent", "continent_code", "half_decade", "pandemic_period")
+    return c.select("country", "iso_code", _y(), "continent", "continent_code", "half_decade", "pandemic_period")
 
 
 def charger_ratio(spark, sf_dir) -> DataFrame:
-    c = _cleaning(spark, sf_dir).charger_ratio
+    c = _cleaning(spark, sf_dir).infra_clean
     return c.select("iso_code", _y(), r6("ev_charging_points").alias("ev_charging_points"),
                     r6("charging_points_per_ev").alias("charging_points_per_ev"))
 
@@ -115,11 +119,11 @@ def null_hygiene(spark, sf_dir) -> DataFrame:
 
 # Warehouse type of each EV parameter (DDL of the market fact).
 PARAMETER_TYPES = {
-    "EV sales": ("int",),
+    "EV sales": ("bigint",),
     "EV stock": ("decimal", 15, 1),
     "EV stock share": ("decimal", 10, 6),
     "Electricity demand": ("decimal", 10, 2),
-    "Oil displacement Mbd": ("int",),
+    "Oil displacement Mbd": ("bigint",),
 }
 
 
@@ -129,7 +133,7 @@ def quantize_types(spark, sf_dir) -> DataFrame:
     raw = _cleaning(spark, sf_dir).ev_filtered
     expr = None
     for param, t in PARAMETER_TYPES.items():
-        q = to_int_rounded("value") if t[0] == "int" else to_decimal("value", t[1], t[2])
+        q = to_int_rounded("value", "bigint") if t[0] == "bigint" else to_decimal("value", t[1], t[2])
         cond = F.col("parameter") == param
         expr = F.when(cond, q.cast("double")) if expr is None else expr.when(cond, q.cast("double"))
     return raw.select("region", _y(), "mode", "powertrain", "parameter", r6(expr).alias("value"))
@@ -163,18 +167,40 @@ def sort_nulls(spark, sf_dir) -> DataFrame:
     position within the year proves the order; it is numbered per year, so no
     single task sees the whole table."""
     roles = Roles(spark, sf_dir)
-    j = roles.energy_primary.join(F.broadcast(roles.country_dim.select("iso_code", "country")), "iso_code")
+    j = roles.energy_primary
     w = Window.partitionBy("year").orderBy(F.col("renewable_generation").desc_nulls_first(),
                                            F.col("country").asc_nulls_last())
     return j.select(_y(), "country", r6("renewable_generation").alias("renewable_generation"),
                     F.row_number().over(w).cast("bigint").alias("pos"))
 
 
+CLEAN_TABLES = ("market_clean", "infra_clean", "co2_clean", "energy_clean")
+
+
+def clean_tables(spark, sf_dir) -> DataFrame:
+    """The four clean tables written as CSV files with a header and read back with
+    their schemas: rows, filled cells and the sum of the years of each."""
+    c = _cleaning(spark, sf_dir)
+    parts = []
+    for name in CLEAN_TABLES:
+        df = getattr(c, name)
+        path = scratch_path(spark, f"csv-{name}")
+        write_csv(df, path)
+        back = read_csv(spark, path, df.schema)
+        filled = sum((F.count(x) for x in back.columns), F.lit(0))
+        parts.append(back.agg(F.count(F.lit(1)).cast("bigint").alias("rows"), filled.cast("bigint").alias("filled"),
+                              F.sum("year").cast("bigint").alias("year_sum")).select(F.lit(name).alias("table_name"), "*"))
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
+
+
 CLEANING = {
     "clean_long": clean_long, "split_parameter": split_parameter, "clean_name": clean_name,
     "resolve_exact": resolve_exact, "resolve_fuzzy": resolve_fuzzy, "pivot_first": pivot_first,
     "pivot_sum": pivot_sum, "unpivot_years": unpivot_years, "gap_patch": gap_patch, "clean_macro": clean_macro,
     "source_override": source_override, "derived_ratios": derived_ratios, "lookup_attr": lookup_attr,
     "charger_ratio": charger_ratio, "map_override": map_override, "null_hygiene": null_hygiene,
-    "quantize_types": quantize_types, "time_bands": time_bands, "star_join": star_join, "sort_nulls": sort_nulls,
+    "quantize_types": quantize_types, "time_bands": time_bands, "star_join": star_join, "sort_nulls": sort_nulls, "clean_tables": clean_tables,
 }

@@ -1,16 +1,20 @@
-"""Warehouse model from the clean tables: dimensions with surrogate keys,
-key resolution of the facts, and the skip report."""
+"""Warehouse model from the clean tables: dimensions with surrogate keys, the
+four facts with resolved keys, the skip report, and the published result."""
 
 from __future__ import annotations
 
 from functools import cached_property
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from voltcube import schema as S
 from voltcube.operators.joins import first_per_key
 from voltcube.plans.cleaning import Cleaning
-from voltcube.plans.warehouse import surrogate_dim
+from voltcube.plans.roles import ENERGY_MEASURES, Roles
+from voltcube.plans.stored import read_or_publish
+from voltcube.plans.warehouse import Warehouse, as_declared, publish_checks, surrogate_dim
+from voltcube.sources.store import merge_upsert
 
 
 def numbered(df: DataFrame, order: str, key: str) -> DataFrame:
@@ -19,26 +23,38 @@ def numbered(df: DataFrame, order: str, key: str) -> DataFrame:
     return df.select(F.row_number().over(Window.orderBy(order)).cast("int").alias(key), *df.columns)
 
 
+def first_of_sources(ev: DataFrame, co2: DataFrame, key: str, cols) -> DataFrame:
+    """Rows of the EV table, then the CO2 table; per key the first row wins. Both
+    tables are in the order (country, year), which breaks ties within a source."""
+    at = lambda src: F.struct(F.lit(src).alias("src"), F.col("country").alias("c"), F.col("year").alias("y"))
+    take = [c for c in dict.fromkeys([key, *cols])]
+    u = ev.select(*take, at(0).alias("_at")).unionByName(co2.select(*take, at(1).alias("_at")))
+    return first_per_key(u.where(F.col(key).isNotNull()), [key], "_at", [c for c in cols if c != key])
+
+
 class Model:
+    #: fact name -> (clean table, measures of the fact {column: clean column})
+    FACTS = {
+        "ev_market": ("market_clean", {c: c for c in ("ev_sales", "ev_sales_share", "ev_stock", "ev_stock_share", "ev_electricity_demand")}),
+        "ev_infrastructure": ("infra_clean", {c: c for c in ("ev_charging_points", "fast_charging_points", "slow_charging_points", "charging_points_per_ev")}),
+        "country_energy": ("energy_clean", {c: c for c in ENERGY_MEASURES}),
+        "country_macro": ("co2_clean", {c: c for c in ("population", "gdp", "co2_emissions", "co2_per_capita", "co2_per_gdp", "oil_co2", "oil_co2_per_capita",
+                                                        "coal_co2", "coal_co2_per_capita", "co2_per_unit_energy")}),
+    }
+
     def __init__(self, cleaning: Cleaning):
         self.c = cleaning
 
     @cached_property
     def country_dim(self) -> DataFrame:
-        """Countries of the EV table, then the CO2 table; per ISO code the EV
-        row wins (first source first)."""
-        cols = ["country", "continent", "continent_code"]
-        ev = self.c.market_clean.select("iso_code", *cols, F.lit(0).alias("_src"))
-        co2 = self.c.co2_clean.select("iso_code", *cols, F.lit(1).alias("_src"))
-        u = ev.unionByName(co2).where(F.col("iso_code").isNotNull())
-        return numbered(first_per_key(u, ["iso_code"], "_src", cols), "iso_code", "key_c")
+        """Countries of the EV table, then the CO2 table; per ISO code the first row wins."""
+        d = first_of_sources(self.c.market_clean, self.c.co2_clean, "iso_code", ["country", "continent", "continent_code"])
+        return numbered(d, "iso_code", "key_c")
 
     @cached_property
     def year_dim(self) -> DataFrame:
-        cols = ["half_decade", "pandemic_period"]
-        ev = self.c.market_clean.select("year", *cols, F.lit(0).alias("_src"))
-        co2 = self.c.co2_clean.select("year", *cols, F.lit(1).alias("_src"))
-        return numbered(first_per_key(ev.unionByName(co2), ["year"], "_src", cols), "year", "key_y")
+        d = first_of_sources(self.c.market_clean, self.c.co2_clean, "year", ["half_decade", "pandemic_period"])
+        return numbered(d, "year", "key_y")
 
     @cached_property
     def vehicle_type_dim(self) -> DataFrame:
@@ -48,43 +64,53 @@ class Model:
     def powertrain_dim(self) -> DataFrame:
         return surrogate_dim(self.c.market_clean, "powertrain", "key_p")
 
-    def _keys_cy(self, df: DataFrame, how: str = "inner") -> DataFrame:
-        return (df.join(F.broadcast(self.country_dim.select("key_c", "iso_code")), "iso_code", how)
-                  .join(F.broadcast(self.year_dim.select("key_y", "year")), "year", how))
+    def _keyed(self, fact: str) -> DataFrame:
+        """The fact's clean rows with their keys, NULL where no dimension row fits."""
+        clean, _ = self.FACTS[fact]
+        j = getattr(self.c, clean).join(self.country_dim.select("key_c", "iso_code"), "iso_code", "left").join(self.year_dim.select("key_y", "year"), "year", "left")
+        if "key_v" in S.TABLES[fact][1]:
+            j = j.join(self.vehicle_type_dim, "vehicle_type", "left").join(self.powertrain_dim, "powertrain", "left")
+        return j
 
-    @cached_property
-    def ev_market_fact(self) -> DataFrame:
-        """Market rows with all four keys; rows with an unknown key are skipped."""
-        m = self._keys_cy(self.c.market_clean)
-        m = (m.join(F.broadcast(self.vehicle_type_dim), "vehicle_type")
-              .join(F.broadcast(self.powertrain_dim), "powertrain"))
-        return m.select("key_c", "key_y", "key_v", "key_p",
-                        F.round("ev_sales").cast("int").alias("ev_sales"),
-                        F.col("ev_sales_share").cast("decimal(10,6)").alias("ev_sales_share"),
-                        F.col("ev_stock").cast("decimal(15,1)").alias("ev_stock"),
-                        F.col("ev_stock_share").cast("decimal(10,6)").alias("ev_stock_share"),
-                        F.col("ev_electricity_demand").cast("decimal(10,2)").alias("ev_electricity_demand"))
+    def _found(self, fact: str):
+        ok = F.lit(True)
+        for k in S.TABLES[fact][1]:
+            ok = ok & F.col(k).isNotNull()
+        return ok
+
+    def fact(self, name: str) -> DataFrame:
+        """Rows with all their keys, in the fact's types; rows with an unknown key
+        are skipped. Of several rows of a key the last in table order replaces the
+        others (insert or update, statement by statement)."""
+        schema, pk, _, _ = S.TABLES[name]
+        _, measures = self.FACTS[name]
+        rows = self._keyed(name).where(self._found(name))
+        typed = [(F.round(F.col(c)) if f.dataType.typeName() == "long" else F.col(c)).cast(f.dataType).alias(f.name)
+                 for f in schema.fields if (c := measures.get(f.name))]
+        rows = rows.select(*pk, *typed, F.struct("country", "year").alias("_at"))
+        empty = rows.drop("_at").limit(0)
+        return merge_upsert(empty, rows, pk, order="_at").select(*[f.name for f in schema.fields])
 
     def skips(self) -> DataFrame:
         """Rows loaded and skipped per fact (a key without a dimension row)."""
-        facts = {
-            "ev_market": self.c.market_clean.select("iso_code", "year", "vehicle_type", "powertrain"),
-            "ev_infrastructure": self.c.infra_clean.select("iso_code", "year"),
-            "country_energy": self.c.energy_clean.select("iso_code", "year"),
-            "country_macro": self.c.co2_clean.select("iso_code", "year"),
-        }
         parts = []
-        for name, f in facts.items():
-            j = self._keys_cy(f, "left")
-            ok = F.col("key_c").isNotNull() & F.col("key_y").isNotNull()
-            if name == "ev_market":
-                j = (j.join(F.broadcast(self.vehicle_type_dim), "vehicle_type", "left")
-                      .join(F.broadcast(self.powertrain_dim), "powertrain", "left"))
-                ok = ok & F.col("key_v").isNotNull() & F.col("key_p").isNotNull()
-            parts.append(j.agg(F.count_if(ok).cast("bigint").alias("loaded"),
-                               F.count_if(~ok).cast("bigint").alias("skipped"))
-                          .select(F.lit(name).alias("fact_name"), "loaded", "skipped"))
+        for name in self.FACTS:
+            ok = self._found(name)
+            parts.append(self._keyed(name).agg(F.count_if(ok).cast("bigint").alias("loaded"), F.count_if(~ok).cast("bigint").alias("skipped"))
+                             .select(F.lit(name).alias("fact_name"), "loaded", "skipped"))
         out = parts[0]
         for p in parts[1:]:
             out = out.unionByName(p)
         return out
+
+    def tables(self) -> dict[str, DataFrame]:
+        dims = {t: getattr(self, t) for t in ("country_dim", "year_dim", "vehicle_type_dim", "powertrain_dim")}
+        return as_declared(dims | {f: self.fact(f) for f in self.FACTS})
+
+
+def load_pipeline(spark: SparkSession, sf_dir: str) -> Warehouse:
+    """The warehouse made from the cleaned tables: raw -> clean -> dimensions ->
+    keyed facts -> checks -> published, once per input version."""
+    roles = Roles(spark, sf_dir)
+    tables = read_or_publish(roles, "pipeline", Warehouse.TABLES, lambda: Model(Cleaning.load(spark, sf_dir, roles)).tables(), publish_checks)
+    return Warehouse(**tables, params=roles.p)

@@ -12,10 +12,10 @@ from voltcube.operators.joins import missing_keys
 from voltcube.operators.measures import measure_agg as measure_agg_op
 from voltcube.plans.cleaning import Cleaning
 from voltcube.plans.compare import summarize_timings
-from voltcube.plans.model import Model
-from voltcube.plans.olap import r6
+from voltcube.plans.model import Model, load_pipeline
+from voltcube.plans.olap import r6, rank_stock
 from voltcube.plans.roles import Roles
-from voltcube.plans.warehouse import Warehouse
+from voltcube.plans.warehouse import Warehouse, constraint_violations, publish_checks as load_checks
 from voltcube.session import scratch_path
 from voltcube.sources.files import read_csv, read_parquet, write_csv, write_parquet
 from voltcube.sources.store import VersionedStore, insert_absent as insert_absent_op, merge_upsert
@@ -30,7 +30,7 @@ def _b(c):
 
 
 def _model(spark, sf_dir) -> Model:
-    return Model(Cleaning(Roles(spark, sf_dir)))
+    return Model(Cleaning.load(spark, sf_dir))
 
 
 # -- model -----------------------------------------------------------------
@@ -39,9 +39,37 @@ def dim_build(spark, sf_dir) -> DataFrame:
     return d.select(_b("key_c"), "iso_code", "country", "continent", "continent_code")
 
 
+def year_dim_build(spark, sf_dir) -> DataFrame:
+    d = _model(spark, sf_dir).year_dim
+    return d.select(_b("key_y"), _b("year"), "half_decade", "pandemic_period")
+
+
+def _fact(spark, sf_dir, name: str) -> DataFrame:
+    """A keyed fact with its whole numbers as bigint and its decimals as doubles."""
+    f = _model(spark, sf_dir).fact(name)
+    return f.select(*[_b(c) if t in ("int", "bigint") else r6(c).alias(c) for c, t in f.dtypes])
+
+
 def key_resolve(spark, sf_dir) -> DataFrame:
-    f = _model(spark, sf_dir).ev_market_fact
-    return f.select(_b("key_c"), _b("key_y"), _b("key_v"), _b("key_p"), _b("ev_sales"), r6("ev_stock").alias("ev_stock"))
+    return _fact(spark, sf_dir, "ev_market")
+
+
+def key_resolve_infra(spark, sf_dir) -> DataFrame:
+    return _fact(spark, sf_dir, "ev_infrastructure")
+
+
+def key_resolve_energy(spark, sf_dir) -> DataFrame:
+    return _fact(spark, sf_dir, "country_energy")
+
+
+def key_resolve_macro(spark, sf_dir) -> DataFrame:
+    return _fact(spark, sf_dir, "country_macro")
+
+
+def pipeline_rank_stock(spark, sf_dir) -> DataFrame:
+    """Raw tables -> clean tables -> dimensions -> keyed facts -> checked load ->
+    the stock ranking on the published store."""
+    return rank_stock(load_pipeline(spark, sf_dir))
 
 
 def key_skips(spark, sf_dir) -> DataFrame:
@@ -50,7 +78,7 @@ def key_skips(spark, sf_dir) -> DataFrame:
 
 def coverage_gap(spark, sf_dir) -> DataFrame:
     """EV (country, year) pairs absent from each other clean table."""
-    c = Cleaning(Roles(spark, sf_dir))
+    c = Cleaning.load(spark, sf_dir)
     ev = c.market_clean
     parts = []
     for name, other in (("ev_infrastructure", c.infra_clean), ("co2", c.co2_clean), ("energy", c.energy_clean)):
@@ -65,7 +93,7 @@ def coverage_gap(spark, sf_dir) -> DataFrame:
 def upsert_fact(spark, sf_dir) -> DataFrame:
     """Target = infrastructure fact; updates = one year's rows + 1 and the same
     rows under a new year key. Written, merged, written as a new table, read back."""
-    infra = Roles(spark, sf_dir).ev_infrastructure
+    infra = Roles(spark, sf_dir).ev_infrastructure.drop("charging_points_per_ev")
     path = scratch_path(spark, "upsert")
     write_parquet(infra, f"{path}/v1")
     target = read_parquet(spark, f"{path}/v1")
@@ -88,22 +116,26 @@ def insert_absent(spark, sf_dir) -> DataFrame:
     return insert_absent_op(target, new, ["iso_code"])
 
 
-def warehouse_checks(tables):
-    return {
-        "country_dim_pk": duplicate_keys(tables["country_dim"], ["key_c"]),
-        "country_dim_iso_unique": duplicate_keys(tables["country_dim"], ["iso_code"]),
-        "year_dim_pk": duplicate_keys(tables["year_dim"], ["key_y"]),
-        "ev_market_pk": duplicate_keys(tables["ev_market"], ["key_c", "key_y", "key_v", "key_p"]),
-        "ev_market_fk_country": orphan_rows(tables["ev_market"], tables["country_dim"], ["key_c"]),
-        "ev_market_fk_year": orphan_rows(tables["ev_market"], tables["year_dim"], ["key_y"]),
-    }
+def upsert_market(spark, sf_dir) -> DataFrame:
+    """The 4-column key: updates are one year's market rows with doubled sales, then the
+    same rows again with sales + 1 (the later statement wins), and new year rows."""
+    w = Warehouse.load(spark, sf_dir)
+    keys = ["key_c", "key_y", "key_v", "key_p"]
+    target = w.ev_market.select(*keys, "ev_sales", "ev_stock")
+    base = target.where(F.col("key_y") == 3)
+    updates = (base.withColumn("ev_sales", F.col("ev_sales") * 2).withColumn("nr", F.lit(1))
+                   .unionByName(base.withColumn("ev_sales", F.col("ev_sales") + 1).withColumn("nr", F.lit(2)))
+                   .unionByName(base.withColumn("key_y", F.lit(8)).withColumn("nr", F.lit(1))))
+    path = scratch_path(spark, "upsert-market")
+    write_parquet(merge_upsert(target, updates, keys, order="nr"), path)
+    return read_parquet(spark, path).select(*[_b(k) for k in keys], _b("ev_sales"), r6("ev_stock").alias("ev_stock"))
 
 
 def publish_snapshot(spark, sf_dir) -> DataFrame:
     """All warehouse tables published as one version; returns the manifest."""
     w = Warehouse.build(spark, sf_dir)
     store = VersionedStore(spark, scratch_path(spark, "warehouse"))
-    v = store.publish({t: getattr(w, t) for t in Warehouse.TABLES}, warehouse_checks)
+    v = store.publish(w.tables(), load_checks)
     return store.manifest(v).select("table_name", _b("rows"))
 
 
@@ -162,8 +194,29 @@ def check_domain(spark, sf_dir) -> DataFrame:
     return violation_counts(cd, "country_dim", c_rules).unionByName(violation_counts(em, "ev_market", m_rules))
 
 
+def publish_checks(spark, sf_dir) -> DataFrame:
+    """Every constraint of the eight tables with its violations, on a warehouse
+    seeded with bad rows: NULL and long names, repeated keys and labels, keys
+    without a dimension row, and a share beyond its declared range."""
+    w = Warehouse.load(spark, sf_dir)
+    t = dict(w.tables())
+    seed = F.col("key_c") % SEED_MOD
+    t["country_dim"] = w.country_dim.select(
+        "key_c", F.when(seed == 0, F.lit(None)).when(seed == 2, F.repeat("country", F.lit(9))).otherwise(F.col("country")).alias("country"),
+        F.when(seed == 1, F.lit("N999")).otherwise(F.col("iso_code")).alias("iso_code"), "continent", "continent_code")
+    t["year_dim"] = w.year_dim.select("key_y", F.when(F.col("key_y") == 2, F.col("year") - 1).otherwise(F.col("year")).alias("year"), "half_decade",
+                                      F.when(F.col("key_y") == 1, F.lit(None)).otherwise(F.col("pandemic_period")).alias("pandemic_period"))
+    t["vehicle_type_dim"] = w.vehicle_type_dim.unionByName(w.vehicle_type_dim.where(F.col("key_v") == 1))
+    t["powertrain_dim"] = w.powertrain_dim.where(F.col("key_p") != 3)
+    t["ev_market"] = w.ev_market.withColumn("ev_sales_share", F.col("ev_sales_share").cast("double") * F.when(F.col("key_y") == 4, 1e6).otherwise(1))
+    t["ev_infrastructure"] = w.ev_infrastructure.unionByName(w.ev_infrastructure.where(seed == 0))
+    t["country_energy"] = w.country_energy.withColumn("key_c", F.when(seed == 3, F.col("key_c") + 100).otherwise(F.col("key_c")))
+    t["country_macro"] = w.country_macro.withColumn("key_y", F.when(F.col("key_y") == 7, F.lit(None)).otherwise(F.col("key_y")))
+    return constraint_violations(t)
+
+
 def profile_table(spark, sf_dir) -> DataFrame:
-    c = Cleaning(Roles(spark, sf_dir))
+    c = Cleaning.load(spark, sf_dir)
     parts = [profile(c.market_clean, "ev_market", "iso_code", "year"),
              profile(c.infra_clean, "ev_infrastructure", "iso_code", "year"),
              profile(c.co2_clean, "co2", "iso_code", "year"),
@@ -185,14 +238,24 @@ def measure_agg(spark, sf_dir) -> DataFrame:
     return g.select("continent", _b("year"), *[(F.col(m) if a == S.UNIT else r6(m)).alias(m) for m, a in add.items()])
 
 
-# -- A17 ---------------------------------------------------------------------
+# -- S10, A17 ---------------------------------------------------------------------
 def variant_ratio(spark, sf_dir) -> DataFrame:
     """Mean timing per query and variant, A/B ratio and slowest run."""
     return summarize_timings(Roles(spark, sf_dir).run_timing)
 
 
+def results_table(spark, sf_dir) -> DataFrame:
+    """The timing summary written as a CSV results file and read back."""
+    out = summarize_timings(Roles(spark, sf_dir).run_timing)
+    path = scratch_path(spark, "results")
+    write_csv(out, path)
+    return read_csv(spark, path, out.schema)
+
+
 MODEL = {
-    "dim_build": dim_build, "key_resolve": key_resolve, "key_skips": key_skips, "coverage_gap": coverage_gap,
+    "dim_build": dim_build, "year_dim_build": year_dim_build, "key_resolve": key_resolve, "key_resolve_infra": key_resolve_infra,
+    "key_resolve_energy": key_resolve_energy, "key_resolve_macro": key_resolve_macro, "pipeline_rank_stock": pipeline_rank_stock,
+    "upsert_market": upsert_market, "publish_checks": publish_checks, "results_table": results_table, "key_skips": key_skips, "coverage_gap": coverage_gap,
     "upsert_fact": upsert_fact, "insert_absent": insert_absent, "publish_snapshot": publish_snapshot,
     "sink_roundtrip": sink_roundtrip, "scan_csv": scan_csv, "check_unique": check_unique, "check_fk": check_fk,
     "check_domain": check_domain, "profile_table": profile_table, "measure_agg": measure_agg,

@@ -116,7 +116,10 @@ def infrastructure_named(w: Warehouse) -> DataFrame:
 
 
 def lag_growth(w: Warehouse) -> DataFrame:
-    r = lag_growth_op(infrastructure_named(w), ["country"], "year", "ev_charging_points")
+    """LAG over the fact's own keys (key_y numbers the years in order); the names
+    are joined to the result, so the window sees three narrow columns."""
+    f = w.ev_infrastructure.join(_yd(w, "year"), "key_y").select("key_c", "year", F.col("ev_charging_points").cast("bigint").alias("ev_charging_points"))
+    r = lag_growth_op(f, ["key_c"], "year", "ev_charging_points").join(_cd(w, "country"), "key_c")
     return r.select("country", F.col("year").cast("bigint").alias("year"), "ev_charging_points",
                     "previous_year", "yearly_growth")
 

@@ -7,8 +7,11 @@ section 4. Plans are written for size:
   fixed by the TPC-H specification whatever the scale factor. Everything else
   joins by shuffle and AQE turns a join into a broadcast only when the
   runtime size of a side is under its threshold;
-* lineitem is reduced to (supplier, year, line status) before the supplier
-  join (about 37 lineitems per group), so the big shuffle carries sums;
+* lineitem is reduced to (supplier, year) before the supplier join, so that
+  join carries sums and a hot supplier is combined on the map side (one
+  exchange for both would move whole rows and put a hot supplier in one task);
+* orders are reduced to (customer, year) before the customer join: it decides
+  the nation, so the distinct customers of a nation are a count of groups;
 * per-year totals are a grouped aggregate joined back (bounded by the
   number of calendar years), not a window partitioned by year, which would
   put each year in one task;
@@ -21,26 +24,32 @@ section 4. Plans are written for size:
 
 from __future__ import annotations
 
-import hashlib
 from functools import cached_property
-from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from voltcube.functions.scalar import band
-from voltcube.params import ROLE, RoleParams, sf_of
+from voltcube.params import CODE_VERSION, GENERATION_SOURCES, ROLE, RoleParams
 from voltcube.session import scratch_path
-from voltcube.sources.tables import TableSource
+from voltcube.sources.tables import TableSource, input_fingerprint
 
 D18_2 = T.DecimalType(18, 2)
 D18_4 = T.DecimalType(18, 4)
 
+# The 15 measures of the energy fact, those a second source patches, and the CO2 table's columns.
+ENERGY_MEASURES = ("energy_consumption", "electricity_generation", "electricity_demand", "fossil_generation", "coal_generation",
+                   "oil_generation", "gas_generation", "renewable_generation", "low_carbon_generation", "wind_generation",
+                   "hydro_generation", "nuclear_generation", "other_generation", "solar_generation", "net_imports")
+PATCHED = tuple(c for _, c in GENERATION_SOURCES)
+CO2_COLUMNS = {"population": "population", "gdp": "gdp", "co2": "co2_emissions", "co2_per_capita": "co2_per_capita", "co2_per_gdp": "co2_per_gdp",
+               "oil_co2": "oil_co2", "oil_co2_per_capita": "oil_co2_per_capita", "coal_co2": "coal_co2", "coal_co2_per_capita": "coal_co2_per_capita",
+               "co2_per_unit_energy": "co2_per_unit_energy", "primary_energy_consumption": "primary_energy_consumption"}
 
-# Role facts already written in this process: (application, input, name, code) -> folder.
+
+# Role facts already written by this application: (application, input, parameters, name, code) -> folder.
 _WRITTEN: dict = {}
-_CODE_TAG = hashlib.sha1(Path(__file__).read_bytes()).hexdigest()[:12]
 
 
 def fixed_size(df: DataFrame) -> DataFrame:
@@ -57,17 +66,16 @@ class Roles:
         self.materialize = materialize
         self.reuse = reuse
         self.sf_dir = sf_dir
-        self.sf = sf_of(sf_dir)
         self.p = params
         self.src = TableSource(spark, sf_dir)
 
     # -- helpers ---------------------------------------------------------
     def _cut(self, df: DataFrame, name: str) -> DataFrame:
-        """Write a bounded role fact once; later Roles of the same application
-        and input folder (and code version) read the same files."""
+        """Write a bounded role fact once; later Roles of the same application,
+        input files and parameters read the same files."""
         if not self.materialize:
             return df
-        key = (self.spark.sparkContext.applicationId, self.sf_dir, name, _CODE_TAG)
+        key = (self.spark.sparkContext.applicationId, self.fingerprint, self.p, name, CODE_VERSION)
         hit = _WRITTEN.get(key) if self.reuse else None
         if hit is None:
             hit = (scratch_path(self.spark, f"role-{name}"), df.schema)
@@ -77,8 +85,9 @@ class Roles:
         # The schema is known: read back without a footer-reading job.
         return self.spark.read.schema(schema).parquet(path)
 
-    def _cut_as(self, name: str, df: DataFrame) -> DataFrame:
-        return self._cut(df, name)
+    @cached_property
+    def fingerprint(self) -> str:
+        return input_fingerprint(self.spark, self.sf_dir)
 
     def _key_y(self, ts: str):
         return F.year(F.col(ts)).cast("int") - F.lit(self.p.base_year)
@@ -114,32 +123,36 @@ class Roles:
             band("year", p.pandemic_bands).alias("pandemic_period"),
         )
 
-    # -- shared join of orders and customers -----------------------------
+    # -- orders per nation and year -----------------------------------------
     @cached_property
-    def order_nation(self) -> DataFrame:
-        """Orders with their customer's nation and their year, written once.
-
-        Three facts need this join. Written as a table it is computed once,
-        and the lineitem join below sees its true size (from its files)
-        instead of a product-of-inputs estimate."""
-        o = self.src.read("orders", "o_orderkey", "o_custkey", "o_orderdate", "o_orderstatus", "o_totalprice")
+    def nation_year(self) -> DataFrame:
+        """Order counts and sums per nation and year (bounded by both)."""
+        o = self.src.read("orders", "o_custkey", "o_orderdate", "o_orderstatus", "o_totalprice", "o_orderpriority")
         c = self.src.read("customer", "c_custkey", "c_nationkey")
-        j = o.join(c, o.o_custkey == c.c_custkey)
-        return self._cut_as("order_nation", j.select(
-            "o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice",
-            F.col("c_nationkey").alias("key_c"), self._key_y("o_orderdate").alias("key_y")))
 
-    def _orders_with_nation(self, *order_cols: str) -> DataFrame:
-        return self.order_nation.select("key_c", "key_y", "o_custkey", *order_cols)
+        def number(cond):
+            return F.count(F.when(cond, 1))
+
+        st, pr = F.col("o_orderstatus"), F.col("o_orderpriority")
+        per = o.groupBy("o_custkey", self._key_y("o_orderdate").alias("key_y")).agg(
+            F.count(F.lit(1)).alias("n"), F.sum(F.col("o_totalprice").cast(D18_2)).alias("price"),
+            number(st == "F").alias("n_f"), number(st == "O").alias("n_o"),
+            number(pr == "1-URGENT").alias("n_urgent"), number(pr == "2-HIGH").alias("n_high"))
+        j = per.join(c, per.o_custkey == c.c_custkey)
+        return self._cut(j.groupBy(F.col("c_nationkey").alias("key_c"), "key_y").agg(
+            F.count(F.lit(1)).alias("customers"), F.sum("price").cast(D18_2).alias("price"),
+            *[F.sum(x).alias(x) for x in ("n", "n_f", "n_o", "n_urgent", "n_high")]), "nation_year")
 
     # -- facts -----------------------------------------------------------
     @cached_property
     def market_base(self) -> DataFrame:
         # Two lineitem-sized shuffles at most: on the order key (to meet the
-        # orders already tagged with nation and year) and on the part key.
+        # orders tagged with nation and year) and on the part key.
         li = self.src.read("lineitem", "l_orderkey", "l_partkey", "l_quantity", "l_extendedprice",
                            "l_tax", "l_returnflag", "l_linestatus")
-        o = self._orders_with_nation("o_orderkey")
+        c = self.src.read("customer", "c_custkey", "c_nationkey")
+        o = self.src.read("orders", "o_orderkey", "o_custkey", "o_orderdate")
+        o = o.join(c, o.o_custkey == c.c_custkey).select("o_orderkey", F.col("c_nationkey").alias("key_c"), self._key_y("o_orderdate").alias("key_y"))
         part = self.src.read("part", "p_partkey", "p_type")
         zero = F.lit(0).cast(D18_2)
         # Per-line measures are computed before the part-key shuffle, so it
@@ -151,11 +164,10 @@ class Roles:
                         F.when(F.col("l_linestatus") == "F", F.col("l_tax").cast(D18_2)).otherwise(zero).alias("ld")))
         j = lo.join(part, lo.l_partkey == part.p_partkey)
         # Written once: it feeds both the per-year totals and the shares.
-        return self._cut_as("market_base", j.groupBy("key_c", "key_y", F.col("p_type").alias("vehicle_type"),
-                                                     "powertrain")
-                 .agg(F.sum("lq").cast(D18_2).alias("q"),
-                      F.sum("lp").cast(D18_2).alias("p"),
-                      F.sum("ld").cast(D18_2).alias("d")))
+        return self._cut(j.groupBy("key_c", "key_y", F.col("p_type").alias("vehicle_type"), "powertrain")
+                          .agg(F.sum("lq").cast(D18_2).alias("q"),
+                               F.sum("lp").cast(D18_2).alias("p"),
+                               F.sum("ld").cast(D18_2).alias("d")), "market_base")
 
     @cached_property
     def ev_market(self) -> DataFrame:
@@ -168,71 +180,90 @@ class Roles:
             return F.round(F.lit(100) * F.col(x).cast("double") / F.col(tot).cast("double"), 6) \
                     .cast(T.DecimalType(10, 6))
 
-        return self._cut_as("ev_market", j.select(
+        return self._cut(j.select(
             "key_c", "key_y", "vehicle_type", "powertrain",
-            F.col("q").cast("int").alias("ev_sales"),
+            F.col("q").cast("bigint").alias("ev_sales"),
             F.col("p").cast(T.DecimalType(15, 1)).alias("ev_stock"),
             share("q", "yq").alias("ev_sales_share"),
             share("p", "yp").alias("ev_stock_share"),
             F.col("d").cast(T.DecimalType(10, 2)).alias("ev_electricity_demand"),
-        ))
+        ), "ev_market")
 
     @cached_property
     def ev_infrastructure(self) -> DataFrame:
         p = self.p
-        o = self._orders_with_nation("o_orderstatus")
         gap = ((F.col("key_c") % p.gap_mod == p.gap_rem)
                & (F.col("key_y") == F.lit(p.gap_year - p.base_year)))
-        st = F.col("o_orderstatus")
-        return self._cut_as("ev_infrastructure", o.where(~gap)
-                 .groupBy("key_c", "key_y")
-                 .agg(F.count(F.when(st.isin("F", "O"), 1)).cast("int").alias("ev_charging_points"),
-                      F.count(F.when(st == "F", 1)).cast("int").alias("fast_charging_points"),
-                      F.count(F.when(st == "O", 1)).cast("int").alias("slow_charging_points")))
+        sold = self.market_base.groupBy("key_c", "key_y").agg(F.sum("q").alias("sold"))
+        j = self.nation_year.where(~gap).join(sold, ["key_c", "key_y"], "left")
+        points = F.col("n_f") + F.col("n_o")
+        per_ev = F.when(F.col("sold") > 0, F.round(points.cast("double") / F.col("sold").cast("double"), 4))
+        return self._cut(j.select("key_c", "key_y", points.alias("ev_charging_points"),
+                                  F.col("n_f").alias("fast_charging_points"), F.col("n_o").alias("slow_charging_points"),
+                                  per_ev.cast(T.DecimalType(10, 4)).alias("charging_points_per_ev")), "ev_infrastructure")
 
     @cached_property
     def country_energy(self) -> DataFrame:
         p = self.p
-        li = self.src.read("lineitem", "l_suppkey", "l_quantity", "l_linestatus", "l_shipdate")
+        li = self.src.read("lineitem", "l_suppkey", "l_quantity", "l_tax", "l_discount", "l_returnflag", "l_linestatus", "l_shipdate")
+        q = F.col("l_quantity").cast(D18_4)
+        two = T.DecimalType(4, 2)
+        st, fl, dc = F.col("l_linestatus"), F.col("l_returnflag"), F.col("l_discount")
+
+        def total(cond):
+            return F.sum(F.when(cond, q).otherwise(F.lit(0).cast(D18_4)))
+
+        # Generation by kind: status (renewable, fossil), return flag (kind of
+        # either), discount bands (nuclear, other).
+        kinds = {"electricity_generation": F.lit(True), "fossil_generation": st == "F",
+                 "coal_generation": (st == "F") & (fl == "A"), "oil_generation": (st == "F") & (fl == "R"),
+                 "gas_generation": (st == "F") & (fl == "N"), "renewable_generation": st == "O",
+                 "low_carbon_generation": (st == "O") | (dc >= 0.08), "wind_generation": (st == "O") & (fl == "A"),
+                 "hydro_generation": (st == "O") & (fl == "N"), "nuclear_generation": (st == "F") & (dc >= 0.08),
+                 "other_generation": (st == "O") & (dc < 0.02), "solar_generation": (st == "O") & (fl == "R")}
         # Map-side reduction to the supplier-year grain before the join.
-        pre = (li.groupBy("l_suppkey", self._key_y("l_shipdate").alias("key_y"), "l_linestatus")
-                 .agg(F.sum(F.col("l_quantity").cast(D18_4)).alias("qs")))
+        pre = li.groupBy("l_suppkey", self._key_y("l_shipdate").alias("key_y")).agg(
+            F.sum((q * (1 + F.col("l_tax").cast(two))).cast(D18_4)).alias("consumed"),
+            F.sum((q * (1 - F.col("l_discount").cast(two))).cast(D18_4)).alias("demanded"),
+            *[total(c).alias(n) for n, c in kinds.items()])
         s = self.src.read("supplier", "s_suppkey", "s_nationkey")
         j = pre.join(s, pre.l_suppkey == s.s_suppkey)
-        keep = F.col("s_nationkey") != F.lit(p.zero_generation_nation)
-        zero = F.lit(0).cast(D18_4)
-        st = F.col("l_linestatus")
-
-        def total(cond):
-            return F.sum(F.when(cond, F.col("qs")).otherwise(zero)).cast(D18_4)
-
-        return self._cut_as("country_energy", j.groupBy(F.col("s_nationkey").alias("key_c"), "key_y")
-                 .agg(total((st == "O") & keep).alias("renewable_generation"),
-                      total((st == "F") & keep).alias("fossil_generation"),
-                      total(keep).alias("electricity_generation")))
+        zero = F.col("key_c") == F.lit(p.zero_generation_nation)
+        g = j.groupBy(F.col("s_nationkey").alias("key_c"), "key_y").agg(*[F.sum(c).alias(c) for c in ("consumed", "demanded", *kinds)])
+        made = {n: F.when(zero, F.lit(0)).otherwise(F.col(n)).cast(D18_4) for n in kinds}
+        return self._cut(g.select("key_c", "key_y", F.col("consumed").cast(D18_4).alias("energy_consumption"),
+                                  F.col("demanded").cast(D18_4).alias("electricity_demand"),
+                                  *[c.alias(n) for n, c in made.items()],
+                                  (F.col("demanded") - made["electricity_generation"]).cast(D18_4).alias("net_imports")), "country_energy")
 
     @cached_property
     def country_macro(self) -> DataFrame:
         p = self.p
-        o = self._orders_with_nation("o_totalprice")
-        g = (o.groupBy("key_c", "key_y")
-              .agg(F.countDistinct("o_custkey").alias("population"),
-                   F.sum(F.col("o_totalprice").cast(D18_2)).cast(D18_2).alias("gdp_sum"),
-                   F.count(F.lit(1)).alias("n")))
-        return self._cut_as("country_macro", g.select(
-            "key_c", "key_y", "population",
-            F.when(F.col("key_c") == F.lit(p.null_gdp_nation), F.lit(None).cast(D18_2))
-             .otherwise(F.col("gdp_sum")).alias("gdp"),
-            F.col("n").cast(D18_4).alias("co2_emissions"),
-            F.round(F.col("n").cast("double") / F.col("population"), 4).cast(D18_4).alias("co2_per_capita"),
-        ))
+        g = self.nation_year
+        gdp = F.when(F.col("key_c") == F.lit(p.null_gdp_nation), F.lit(None).cast(D18_2)).otherwise(F.col("price"))
+
+        def ratio(a, b):
+            return F.when(b != 0, F.round(a.cast("double") / b.cast("double"), 4)).cast(D18_4)
+
+        n, people = F.col("n"), F.col("customers")
+        return self._cut(g.select(
+            "key_c", "key_y", people.alias("population"), gdp.alias("gdp"),
+            n.cast(D18_4).alias("co2_emissions"), ratio(n, people).alias("co2_per_capita"),
+            ratio(n * 1_000_000, gdp).alias("co2_per_gdp"),
+            F.col("n_f").cast(D18_4).alias("oil_co2"), ratio(F.col("n_f"), people).alias("oil_co2_per_capita"),
+            F.col("n_o").cast(D18_4).alias("coal_co2"), ratio(F.col("n_o"), people).alias("coal_co2_per_capita"),
+            ratio(n, F.col("n_urgent") + F.col("n_high")).alias("co2_per_unit_energy"),
+            (F.col("n_urgent") + F.col("n_high")).cast(D18_4).alias("primary_energy_consumption"),
+        ), "country_macro")
 
     # -- raw-shaped inputs of the cleaning flows ---------------------------
     @cached_property
     def dirty_name(self) -> DataFrame:
         cd = self.country_dim
         m = F.col("key_c") % 5
-        name = (F.when(m == 0, F.lower("country"))
+        name = (F.when(F.col("key_c") == 10, F.concat(F.lit("\t"), F.lower("country"), F.lit("\n")))
+                 .when(F.col("key_c") == 20, F.concat(F.lit("\u00a0"), F.lower("country")))
+                 .when(m == 0, F.lower("country"))
                  .when(m == 1, F.col("iso_code"))
                  .when(m == 2, F.concat(F.col("country"), F.lit(" Republic")))
                  .when(m == 3, F.concat(F.lit("Kingdom of "), F.col("country")))
@@ -275,7 +306,7 @@ class Roles:
                       .select("key_c", "key_y", F.lit("EV").alias("mode"), "it.powertrain",
                               F.lit("EV charging points").alias("parameter"), F.lit(0).alias("dup"), "it.value"))
 
-        countries = (market_long.unionByName(infra_long)
+        countries = (market_long.unionByName(infra_long).where(~key_c.isin(p.missing_nation, p.energy_only_nation))
                      .join(fixed_size(self.dirty_name), "key_c")
                      .select("region",
                              F.when(F.col("key_y") == F.lit(p.projection_key_y), F.lit(p.projection_category))
@@ -292,73 +323,79 @@ class Roles:
 
     @cached_property
     def energy_primary(self) -> DataFrame:
+        """Energy table: gaps in two columns by the key rules, and in every
+        other patched column where (key_c + key_y) meets the column's own rest."""
         p = self.p
-        j = self.country_energy.join(fixed_size(self.country_dim.select("key_c", "iso_code")), "key_c")
+        j = self.country_energy.join(fixed_size(self.country_dim.select("key_c", "iso_code", "country")), "key_c")
         cy = F.col("key_c") + F.col("key_y")
-        return j.select(
-            "iso_code", (F.col("key_y") + F.lit(p.base_year)).alias("year"), "electricity_generation",
-            F.when(cy % p.renewable_null_mod == 0, F.lit(None).cast(D18_4))
-             .otherwise(F.col("renewable_generation")).alias("renewable_generation"),
-            F.when(cy % p.fossil_null_mod == 0, F.lit(None).cast(D18_4))
-             .otherwise(F.col("fossil_generation")).alias("fossil_generation"),
-        )
+        mods = {"renewable_generation": (p.renewable_null_mod, 0), "fossil_generation": (p.fossil_null_mod, 0)}
+        others = [c for c in PATCHED if c not in mods and c != "electricity_generation"]
+        mods |= {c: (7, i % 7) for i, c in enumerate(others)}
+        cols = [F.when(cy % mods[c][0] == mods[c][1], F.lit(None).cast(D18_4)).otherwise(F.col(c)).alias(c) if c in mods else F.col(c)
+                for c in ENERGY_MEASURES]
+        macro = self.country_macro.select("key_c", "key_y", F.col("population").cast("double").alias("population"), F.col("gdp").cast("double").alias("gdp"))
+        j = j.join(macro, ["key_c", "key_y"], "left")
+        return j.select("country", "iso_code", (F.col("key_y") + F.lit(p.base_year)).alias("year"), "population", "gdp", *cols)
 
     @cached_property
     def raw_generation(self) -> DataFrame:
+        """Long second source. ``seq`` is the position of a row among those of its
+        country, year and source; one nation has every row twice."""
         p = self.p
         ce = self.country_energy
         j = (ce.where(F.col("key_c") != F.lit(p.no_secondary_nation))
                .join(fixed_size(self.country_dim.select("key_c", "iso_code")), "key_c"))
-
-        def src(label, col):
-            return F.struct(F.lit(label).alias("source"),
-                            (F.col(col).cast("double") + 1).alias("generation"))
-
-        countries = j.select("iso_code", (F.col("key_y") + F.lit(p.base_year)).alias("year"),
-                             F.explode(F.array(src("Renewables", "renewable_generation"),
-                                               src("Fossil", "fossil_generation"))).alias("it")) \
-                     .select("iso_code", "year", F.lit("Country or economy").alias("area_type"),
-                             "it.source", "it.generation")
+        twice = F.when(F.col("key_c") == p.duplicate_nation, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))
+        items = F.array(*[F.struct(F.lit(label).alias("source"), (F.col(c).cast("double") + 1).alias("generation")) for label, c in GENERATION_SOURCES])
+        countries = (j.select("iso_code", "key_y", F.explode(items).alias("it"), twice.alias("twice"))
+                      .select("iso_code", "key_y", "it", F.explode("twice").alias("seq"))
+                      .select("iso_code", (F.col("key_y") + F.lit(p.base_year)).alias("year"), F.lit("Country or economy").alias("area_type"),
+                              "it.source", (F.col("it.generation") + 10 * F.col("seq")).alias("generation"), "seq"))
         region = (ce.groupBy("key_y").agg(F.sum("fossil_generation").cast("double").alias("generation"))
                     .select(F.lit(p.region_iso).alias("iso_code"),
                             (F.col("key_y") + F.lit(p.base_year)).alias("year"),
-                            F.lit("Region").alias("area_type"), F.lit("Fossil").alias("source"), "generation"))
+                            F.lit("Region").alias("area_type"), F.lit("Fossil").alias("source"), "generation", F.lit(0).alias("seq")))
         return countries.unionByName(region)
 
     @cached_property
     def raw_macro(self) -> DataFrame:
-        """World-Bank-shaped table: one row per (iso, series), years as columns."""
+        """World-Bank-shaped table: one row per (iso, series), every year a column;
+        one nation has each row twice, ``seq`` telling their order."""
         p = self.p
         j = self.country_macro.join(fixed_size(self.country_dim.select("key_c", "iso_code")), "key_c")
-        y1, y2 = p.macro_years
-        k1, k2 = y1 - p.base_year, y2 - p.base_year
-
-        def at(k, col):
-            return F.max(F.when(F.col("key_y") == k, F.col(col).cast("string")))
-
-        g = j.groupBy("iso_code").agg(at(k1, "gdp").alias("g1"), at(k2, "gdp").alias("g2"),
-                                      at(k1, "population").alias("p1"), at(k2, "population").alias("p2"))
-        c1, c2 = f"{y1} [YR{y1}]", f"{y2} [YR{y2}]"
-        rows = F.array(
-            F.struct(F.lit("NY.GDP.MKTP.CD").alias("series_code"),
-                     F.coalesce("g1", F.lit("..")).alias("v1"), F.coalesce("g2", F.lit("..")).alias("v2")),
-            F.struct(F.lit("SP.POP.TOTL").alias("series_code"), F.col("p1").alias("v1"), F.col("p2").alias("v2")),
-        )
-        return (g.select("iso_code", F.explode(rows).alias("it"))
-                 .select("iso_code", "it.series_code", F.col("it.v1").alias(c1), F.col("it.v2").alias(c2)))
+
+        def at(year, col):
+            return F.max(F.when(F.col("key_y") == year - p.base_year, F.col(col).cast("string")))
+
+        names = [f"{y} [YR{y}]" for y in p.macro_years]
+        g = j.groupBy("key_c", "iso_code").agg(*[at(y, "gdp").alias(f"g{y}") for y in p.macro_years], *[at(y, "population").alias(f"p{y}") for y in p.macro_years])
+        first, hole = p.macro_years[:2]
+
+        def series(code, seq, values):
+            return F.struct(F.lit(code).alias("series_code"), F.lit(seq).alias("seq"), *[v.alias(n) for v, n in zip(values, names)])
+
+        # The first year's missing GDP is the text '..', later ones are empty. No first
+        # population row has the hole year; a repeated row has it, and other numbers.
+        gdp = [F.coalesce(f"g{y}", F.lit("..")) if y == first else F.col(f"g{y}") for y in p.macro_years]
+        people = [F.col(f"p{y}") for y in p.macro_years]
+        again = [v if y == hole else F.concat(F.lit("9"), v) for y, v in zip(p.macro_years, people)]
+        rows = F.array(series("NY.GDP.MKTP.CD", 0, gdp), series("SP.POP.TOTL", 0, [F.lit("..") if y == hole else v for y, v in zip(p.macro_years, people)]),
+                       series("SP.POP.TOTL", 1, again))
+        keep = (F.col("it.seq") == 0) | (F.col("key_c") == p.macro_duplicate_nation)
+        return g.select("key_c", "iso_code", F.explode(rows).alias("it")).where(keep).select("iso_code", "it.*")
 
     @cached_property
     def raw_co2(self) -> DataFrame:
-        """CO2-table shape: named countries with population, GDP and emissions."""
+        """CO2-table shape: named countries with population, GDP and emissions, in the
+        order (country, year). One ISO code has a second spelling in the first year."""
         p = self.p
-        j = self.country_macro.join(fixed_size(self.country_dim), "key_c")
+        j = (self.country_macro.where(F.col("key_c") != p.energy_only_nation)
+                 .join(fixed_size(self.country_dim.select("key_c", "country", "iso_code")), "key_c"))
+        second = (F.col("key_c") == p.missing_nation) & (F.col("key_y") == p.macro_years[0] - p.base_year)
+        names = F.when(second, F.array(F.concat(F.lit("A "), F.col("country")), F.col("country"))).otherwise(F.array("country"))
         return j.select(
-            "country", (F.col("key_y") + F.lit(p.base_year)).alias("year"), "iso_code",
-            F.col("population").cast("double").alias("population"),
-            F.col("gdp").cast("double").alias("gdp"),
-            F.col("co2_emissions").cast("double").alias("co2"),
-            F.col("co2_per_capita").cast("double").alias("co2_per_capita"),
-        )
+            F.explode(names).alias("country"), (F.col("key_y") + F.lit(p.base_year)).alias("year"), "iso_code",
+            *[F.col(c).cast("double").alias(n) for n, c in CO2_COLUMNS.items()])
 
     @cached_property
     def run_timing(self) -> DataFrame:
@@ -371,6 +408,3 @@ class Roles:
             F.when(F.col("event_id") % p.timing_null_mod == 0, F.lit(None).cast("double"))
              .otherwise(F.col("value") / 10).alias("planning_ms"),
         )
-
-    def gdp_cutoffs(self) -> tuple[float, float]:
-        return self.p.gdp_cutoffs(self.sf)

@@ -2,32 +2,18 @@
 
 from __future__ import annotations
 
-import hashlib
-import re
+from collections.abc import Iterator, Mapping
+from contextlib import contextmanager
 from dataclasses import dataclass
-from pathlib import Path
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from voltcube import schema as S
+from voltcube.operators.checks import constraint_counts
+from voltcube.params import ROLE, RoleParams
 from voltcube.plans.roles import Roles
-from voltcube.session import shared_dir
-from voltcube.sources.store import VersionedStore
-
-
-# Loaded (cached) warehouse tables per (application, store, version).
-_LOADED: dict = {}
-
-
-def _code_tag() -> str:
-    """Hash of the code that defines the warehouse contents: a change in it
-    gives a new storage folder, so a stale build is never read."""
-    h = hashlib.sha1()
-    for f in ("roles.py", "warehouse.py"):
-        h.update((Path(__file__).parent / f).read_bytes())
-    h.update((Path(__file__).parents[1] / "params.py").read_bytes())
-    return h.hexdigest()[:12]
+from voltcube.plans.stored import read_or_publish
 
 
 def surrogate_dim(labels: DataFrame, label: str, key: str) -> DataFrame:
@@ -39,6 +25,21 @@ def surrogate_dim(labels: DataFrame, label: str, key: str) -> DataFrame:
     return d.select(F.row_number().over(Window.orderBy(label)).cast("int").alias(key), label)
 
 
+def constraint_violations(tables: Mapping[str, DataFrame]) -> DataFrame:
+    """(table_name, rule, violations) of all constraints of the eight tables."""
+    return constraint_counts(tables, (S.TABLES, S.TEXT_LENGTHS))
+
+
+def publish_checks(tables: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
+    """The checks a load must pass: one row per violated constraint."""
+    return {"constraints": constraint_violations(tables).where(F.col("violations") > 0)}
+
+
+def as_declared(tables: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
+    """Each table with the columns, order and types of its declared schema."""
+    return {n: tables[n].select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in S.TABLES[n][0].fields]) for n in S.TABLES}
+
+
 @dataclass
 class Warehouse:
     country_dim: DataFrame
@@ -49,70 +50,49 @@ class Warehouse:
     ev_infrastructure: DataFrame
     country_energy: DataFrame
     country_macro: DataFrame
-    sf: float = 0.01
-    gdp_cutoffs: tuple = (25_000_000.0, 18_000_000.0)
+    params: RoleParams = ROLE
+
+    TABLES = tuple(S.TABLES)
 
-    TABLES = ("country_dim", "year_dim", "vehicle_type_dim", "powertrain_dim", "ev_market",
-              "ev_infrastructure", "country_energy", "country_macro")
+    @property
+    def gdp_cutoffs(self) -> tuple[float, float]:
+        return self.params.gdp_high, self.params.gdp_medium
 
     @classmethod
     def from_roles(cls, roles: Roles) -> "Warehouse":
         em = roles.ev_market        # materialised once by Roles: it feeds three tables
         vt = surrogate_dim(em, "vehicle_type", "key_v")
         pt = surrogate_dim(em, "powertrain", "key_p")
-        fact = (em.join(F.broadcast(vt), "vehicle_type").join(F.broadcast(pt), "powertrain")
-                  .select("key_c", "key_y", "key_v", "key_p", "ev_sales", "ev_sales_share", "ev_stock",
-                          "ev_stock_share", "ev_electricity_demand"))
-        return cls(roles.country_dim, roles.year_dim, vt, pt, fact, roles.ev_infrastructure,
-                   roles.country_energy, roles.country_macro, roles.sf, roles.gdp_cutoffs())
+        # The planner broadcasts a label dimension below its size threshold.
+        fact = em.join(vt, "vehicle_type").join(pt, "powertrain")
+        return cls(**as_declared({
+            "country_dim": roles.country_dim, "year_dim": roles.year_dim, "vehicle_type_dim": vt, "powertrain_dim": pt, "ev_market": fact,
+            "ev_infrastructure": roles.ev_infrastructure, "country_energy": roles.country_energy, "country_macro": roles.country_macro}), params=roles.p)
 
     @classmethod
     def build(cls, spark: SparkSession, sf_dir: str) -> "Warehouse":
         """Lazily derived from the raw tables (nothing stored)."""
         return cls.from_roles(Roles(spark, sf_dir))
 
-    @classmethod
-    def store_for(cls, spark: SparkSession, sf_dir: str) -> VersionedStore:
-        slug = re.sub(r"[^A-Za-z0-9]+", "_", sf_dir.strip("/"))[-60:]
-        return VersionedStore(spark, f"{shared_dir(spark)}/voltcube/warehouse/{slug}-{_code_tag()}")
-
-    @classmethod
-    def load(cls, spark: SparkSession, sf_dir: str, cache: bool = True) -> "Warehouse":
-        """The stored warehouse for ``sf_dir``: built and published once (ETL),
-        then read by every query, as a star schema in a database is.
-
-        The tables are bounded by their grain (nations x years x labels) at any
-        input size, so they are kept in executor memory, spilling to disk
-        (a lost block is re-read from the published files). One cached copy
-        per application and published version is shared by all queries."""
-        roles = Roles(spark, sf_dir)
-        store = cls.store_for(spark, sf_dir)
-        app = spark.sparkContext.applicationId
-        # Every version under one store holds the same tables (same inputs,
-        # same code), so a version already loaded here needs no new lookup.
-        held = [k for k in _LOADED if k[0] == app and k[1] == store.root]
-        if cache and held:
-            return cls(**_LOADED[max(held)], sf=roles.sf, gdp_cutoffs=roles.gdp_cutoffs())
-        version = store.current_version()
-        if version is None:
-            from voltcube.plans.model_queries import warehouse_checks
-            w = cls.from_roles(roles)
-            version = store.publish({t: getattr(w, t) for t in cls.TABLES}, warehouse_checks)
-        memo = (app, store.root, version)
-        tabs = _LOADED.get(memo)
-        if tabs is None:
-            tabs = store.read_all(cls.TABLES, version)
-            if cache:
-                tabs = {t: df.persist(StorageLevel.MEMORY_AND_DISK) for t, df in tabs.items()}
-                _LOADED[memo] = tabs
-        return cls(**tabs, sf=roles.sf, gdp_cutoffs=roles.gdp_cutoffs())
-
-    def write(self, path: str, mode: str = "overwrite") -> None:
-        """Materialise every table as Parquet under ``path``."""
-        for t in self.TABLES:
-            getattr(self, t).write.mode(mode).parquet(f"{path}/{t}")
+    def tables(self) -> dict[str, DataFrame]:
+        return {t: getattr(self, t) for t in self.TABLES}
 
     @classmethod
-    def read(cls, spark: SparkSession, path: str, sf: float, gdp_cutoffs: tuple) -> "Warehouse":
-        tabs = {t: spark.read.parquet(f"{path}/{t}") for t in cls.TABLES}
-        return cls(**tabs, sf=sf, gdp_cutoffs=gdp_cutoffs)
+    def load(cls, spark: SparkSession, sf_dir: str, roles: Roles | None = None) -> "Warehouse":
+        """The stored warehouse for ``sf_dir``: built, checked and published once per
+        input version (ETL), then read by every query, as a star schema in a
+        database is. Its tables are bounded by their grain (nations x years x
+        labels) at any input size."""
+        roles = roles or Roles(spark, sf_dir)
+        tables = read_or_publish(roles, "warehouse", cls.TABLES, lambda: cls.from_roles(roles).tables(), publish_checks)
+        return cls(**tables, params=roles.p)
+
+    @contextmanager
+    def cached(self) -> Iterator["Warehouse"]:
+        """The same warehouse held in executor memory while the block runs."""
+        held = {t: df.persist() for t, df in self.tables().items()}
+        try:
+            yield Warehouse(**held, params=self.params)
+        finally:
+            for df in held.values():
+                df.unpersist()

@@ -22,6 +22,13 @@ BASE_CONF = {
     "spark.ui.showConsoleProgress": "false",
 }
 
+# Scratch folders written by this process, per application.
+_SCRATCH: dict[str, list[str]] = {}
+
+
+class SharedFolderError(RuntimeError):
+    pass
+
 
 def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
               app_name: str = "voltcube", extra: dict | None = None) -> SparkSession:
@@ -50,22 +57,32 @@ def shared_dir(spark: SparkSession) -> str:
     """Folder shared by driver and executors for written tables.
 
     Uses the checkpoint folder the cluster names in ``spark.checkpoint.dir``.
-    Only when that is unset (local tests) a folder is created and registered.
-    """
+    Only a local master (one machine, tests) gets a temporary folder when it
+    names none; on a cluster each executor would write to its own disk, so
+    that is an error."""
     sc = spark.sparkContext
     d = sc.getCheckpointDir()
     if not d:
         d = spark.conf.get("spark.checkpoint.dir", None)
         if not d:
+            if not is_local(sc.master):
+                raise SharedFolderError(f"master {sc.master} needs spark.checkpoint.dir: a folder that the driver and all executors share")
             d = tempfile.mkdtemp(prefix="voltcube-ckpt-")
         sc.setCheckpointDir(d)
         d = sc.getCheckpointDir() or d
     return d.rstrip("/")
 
 
+def is_local(master: str) -> bool:
+    """Driver and executors are one process."""
+    return master == "local" or master.startswith("local[")
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique path under the shared folder."""
-    return f"{shared_dir(spark)}/voltcube/{name}-{uuid.uuid4().hex[:12]}"
+    path = f"{shared_dir(spark)}/voltcube/{name}-{uuid.uuid4().hex[:12]}"
+    _SCRATCH.setdefault(spark.sparkContext.applicationId, []).append(path)
+    return path
 
 
 def materialize(spark: SparkSession, df, name: str):
@@ -79,9 +96,23 @@ def materialize(spark: SparkSession, df, name: str):
     return spark.read.schema(df.schema).parquet(path)
 
 
-def local_path(path: str) -> str:
-    """Strip a ``file:`` scheme for local file-system checks in tests."""
-    return path[5:] if path.startswith("file:") else path
+def file_system(spark: SparkSession, path: str):
+    """(Hadoop file system, Hadoop path) of a path in any store Spark reaches."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark._jsc.hadoopConfiguration()), p
+
+
+def delete(spark: SparkSession, path: str) -> None:
+    fs, p = file_system(spark, path)
+    fs.delete(p, True)
+
+
+def clear_scratch(spark: SparkSession) -> int:
+    """Delete the scratch tables of this application; frames that read them are invalid afterwards."""
+    paths = _SCRATCH.pop(spark.sparkContext.applicationId, [])
+    for p in paths:
+        delete(spark, p)
+    return len(paths)
 
 
 def env_int(name: str, default: int) -> int:

@@ -5,15 +5,16 @@
 * ``insert_absent`` - insert only new keys, first write wins
   (``INSERT ... ON CONFLICT DO NOTHING``);
 * ``VersionedStore`` - all-or-nothing publication of a set of tables: every
-  table is written to a new version folder, checks run on what was written,
-  and only then a commit record is appended. Readers follow the commit log,
-  so a failed or half-written load is never visible and the previous version
-  stays current.
+  table is written to a folder of its own, checks run on what was written,
+  and only then one commit file is created, which no second publisher can
+  create again. Readers follow the commit files, so a failed or half-written
+  load is never visible and the previous version stays current.
 """
 
 from __future__ import annotations
 
 import json
+import uuid
 from collections.abc import Callable, Mapping, Sequence
 from functools import reduce
 
@@ -22,6 +23,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from voltcube.operators.joins import first_per_key
+from voltcube.session import delete, file_system
 
 
 def merge_upsert(target: DataFrame, updates: DataFrame, keys: Sequence[str],
@@ -53,9 +55,11 @@ def insert_absent(target: DataFrame, new: DataFrame, keys: Sequence[str],
 
 COMMIT_SCHEMA = T.StructType([
     T.StructField("version", T.LongType(), False),
+    T.StructField("folder", T.StringType(), False),
+    T.StructField("tables", T.LongType(), False),
     T.StructField("table_name", T.StringType(), False),
     T.StructField("rows", T.LongType(), False),
-    T.StructField("schema_json", T.StringType(), True),   # NULL in logs written before it existed
+    T.StructField("schema_json", T.StringType(), False),
 ])
 
 
@@ -64,7 +68,7 @@ class PublishError(RuntimeError):
 
 
 class VersionedStore:
-    """Tables under ``root/v=<version>/<table>``, commit log under ``root/_commits``."""
+    """Tables under ``root/data/<unique>/<table>``, one commit file per version under ``root/commits``."""
 
     def __init__(self, spark: SparkSession, root: str):
         self.spark = spark
@@ -72,73 +76,85 @@ class VersionedStore:
 
     @property
     def commits_path(self) -> str:
-        return f"{self.root}/_commits"
+        return f"{self.root}/commits"
 
     def _commits(self) -> DataFrame | None:
-        try:
-            return self.spark.read.schema(COMMIT_SCHEMA).parquet(self.commits_path)
-        except Exception:  # no commit yet
+        """The commit log; None only where there is no log yet. Any other
+        failure to read it is raised: it must not look like an empty store."""
+        fs, p = file_system(self.spark, self.commits_path)
+        if not fs.exists(p):
             return None
+        # A commit file of which not all lines are there yet doesn't count.
+        log = self.spark.read.schema(COMMIT_SCHEMA).json(self.commits_path)
+        whole = log.groupBy("version").agg((F.count(F.lit(1)) == F.max("tables")).alias("whole")).where("whole")
+        return log.join(whole.select("version"), "version", "left_semi")
 
     def current_version(self) -> int | None:
         c = self._commits()
-        if c is None:
-            return None
-        v = c.agg(F.max("version")).first()[0]
+        v = None if c is None else c.agg(F.max("version")).first()[0]
         return None if v is None else int(v)
 
-    def table_path(self, name: str, version: int) -> str:
-        return f"{self.root}/v={version}/{name}"
+    def _recorded(self, version: int) -> dict:
+        c = self._commits()
+        return {} if c is None else {r.table_name: r for r in c.where(F.col("version") == version).collect()}
 
     def read(self, name: str, version: int | None = None) -> DataFrame:
         v = self.current_version() if version is None else version
         if v is None:
             raise PublishError(f"no committed version under {self.root}")
-        return self.spark.read.parquet(self.table_path(name, v))
+        return self.read_all([name], v)[name]
 
     def read_all(self, names: Sequence[str], version: int) -> dict[str, DataFrame]:
-        """Every table of a version, read with the schema recorded at publish
-        (one small job over the commit log instead of one footer-reading job
-        per table). Tables without a recorded schema are read by inference."""
-        recorded = {r.table_name: r.schema_json for r in
-                    self._commits().where(F.col("version") == version)
-                        .select("table_name", "schema_json").collect()}
-        out = {}
-        for name in names:
-            js = recorded.get(name)
-            reader = self.spark.read.schema(T.StructType.fromJson(json.loads(js))) if js else self.spark.read
-            out[name] = reader.parquet(self.table_path(name, version))
-        return out
+        """Tables of a version with the schemas recorded at publish (one small
+        job over the commit log instead of one footer-reading job per table)."""
+        recorded = self._recorded(version)
+        return {n: self.spark.read.schema(T.StructType.fromJson(json.loads(recorded[n].schema_json)))
+                       .parquet(f"{self.root}/data/{recorded[n].folder}/{n}") for n in names}
 
     def manifest(self, version: int | None = None) -> DataFrame:
         v = self.current_version() if version is None else version
         return self._commits().where(F.col("version") == v).select("table_name", "rows")
 
+    def _commit(self, folder: str, rows: Mapping[str, int], schemas: Mapping[str, T.StructType]) -> int:
+        """Create the next version's commit file. Creation is exclusive, so of
+        two publishers that aim at one number the second takes the next."""
+        while True:
+            cur = self.current_version()
+            version = 1 if cur is None else cur + 1
+            lines = [{"version": version, "folder": folder, "tables": len(rows), "table_name": n, "rows": rows[n],
+                      "schema_json": schemas[n].json()} for n in rows]
+            fs, p = file_system(self.spark, f"{self.commits_path}/v{version:08d}.json")
+            try:
+                out = fs.create(p, False)
+            except Exception:
+                if fs.exists(p):          # taken meanwhile
+                    continue
+                raise
+            out.write(bytearray("".join(json.dumps(x) + "\n" for x in lines).encode()))
+            out.close()
+            return version
+
     def publish(self, tables: Mapping[str, DataFrame],
                 checks: Callable[[Mapping[str, DataFrame]], Mapping[str, DataFrame]] | None = None) -> int:
-        """Write all tables to a new version, run ``checks`` on the written
+        """Write all tables to a new folder, run ``checks`` on the written
         data (a mapping name -> violations DataFrame; all must be empty), then
         commit. Raises ``PublishError`` and commits nothing on a violation."""
-        cur = self.current_version()
-        version = 1 if cur is None else cur + 1
-        for name, df in tables.items():
-            df.write.mode("overwrite").parquet(self.table_path(name, version))
-        # Read back with the known schemas (no footer-reading job per table).
-        staged = {name: self.spark.read.schema(df.schema).parquet(self.table_path(name, version))
-                  for name, df in tables.items()}
-        if checks is not None:
-            # One job for all checks: the violation count of each.
-            counted = [v.groupBy().agg(F.count(F.lit(1)).alias("n")).select(F.lit(n).alias("check"), "n")
-                       for n, v in checks(staged).items()]
-            found = reduce(DataFrame.unionByName, counted).collect() if counted else []
-            bad = sorted(f"{r.check} ({r.n})" for r in found if r.n)
+        folder = uuid.uuid4().hex
+        path = f"{self.root}/data/{folder}"
+        try:
+            for name, df in tables.items():
+                df.write.parquet(f"{path}/{name}")
+            # Read back with the known schemas (no footer-reading job per table).
+            staged = {name: self.spark.read.schema(df.schema).parquet(f"{path}/{name}") for name, df in tables.items()}
+            # One job: the violation count of each check and the row count of each table.
+            count = F.count(F.lit(1)).alias("n")
+            asked = {("check", n): v for n, v in (checks(staged) if checks else {}).items()} | {("table", n): t for n, t in staged.items()}
+            counted = [v.groupBy().agg(count).select(F.lit(kind).alias("kind"), F.lit(n).alias("name"), "n") for (kind, n), v in asked.items()]
+            found = {(r.kind, r.name): r.n for r in reduce(DataFrame.unionByName, counted).collect()}
+            bad = sorted(f"{n} ({k})" for (kind, n), k in found.items() if kind == "check" and k)
             if bad:
-                raise PublishError(f"version {version} not published, failed checks: {bad}")
-        # One job counts every written table and appends the commit record.
-        counts = [staged[name].groupBy().agg(F.count(F.lit(1)).alias("rows"))
-                              .select(F.lit(version).cast("long").alias("version"),
-                                      F.lit(name).alias("table_name"), "rows",
-                                      F.lit(tables[name].schema.json()).alias("schema_json"))
-                  for name in tables]
-        reduce(DataFrame.unionByName, counts).coalesce(1).write.mode("append").parquet(self.commits_path)
-        return version
+                raise PublishError(f"not published, failed checks: {bad}")
+            return self._commit(folder, {n: found["table", n] for n in tables}, {n: df.schema for n, df in tables.items()})
+        except BaseException:
+            delete(self.spark, path)
+            raise
