@@ -70,4 +70,33 @@ SELECT page_id, strlen(payload)::BIGINT AS payload_bytes,
 FROM digests
 """
 
-ORACLE: dict[str, str] = {"op4_line_dedup": OP4, "op5_mix_sources": OP5, "op9_warc": OP9}
+OP8 = """
+WITH v AS (
+  SELECT vec_id, list_transform(embedding, lambda x: floor(64 * x::DOUBLE)) AS q FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), scored AS (
+  SELECT a.vec_id AS query_id, b.vec_id, list_dot_product(a.q, b.q)::BIGINT AS score FROM v a JOIN v b ON a.vec_id % 20 = 0 AND a.vec_id <> b.vec_id
+)
+SELECT query_id, (row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id))::INTEGER AS rank, vec_id, score FROM scored QUALIFY rank <= 20
+"""
+
+OP10 = r"""
+WITH RECURSIVE words AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents
+), sets AS (
+  SELECT doc_id, list_distinct(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
+                               ELSE [array_to_string(w[i:i + 4], ' ') for i in range(1, len(w) - 3)] END) AS s FROM words
+), items AS (
+  SELECT doc_id, len(s) AS n, unnest(s) AS x FROM sets
+), pairs AS (
+  SELECT a.doc_id AS a, b.doc_id AS b FROM items a JOIN items b ON a.x = b.x AND a.doc_id < b.doc_id AND 5 * a.n >= 4 * b.n AND 5 * b.n >= 4 * a.n
+  GROUP BY a.doc_id, b.doc_id, a.n, b.n HAVING 100 * count(*) >= 80 * (a.n + b.n - count(*))
+), links AS (
+  SELECT a, b FROM pairs UNION ALL SELECT b, a FROM pairs
+), reach(a, b) AS (
+  SELECT doc_id, doc_id FROM sets UNION SELECT r.a, l.b FROM reach r JOIN links l ON l.a = r.b
+)
+SELECT doc_id, len(s)::BIGINT AS n_shingles, least AS component_id FROM sets JOIN (SELECT a, min(b) AS least FROM reach GROUP BY a) ON a = doc_id
+"""
+
+ORACLE: dict[str, str] = {"op4_line_dedup": OP4, "op5_mix_sources": OP5, "op8_exact_topk": OP8, "op9_warc": OP9, "op10_jaccard_join": OP10}
