@@ -2,9 +2,8 @@
 
 * Centroids come from a bounded sample (``SAMPLE``) by k-means that splits clusters until
   none is larger than a list should be, so the lists are balanced. Every vector is indexed.
-* Boundary vectors are written to several lists: those of the centroids within a distance
-  ratio of the nearest one, skipping a centroid that lies nearer to a list already chosen
-  than to the vector.
+* Boundary vectors are written to several lists: those of the nearest centroids within a
+  distance ratio of the nearest one, at most ``REPLICAS``.
 * Centroids (at most ``LISTS``) are searched by a graph in memory: each knows its nearest
   neighbours, and a beam walks it from a few entry points, many queries at a time.
 * A query reads the lists whose centroid is within a distance ratio of its nearest one.
@@ -36,7 +35,7 @@ from voltcube.llm.common import cut, drop_path
 #: Vectors the centroids are fitted on (about), vectors of a list, and lists at most (they may get larger).
 SAMPLE, LIST, LISTS = 32_768, 1024, 4096
 #: Lists of a vector at most, and the distance ratios that choose lists for vectors and for queries.
-REPLICAS, CLOSURE, PROBE = 3, 1.03, 1.2
+REPLICAS, CLOSURE, PROBE = 2, 1.01, 1.12
 #: Neighbours of a centroid in the graph, and the beam of a walk (at least; it is widened to a share of the lists).
 DEGREE, BEAM, BEAM_SHARE = 16, 64, 0.8
 
@@ -122,13 +121,7 @@ class CentroidGraph:
         ids, dist = self.walk(x, 16)
         take = np.isfinite(dist) & (dist <= ratio * dist[:, :1] + 1e-12)
         take[:, 0] = True
-        for j in range(1, ids.shape[1]):
-            at = np.minimum(ids[:, j], len(self.centroids) - 1)
-            for i in range(j):
-                c = np.minimum(ids[:, i], len(self.centroids) - 1)
-                near = ((self.centroids[at] - self.centroids[c]) ** 2).sum(1) < dist[:, j] ** 2
-                take[:, j] &= ~(take[:, i] & near)
-            take[:, j] &= take[:, :j].sum(1) < replicas
+        take[:, replicas:] = False
         return np.nonzero(take)[0], ids[take]
 
 
