@@ -1,6 +1,6 @@
 """Operator 7: quality classifier on supervised subword embeddings.
 
-A document is the mean of the vectors of its hashed words and character n-grams; a
+A document is the mean of the vectors of its hashed words, word pairs and character n-grams; a
 softmax layer on it gives the label. Vectors and layer are learned together by numpy
 stochastic gradient descent on a bounded sample of labelled documents (``SAMPLE``, the
 smallest hashes of doc_id; whole texts, hashed to features on the executors). As the
@@ -28,12 +28,17 @@ from voltcube.llm.common import add_columns, small_batches, with_fields
 #: Labelled documents that are learned from, at most; those of either label come by the same rule.
 SAMPLE = 3000
 ORDERS, BITS, DIM, EPOCHS, RATE = (3, 4), 17, 16, 8, 0.5
+#: Buckets of word pairs.
+SAME, OTHER = 0, 1
 
 
 def features(text: str, orders=ORDERS, bits=BITS) -> np.ndarray:
-    """Buckets of the text's words and character n-grams (a short text's only; see ``pieces_of``)."""
+    """Buckets of the text's words, word pairs (whether a word repeats the one before) and character n-grams
+    (a short text's only; see ``pieces_of``)."""
     cp = chars.raw_points(text)
-    return np.concatenate([chars.word_buckets(cp, bits), *(chars.ngram_buckets(cp, n, bits) for n in orders)])
+    words = chars.word_buckets(cp, bits)
+    pairs = np.where(words[1:] == words[:-1], SAME, OTHER).astype(np.uint32)
+    return np.concatenate([words, pairs, *(chars.ngram_buckets(cp, n, bits) for n in orders)])
 
 
 def pieces_of(text: str):
