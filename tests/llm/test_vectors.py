@@ -128,3 +128,27 @@ def test_balanced_lists_and_graph():
     assert n.min() >= 1 and n.max() <= 3 and n.max() > 1 and len(set(zip(rows, lists, strict=True))) == len(rows)
     one = ann.CentroidGraph.build(np.zeros((1, 3)))
     assert one.walk(np.ones((2, 3)))[0].tolist() == [[0], [0]]
+
+
+@pytest.mark.parametrize("search", [topk.search, lambda df, **a: ann.search(df, probe=99, **a)])
+def test_repeated_rows_count_once(spark, monkeypatch, search):
+    monkeypatch.setattr(tiles, "TILE_VECTORS", 100)
+    monkeypatch.setattr(tiles, "TILE_QUERIES", 7)
+    vectors = {i: v.astype(float) for i, v in clustered(400, 6).items()}
+    hot = [(7, (3 + j % 40 / 40) * vectors[7]) for j in range(200)]           # one id fills many places
+    df = frame(spark, vectors, repeat=[*vectors.items(), *hot])
+    got = found(search(df, k=20, every=20))
+    rows = [(i, v.astype(np.float32).astype(float)) for i, v in [*vectors.items(), *hot]]
+    for q in range(0, 400, 20):
+        score = {}
+        for i, v in rows:
+            if i != q:
+                score[i] = max(score.get(i, -np.inf), float((rows[q][1] * v).sum()))
+        assert got[q] == sorted(score.items(), key=lambda x: (-x[1], x[0]))[:20]
+
+
+def test_tile_takes_distinct_ids():
+    ids = np.repeat(np.arange(40), 3)
+    x = np.column_stack([ids + np.tile([0.0, 0.25, 0.25], 40), np.ones(120)])
+    q, v, s = tiles.best(ids, x, np.array([39]), np.array([[1.0, 0.0]]), np.array([-np.inf]), 20)
+    assert v.tolist() == list(range(38, 18, -1)) and s.tolist() == [i + 0.25 for i in v] and set(q) == {39}

@@ -178,7 +178,8 @@ def search(df: DataFrame, *, vec_id: str = "vec_id", vector: str = "embedding",
     fields = "cell int, query_id long, v binary, floor double"
     queries = vectors.filter(F.col("vec_id") % every == 0).select(F.col("vec_id").alias("query_id"), "v", F.lit(float("-inf")).alias("floor"))
     near, near_path = cut(spark, tiles.score(lists, queries.mapInArrow(ask(True), fields), dim, k), "ann-near")
-    kth = (near.withColumn("r", F.row_number().over(W.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))).filter(F.col("r") == k)
+    kth = (near.groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
+               .withColumn("r", F.row_number().over(W.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))).filter(F.col("r") == k)
                .select("query_id", F.col("score").alias("low")))
     rest = queries.drop("floor").join(kth, "query_id", "left").select("query_id", "v", F.coalesce("low", F.lit(float("-inf"))).alias("floor"))
     found, _ = cut(spark, near.unionByName(tiles.score(lists, rest.mapInArrow(ask(False), fields), dim, k)), "ann-found")

@@ -50,21 +50,32 @@ def matrix(col: pa.Array | pa.ChunkedArray, dim: int) -> np.ndarray:
 
 
 def best(ids: np.ndarray, vectors: np.ndarray, query_ids: np.ndarray, queries: np.ndarray, floor: np.ndarray, k: int):
-    """The k best of each query in one tile that reach its floor: three arrays. Ties go to the smaller id."""
+    """The k best ids of each query in one tile that reach its floor: three arrays. Rows repeating an id count
+    once, with their best score. Ties go to the smaller id."""
     out_q, out_v, out_s = [], [], []
+    repeated = len(np.unique(ids)) < len(ids)
+    if repeated:                                                  # of equal rows one; the rows of an id lie together
+        once = np.array(list({(i, x.tobytes()): at for at, (i, x) in enumerate(zip(ids.tolist(), vectors, strict=True))}.values()))
+        once = once[np.argsort(ids[once], kind="stable")]
+        ids, vectors = ids[once], vectors[once]
+        first = np.flatnonzero(np.concatenate([[True], ids[1:] != ids[:-1]]))
     for at in range(0, len(query_ids), 256):
         rough = queries[at:at + 256] @ vectors.T
         for j, row in enumerate(rough):
             q = query_ids[at + j]
             row[ids == q] = -np.inf
-            low = np.partition(row, -k)[-k] if len(row) > k else -np.inf
+            each = np.maximum.reduceat(row, first) if repeated else row
+            low = np.partition(each, -k)[-k] if len(each) > k else -np.inf
             low = max(low, floor[at + j])
             low -= 1e-9 * (1 + abs(low)) if np.isfinite(low) else 0
             near = np.flatnonzero((row >= low) & (row > -np.inf))
             if not len(near):
                 continue
             score = (vectors[near] * queries[at + j]).sum(1)      # the same sum for equal vectors, wherever they are
-            top = np.lexsort((ids[near], -score))[:k]
+            top = np.lexsort((ids[near], -score))
+            if repeated:
+                top = top[np.sort(np.unique(ids[near][top], return_index=True)[1])]
+            top = top[:k]
             out_q.append(np.full(len(top), q))
             out_v.append(ids[near][top])
             out_s.append(score[top])
