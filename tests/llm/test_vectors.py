@@ -152,3 +152,19 @@ def test_tile_takes_distinct_ids():
     x = np.column_stack([ids + np.tile([0.0, 0.25, 0.25], 40), np.ones(120)])
     q, v, s = tiles.best(ids, x, np.array([39]), np.array([[1.0, 0.0]]), np.array([-np.inf]), 20)
     assert v.tolist() == list(range(38, 18, -1)) and s.tolist() == [i + 0.25 for i in v] and set(q) == {39}
+
+
+def test_ann_goes_on_until_full(spark, monkeypatch):
+    monkeypatch.setattr(ann, "LIST", 40)
+    rng = np.random.default_rng(3)
+    unit = lambda x: (x / np.linalg.norm(x)).astype(np.float32)
+    vectors = {i: unit([*rng.normal(size=12), 0, 0, 0]) for i in range(2000)}
+    vectors |= {2000: unit([0] * 12 + [1, 0, 0])}                                                       # a lone vector
+    vectors |= {2020 + i: unit([0] * 13 + [1, 1e-4 * i]) for i in range(8)}                             # a few near copies
+    vectors |= {2040 + i: unit([0] * 12 + [1, 1, 1]) for i in range(15)}                                # and equal ones
+    got = found(ann.search(frame(spark, vectors), k=20, every=20))
+    want = brute.top_k({i: v.astype(float) for i, v in vectors.items()}, k=20, every=20, score=lambda x, y: float((x * y).sum()))
+    assert got.keys() == want.keys() and all(len(r) == 20 for r in got.values())
+    assert {i for i, _ in got[2020][:7]} == set(range(2021, 2028)) and {i for i, _ in got[2040][:14]} == set(range(2041, 2055))
+    few = {i: unit(rng.normal(size=6)) for i in range(9)}
+    assert {q: len(r) for q, r in found(ann.search(frame(spark, few), k=20, every=2)).items()} == dict.fromkeys(range(0, 9, 2), 8)

@@ -6,7 +6,9 @@
   distance ratio of the nearest one, at most ``REPLICAS``.
 * Centroids (at most ``LISTS``) are searched by a graph in memory: each knows its nearest
   neighbours, and a beam walks it from a few entry points, many queries at a time.
-* A query reads the lists whose centroid is within a distance ratio of its nearest one.
+* A query reads the lists whose centroid is within a distance ratio of the first one up to
+  which the lists hold more than k vectors (its nearest one, unless that is a small list).
+  Queries still without k results go on through the lists in order of distance.
 
 Inner products become distances by one more component, sqrt(M^2 - |x|^2), that gives all
 vectors the largest norm. Scores are inner products of the original vectors in double
@@ -15,7 +17,7 @@ the k-th score found there.
 
 Defined results: null ids, null or zero vectors, null or non-finite components and vectors
 of another dimension than most take no part; rows repeating a vec_id count as one candidate
-with its best score; fewer candidates than k give all that is found; an empty table gives an
+with its best score; fewer candidates than k are all returned; an empty table gives an
 empty result. Extra columns are ignored.
 """
 
@@ -35,9 +37,11 @@ from voltcube.llm.common import cut, drop_path
 #: Vectors the centroids are fitted on (about), vectors of a list, and lists at most (they may get larger).
 SAMPLE, LIST, LISTS = 32_768, 1024, 4096
 #: Lists of a vector at most, and the distance ratios that choose lists for vectors and for queries.
-REPLICAS, CLOSURE, PROBE = 2, 1.01, 1.12
+REPLICAS, CLOSURE, PROBE = 2, 1.01, 1.2
 #: Neighbours of a centroid in the graph, and the beam of a walk (at least; it is widened to a share of the lists).
 DEGREE, BEAM, BEAM_SHARE = 16, 64, 0.8
+#: Lists opened at least for a query that lacks results; each further round opens as many times more.
+MORE = 8
 
 
 def balanced_centroids(x: np.ndarray, lists: int, seed: int = 1) -> np.ndarray:
@@ -116,6 +120,12 @@ class CentroidGraph:
         ids, dist = np.take_along_axis(ids, order, 1), np.take_along_axis(dist, order, 1)
         return ids, np.sqrt(np.maximum(dist + (x ** 2).sum(1)[:, None], 0))
 
+    def all(self, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """All centroids and their distances, nearest first."""
+        d = np.maximum((self.centroids ** 2).sum(1) - 2 * x @ self.centroids.T + (x ** 2).sum(1)[:, None], 0)
+        ids = d.argsort(1)
+        return ids, np.sqrt(np.take_along_axis(d, ids, 1))
+
     def lists_of(self, x: np.ndarray, replicas: int, ratio: float) -> tuple[np.ndarray, np.ndarray]:
         """(row, list) pairs of the lists that hold each vector."""
         ids, dist = self.walk(x, 16)
@@ -159,17 +169,28 @@ def search(df: DataFrame, *, vec_id: str = "vec_id", vector: str = "embedding",
 
     lists, lists_path = cut(spark, vectors.mapInArrow(post, "cell int, vec_id long, v binary"), "ann-lists")
 
-    def ask(first: bool):
+    size = np.zeros(len(graph.centroids) + 1, np.int64)          # the last one stands for missing lists
+    for r in lists.groupBy("cell").agg(F.count_distinct("vec_id").alias("c")).collect():
+        size[r.cell] = r.c
+
+    def ask(least: int):
+        """The nearest list (0), the others within the ratio (1), or at least so many, looking at all."""
         def run(batches):
             for b in batches:
                 x, floor = tiles.matrix(b.column("v"), dim), b.column("floor").to_numpy()
                 for at in range(0, len(x), 512):
                     y = x[at:at + 512]
-                    ids, dist = shared.value.walk(np.hstack([y, np.zeros((len(y), 1))]))
-                    take = np.isfinite(dist) & (dist <= probe * dist[:, :1] + 1e-12)
-                    take[:, 0] = first
-                    if first:
-                        take[:, 1:] = False
+                    y = np.hstack([y, np.zeros((len(y), 1))])
+                    ids, dist = shared.value.all(y) if least > 1 else shared.value.walk(y)
+                    if least:
+                        # The ratio is to the list that completes k, or to the last one that is to be opened.
+                        filled = (size[ids].cumsum(1) <= k).sum(1)
+                        base = np.minimum(np.maximum(filled, least - 1), np.isfinite(dist).sum(1) - 1)
+                        take = np.isfinite(dist) & (dist <= probe * np.take_along_axis(dist, base[:, None], 1) + 1e-12)
+                        take[:, 0] = least > 1
+                    else:
+                        take = np.zeros(ids.shape, bool)
+                        take[:, 0] = True
                     rows = at + np.nonzero(take)[0]
                     yield pa.record_batch({"cell": pa.array(ids[take], pa.int32()), "query_id": b.column("query_id").take(pa.array(rows)),
                                            "v": b.column("v").take(pa.array(rows)), "floor": pa.array(floor[rows])})
@@ -177,12 +198,26 @@ def search(df: DataFrame, *, vec_id: str = "vec_id", vector: str = "embedding",
 
     fields = "cell int, query_id long, v binary, floor double"
     queries = vectors.filter(F.col("vec_id") % every == 0).select(F.col("vec_id").alias("query_id"), "v", F.lit(float("-inf")).alias("floor"))
-    near, near_path = cut(spark, tiles.score(lists, queries.mapInArrow(ask(True), fields), dim, k), "ann-near")
+    near, near_path = cut(spark, tiles.score(lists, queries.mapInArrow(ask(0), fields), dim, k), "ann-near")
     kth = (near.groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
                .withColumn("r", F.row_number().over(W.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))).filter(F.col("r") == k)
                .select("query_id", F.col("score").alias("low")))
     rest = queries.drop("floor").join(kth, "query_id", "left").select("query_id", "v", F.coalesce("low", F.lit(float("-inf"))).alias("floor"))
-    found, _ = cut(spark, near.unionByName(tiles.score(lists, rest.mapInArrow(ask(False), fields), dim, k)), "ann-found")
-    for p in (path, lists_path, near_path):
+    found, found_path = cut(spark, near.unionByName(tiles.score(lists, rest.mapInArrow(ask(1), fields), dim, k)), "ann-found")
+    paths, least, want = [path, lists_path, near_path], MORE, k
+
+    def short() -> DataFrame:
+        held = found.groupBy("query_id").agg(F.count_distinct("vec_id").alias("held"))
+        return queries.join(held, "query_id", "left").filter(F.coalesce("held", F.lit(0)) < want).drop("held")
+
+    lacking = short().head() is not None
+    if lacking:          # no query can have more than the other ids of the table
+        want = min(k, vectors.select("vec_id").distinct().limit(k + 1).count() - 1)
+    while lacking and least < MORE * len(size):
+        paths.append(found_path)
+        found, found_path = cut(spark, found.unionByName(tiles.score(lists, short().mapInArrow(ask(least), fields), dim, k)), "ann-found")
+        least *= MORE
+        lacking = short().head() is not None
+    for p in paths:
         drop_path(spark, p)
     return tiles.top(found, k)
