@@ -143,3 +143,22 @@ def test_components(spark, shape):
             parent[max(x, y)] = min(x, y)
     got = [(r.node, r.component) for r in components(spark.createDataFrame(edges, "a long, b long")).collect()]
     assert sorted(got) == sorted((x, root(x)) for x in parent)
+
+
+def test_tiles_of_boilerplate_stay_small(spark, monkeypatch):
+    """Documents that share most tokens but do not link: no tile holds all of a token's nodes."""
+    monkeypatch.setattr(jaccard, "TILE", 16)
+    monkeypatch.setattr(jaccard, "SPINE", 2)
+    largest, links = [], jaccard._links
+
+    def spy(tiles, more, partitions):
+        largest.append(tiles.groupBy("tile").agg(F.count_distinct("node").alias("c")).agg(F.max("c")).head()[0] or 0)
+        return links(tiles, more, partitions)
+
+    monkeypatch.setattr(jaccard, "_links", spy)
+    rng = random.Random(4)
+    base = [f"w{rng.randrange(10**6)}" for _ in range(484)]
+    docs = [(i, " ".join(base + [f"o{i} {rng.randrange(10**9)}" for _ in range(52)])) for i in range(160)]
+    got = check(spark, docs)
+    assert len({c for _, c in got.values()}) == len(docs)
+    assert max(largest[:2]) > 16 and max(largest) <= 5 * 16

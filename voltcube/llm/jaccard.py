@@ -11,12 +11,12 @@ sets are one node. Links are all pairs with 100 * intersection >= 80 * union.
    band 4/5 to 5/4; sorted by size, that is a look at the neighbours.
 3. Signatures. The nodes of a token are a tile, taken in the order of their sizes; pairs that
    sizes and signatures allow to link connect them, whatever connects them already being left
-   out. Tokens of more nodes than a tile takes are salted; then each node outside the token's
-   largest component meets all its tiles.
+   out. Tokens of more nodes than a tile takes are salted; then the nodes outside the token's
+   largest component meet all its nodes, two blocks to a tile.
 4. Exact intersections. The components of what may link are clusters. Only their nodes' sets
    are fetched, and each cluster is a tile, in which pairs are tested by size, signature and
    exact intersection of sorted arrays. A cluster larger than a tile is cut into blocks that
-   share a few nodes; then each node outside its largest component meets all its blocks.
+   share a few nodes; then the nodes outside its largest component meet all its nodes likewise.
 
 A signature is the parity bitmap of the hashed shingles, as wide as the set is large; the
 bits in which two differ are at most the shingles in which the sets differ, so
@@ -332,6 +332,18 @@ def _outer(rows: DataFrame, key: str) -> DataFrame:
     return rows.join(per.filter("r > 1").select(key, "largest"), key).withColumn("outer", F.col("component") != F.col("largest"))
 
 
+def _meetings(rows: DataFrame, key: str) -> DataFrame:
+    """Rows of ``_outer`` with their tiles, in which each outer node meets all nodes of its key. Outer nodes and others
+    are cut into blocks of about TILE nodes; a tile is two blocks, of which one at least is of outer nodes."""
+    outer = F.count_if("outer")
+    blocks = rows.groupBy(key).agg(F.ceil((F.count("*") - outer) / TILE).alias("inner"), F.ceil(outer / TILE).alias("parts"))
+    own = lambda of: F.pmod(F.xxhash64("node", F.lit(11)), F.greatest(F.col(of), F.lit(1)))
+    rows = rows.join(blocks, key).withColumn("block", F.when(F.col("outer"), F.col("inner") + own("parts")).otherwise(own("inner")))
+    first = F.when(F.col("outer"), F.lit(0).cast("long")).otherwise(F.col("inner"))
+    rows = rows.withColumn("met", F.explode(F.sequence(first, F.col("inner") + F.col("parts") - 1)))
+    return rows.withColumn("tile", F.xxhash64(key, F.least("block", "met"), F.greatest("block", "met")))
+
+
 def _in(rows: DataFrame, comp: DataFrame) -> DataFrame:
     """``rows`` with the component of their node (a node without links is its own)."""
     return rows.drop("component").join(comp, "node", "left").withColumn("component", F.coalesce("component", "node"))
@@ -372,7 +384,7 @@ def link_components(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "tex
     comp = keep(components(may), "clusters")
     crowded = keep(_outer(_in(single.filter("salts > 1"), comp), "token"), "crowded")
     if crowded.head() is not None:
-        more = keep(_links(_salted(crowded, "token", "salts", F.col("outer")), sigs, partitions), "may-more")
+        more = keep(_links(_meetings(crowded, "token"), sigs, partitions), "may-more")
         comp = keep(components(comp.select(F.col("node").alias("a"), F.col("component").alias("b")).union(more)), "clusters-more")
     drop("pairs", "may", "crowded")
 
@@ -387,11 +399,7 @@ def link_components(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "tex
     comp = keep(components(links), "components")
     left = keep(_outer(_in(clusters.filter("salts > 1"), comp), "cluster"), "left")
     if left.head() is not None:
-        parts = left.groupBy("cluster").agg(F.ceil(F.count_if("outer") / TILE).alias("parts"))
-        left = left.join(parts, "cluster").withColumn("block", F.pmod(F.xxhash64("node", F.lit(11)), F.col("salts"))).withColumn("part", F.pmod(F.xxhash64("node", F.lit(17)), F.col("parts")))
-        upto = lambda c: F.explode(F.sequence(F.lit(0).cast("long"), F.col(c) - 1))
-        meet = left.withColumn("part", upto("parts")).unionByName(left.filter("outer").withColumn("block", upto("salts")))
-        more = keep(_links(meet.withColumn("tile", F.xxhash64("cluster", "block", "part")), sets, partitions), "links-more")
+        more = keep(_links(_meetings(left, "cluster"), sets, partitions), "links-more")
         comp = keep(components(comp.select(F.col("node").alias("a"), F.col("component").alias("b")).union(more)), "components-more")
     drop("sets", "links", "left", "clustered")
 
