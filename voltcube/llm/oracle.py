@@ -99,4 +99,48 @@ WITH RECURSIVE words AS (
 SELECT doc_id, len(s)::BIGINT AS n_shingles, least AS component_id FROM sets JOIN (SELECT a, min(b) AS least FROM reach GROUP BY a) ON a = doc_id
 """
 
-ORACLE: dict[str, str] = {"op4_line_dedup": OP4, "op5_mix_sources": OP5, "op8_exact_topk": OP8, "op9_warc": OP9, "op10_jaccard_join": OP10}
+OP12 = r"""
+WITH pieces AS (
+  SELECT coalesce(lang, 'und') AS lang,
+         unnest(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece FROM documents
+), words AS (
+  SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM pieces
+), total AS (
+  SELECT lang, sum(len(w))::BIGINT AS n FROM words GROUP BY lang
+), counted AS (
+  SELECT lang, m, phrase, count(*) AS f
+  FROM (SELECT lang, m, unnest([array_to_string(w[i:i + m - 1], ' ') for i in range(1, len(w) - m + 2)]) AS phrase FROM words, range(1, 6) t(m) WHERE len(w) >= m)
+  GROUP BY ALL HAVING count(*) >= 100
+), candidates AS (
+  SELECT lang, phrase, f AS a, string_split(phrase, ' ') AS w FROM counted WHERE m > 1
+), alone AS (
+  SELECT * FROM candidates c WHERE NOT EXISTS (
+    SELECT 1 FROM candidates x WHERE x.lang = c.lang AND len(x.w) > len(c.w) AND 100 * x.a >= 100 * c.a AND contains(' ' || x.phrase || ' ', ' ' || c.phrase || ' '))
+), cuts AS (
+  SELECT c.lang, c.phrase, c.a, k, p.f AS l, s.f AS r, n, ((1000::HUGEINT * c.a * n) // (p.f::HUGEINT * s.f))::BIGINT AS score
+  FROM (SELECT *, unnest(range(1, len(w))) AS k FROM alone) c JOIN total USING (lang)
+  JOIN counted p ON p.lang = c.lang AND p.phrase = array_to_string(w[1:k], ' ')
+  JOIN counted s ON s.lang = c.lang AND s.phrase = array_to_string(w[k + 1:], ' ')
+), worst AS (
+  SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1
+)
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase COLLATE "binary") AS rank, phrase, a, l, r, n, score
+FROM worst QUALIFY rank <= 2000
+"""
+
+OP13 = r"""
+WITH parts AS (
+  SELECT page_id, CASE WHEN contains(url, '://') THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS rest FROM pages
+), urls AS (
+  SELECT page_id, translate(regexp_extract(rest, '^[^/?#]*'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+         regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path FROM parts
+), rules(h, p, v) AS (
+  VALUES ('net', '/', 'block'), ('example.net', '/en/', 'allow'), ('example.com', '/de/', 'block'), ('org', '/fr/', 'allow')
+), judged AS (
+  SELECT u.*, (SELECT arg_max(h || p || ' ' || v, length(h || p)) FROM rules WHERE (host = h OR ends_with(host, '.' || h)) AND starts_with(path, p)) AS won FROM urls u
+)
+SELECT page_id, host, path, string_split(won, ' ')[1] AS rule, coalesce(string_split(won, ' ')[2], 'allow') AS verdict FROM judged
+"""
+
+ORACLE: dict[str, str] = {"op4_line_dedup": OP4, "op5_mix_sources": OP5, "op8_exact_topk": OP8, "op9_warc": OP9, "op10_jaccard_join": OP10,
+                          "op12_phrases": OP12, "op13_url_rules": OP13}

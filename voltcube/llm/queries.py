@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from voltcube.llm import ann, jaccard, langid, linededup, mixing, pieces, quality, sharding, topk, warc
+from voltcube.llm import ann, jaccard, langid, linededup, mixing, phrases, pieces, quality, sharding, topk, urlrules, warc, whitening
 from voltcube.llm.common import cut, ship, table
 from voltcube.session import apply_runtime_conf
 
@@ -83,9 +83,30 @@ def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.link_components(table(spark, sf_dir, "documents", "doc_id", "text"))
 
 
+def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whitened embeddings, fitted on all of them. A deviation beyond 64 bits (of many millions of rows) is null here; the operator's is a decimal."""
+    found = whitening.whiten(table(spark, sf_dir, "embeddings", "vec_id", "embedding"), most=8)
+    return found.withColumn("deviation", F.col("deviation").try_cast("long"))
+
+
+def op12_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Collocations of each language."""
+    return phrases.collocations(table(spark, sf_dir, "documents", "text", "lang"), least=100, top=2000)
+
+
+#: Rules (host, path, verdict) that op13 applies; any other table of them will do.
+URL_RULES = [("net", "/", "block"), ("example.net", "/en/", "allow"), ("example.com", "/de/", "block"), ("org", "/fr/", "allow")]
+
+
+def op13_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Verdict of every page's URL."""
+    rules = spark.createDataFrame(URL_RULES, "host string, path string, verdict string")
+    return urlrules.judge(table(spark, sf_dir, "pages", "page_id", "url"), rules).select("page_id", "host", "path", "rule", "verdict")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op1_nearest_neighbours, op2_histogram_shard, op3_sentencepiece, op4_line_dedup, op5_mix_sources, op6_language_id, op7_quality,
-                              op8_exact_topk, op9_warc, op10_jaccard_join)}
+                              op8_exact_topk, op9_warc, op10_jaccard_join, op11_whitening, op12_phrases, op13_url_rules)}
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
