@@ -55,7 +55,7 @@ class Sizes:
     """Memory of the passes; results are the same for any."""
     chunk: int = 1 << 21           # words of a chunk
     vocabulary: int = 1 << 19      # distinct words after which a chunk ends too
-    counters: int = 1 << 19        # counters of a summary, about
+    counters: int = 1 << 19        # counters of a summary, about; phrases that a task counts at a time
     slack: float = 4               # capacity over mass / least
 
 
@@ -237,26 +237,51 @@ def survivors(texts: DataFrame, orders: tuple[int, ...], words: int, least: int,
         slack *= 2
 
 
+class Counts:
+    """Exact counts of a task's phrases, of each one its text (kept once) and length."""
+
+    def __init__(self):
+        self.keys, self.n, self.m = np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int32)
+        self.lang, self.text = np.zeros(0, object), np.zeros(0, object)
+
+    def add(self, chunk: Chunk, m: int, at: np.ndarray, h: np.ndarray) -> None:
+        """Phrases of ``m`` words that start at ``at``."""
+        keys, first, times = np.unique(h, return_index=True, return_counts=True)
+        place = np.searchsorted(self.keys, keys)
+        old = np.zeros(len(keys), bool)
+        inside = place < len(self.keys)
+        old[inside] = self.keys[place[inside]] == keys[inside]
+        self.n[place[old]] += times[old]
+        new, where = at[first[~old]], place[~old]
+        texts, langs = np.empty(len(new), object), np.empty(len(new), object)
+        texts[:] = [chunk.text(i, m).decode("utf-8", "surrogatepass") for i in new]
+        langs[:] = [chunk.langs[i] for i in chunk.lang[new]]
+        self.keys, self.n = np.insert(self.keys, where, keys[~old]), np.insert(self.n, where, times[~old])
+        self.m, self.text, self.lang = np.insert(self.m, where, m), np.insert(self.text, where, texts), np.insert(self.lang, where, langs)
+
+    def rows(self) -> pa.RecordBatch:
+        return pa.record_batch({"lang": pa.array(self.lang, pa.string()), "m": pa.array(self.m, pa.int32()), "phrase": pa.array(self.text, pa.string()), "f": pa.array(self.n, pa.int64())})
+
+
 def count_exactly(texts: DataFrame, known: Bitmap, least: int, sizes: Sizes) -> DataFrame:
     """(lang, m, phrase, f) of every phrase of at least ``least`` occurrences, and all words of each lang as m = 0."""
     shared = texts.sparkSession.sparkContext.broadcast(known)
 
     def emit(batches):
+        counts = Counts()
         for chunk in chunks(batches, sizes):
             n = np.bincount(chunk.lang, minlength=len(chunk.langs))
             yield pa.record_batch({"lang": pa.array(chunk.langs, pa.string()), "m": pa.array(np.zeros(len(n), np.int32)),
                                    "phrase": pa.array([""] * len(n), pa.string()), "f": pa.array(n.astype(np.int64))})
-            pair = None
             for m in range(1, LONGEST + 1):
-                at, h = _within(chunk, m, pair)
+                at, h = _within(chunk, m, shared.value)
                 there = shared.value.has(h)
-                at, h = at[there], h[there]
-                _, first, times = np.unique(h, return_index=True, return_counts=True)
-                at = at[first]
-                yield pa.record_batch({"lang": pa.array([chunk.langs[i] for i in chunk.lang[at]], pa.string()), "m": pa.array(np.full(len(at), m, np.int32)),
-                                       "phrase": pa.array([chunk.text(i, m).decode("utf-8", "surrogatepass") for i in at], pa.string()), "f": pa.array(times.astype(np.int64))})
-                if m == 1:
-                    pair = shared.value          # an exact phrase has only surviving pairs
+                counts.add(chunk, m, at[there], h[there])
+            if len(counts.keys) >= sizes.counters:
+                yield counts.rows()
+                counts = Counts()
+        if len(counts.keys):
+            yield counts.rows()
 
     rows = texts.mapInArrow(emit, "lang string, m int, phrase string, f long")
     return rows.groupBy("lang", "m", "phrase").agg(F.sum("f").alias("f")).filter((F.col("f") >= least) | (F.col("m") == 0))
