@@ -4,18 +4,21 @@ A phrase is 1 to 5 words in a row within a piece of a text, by language. Only ph
 ``least`` occurrences matter, and all their parts are as frequent, so:
 
 1. Each task adds up the phrases of its texts, chunk by chunk (64-bit hashes of language and words),
-   and sends them to hash partitions. A partition keeps one Misra-Gries summary: whenever it holds more
-   counters than its capacity, the largest one beyond is taken off all. It drops what it took off at most
-   from any count, and that is less than its mass over its capacity. Capacity exceeds four
+   and sends the sums to hash partitions. A partition keeps one Misra-Gries summary: whenever it holds
+   more counters than its capacity, the largest one beyond is taken off all. It drops what it took off
+   at most from any count, and that is less than its mass over its capacity. Capacity exceeds four
    times mass over ``least``, so every phrase of ``least`` occurrences survives with most of its
    count. Partitions report what they took off; should one have taken off ``least`` or more (hashes
    that are dealt very unevenly), the pass is repeated with twice the capacity.
-2. This is done for one and two words first. Phrases of three to five words go into their
-   summaries only if all their word pairs survived.
-3. A pass over the texts counts the survivors exactly, with their words. Survivors are told to
-   all tasks as a bitmap of fixed size (``BITS``), in which others may pass, but none is missed: what
-   counts is the exact number of occurrences.
-4. Parts are joined to phrases for the score; a phrase inside a longer one of the same count goes.
+2. The sums went through the summaries to files, by partition. A second pass over them counts the
+   survivors exactly. They are told to all tasks as a bitmap of fixed size (``BITS``), in which others
+   may pass, but none is missed: the exact count decides.
+3. This is done for one and two words first. Phrases of three to five words are only summed
+   if all their word pairs are frequent.
+4. Sums name a document (32 bits of its hash) that holds the phrase, and the least one counts: its
+   owner. In a last pass over the texts owners spell their frequent phrases, so that a phrase is
+   sent once, not by every task that meets it.
+5. Parts are joined to phrases for the score; a phrase inside a longer one of the same count goes.
 
 Words: A-Z lower-cased, pieces end at ``[.,;:!?\\x0A-\\x0D]``, words are ``[^\\x20\\x09]+``.
 
@@ -55,7 +58,7 @@ class Sizes:
     """Memory of the passes; results are the same for any."""
     chunk: int = 1 << 21           # words of a chunk
     vocabulary: int = 1 << 19      # distinct words after which a chunk ends too
-    counters: int = 1 << 19        # counters of a summary, about; phrases that a task counts at a time
+    counters: int = 1 << 19        # counters of a summary, about; phrases that a task adds up at a time
     slack: float = 4               # capacity over mass / least
 
 
@@ -81,11 +84,11 @@ class _Ids(dict):
 
 
 class Chunk:
-    """Words of a number of texts as numbers, with the end of each word's piece and its language."""
+    """Words of a number of texts as numbers, with the end of each word's piece, its language and document."""
 
-    def __init__(self, words, langs, ids, ends, lang):
+    def __init__(self, words, langs, ids, ends, lang, doc):
         self.words, self.langs = words, langs               # distinct ones, in the order of their numbers
-        self.ids, self.lang = ids, lang
+        self.ids, self.lang, self.doc = ids, lang, doc
         self.room = ends - np.arange(len(ids))              # words from each one to the end of its piece
         by_word = np.array([xxhash.xxh3_64_intdigest(w) for w in words], np.uint64)
         by_lang = np.array([xxhash.xxh3_64_intdigest(x.encode("utf-8", "surrogatepass"), 7) for x in langs], np.uint64)
@@ -108,13 +111,14 @@ def chunks(batches, sizes: Sizes) -> Iterator[Chunk]:
     words, langs = _Ids(), _Ids()
     ids: list[np.ndarray] = []
     lengths: list[int] = []
-    owners: list[int] = []
+    of_doc: list[tuple[int, int]] = []          # language and hash of each document
     held = 0
 
     def made() -> Chunk:
-        n = np.array(lengths, np.int64)
-        ends = np.repeat(np.cumsum(n), n)
-        return Chunk(list(words), list(langs), np.concatenate(ids), ends, np.repeat(np.array(owners, np.int32), n))
+        n, each = np.array(lengths, np.int64), np.array([len(x) for x in ids])
+        lang, doc = np.array(of_doc, np.int64).T
+        return Chunk(list(words), list(langs), np.concatenate(ids), np.repeat(np.cumsum(n), n),
+                     np.repeat(lang.astype(np.int32), each), np.repeat(doc.astype(np.uint32), each))
 
     for b in small_batches(batches, "text"):
         for t, lang in zip(b.column("text").to_pylist(), b.column("lang").to_pylist(), strict=True):
@@ -125,11 +129,11 @@ def chunks(batches, sizes: Sizes) -> Iterator[Chunk]:
             flat = [w for p in found for w in p]
             ids.append(np.fromiter(map(words.__getitem__, flat), np.int32, len(flat)))
             lengths.extend(map(len, found))
-            owners.extend([own] * len(found))
+            of_doc.append((own, xxhash.xxh32_intdigest(t.encode("utf-8", "surrogatepass"))))
             held += len(flat)
             if held >= sizes.chunk or len(words) >= sizes.vocabulary:
                 yield made()
-                words, langs, ids, lengths, owners, held = _Ids(), _Ids(), [], [], [], 0
+                words, langs, ids, lengths, of_doc, held = _Ids(), _Ids(), [], [], [], 0
     if held:
         yield made()
 
@@ -203,16 +207,25 @@ def _within(chunk: Chunk, order: int, pairs: Bitmap | None) -> tuple[np.ndarray,
     return at[fine], h[fine]
 
 
-def survivors(texts: DataFrame, orders: tuple[int, ...], words: int, least: int, sizes: Sizes, pairs: Bitmap | None = None) -> tuple[DataFrame, str]:
-    """(h) of phrases that may occur ``least`` times: all that do are among them. ``words``: a bound of the texts' words."""
+PART, KEPT, LOST = 0, 1, 2
+
+
+def summarised(texts: DataFrame, orders: tuple[int, ...], words: int, least: int, sizes: Sizes, pairs: Bitmap | None) -> tuple[DataFrame, str]:
+    """(kind, h, v): PART rows are sums of chunks (document << 32 | occurrences), by hash partition; KEPT ones the phrases
+    that may occur ``least`` times, which all that do are among. ``words``: a bound of the texts' words."""
     spark = texts.sparkSession
     shared = spark.sparkContext.broadcast(pairs) if pairs else None
 
     def emit(batches):
         for chunk in chunks(batches, sizes):
             for m in orders:
-                h, n = np.unique(_within(chunk, m, shared.value if shared else None)[1], return_counts=True)
-                yield pa.record_batch({"h": pa.array(h.view(np.int64)), "n": pa.array(n)})
+                at, h = _within(chunk, m, shared.value if shared else None)
+                h, first, n = np.unique(h, return_index=True, return_counts=True)
+                v = chunk.doc[at[first]].astype(np.uint64) << np.uint64(32) | n.astype(np.uint64)
+                yield pa.record_batch({"h": pa.array(h.view(np.int64)), "v": pa.array(v.view(np.int64))})
+
+    def rows(kind: int, h: pa.Array, v: pa.Array) -> pa.RecordBatch:
+        return pa.record_batch({"kind": pa.array(np.full(len(h), kind, np.int8)), "h": h, "v": v})
 
     slack = sizes.slack
     while True:
@@ -223,68 +236,82 @@ def survivors(texts: DataFrame, orders: tuple[int, ...], words: int, least: int,
         def reduce(batches, capacity=capacity):
             s = Summary(capacity)
             for b in batches:
-                s.add(b.column("h").to_numpy(), b.column("n").to_numpy())
+                h, v = b.column("h"), b.column("v")
+                s.add(h.to_numpy(), v.to_numpy() & 0xFFFFFFFF)
+                yield rows(PART, h, v)
             s.merge()
             kept = s.keys[s.counts + s.lost >= least]
-            yield pa.record_batch({"h": pa.array(kept), "lost": pa.nulls(len(kept), pa.int64())})
-            yield pa.record_batch({"h": pa.nulls(1, pa.int64()), "lost": pa.array([s.lost], pa.int64())})
+            yield rows(KEPT, pa.array(kept), pa.array(np.zeros(len(kept), np.int64)))
+            yield rows(LOST, pa.array([0], pa.int64()), pa.array([s.lost], pa.int64()))
 
-        sent = texts.mapInArrow(emit, "h long, n long").repartition(partitions, "h")
-        found, path = cut(spark, sent.mapInArrow(reduce, "h long, lost long"), "phrase-survivors")
-        if (found.agg(F.max("lost")).head()[0] or 0) < least:
-            return found.filter("h is not null").select("h"), path
+        sent = texts.mapInArrow(emit, "h long, v long").repartition(partitions, "h")
+        found, path = cut(spark, sent.mapInArrow(reduce, "kind byte, h long, v long"), "phrase-sums")
+        if (found.filter(F.col("kind") == LOST).agg(F.max("v")).head()[0] or 0) < least:
+            return found, path
         drop_path(spark, path)
         slack *= 2
 
 
-class Counts:
-    """Exact counts of a task's phrases, of each one its text (kept once) and length."""
-
-    def __init__(self):
-        self.keys, self.n, self.m = np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int32)
-        self.lang, self.text = np.zeros(0, object), np.zeros(0, object)
-
-    def add(self, chunk: Chunk, m: int, at: np.ndarray, h: np.ndarray) -> None:
-        """Phrases of ``m`` words that start at ``at``."""
-        keys, first, times = np.unique(h, return_index=True, return_counts=True)
-        place = np.searchsorted(self.keys, keys)
-        old = np.zeros(len(keys), bool)
-        inside = place < len(self.keys)
-        old[inside] = self.keys[place[inside]] == keys[inside]
-        self.n[place[old]] += times[old]
-        new, where = at[first[~old]], place[~old]
-        texts, langs = np.empty(len(new), object), np.empty(len(new), object)
-        texts[:] = [chunk.text(i, m).decode("utf-8", "surrogatepass") for i in new]
-        langs[:] = [chunk.langs[i] for i in chunk.lang[new]]
-        self.keys, self.n = np.insert(self.keys, where, keys[~old]), np.insert(self.n, where, times[~old])
-        self.m, self.text, self.lang = np.insert(self.m, where, m), np.insert(self.text, where, texts), np.insert(self.lang, where, langs)
-
-    def rows(self) -> pa.RecordBatch:
-        return pa.record_batch({"lang": pa.array(self.lang, pa.string()), "m": pa.array(self.m, pa.int32()), "phrase": pa.array(self.text, pa.string()), "f": pa.array(self.n, pa.int64())})
-
-
-def count_exactly(texts: DataFrame, known: Bitmap, least: int, sizes: Sizes) -> DataFrame:
-    """(lang, m, phrase, f) of every phrase of at least ``least`` occurrences, and all words of each lang as m = 0."""
-    shared = texts.sparkSession.sparkContext.broadcast(known)
-
-    def emit(batches):
-        counts = Counts()
+def exact(sums: DataFrame, least: int, sizes: Sizes) -> DataFrame:
+    """(h, f, d) of the phrases of at least ``least`` occurrences: their count and the document that spells them."""
+    spark = sums.sparkSession
+    shared = spark.sparkContext.broadcast(Bitmap.of(sums.filter(F.col("kind") == KEPT)))
+
+    def run(batches):
+        held: list[tuple[np.ndarray, ...]] = []
+        size = 0
+
+        def added():
+            h, f, d = (np.concatenate(x) for x in zip(*held, strict=True))
+            order = np.argsort(h, kind="stable")
+            h, f, d = h[order], f[order], d[order]
+            first = np.flatnonzero(np.concatenate([[True], h[1:] != h[:-1]]))
+            return h[first], np.add.reduceat(f, first), np.minimum.reduceat(d, first)
+
+        for b in batches:
+            h, v = b.column("h").to_numpy(), b.column("v").to_numpy()
+            known = shared.value.has(h.view(np.uint64))
+            held.append((h[known], v[known] & 0xFFFFFFFF, v[known].view(np.uint64) >> np.uint64(32)))
+            size += len(held[-1][0])
+            if size >= 2 * sizes.counters:
+                held = [added()]
+                size = len(held[0][0])
+                if size >= sizes.counters:
+                    yield pa.record_batch({k: pa.array(x.astype(np.int64)) for k, x in zip("hfd", held[0], strict=True)})
+                    held, size = [], 0
+        if size:
+            yield pa.record_batch({k: pa.array(x.astype(np.int64)) for k, x in zip("hfd", added(), strict=True)})
+
+    some = sums.filter(F.col("kind") == PART).select("h", "v").mapInArrow(run, "h long, f long, d long")
+    return some.groupBy("h").agg(F.sum("f").alias("f"), F.min("d").alias("d")).filter(F.col("f") >= least)
+
+
+def spelled(texts: DataFrame, known: DataFrame, sizes: Sizes) -> DataFrame:
+    """(h, lang, m, phrase, n) of the known phrases, spelled by their owners; rows of m = 0 have the words n of a language."""
+    own = Bitmap.of(known.select(F.expr("h ^ shiftleft(d, 32)").alias("h")))
+    shared = texts.sparkSession.sparkContext.broadcast((Bitmap.of(known), own))
+
+    def run(batches):
+        done: set[int] = set()
         for chunk in chunks(batches, sizes):
+            there, mine = shared.value
             n = np.bincount(chunk.lang, minlength=len(chunk.langs))
-            yield pa.record_batch({"lang": pa.array(chunk.langs, pa.string()), "m": pa.array(np.zeros(len(n), np.int32)),
-                                   "phrase": pa.array([""] * len(n), pa.string()), "f": pa.array(n.astype(np.int64))})
+            out = [(None, g, 0, "", int(x)) for g, x in zip(chunk.langs, n, strict=True)]
             for m in range(1, LONGEST + 1):
-                at, h = _within(chunk, m, shared.value)
-                there = shared.value.has(h)
-                counts.add(chunk, m, at[there], h[there])
-            if len(counts.keys) >= sizes.counters:
-                yield counts.rows()
-                counts = Counts()
-        if len(counts.keys):
-            yield counts.rows()
-
-    rows = texts.mapInArrow(emit, "lang string, m int, phrase string, f long")
-    return rows.groupBy("lang", "m", "phrase").agg(F.sum("f").alias("f")).filter((F.col("f") >= least) | (F.col("m") == 0))
+                at, h = _within(chunk, m, there)
+                fits = there.has(h)
+                at, h = at[fits], h[fits]
+                fits = mine.has(h ^ (chunk.doc[at].astype(np.uint64) << np.uint64(32)))
+                for i, x in zip(at[fits].tolist(), h[fits].view(np.int64).tolist(), strict=True):
+                    if x not in done:
+                        done.add(x)
+                        out.append((x, chunk.langs[chunk.lang[i]], m, chunk.text(i, m).decode("utf-8", "surrogatepass"), 0))
+            if len(done) > sizes.counters:
+                done.clear()
+            types = (pa.int64(), pa.string(), pa.int32(), pa.string(), pa.int64())
+            yield pa.record_batch([pa.array(c, t) for c, t in zip(zip(*out, strict=True), types, strict=True)], names=["h", "lang", "m", "phrase", "n"])
+
+    return texts.mapInArrow(run, "h long, lang string, m int, phrase string, n long")
 
 
 def frequent(docs: DataFrame, *, text: str = "text", lang: str = "lang", least: int = 100, sizes: Sizes = Sizes()) -> DataFrame:
@@ -292,15 +319,20 @@ def frequent(docs: DataFrame, *, text: str = "text", lang: str = "lang", least:
     spark = docs.sparkSession
     texts = docs.select(F.coalesce(F.col(lang).cast("string"), F.lit(UNKNOWN)).alias("lang"), F.col(text).alias("text"))
     words = texts.agg(F.sum(F.octet_length("text") / 2 + 1).cast("long")).head()[0] or 0     # words are a byte and its end at least
-    short, path = survivors(texts, (1, 2), words, least, sizes)
-    # One bitmap for all lengths: lengths have hashes of their own.
-    pairs = Bitmap.of(short)
-    long, more = survivors(texts, (3, 4, 5), words, least, sizes, pairs)
-    known = Bitmap.of(short.union(long))
-    counted, _ = cut(spark, count_exactly(texts, known, least, sizes), "phrase-counts")
-    drop_path(spark, path)
-    drop_path(spark, more)
-    return counted
+
+    def level(orders: tuple[int, ...], pairs: Bitmap | None) -> DataFrame:
+        sums, path = summarised(texts, orders, words, least, sizes, pairs)
+        found, _ = cut(spark, exact(sums, least, sizes), "phrase-counts")
+        drop_path(spark, path)
+        return found
+
+    short = level((1, 2), None)
+    known = short.union(level((3, 4, 5), Bitmap.of(short)))          # lengths have hashes of their own
+    words_of, _ = cut(spark, spelled(texts, known, sizes), "phrase-texts")
+    texts_of = words_of.filter("m > 0").groupBy("h").agg(F.min(F.struct("lang", "m", "phrase")).alias("t"))
+    phrases = known.join(texts_of.hint("merge"), "h").select("t.*", "f")
+    out, _ = cut(spark, phrases.union(words_of.filter("m = 0").groupBy("lang", "m", "phrase").agg(F.sum("n").alias("f"))), "phrases")
+    return out
 
 
 def collocations(docs: DataFrame, *, text: str = "text", lang: str = "lang", least: int = 100, top: int = 2000, sizes: Sizes = Sizes()) -> DataFrame:
