@@ -19,10 +19,13 @@ SURE = 0.5
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Operator 6: keeps documents whose language is recognised. The model learns from the stage's own rows."""
+    """Operator 6: keeps documents whose language is recognised. The model learns from all of the stage's rows that
+    name their language; where none does, no document is rejected that has a letter."""
     ship(spark)
-    learn = docs.withColumn("held_out", queries.held_out(5, 0)).filter(~F.col("held_out"))
-    found = langid.predict(docs, langid.train(learn))
+    model = langid.train(docs)
+    if not model.langs:
+        return docs.filter(F.col("text").rlike(r"\p{L}"))
+    found = langid.predict(docs, model)
     return found.filter((F.col("lang_pred") != langid.UNDETERMINED) & (F.col("score") >= SURE)).select(*docs.columns)
 
 
