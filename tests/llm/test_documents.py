@@ -166,6 +166,23 @@ def test_quality(spark, edge):
     assert {r.score for r in quality.score(edge, quality.train(edge, labels.limit(0))).collect()} == {0.5}
 
 
+def test_quality_learns_from_one_row_of_a_document_and_a_bounded_sample(spark):
+    docs = spark.range(3000).selectExpr("1L as doc_id", "concat('some text of number ', id) as text").union(
+        spark.createDataFrame([(2, "bad bad bad bad"), (3, None), (4, "a clean text of several words")], "doc_id long, text string"))
+    labels = spark.createDataFrame([(1, 1), (2, 0), (3, 1), (4, 1)], "doc_id long, quality int")
+    seen = []
+    real = quality.sgd
+    try:
+        quality.sgd = lambda rows, **options: seen.append([len(b) for b, _, _ in rows]) or real(rows, **options)
+        quality.train(docs, labels)
+        quality.train(docs, labels, most=seen[0][0])
+        empty = quality.train(docs.limit(0), labels)
+    finally:
+        quality.sgd = real
+    assert len(seen[0]) == 3 and len(seen[1]) < 3 and seen[2] == []
+    assert {r.score for r in quality.score(docs, empty).collect()} == {0.5} and quality.score(docs.limit(0), empty).count() == 0
+
+
 def test_quality_features_of_long_texts_equal_those_of_their_pieces():
     text = "alpha beta\n" * 150_000
     pieces = list(quality.pieces_of(text))

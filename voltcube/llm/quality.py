@@ -2,13 +2,15 @@
 
 A document is the mean of the vectors of its hashed words, word pairs and character n-grams; a
 softmax layer on it gives the label. Vectors and layer are learned together by numpy
-stochastic gradient descent on a bounded sample of labelled documents (``SAMPLE``, the
-smallest hashes of doc_id; whole texts, hashed to features on the executors). As the
+stochastic gradient descent on a bounded sample of labelled documents (at most ``SAMPLE``,
+those of the smallest hashes of doc_id, as far as they have ``FEATURES`` features together;
+whole texts, hashed to features on the executors). As the
 layer is linear in the mean, a document's log-odds are the mean of its features' own
 log-odds: scoring gathers one number per feature, over the whole text.
 
 Defined results: empty and null texts have no features and score 0.5; of repeated
-labels of a document the largest counts; without labelled rows every score is 0.5. Extra
+labels of a document the largest counts, and of rows repeating a labelled doc_id the one of
+the smallest text; without labelled rows every score is 0.5. Extra
 columns are carried; result columns replace input columns of the same name.
 """
 
@@ -23,10 +25,12 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from voltcube.llm import chars
-from voltcube.llm.common import add_columns, small_batches, with_fields
+from voltcube.llm.common import add_columns, cut, drop_path, small_batches, with_fields
 
 #: Labelled documents that are learned from, at most; those of either label come by the same rule.
 SAMPLE = 3000
+#: Features (a bucket and its share) of the sample together, at most: 8 bytes each on the driver.
+FEATURES = 1 << 25
 ORDERS, BITS, DIM, EPOCHS, RATE = (3, 4), 17, 16, 8, 0.5
 #: Buckets of word pairs.
 SAME, OTHER = 0, 1
@@ -93,12 +97,13 @@ def sgd(rows: list[tuple[np.ndarray, np.ndarray, int]], *, bits=BITS, dim=DIM, e
 
 
 def train(docs: DataFrame, labels: DataFrame, *, doc_id: str = "doc_id", text: str = "text", label: str = "quality",
-          sample: int = SAMPLE, orders=ORDERS, bits=BITS, **options) -> QualityModel:
-    """Learns from the sampled labelled documents. Their features (at most ``sample`` rows of at most
-    2**bits buckets) are collected to the driver, where the descent runs."""
+          sample: int = SAMPLE, most: int = FEATURES, orders=ORDERS, bits=BITS, **options) -> QualityModel:
+    """Learns from the sampled labelled documents. Their features (at most ``sample`` rows, and ``most`` features
+    in all of them) are collected to the driver, where the descent runs."""
     lab = (labels.filter(F.col(label).isNotNull() & F.col(doc_id).isNotNull()).groupBy(F.col(doc_id).alias("lab_id"))
                  .agg(F.max(label).cast("int").alias("lab")).orderBy(F.xxhash64("lab_id"), "lab_id").limit(sample))
     rows = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text")).join(F.broadcast(lab), F.col("doc_id") == F.col("lab_id"))
+    rows = rows.groupBy("doc_id", "lab").agg(F.min("text").alias("text"))
 
     def run(batches):
         for b in small_batches(batches, "text"):
@@ -113,7 +118,15 @@ def train(docs: DataFrame, labels: DataFrame, *, doc_id: str = "doc_id", text: s
             yield pa.record_batch({"doc_id": b.column("doc_id"), "lab": b.column("lab"),
                                    "buckets": pa.array(found, pa.list_(pa.int32())), "share": pa.array(times, pa.list_(pa.float32()))})
 
-    got = rows.select("doc_id", "text", "lab").mapInArrow(run, "doc_id long, lab int, buckets array<int>, share array<float>").toArrow().sort_by("doc_id").combine_chunks()
+    made, path = cut(docs.sparkSession, rows.select("doc_id", "text", "lab").mapInArrow(run, "doc_id long, lab int, buckets array<int>, share array<float>"), "quality-sample")
+    sizes, taken, total = made.select("doc_id", F.size("buckets").alias("n"), F.xxhash64("doc_id").alias("h")).collect(), [], 0
+    for r in sorted(sizes, key=lambda r: (r.h, r.doc_id)):
+        total += r.n
+        if total > most:
+            break
+        taken.append(r.doc_id)
+    got = made.filter(F.col("doc_id").isin(taken)).toArrow().sort_by("doc_id").combine_chunks()
+    drop_path(docs.sparkSession, path)
     learn = [(b.values.to_numpy(), s.values.to_numpy(), int(y > 0)) for b, s, y in
              zip(got.column("buckets"), got.column("share"), got.column("lab").to_pylist(), strict=True) if len(b)]
     return QualityModel(sgd(learn, bits=bits, **options), tuple(orders), bits)
