@@ -81,7 +81,8 @@ def test_null_ids_repeats_and_empty(spark):
     got = sorted(((r.doc_id, r.n_shingles, r.component_id) for r in jaccard.link_components(df).collect()), key=str)
     assert got == sorted([(5, 3, 5), (5, 3, 5), (7, 3, 5), (None, 3, 5), (9, 0, 9), (None, 0, None), (8, 1, 8)], key=str)
     kept = sorted(((r.doc_id, r.text) for r in jaccard.keep_one(df).collect()), key=str)
-    assert kept == sorted([(5, text), (None, text), (9, None), (None, ""), (8, "other")], key=str)
+    assert kept == sorted([(5, text), (9, None), (None, ""), (8, "other")], key=str)
+    assert jaccard.keep_one(df.limit(0)).count() == 0
     assert jaccard.link_components(df.limit(0)).count() == 0
 
 
@@ -93,6 +94,14 @@ def test_keep_one(spark):
     assert sorted(r.doc_id for r in out.collect()) == sorted({c for _, c in brute.jaccard_components(docs).values()})
 
 
+def test_rows_that_share_an_id_go_only_by_likeness(spark):
+    a, b, c = "one two three four five six seven", "other words that make up a second text here", "and a third one with words of its own again"
+    df = spark.createDataFrame([(1, a, "x"), (1, b, "x"), (1, b, "y"), (None, c, "x"), (None, c, "x"), (None, a, "z"), (2, b, "x"), (3, None, "x"), (3, None, "x")],
+                               "doc_id long, text string, _at string")
+    kept = sorted(((r.doc_id, r.text) for r in jaccard.keep_one(df).collect()), key=str)
+    assert kept == sorted([(1, a), (1, b), (None, c), (3, None), (3, None)], key=str)
+
+
 def test_a_cluster_over_many_tiles(spark, monkeypatch):
     """Documents that may all link by their signatures, of which only some do: clusters are cut and met again."""
     monkeypatch.setattr(jaccard, "TILE", 10)

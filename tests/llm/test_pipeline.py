@@ -95,3 +95,10 @@ def test_edge_rows(spark, tmp_path):
             assert now.filter("doc_id in (1, 2, 3)").count() == 0
         else:
             assert now.count() == 0
+
+
+def test_documents_stay_where_no_language_is_named(spark):
+    rows = [(i, f"clean words of document {i}", None, "a", 20) for i in range(40)] + [(50, "123 456", None, "a", 7), (51, None, None, "a", 0)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    kept = corpus_pipeline.language(spark, docs, SF)
+    assert kept.columns == COLUMNS and sorted(r.doc_id for r in kept.collect()) == list(range(40))

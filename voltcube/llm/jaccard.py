@@ -39,7 +39,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from voltcube.llm.common import cut, drop_path, small_batches
+from voltcube.llm.common import cut, drop_path, fresh, small_batches
 from voltcube.llm.components import components
 
 SHINGLE = 5
@@ -412,17 +412,16 @@ def link_components(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "tex
 
 
 def keep_one(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """``docs`` with one document of each component, that of the smallest doc_id. Rows without a doc_id stay;
-    rows repeating a
-    doc_id stand or fall together, and one of them stays."""
-    from pyspark.sql import Window as W
-
-    from voltcube.llm.common import fresh
-
-    found = link_components(docs, doc_id=doc_id, text=text)
-    gone = found.filter("doc_id is not null and component_id <> doc_id").select(F.col("doc_id").alias("gone_id")).distinct()
-    (nr,) = fresh(docs, "_nr")
-    known = docs.filter(F.col(doc_id).isNotNull())
-    known = known.join(gone.hint("merge"), F.col(doc_id).cast("long") == F.col("gone_id"), "left_anti")
-    known = known.withColumn(nr, F.row_number().over(W.partitionBy(doc_id).orderBy(text))).filter(F.col(nr) == 1).select(*docs.columns)
-    return known.union(docs.filter(F.col(doc_id).isNull()))
+    """``docs`` with one row of each component, that of the smallest doc_id (rows without one after all others; of
+    equal ids any one, the same in every run over the written rows). Rows count, not ids: rows that share an
+    id but no link all stay, and so does every row without words."""
+    spark = docs.sparkSession
+    nr, at = fresh(docs, "_nr", "_at")
+    # Rows are numbered once and written, so that each keeps its number whatever runs again.
+    rows, _ = cut(spark, docs.withColumn(nr, F.monotonically_increasing_id()), "numbered")
+    found = link_components(rows, doc_id=nr, text=text).select(F.col("doc_id").alias(at), F.col("component_id").alias("_group"))
+    known = found.join(rows.select(F.col(nr).alias(at), F.col(doc_id).alias("_id")).hint("merge"), at)
+    first = F.min(F.struct(F.col("_id").isNull().alias("last"), "_id", at)).alias("first")
+    kept, _ = cut(spark, known.groupBy("_group").agg(first).select(F.col("first")[at].alias(at)), "kept")
+    # What stays grows with the input, so the plan is the same at every size: no broadcast.
+    return rows.join(kept.hint("merge"), F.col(nr) == F.col(at), "left_semi").select(*docs.columns)
