@@ -242,7 +242,7 @@ def test_a_half_written_commit_is_no_version(spark):
     store.publish({"t": df, "u": df})
     fs, p = file_system(spark, f"{store.commits_path}/v00000002.json")
     out = fs.create(p, False)
-    out.write(bytearray(b'{"version": 2, "folder": "x", "tables": 2, "table_name": "t", "rows": 1, "schema_json": "{}"}\n'))
+    out.write(bytearray(b'{"version": 2, "folder": "x", "lines": 2, "table_name": "t", "rows": 1, "schema_json": "{}"}\n'))
     out.close()
     assert store.current_version() == 1
 

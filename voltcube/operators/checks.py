@@ -7,6 +7,7 @@ Each check returns the violating rows or violation counts; an empty result
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -67,6 +68,41 @@ def column_rules(schema: T.StructType, lengths: Mapping[str, int]) -> dict[str,
     return rules
 
 
+def typed_rules(schema: T.StructType, lengths: Mapping[str, int], raw: Mapping[str, str]) -> dict[str, Column]:
+    """The rules of ``column_rules`` for a table that has both the values as they came (``raw``: their column names) and
+    those cast to the declared types, where a value that the type cannot hold is NULL: that breaks the range."""
+    rules = {}
+    for f in schema.fields:
+        came = F.col(raw[f.name])
+        if not f.nullable:
+            rules[f"{f.name}_not_null"] = came.isNull()
+        if f.name in lengths:
+            rules[f"{f.name}_length"] = max_length(f.name, lengths[f.name])
+        if isinstance(f.dataType, T.NumericType):
+            rules[f"{f.name}_range"] = came.isNotNull() & F.col(f.name).isNull()
+    return rules
+
+
+def _counted(table: str, rule: str, violations: DataFrame) -> DataFrame:
+    return violations.groupBy().agg(F.count(F.lit(1)).cast("bigint").alias("violations")).select(
+        F.lit(table).alias("table_name"), F.lit(rule).alias("rule"), "violations")
+
+
+def _references(tables: Mapping[str, DataFrame], name: str, fks: Mapping[str, str]) -> tuple[DataFrame, dict[str, Column]]:
+    """A table with its references looked up, and the rule of each."""
+    met, rules = tables[name], {}
+    for c, dim in fks.items():
+        # The dimension's keys are few and made distinct; an unmet key stays NULL.
+        met = met.join(tables[dim].select(F.col(c).alias(f"_{c}")).where(F.col(f"_{c}").isNotNull()).distinct(), F.col(c) == F.col(f"_{c}"), "left")
+        rules[f"{c}_references_{dim}"] = F.col(c).isNotNull() & F.col(f"_{c}").isNull()
+    return met, rules
+
+
+def _keys(tables: Mapping[str, DataFrame], name: str, pk: Sequence[str], unique: Sequence[str]) -> list[DataFrame]:
+    t = tables[name]
+    return [_counted(name, "primary_key", duplicate_keys(t, pk))] + [_counted(name, f"{u}_unique", duplicate_keys(t.where(F.col(u).isNotNull()), [u])) for u in unique]
+
+
 def constraint_counts(tables: Mapping[str, DataFrame], constraints) -> DataFrame:
     """(table_name, rule, violations) of every constraint of every table:
     column rules and foreign keys in one pass per table, then one count per key
@@ -74,25 +110,22 @@ def constraint_counts(tables: Mapping[str, DataFrame], constraints) -> DataFrame
     columns, foreign keys {column: table}) plus text lengths."""
     specs, lengths = constraints
     parts = []
+    for name, (schema, pk, unique, fks) in specs.items():
+        met, references = _references(tables, name, fks)
+        parts += [violation_counts(met, name, column_rules(schema, lengths) | references), *_keys(tables, name, pk, unique)]
+    return reduce(DataFrame.unionByName, parts)
 
-    def counted(name, rule, violations):
-        return violations.groupBy().agg(F.count(F.lit(1)).cast("bigint").alias("violations")).select(
-            F.lit(name).alias("table_name"), F.lit(rule).alias("rule"), "violations")
 
-    for name, (schema, pk, unique, fks) in specs.items():
-        t = tables[name]
-        rules, met = column_rules(schema, lengths), t
-        for c, dim in fks.items():
-            # The dimension's keys are few and made distinct; an unmet key stays NULL.
-            met = met.join(tables[dim].select(F.col(c).alias(f"_{c}")).where(F.col(f"_{c}").isNotNull()).distinct(), F.col(c) == F.col(f"_{c}"), "left")
-            rules[f"{c}_references_{dim}"] = F.col(c).isNotNull() & F.col(f"_{c}").isNull()
-        parts.append(violation_counts(met, name, rules))
-        parts.append(counted(name, "primary_key", duplicate_keys(t, pk)))
-        parts += [counted(name, f"{u}_unique", duplicate_keys(t.where(F.col(u).isNotNull()), [u])) for u in unique]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+def key_counts(tables: Mapping[str, DataFrame], specs, names: Sequence[str]) -> DataFrame:
+    """The same for the keys and references alone, of the named tables."""
+    parts = []
+    for name in names:
+        _, pk, unique, fks = specs[name]
+        if fks:
+            met, references = _references(tables, name, fks)
+            parts.append(violation_counts(met, name, references))
+        parts += _keys(tables, name, pk, unique)
+    return reduce(DataFrame.unionByName, parts)
 
 
 def profile(df: DataFrame, table: str, key: str, year: str) -> DataFrame:

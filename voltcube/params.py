@@ -124,4 +124,4 @@ ROLE = RoleParams()
 FUZZY_CUTOFF = 0.5
 
 # Changes whenever the code gives stored tables other contents.
-CODE_VERSION = "2"
+CODE_VERSION = "3"

@@ -10,7 +10,7 @@ tables, are written once per input version through a ``VersionedStore``
 
 from __future__ import annotations
 
-from functools import cached_property
+from functools import cached_property, partial
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -21,8 +21,8 @@ from voltcube.operators.joins import first_per_key, lookup
 from voltcube.operators.reshape import columns_matching, pivot_first, pivot_sum, unpivot_columns
 from voltcube.operators.resolve import STEP_NAMES, resolve_exact, resolve_names
 from voltcube.plans.roles import ENERGY_MEASURES, Roles
-from voltcube.plans.stored import read_or_publish
-from voltcube.session import materialize
+from voltcube.plans.stored import at_once, read_or_publish
+from voltcube.sources.store import Load
 
 # Input order of the long EV table (unique per row): "first" rules follow it.
 RAW_EV_ORDER = ("region", "year", "mode", "powertrain", "parameter", "dup")
@@ -54,21 +54,28 @@ class Cleaning:
         first where this input version has none."""
         c = cls(roles or Roles(spark, sf_dir))
 
-        def build() -> dict[str, DataFrame]:
-            made = cls(c.r)
-            made._written = True
-            return {t: getattr(made, t) for t in cls.TABLES}
-
-        for name, df in read_or_publish(c.r, "clean", cls.TABLES, build).items():
+        for name, df in read_or_publish(c.r, "clean", cls.TABLES, lambda load: cls.write(load, c.r)).items():
             c.__dict__[name] = df           # takes the place of the cached property
         return c
 
-    _written = False
+    #: The tables in the order they are written in; those of a step do not depend on each other.
+    STEPS = (("name_map", "ev_filtered", "wb"), ("resolved_names",), ("clean_long",), ("market_clean",), ("infra_clean", "co2_clean", "energy_clean"))
+
+    @classmethod
+    def write(cls, load: Load, roles: Roles) -> None:
+        """Write every table once; later ones are made from those read back."""
+        roles.prepare()
+        made = cls(roles)
+        made._load = load
+        for step in cls.STEPS:
+            at_once([partial(getattr, made, name) for name in step])
+
+    _load: Load | None = None
 
     def _cut(self, df: DataFrame, name: str) -> DataFrame:
-        """While the tables are built: written to the shared folder, so that the
-        flows that share a table do not derive it again."""
-        return materialize(self.r.spark, df, name) if self._written else df
+        """While the tables are written: the table as written, so that the flows that share it do not derive it again."""
+        return self._load.write(name, df) if self._load else df
+
     def _bands(self, df: DataFrame) -> DataFrame:
         return df.withColumns({"half_decade": band("year", self.p.half_decade_bands),
                                "pandemic_period": band("year", self.p.pandemic_bands)})
@@ -87,7 +94,7 @@ class Cleaning:
         u = co2.select("name", "iso_code", pos(0).alias("pos")).unionByName(energy.select("name", "iso_code", pos(1).alias("pos")))
         last = first_per_key(u, ["name"], "pos", ["iso_code"], last=True)
         first = u.groupBy("name").agg(F.min("pos").alias("seq"))
-        return self._cut(last.join(first, "name"), "names")
+        return self._cut(last.join(first, "name"), "name_map")
 
     @cached_property
     def candidates(self) -> DataFrame:
@@ -105,7 +112,7 @@ class Cleaning:
         lo, hi = self.p.study_years
         raw = self.r.raw_ev
         return self._cut(raw.where((F.col("category") == P.HISTORICAL_CATEGORY) & F.col("year").between(lo, hi))
-                            .where(not_in_keep_null("region", P.AGGREGATE_REGIONS)), "ev-filtered")
+                            .where(not_in_keep_null("region", P.AGGREGATE_REGIONS)), "ev_filtered")
 
     @cached_property
     def raw_names(self) -> DataFrame:
@@ -114,7 +121,7 @@ class Cleaning:
 
     @cached_property
     def resolved_names(self) -> DataFrame:
-        return self._cut(resolve_names(self.raw_names, self.candidates), "resolved")
+        return self._cut(resolve_names(self.raw_names, self.candidates), "resolved_names")
 
     @cached_property
     def exact_names(self) -> DataFrame:
@@ -126,7 +133,7 @@ class Cleaning:
         j = self.ev_filtered.join(res, "region")   # unresolved names drop out
         j = j.where(not_in_keep_null("parameter", P.UNWANTED_PARAMETERS))
         return self._cut(j.select("region", "country", "iso_code", "year", "mode", "powertrain", "parameter",
-                                  "dup", "value"), "clean-long")
+                                  "dup", "value"), "clean_long")
 
     # -- F4: split -----------------------------------------------------------
     @cached_property
@@ -164,8 +171,8 @@ class Cleaning:
         stock = self.market_clean.groupBy("iso_code", "year").agg(F.sum("ev_stock").alias("total_stock"))
         w = lookup(w, stock, ["iso_code", "year"])
         w = w.withColumn("charging_points_per_ev", zero_if_invalid(ieee_divide("ev_charging_points", "total_stock")))
-        return w.select("country", "iso_code", "continent", "continent_code", "year", "half_decade", "pandemic_period",
-                        "ev_charging_points", "fast_charging_points", "slow_charging_points", "charging_points_per_ev")
+        return self._cut(w.select("country", "iso_code", "continent", "continent_code", "year", "half_decade", "pandemic_period",
+                                  "ev_charging_points", "fast_charging_points", "slow_charging_points", "charging_points_per_ev"), "infra_clean")
 
     # -- C3 + C6: market ----------------------------------------------------
     @cached_property
@@ -179,7 +186,7 @@ class Cleaning:
         w = lookup(w, self.wb.select("iso_code", "year", F.col("population_wb").alias("population"),
                                      F.col("gdp_wb").alias("gdp")), ["iso_code", "year"])
         return self._cut(w.select("country", "iso_code", "continent", "continent_code", "year", "half_decade", "pandemic_period",
-                                  "vehicle_type", "powertrain", *names, "population", "gdp"), "market")
+                                  "vehicle_type", "powertrain", *names, "population", "gdp"), "market_clean")
 
     # -- CO2 table (P1, P2, P5, F1, F3, C5, C7) ------------------------------
     @cached_property
@@ -209,9 +216,9 @@ class Cleaning:
             "coal_co2_per_capita": nan_to_null(ieee_divide(F.col("coal_co2") * 1e6, F.col("population"))),
         })
         c = lookup(self._bands(c), self.continent_map, ["iso_code"])
-        return c.select("country", "iso_code", "continent", "continent_code", "year", "half_decade", "pandemic_period", "population", "gdp",
-                        "co2_emissions", "co2_per_capita", "co2_per_gdp", "oil_co2", "oil_co2_per_capita", "coal_co2", "coal_co2_per_capita",
-                        "co2_per_unit_energy", "energy_consumption")
+        return self._cut(c.select("country", "iso_code", "continent", "continent_code", "year", "half_decade", "pandemic_period", "population", "gdp",
+                                  "co2_emissions", "co2_per_capita", "co2_per_gdp", "oil_co2", "oil_co2_per_capita", "coal_co2", "coal_co2_per_capita",
+                                  "co2_per_unit_energy", "energy_consumption"), "co2_clean")
 
     # -- Energy table (C4, C5) ------------------------------------------------
     @cached_property
@@ -233,4 +240,5 @@ class Cleaning:
         j = lookup(j.drop(*[f"{c}_secondary" for _, c in P.GENERATION_SOURCES]), self.wb, ["iso_code", "year"])
         j = j.withColumns({"population": F.coalesce("population_wb", "population"), "gdp": F.coalesce("gdp_wb", "gdp")})
         j = lookup(self._bands(j.drop("population_wb", "gdp_wb")), self.continent_map, ["iso_code"])
-        return j.select("country", "iso_code", "continent", "continent_code", "year", "half_decade", "pandemic_period", "population", "gdp", *ENERGY_MEASURES)
+        return self._cut(j.select("country", "iso_code", "continent", "continent_code", "year", "half_decade", "pandemic_period",
+                                  "population", "gdp", *ENERGY_MEASURES), "energy_clean")

@@ -3,6 +3,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from types import SimpleNamespace
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -12,13 +15,13 @@ from voltcube.operators.joins import missing_keys
 from voltcube.operators.measures import measure_agg as measure_agg_op
 from voltcube.plans.cleaning import Cleaning
 from voltcube.plans.compare import summarize_timings
-from voltcube.plans.model import Model, load_pipeline
+from voltcube.plans.model import Model, load_clean, load_pipeline
 from voltcube.plans.olap import r6, rank_stock
 from voltcube.plans.roles import Roles
-from voltcube.plans.warehouse import Warehouse, constraint_violations, publish_checks as load_checks
+from voltcube.plans.warehouse import Warehouse, constraint_violations, declared
 from voltcube.session import scratch_path
 from voltcube.sources.files import read_csv, read_parquet, write_csv, write_parquet
-from voltcube.sources.store import VersionedStore, insert_absent as insert_absent_op, merge_upsert
+from voltcube.sources.store import Load, VersionedStore, insert_absent as insert_absent_op, merge_upsert
 
 # Seeding rule for the checks: rows with key_c % SEED_MOD == 0 are made to
 # violate a constraint, so a check is seen finding something.
@@ -131,11 +134,91 @@ def upsert_market(spark, sf_dir) -> DataFrame:
     return read_parquet(spark, path).select(*[_b(k) for k in keys], _b("ev_sales"), r6("ev_stock").alias("ev_stock"))
 
 
+#: The loads of ``load_increment`` meet in this year and at this code: the first one has the years up to it, with the
+#: codes up to this one not final yet; the second one brings these again and the years after.
+SPLIT_YEAR, SPLIT_CODE = 1998, "N12"
+
+#: Measure that ``load_increment`` adds up, by fact.
+CONTROL = {"ev_market": "ev_sales", "ev_infrastructure": "ev_charging_points", "country_energy": "electricity_generation", "country_macro": "co2_emissions"}
+
+
+def split_loads(c) -> tuple[SimpleNamespace, SimpleNamespace]:
+    """The clean tables as two loads, the second correcting the first and going on from it."""
+    again = (F.col("year") == SPLIT_YEAR) & (F.col("iso_code") <= SPLIT_CODE)
+    first, second = {}, {}
+    for name, (clean, measures) in Model.FACTS.items():
+        df = getattr(c, clean)
+        doubled = [F.when(again, F.col(x) * 2).otherwise(F.col(x)).alias(x) if x == measures[CONTROL[name]] else F.col(x) for x in df.columns]
+        first[clean] = df.where(F.col("year") <= SPLIT_YEAR).select(*doubled)
+        second[clean] = df.where((F.col("year") > SPLIT_YEAR) | again)
+    return SimpleNamespace(**first), SimpleNamespace(**second)
+
+
+def _written_by(store: VersionedStore, version: int, name: str, folders: list[str]) -> DataFrame:
+    """A table's rows with the number of the load that wrote their file (1 for the first of ``folders``)."""
+    file, number = F.input_file_name(), F.lit(None).cast("bigint")
+    for i, f in enumerate(folders, 1):
+        number = F.when(file.contains(f"/{f}/"), F.lit(i).cast("bigint")).otherwise(number)
+    return store.read(name, version).withColumn("load", number)
+
+
+def load_increment(spark, sf_dir) -> DataFrame:
+    """Two loads in sequence into one store. Per fact, country and year: rows and the sum of a measure, as one load
+    of everything gives them, and the load that wrote the files they are read from."""
+    first, second = split_loads(Cleaning.load(spark, sf_dir))
+    store = VersionedStore(spark, scratch_path(spark, "increment"))
+    v1 = load_clean(store, first)
+    v2 = load_clean(store, second, base=v1)
+    dims = store.read_all(("country_dim", "year_dim"), v2)
+    parts = []
+    for fact, measure in CONTROL.items():
+        order = [*store.folders(fact, v1), *store.folders(fact, v2).keys() - store.folders(fact, v1).keys()]
+        j = _written_by(store, v2, fact, order).join(F.broadcast(dims["country_dim"]), "key_c").join(F.broadcast(dims["year_dim"]), "key_y")
+        parts.append(j.groupBy(F.lit(fact).alias("fact_name"), "iso_code", _b("year"), "load").agg(
+            F.count(F.lit(1)).cast("bigint").alias("n"), r6(F.sum(measure)).alias("total")))
+    return reduce(DataFrame.unionByName, parts)
+
+
+def dim_reload(spark, sf_dir) -> DataFrame:
+    """Keys after a first load without the codes, years and vehicle types that sort first, and after a second load of
+    everything: known labels keep theirs, unseen ones follow."""
+    c = Cleaning.load(spark, sf_dir)
+    late = (F.col("iso_code") > "N04") & (F.col("year") > 1995)
+    first = SimpleNamespace(market_clean=c.market_clean.where(late & (F.col("vehicle_type") >= "F")),
+                            **{t: getattr(c, t).where(late) for t in ("infra_clean", "co2_clean", "energy_clean")})
+    store = VersionedStore(spark, scratch_path(spark, "reload"))
+    v1 = load_clean(store, first)
+    v2 = load_clean(store, c, base=v1)
+    parts = []
+    for dim, (label, key) in Model.DIMS.items():
+        before = store.read(dim, v1).select(label, F.col(key).cast("bigint").alias("first_key"))
+        parts.append(store.read(dim, v2).join(before, label, "left").select(
+            F.lit(dim).alias("dim_name"), F.col(label).cast("string").alias("label"), "first_key", F.col(key).cast("bigint").alias("key")))
+    return reduce(DataFrame.unionByName, parts)
+
+
+def upsert_years(spark, sf_dir) -> DataFrame:
+    """A published fact and an upsert of one year's rows (sales doubled) and of a year that is new: only the folders of
+    these years are written; ``load`` is the load whose files a row is read from."""
+    w = Warehouse.load(spark, sf_dir)
+    keys = ["key_c", "key_y", "key_v", "key_p"]
+    store = VersionedStore(spark, scratch_path(spark, "upsert-years"))
+    v1 = store.publish({"ev_market": declared("ev_market", w.ev_market)})
+    base = w.ev_market.where(F.col("key_y") == 3)
+    updates = base.withColumn("ev_sales", F.col("ev_sales") * 2).unionByName(base.withColumn("key_y", F.lit(8)))
+    with Load(store, v1) as load:
+        years = [3, 8]
+        known = store.read("ev_market", v1).where(F.col("key_y").isin(years))
+        load.write("ev_market", declared("ev_market", merge_upsert(known, updates, keys)), replaces=years)
+        v2 = load.commit()
+    out = _written_by(store, v2, "ev_market", [*store.folders("ev_market", v1), load.folder])
+    return out.select(*[_b(k) for k in keys], _b("ev_sales"), r6("ev_stock").alias("ev_stock"), "load")
+
+
 def publish_snapshot(spark, sf_dir) -> DataFrame:
     """All warehouse tables published as one version; returns the manifest."""
-    w = Warehouse.build(spark, sf_dir)
     store = VersionedStore(spark, scratch_path(spark, "warehouse"))
-    v = store.publish(w.tables(), load_checks)
+    v = Warehouse.publish(store, Roles(spark, sf_dir))
     return store.manifest(v).select("table_name", _b("rows"))
 
 
@@ -256,6 +339,7 @@ MODEL = {
     "dim_build": dim_build, "year_dim_build": year_dim_build, "key_resolve": key_resolve, "key_resolve_infra": key_resolve_infra,
     "key_resolve_energy": key_resolve_energy, "key_resolve_macro": key_resolve_macro, "pipeline_rank_stock": pipeline_rank_stock,
     "upsert_market": upsert_market, "publish_checks": publish_checks, "results_table": results_table, "key_skips": key_skips, "coverage_gap": coverage_gap,
+    "load_increment": load_increment, "dim_reload": dim_reload, "upsert_years": upsert_years,
     "upsert_fact": upsert_fact, "insert_absent": insert_absent, "publish_snapshot": publish_snapshot,
     "sink_roundtrip": sink_roundtrip, "scan_csv": scan_csv, "check_unique": check_unique, "check_fk": check_fk,
     "check_domain": check_domain, "profile_table": profile_table, "measure_agg": measure_agg,

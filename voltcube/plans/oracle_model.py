@@ -142,6 +142,33 @@ union all
 select 'co2', iso_code, cast(year as bigint) from (select iso_code, year from pfx except select iso_code, year from co2c) b
 union all
 select 'energy', iso_code, cast(year as bigint) from (select iso_code, year from pfx except select iso_code, year from energy) c""",
+    "load_increment": f"""{BASE}, control as (
+  select 'ev_market' as fact_name, iso_code, year, vehicle_type, powertrain, country, coalesce(round(ev_sales), 0) as v from pfx
+  union all select 'ev_infrastructure', iso_code, year, null, null, country, round(ev_charging_points) from infra
+  union all select 'country_energy', iso_code, year, null, null, country, cast(electricity_generation as decimal(18,4)) from energy
+  union all select 'country_macro', iso_code, year, null, null, country, cast(co2_emissions as decimal(18,4)) from co2c),
+known as (
+  select * from control where iso_code in (select iso_code from cd) and year in (select year from yd)
+  qualify row_number() over (partition by fact_name, iso_code, year, vehicle_type, powertrain order by country desc) = 1)
+select fact_name, iso_code, cast(year as bigint) as year, cast(case when year >= 1998 then 2 else 1 end as bigint) as load,
+       cast(count(*) as bigint) as n, round(cast(sum(v) as double), 6) as total
+from known group by fact_name, iso_code, year""",
+    "dim_reload": f"""{BASE}, labels as (
+  select 'country_dim' as dim_name, iso_code as label, max(case when iso_code > 'N04' and year > 1995 and src_ok then 1 else 0 end) as early from (
+      select iso_code, year, vehicle_type >= 'F' as src_ok from pfx union all select iso_code, year, true from co2c) s where iso_code is not null group by iso_code
+  union all select 'year_dim', cast(year as varchar), max(case when iso_code > 'N04' and year > 1995 and src_ok then 1 else 0 end) from (
+      select iso_code, year, vehicle_type >= 'F' as src_ok from pfx union all select iso_code, year, true from co2c) s group by year
+  union all select 'vehicle_type_dim', vehicle_type, max(case when iso_code > 'N04' and year > 1995 and vehicle_type >= 'F' then 1 else 0 end) from pfx group by vehicle_type
+  union all select 'powertrain_dim', powertrain, max(case when iso_code > 'N04' and year > 1995 and vehicle_type >= 'F' then 1 else 0 end) from pfx group by powertrain)
+select dim_name, label, case when early = 1 then cast(row_number() over (partition by dim_name, early order by label) as bigint) end as first_key,
+       cast(row_number() over (partition by dim_name order by early desc, label) as bigint) as key
+from labels""",
+    "upsert_years": """with lab as (
+  select m.*, dense_rank() over (order by vehicle_type) as key_v, dense_rank() over (order by powertrain) as key_p from ev_market m)
+select cast(key_c as bigint) as key_c, cast(y as bigint) as key_y, cast(key_v as bigint) as key_v, cast(key_p as bigint) as key_p,
+       cast(case when y = 3 then 2 * ev_sales else ev_sales end as bigint) as ev_sales, round(cast(ev_stock as double), 6) as ev_stock,
+       cast(case when y in (3, 8) then 2 else 1 end as bigint) as load
+from (select *, unnest(case when key_y = 3 then [3, 8] else [key_y] end) as y from lab) l""",
     "upsert_fact": """with upd as (
   select key_c, key_y, ev_charging_points + 1 as ev_charging_points, fast_charging_points + 1 as fast_charging_points,
          slow_charging_points + 1 as slow_charging_points from ev_infrastructure where key_y = 3

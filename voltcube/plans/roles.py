@@ -24,6 +24,7 @@ section 4. Plans are written for size:
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
@@ -89,6 +90,13 @@ class Roles:
     def fingerprint(self) -> str:
         return input_fingerprint(self.spark, self.sf_dir)
 
+    def prepare(self) -> None:
+        """Write the role facts, those that do not depend on each other at the same time."""
+        for names in (("market_base", "nation_year", "country_energy"), ("ev_market", "ev_infrastructure", "country_macro")):
+            with ThreadPoolExecutor(len(names)) as pool:
+                for done in [pool.submit(getattr, self, n) for n in names]:
+                    done.result()
+
     def _key_y(self, ts: str):
         return F.year(F.col(ts)).cast("int") - F.lit(self.p.base_year)
 

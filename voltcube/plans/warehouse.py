@@ -5,24 +5,23 @@ from __future__ import annotations
 from collections.abc import Iterator, Mapping
 from contextlib import contextmanager
 from dataclasses import dataclass
+from functools import partial
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from voltcube import schema as S
-from voltcube.operators.checks import constraint_counts
+from voltcube.operators.checks import constraint_counts, key_counts, typed_rules
 from voltcube.params import ROLE, RoleParams
 from voltcube.plans.roles import Roles
-from voltcube.plans.stored import read_or_publish
+from voltcube.plans.stored import at_once, store_for
+from voltcube.sources.store import Load, Staged, VersionedStore, extend_keys
 
 
-def surrogate_dim(labels: DataFrame, label: str, key: str) -> DataFrame:
-    """Dimension with a surrogate key over a closed label set (vehicle types,
-    powertrains). The label set is bounded by definition, so numbering the
-    distinct labels in one ordered window is cheap; facts never see the
-    window, they join to the finished dimension."""
-    d = labels.select(label).where(F.col(label).isNotNull()).distinct()
-    return d.select(F.row_number().over(Window.orderBy(label)).cast("int").alias(key), label)
+def surrogate_dim(labels: DataFrame, label: str, key: str, known: DataFrame | None = None) -> DataFrame:
+    """Dimension with a surrogate key over a closed label set (vehicle types, powertrains); labels of ``known``
+    keep their keys. Facts never see the numbering, they join to the finished dimension."""
+    return extend_keys(known, labels.select(label).distinct(), label, key)
 
 
 def constraint_violations(tables: Mapping[str, DataFrame]) -> DataFrame:
@@ -30,14 +29,36 @@ def constraint_violations(tables: Mapping[str, DataFrame]) -> DataFrame:
     return constraint_counts(tables, (S.TABLES, S.TEXT_LENGTHS))
 
 
-def publish_checks(tables: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
-    """The checks a load must pass: one row per violated constraint."""
-    return {"constraints": constraint_violations(tables).where(F.col("violations") > 0)}
+def key_checks(load: Load):
+    """Checks of a load for what its writing cannot see: keys and references of the tables it wrote, as violated
+    constraints. Rows of a fact that stay have met them before (its key holds the year it is stored by)."""
+    def checks(staged: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
+        if not staged:
+            return {}
+        every = {n: staged[n] if n in staged else load.table(n) for n in S.TABLES if n in staged or not S.TABLES[n][3]}
+        found = key_counts(every, S.TABLES, [n for n in S.TABLES if n in staged]).where(F.col("violations") > 0)
+        return {"keys and references": found}
+    return checks
 
 
-def as_declared(tables: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
-    """Each table with the columns, order and types of its declared schema."""
-    return {n: tables[n].select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in S.TABLES[n][0].fields]) for n in S.TABLES}
+#: Facts are stored by the year they belong to.
+YEAR_KEY = "key_y"
+
+
+def declared(name: str, df: DataFrame) -> Staged:
+    """A table to write with the columns, order and types of its declared schema; values that break a column's rule,
+    also by not fitting its type, are counted while it is written."""
+    schema, _, _, fks = S.TABLES[name]
+    raw = {c: f"_raw_{c}" for c in schema.names}
+    by = YEAR_KEY if fks else None
+    both = df.select(*[F.col(c).alias(r) for c, r in raw.items()], *[F.col(f.name).try_cast(f.dataType).alias(f.name) for f in schema.fields])
+    # A year's rows go together; a large year is split at run time.
+    both = both.hint("rebalance", by) if by else both
+    return Staged(both, schema.names, typed_rules(schema, S.TEXT_LENGTHS, raw), by)
+
+
+def write_tables(load: Load, tables: Mapping[str, DataFrame]) -> None:
+    at_once([partial(load.write, n, declared(n, tables[n])) for n in S.TABLES])
 
 
 @dataclass
@@ -65,14 +86,8 @@ class Warehouse:
         pt = surrogate_dim(em, "powertrain", "key_p")
         # The planner broadcasts a label dimension below its size threshold.
         fact = em.join(vt, "vehicle_type").join(pt, "powertrain")
-        return cls(**as_declared({
-            "country_dim": roles.country_dim, "year_dim": roles.year_dim, "vehicle_type_dim": vt, "powertrain_dim": pt, "ev_market": fact,
-            "ev_infrastructure": roles.ev_infrastructure, "country_energy": roles.country_energy, "country_macro": roles.country_macro}), params=roles.p)
-
-    @classmethod
-    def build(cls, spark: SparkSession, sf_dir: str) -> "Warehouse":
-        """Lazily derived from the raw tables (nothing stored)."""
-        return cls.from_roles(Roles(spark, sf_dir))
+        return cls(country_dim=roles.country_dim, year_dim=roles.year_dim, vehicle_type_dim=vt, powertrain_dim=pt, ev_market=fact,
+                   ev_infrastructure=roles.ev_infrastructure, country_energy=roles.country_energy, country_macro=roles.country_macro, params=roles.p)
 
     def tables(self) -> dict[str, DataFrame]:
         return {t: getattr(self, t) for t in self.TABLES}
@@ -84,8 +99,19 @@ class Warehouse:
         database is. Its tables are bounded by their grain (nations x years x
         labels) at any input size."""
         roles = roles or Roles(spark, sf_dir)
-        tables = read_or_publish(roles, "warehouse", cls.TABLES, lambda: cls.from_roles(roles).tables(), publish_checks)
-        return cls(**tables, params=roles.p)
+        store = store_for(roles, "warehouse")
+        version = store.current_version()
+        if version is None:
+            version = cls.publish(store, roles)
+        return cls(**store.read_all(cls.TABLES, version), params=roles.p)
+
+    @classmethod
+    def publish(cls, store: VersionedStore, roles: Roles) -> int:
+        """Build, check and publish a new version."""
+        roles.prepare()
+        with Load(store) as load:
+            write_tables(load, cls.from_roles(roles).tables())
+            return load.commit(key_checks(load))
 
     @contextmanager
     def cached(self) -> Iterator["Warehouse"]:
