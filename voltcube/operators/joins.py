@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -42,6 +43,16 @@ def lookup(df: DataFrame, table: DataFrame, on: Sequence[str], bounded: bool = F
     return df.join(F.broadcast(table) if bounded else table, on=list(on), how=how)
 
 
-def missing_keys(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Distinct keys of ``left`` absent from ``right`` (set difference)."""
-    return left.select(*keys).distinct().join(right.select(*keys).distinct(), on=list(keys), how="left_anti")
+def presence(tables: Sequence[DataFrame], keys: Sequence[str], mask: str = "mask") -> DataFrame:
+    """Distinct keys of all tables with a bit mask of the tables that have them (bit i: table i). NULL is a key value
+    like others, as in EXCEPT. One shuffle of keys, reduced before it."""
+    tagged = [t.select(*keys, F.lit(1 << i).cast("bigint").alias(mask)) for i, t in enumerate(tables)]
+    return reduce(DataFrame.unionByName, tagged).groupBy(*keys).agg(F.bit_or(mask).alias(mask))
+
+
+def absent(tables: Mapping[str, DataFrame], keys: Sequence[str], of: str, name: str) -> DataFrame:
+    """Set differences: keys of table ``of`` that others lack, one row (``name``: the other's) for each."""
+    others = [n for n in tables if n != of]
+    held = presence([tables[of], *[tables[n] for n in others]], keys, "_mask").where(F.col("_mask").bitwiseAND(1) == 1)
+    lacking = [F.when(F.col("_mask").bitwiseAND(1 << i) == 0, F.lit(n)) for i, n in enumerate(others, 1)]
+    return held.select(F.explode(F.array_compact(F.array(*lacking))).alias(name), *keys)

@@ -14,6 +14,41 @@ def normalise_label(label: str) -> str:
     return label.strip().lower().replace(" ", "_")
 
 
+#: Labels that a pivot may find by itself; each becomes a column.
+MOST_LABELS = 200
+
+
+class LabelError(ValueError):
+    pass
+
+
+def discover_labels(df: DataFrame, col: str, most: int = MOST_LABELS) -> list[str]:
+    """The values of a label column, in order. More than ``most`` raise: the column is no set of labels then."""
+    found = sorted(r[0] for r in df.select(col).where(F.col(col).isNotNull()).distinct().limit(most + 1).collect())
+    if len(found) > most:
+        raise LabelError(f"{col} has more than {most} values, {found[:3]} among them")
+    return found
+
+
+def label_columns(labels: Sequence[str], taken: Sequence[str] = ()) -> list[str]:
+    """A column name per label. Labels that normalise to one name, to none, or to a name that is taken raise."""
+    names = [normalise_label(x) for x in labels]
+    held = {c.lower(): "a column" for c in taken}
+    for label, n in zip(labels, names):
+        if not n or n in held:
+            raise LabelError(f"label {label!r} would be column {n!r}, which {held.get(n, 'an empty name')!r} has")
+        held[n] = label
+    return names
+
+
+def pivot_found(df: DataFrame, index: Sequence[str], pivot_col: str, value_col: str, order: Column | str, most: int = MOST_LABELS) -> DataFrame:
+    """``pivot_first`` over whatever labels the data has (one job finds them): columns in the labels' order."""
+    labels = discover_labels(df, pivot_col, most)
+    if not labels:
+        return df.select(*index).limit(0)
+    return pivot_first(df, index, pivot_col, labels, value_col, order, label_columns(labels, index))
+
+
 def pivot_first(df: DataFrame, index: Sequence[str], pivot_col: str, labels: Sequence[str],
                 value_col: str, order: Column | str, names: Sequence[str] | None = None) -> DataFrame:
     """Long to wide keeping, per cell, the first non-NULL value in input order.

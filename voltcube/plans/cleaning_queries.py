@@ -2,17 +2,21 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from voltcube import params as P
 from voltcube.functions.scalar import band, clean_name as clean_name_expr, ieee_divide, nan_to_null, to_decimal, to_int_rounded
-from voltcube.plans.cleaning import Cleaning, step_name
+from voltcube.operators.reshape import pivot_found
+from voltcube.plans.cleaning import RAW_EV_ORDER, Cleaning, step_name
 from voltcube.plans.olap import r6
 from voltcube.plans.roles import ENERGY_MEASURES, Roles
 from voltcube.plans.warehouse import Warehouse
 from voltcube.session import scratch_path
-from voltcube.sources.files import read_csv, write_csv
+from voltcube.sources.files import read_csv, scan_csv as guarded_scan, write_csv
 
 
 def _cleaning(spark: SparkSession, sf_dir: str) -> Cleaning:
@@ -196,6 +200,55 @@ def clean_tables(spark, sf_dir) -> DataFrame:
     return out
 
 
+#: Raw sources as they come in CSV files: typed columns, the one whose values are spoilt in some rows (so that the
+#: guard is seen at work), the spoilt value and rows, and the column whose sum is reported.
+CSV_SOURCES = {
+    "raw_ev": ("region string, category string, parameter string, mode string, powertrain string, year int, value double",
+               "value", "n/a", "year = 1997 and parameter = 'EV stock'", "value"),
+    "raw_co2": ("country string, year int, iso_code string, population double, gdp double, co2 double", "year", "Y2K", "iso_code = 'N04'", "co2"),
+    "energy_primary": ("country string, iso_code string, year int, population double, gdp double, energy_consumption decimal(18,4), electricity_generation decimal(18,4)",
+                       "gdp", "unknown", "year = 1996", "energy_consumption"),
+    "raw_generation": ("iso_code string, year int, area_type string, source string, generation double, seq int", "generation", "--", "source = 'Coal'", "generation"),
+    "raw_macro": ("iso_code string, series_code string, seq int, `1995 [YR1995]` string, `1996 [YR1996]` string", "seq", "first", "iso_code = 'N06'", "seq"),
+}
+
+#: Names of this country get a second line with quotes and a comma.
+TWO_LINES = "N02"
+
+
+def scan_csv_sources(spark, sf_dir) -> DataFrame:
+    """The five raw sources written as CSV files, columns in another order and some values spoilt, and scanned with
+    the guard: rows, rejected records, filled cells, the sum of a column and the names of two lines."""
+    roles, parts = Roles(spark, sf_dir), []
+    for name, (schema, spoilt, value, where, total) in CSV_SOURCES.items():
+        declared = T.StructType.fromDDL(schema)
+        df = getattr(roles, name)
+        text = {c: F.col(f"`{c}`").cast("string") for c in df.columns}
+        if "country" in text:
+            text["country"] = F.when(F.col("iso_code") == TWO_LINES, F.concat("country", F.lit('\n"so called", here'))).otherwise(text["country"])
+        text[spoilt] = F.when(F.expr(where), F.lit(value)).otherwise(text[spoilt])
+        path = scratch_path(spark, f"raw-{name}")
+        write_csv(df.select(*[text[c].alias(c) for c in reversed(df.columns)]), path)
+        got = guarded_scan(spark, path, declared, name, multi_line=True)
+        named = F.col("country") if "country" in declared.names else F.col("region") if "region" in declared.names else F.lit("")
+        filled = sum((F.count(f"`{c}`") for c in declared.names), F.lit(0))
+        rejects = got.rejects.agg(F.count(F.lit(1)).cast("bigint").alias("n"))
+        parts.append(got.rows.agg(F.count(F.lit(1)).cast("bigint").alias("rows"), filled.cast("bigint").alias("filled"),
+                                  F.sum(F.col(total).cast("decimal(20,6)")).cast("double").alias("total"),
+                                  F.count_if(named.contains("\n")).cast("bigint").alias("two_lines"))
+                     .select(F.lit(name).alias("source"), "*", rejects.scalar().alias("rejects")))
+    return reduce(DataFrame.unionByName, parts)
+
+
+def pivot_labels(spark, sf_dir) -> DataFrame:
+    """The market pivoted by the labels its rows have, a new one among them that no list names."""
+    long = _cleaning(spark, sf_dir).vehicle_long
+    load = long.where(F.col("parameter") == "Electricity demand").withColumn("parameter", F.lit(" Charging Load ")).withColumn("value", F.col("value") * 2)
+    index = ["country", "iso_code", "year", "mode", "powertrain"]
+    wide = pivot_found(long.unionByName(load), index, "parameter", "value", F.struct(*RAW_EV_ORDER))
+    return wide.select("country", "iso_code", _y(), F.col("mode").alias("vehicle_type"), "powertrain", *[r6(c).alias(c) for c in wide.columns if c not in index])
+
+
 CLEANING = {
     "clean_long": clean_long, "split_parameter": split_parameter, "clean_name": clean_name,
     "resolve_exact": resolve_exact, "resolve_fuzzy": resolve_fuzzy, "pivot_first": pivot_first,
@@ -203,4 +256,5 @@ CLEANING = {
     "source_override": source_override, "derived_ratios": derived_ratios, "lookup_attr": lookup_attr,
     "charger_ratio": charger_ratio, "map_override": map_override, "null_hygiene": null_hygiene,
     "quantize_types": quantize_types, "time_bands": time_bands, "star_join": star_join, "sort_nulls": sort_nulls, "clean_tables": clean_tables,
+    "scan_csv_sources": scan_csv_sources, "pivot_labels": pivot_labels,
 }

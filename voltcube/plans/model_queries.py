@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from voltcube import schema as S
 from voltcube.operators.checks import duplicate_keys, max_length, not_null, orphan_rows, out_of_range, profile, violation_counts
-from voltcube.operators.joins import missing_keys
+from voltcube.operators.joins import absent
 from voltcube.operators.measures import measure_agg as measure_agg_op
 from voltcube.plans.cleaning import Cleaning
 from voltcube.plans.compare import summarize_timings
@@ -82,14 +82,8 @@ def key_skips(spark, sf_dir) -> DataFrame:
 def coverage_gap(spark, sf_dir) -> DataFrame:
     """EV (country, year) pairs absent from each other clean table."""
     c = Cleaning.load(spark, sf_dir)
-    ev = c.market_clean
-    parts = []
-    for name, other in (("ev_infrastructure", c.infra_clean), ("co2", c.co2_clean), ("energy", c.energy_clean)):
-        parts.append(missing_keys(ev, other, ["iso_code", "year"]).select(F.lit(name).alias("missing_in"), "iso_code", _b("year")))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    tables = {"ev_market": c.market_clean, "ev_infrastructure": c.infra_clean, "co2": c.co2_clean, "energy": c.energy_clean}
+    return absent(tables, ["iso_code", "year"], "ev_market", "missing_in").select("missing_in", "iso_code", _b("year"))
 
 
 # -- sinks -----------------------------------------------------------------

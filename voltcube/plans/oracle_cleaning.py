@@ -134,7 +134,30 @@ resolved as (
   union all
   select name, iso, cand, case step when 5 then 'fuzzy_cleaned' else 'fuzzy_raw' end from fuzzy)"""
 
+def _csv_sources() -> str:
+    """Counts of each raw source without its spoilt rows, whose number is the rejects."""
+    cells = {
+        "raw_ev": (["region", "category", "parameter", "mode", "powertrain", "year", "value"], "year = 1997 and parameter = 'EV stock'", "value", "contains(region, chr(10))"),
+        "raw_co2": (["country", "year", "iso_code", "population", "gdp", "co2"], "iso_code = 'N04'", "co2", "iso_code = 'N02'"),
+        "energy_primary": (["country", "iso_code", "year", "population", "gdp", "energy_consumption", "electricity_generation"], "year = 1996", "energy_consumption", "iso_code = 'N02'"),
+        "raw_generation": (["iso_code", "year", "area_type", "source", "generation", "seq"], "source = 'Coal'", "generation", "false"),
+        "raw_macro": (["iso_code", "series_code", "seq", '"1995 [YR1995]"', '"1996 [YR1996]"'], "iso_code = 'N06'", "seq", "false"),
+    }
+    out = []
+    for name, (columns, bad, total, two) in cells.items():
+        ok = f"filter (where not coalesce({bad}, false))"
+        out.append(f"select '{name}' as source, cast(count(*) {ok} as bigint) as rows, cast({' + '.join(f'count({c}) {ok}' for c in columns)} as bigint) as filled, "
+                   f"cast(sum(cast({total} as decimal(20,6))) {ok} as double) as total, cast(count(*) filter (where {two} and not coalesce({bad}, false)) as bigint) as two_lines, "
+                   f"cast(count(*) filter (where {bad}) as bigint) as rejects from {name}")
+    return "\nunion all\n".join(out)
+
+
 CLEANING = {
+    "scan_csv_sources": _csv_sources(),
+    "pivot_labels": f"""with {CL}, {PF}
+select country, iso_code, cast(year as bigint) as year, vehicle_type, powertrain, round(2 * ev_electricity_demand, 6) as charging_load,
+       round(ev_electricity_demand, 6) as electricity_demand, round(ev_sales, 6) as ev_sales, round(ev_stock, 6) as ev_stock, round(ev_stock_share, 6) as ev_stock_share
+from pf where coalesce(ev_sales, ev_stock, ev_stock_share, ev_electricity_demand) is not null""",
     "clean_long": f"""with {CL}
 select region, country, iso_code, cast(year as bigint) as year, mode, powertrain, parameter, round(value, 6) as value from cl""",
     "split_parameter": f"""with {CL}
