@@ -129,3 +129,20 @@ def test_hot_key_is_reduced_before_the_shuffle(spark):
         p = plan_of(out)
         below = p[p.index("Exchange hashpartitioning"):]
         assert "partial_" in below, p
+
+
+def test_bucketed_facts_meet_without_a_shuffle(spark, wh):
+    """With broadcasts off no exchange lies under the joins of the facts (and the sum by their keys)."""
+    w = wh.colocated(spark, 4)
+    size = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        m = w.ev_market.groupBy("key_c", "key_y").count()
+        facts = m.join(w.country_energy, ["key_c", "key_y"]).join(w.country_macro, ["key_c", "key_y"])
+        assert "Exchange" not in plan_of(facts) and plan_of(facts).count("SortMergeJoin") == 2
+        whole = plan_of(olap.drill_across_3(w))
+        assert whole.count("Exchange hashpartitioning") == 1 and "hashpartitioning(country" in whole
+        plain = wh.ev_market.groupBy("key_c", "key_y").count().join(wh.country_energy, ["key_c", "key_y"])
+        assert "Exchange" in plan_of(plain)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", size)

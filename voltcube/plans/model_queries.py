@@ -16,9 +16,9 @@ from voltcube.operators.measures import measure_agg as measure_agg_op
 from voltcube.plans.cleaning import Cleaning
 from voltcube.plans.compare import summarize_timings
 from voltcube.plans.model import Model, load_clean, load_pipeline
-from voltcube.plans.olap import r6, rank_stock
+from voltcube.plans.olap import drill_across_3, r6, rank_stock
 from voltcube.plans.roles import Roles
-from voltcube.plans.warehouse import Warehouse, constraint_violations, declared
+from voltcube.plans.warehouse import Warehouse, constraint_violations, declared, rejected_rows
 from voltcube.session import scratch_path
 from voltcube.sources.files import read_csv, read_parquet, write_csv, write_parquet
 from voltcube.sources.store import Load, VersionedStore, insert_absent as insert_absent_op, merge_upsert
@@ -292,6 +292,28 @@ def publish_checks(spark, sf_dir) -> DataFrame:
     return constraint_violations(t)
 
 
+def load_rejects(spark, sf_dir) -> DataFrame:
+    """Rows that loads of three tables would refuse, with the rule each breaks and the value that came, on tables
+    seeded with numbers beyond their types, NULL keys and long codes."""
+    w = Warehouse.load(spark, sf_dir)
+    seed = F.col("key_c") % SEED_MOD
+    market = w.ev_market.withColumn("ev_sales", F.when((seed == 2) & (F.col("key_y") == 3), F.lit(1e25)).otherwise(F.col("ev_sales").cast("double")))
+    market = market.withColumn("key_v", F.when((seed == 3) & (F.col("key_y") == 2), F.lit(None)).otherwise(F.col("key_v")))
+    energy = w.country_energy.withColumn("net_imports", F.when(F.col("key_y") == 5, F.lit(float("nan"))).otherwise(F.col("net_imports").cast("double")))
+    country = w.country_dim.withColumn("iso_code", F.when(seed == 1, F.lit("N999")).otherwise(F.col("iso_code")))
+    parts = [rejected_rows("ev_market", market).select(F.lit("ev_market").alias("table_name"), "rule", "key_c", "key_y", F.col("ev_sales").cast("string").alias("came")),
+             rejected_rows("country_energy", energy).select(F.lit("country_energy"), "rule", "key_c", "key_y", F.col("net_imports").cast("string")),
+             rejected_rows("country_dim", country).select(F.lit("country_dim"), "rule", "key_c", F.lit(None).cast("int"), "iso_code")]
+    found = reduce(DataFrame.union, parts)
+    came = F.when(F.col("rule") == "key_v_not_null", F.lit(None)).otherwise(F.col("came")).alias("came")
+    return found.select("table_name", "rule", _b("key_c"), _b("key_y"), came)
+
+
+def drill_across_bucketed(spark, sf_dir) -> DataFrame:
+    """Question 12 on facts that lie bucketed by the keys they meet on."""
+    return drill_across_3(Warehouse.load(spark, sf_dir).colocated(spark))
+
+
 def profile_table(spark, sf_dir) -> DataFrame:
     c = Cleaning.load(spark, sf_dir)
     parts = [profile(c.market_clean, "ev_market", "iso_code", "year"),
@@ -333,7 +355,7 @@ MODEL = {
     "dim_build": dim_build, "year_dim_build": year_dim_build, "key_resolve": key_resolve, "key_resolve_infra": key_resolve_infra,
     "key_resolve_energy": key_resolve_energy, "key_resolve_macro": key_resolve_macro, "pipeline_rank_stock": pipeline_rank_stock,
     "upsert_market": upsert_market, "publish_checks": publish_checks, "results_table": results_table, "key_skips": key_skips, "coverage_gap": coverage_gap,
-    "load_increment": load_increment, "dim_reload": dim_reload, "upsert_years": upsert_years,
+    "load_rejects": load_rejects, "drill_across_bucketed": drill_across_bucketed, "load_increment": load_increment, "dim_reload": dim_reload, "upsert_years": upsert_years,
     "upsert_fact": upsert_fact, "insert_absent": insert_absent, "publish_snapshot": publish_snapshot,
     "sink_roundtrip": sink_roundtrip, "scan_csv": scan_csv, "check_unique": check_unique, "check_fk": check_fk,
     "check_domain": check_domain, "profile_table": profile_table, "measure_agg": measure_agg,

@@ -142,6 +142,11 @@ union all
 select 'co2', iso_code, cast(year as bigint) from (select iso_code, year from pfx except select iso_code, year from co2c) b
 union all
 select 'energy', iso_code, cast(year as bigint) from (select iso_code, year from pfx except select iso_code, year from energy) c""",
+    "load_rejects": """
+select 'ev_market' as table_name, 'ev_sales_range' as rule, cast(key_c as bigint) as key_c, cast(key_y as bigint) as key_y, '1.0E25' as came from ev_market where key_c % 7 = 2 and key_y = 3
+union all select 'ev_market', 'key_v_not_null', key_c, key_y, null from ev_market where key_c % 7 = 3 and key_y = 2
+union all select 'country_energy', 'net_imports_range', key_c, key_y, 'NaN' from country_energy where key_y = 5
+union all select 'country_dim', 'iso_code_length', key_c, null, 'N999' from country_dim where key_c % 7 = 1""",
     "load_increment": f"""{BASE}, control as (
   select 'ev_market' as fact_name, iso_code, year, vehicle_type, powertrain, country, coalesce(round(ev_sales), 0) as v from pfx
   union all select 'ev_infrastructure', iso_code, year, null, null, country, round(ev_charging_points) from infra

@@ -15,6 +15,7 @@ from voltcube.operators.checks import constraint_counts, key_counts, typed_rules
 from voltcube.params import ROLE, RoleParams
 from voltcube.plans.roles import Roles
 from voltcube.plans.stored import at_once, store_for
+from voltcube.session import scratch_path
 from voltcube.sources.store import Load, Staged, VersionedStore, extend_keys
 
 
@@ -57,6 +58,14 @@ def declared(name: str, df: DataFrame) -> Staged:
     return Staged(both, schema.names, typed_rules(schema, S.TEXT_LENGTHS, raw), by)
 
 
+def rejected_rows(name: str, df: DataFrame) -> DataFrame:
+    """The rows of ``df`` that a load into the table would not accept, one row for each column rule that they break:
+    the rule, then the values as they came."""
+    t = declared(name, df)
+    broken = F.array_compact(F.array(*[F.when(bad, F.lit(rule)) for rule, bad in t.rules.items()]))
+    return t.df.select(F.explode(broken).alias("rule"), *[F.col(f"_raw_{c}").alias(c) for c in S.TABLES[name][0].names])
+
+
 def write_tables(load: Load, tables: Mapping[str, DataFrame]) -> None:
     at_once([partial(load.write, n, declared(n, tables[n])) for n in S.TABLES])
 
@@ -113,6 +122,27 @@ class Warehouse:
             write_tables(load, cls.from_roles(roles).tables())
             return load.commit(key_checks(load))
 
+    #: Columns that facts meet on in a drill-across.
+    DRILL_KEYS = ("key_c", "key_y")
+
+    def colocated(self, spark: SparkSession, buckets: int | None = None) -> "Warehouse":
+        """The same warehouse with its facts written again, bucketed and sorted by the keys they meet on, so that joins
+        between facts and sums by these keys need no shuffle at any size. Worth it where facts are
+        too large to broadcast and are joined more often than loaded; as many buckets as shuffle partitions by default."""
+        buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+        held = {}
+        for name, (_, _, _, fks) in S.TABLES.items():
+            if fks:
+                path = scratch_path(spark, f"bucketed-{name}")
+                table = path.rsplit("/", 1)[1].replace("-", "_")
+                # One file per bucket: rows are dealt by the buckets' own hash before they are written.
+                (getattr(self, name).repartition(buckets, *self.DRILL_KEYS).write.format("parquet").option("path", path)
+                 .bucketBy(buckets, *self.DRILL_KEYS).sortBy(*self.DRILL_KEYS).saveAsTable(table))
+                held[name] = spark.table(table)
+            else:
+                held[name] = getattr(self, name)
+        return Warehouse(**held, params=self.params)
+
     @contextmanager
     def cached(self) -> Iterator["Warehouse"]:
         """The same warehouse held in executor memory while the block runs."""
