@@ -171,3 +171,29 @@ def test_tiles_of_boilerplate_stay_small(spark, monkeypatch):
     got = check(spark, docs)
     assert len({c for _, c in got.values()}) == len(docs)
     assert max(largest[:2]) > 16 and max(largest) <= 5 * 16
+
+
+@pytest.mark.parametrize("shingles", [None, 300])
+def test_outer_nodes_meet_all_of_like_size_and_no_others(spark, monkeypatch, shingles):
+    monkeypatch.setattr(jaccard, "TILE", 8)
+    rng = random.Random(6)
+    nodes = [(1, i, rng.choice([5, 6, 7, 40, 41, 50, 60, 75, 100, 1000, 1250, 1251]), i % 3 == 0) for i in range(90)]
+    tiles = jaccard._meetings(spark.createDataFrame(nodes, "token long, node long, n long, outer boolean"), "token", shingles)
+    held = {}
+    for r in tiles.collect():
+        held.setdefault(r.tile, {})[r.node] = r.n
+    met = {(a, b) for t in held.values() for a in t for b in t if a < b}
+    for _, a, n, outer in nodes:
+        for _, b, m, other in nodes:
+            if a < b and 5 * min(n, m) >= 4 * max(n, m) and (outer or other):
+                assert (a, b) in met
+    assert all(max(t.values()) <= 1.25 ** 2.01 * min(t.values()) for t in held.values())
+    assert shingles is None or max(sum(t.values()) for t in held.values() if len(t) > 4) < 12 * shingles
+
+
+def test_long_sets_are_cut_by_their_shingles(spark, monkeypatch):
+    monkeypatch.setattr(jaccard, "TILE_SHINGLES", 500)
+    monkeypatch.setattr(jaccard, "SPINE", 1)
+    rng = random.Random(8)
+    base = [f"w{rng.randrange(10**6)}" for _ in range(400)]
+    check(spark, list(enumerate([edited(rng, base, k) for k in (0, 2, 4, 6, 9) for _ in range(4)])))

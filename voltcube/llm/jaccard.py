@@ -12,11 +12,13 @@ sets are one node. Links are all pairs with 100 * intersection >= 80 * union.
 3. Signatures. The nodes of a token are a tile, taken in the order of their sizes; pairs that
    sizes and signatures allow to link connect them, whatever connects them already being left
    out. Tokens of more nodes than a tile takes are salted; then the nodes outside the token's
-   largest component meet all its nodes, two blocks to a tile.
+   largest component meet its nodes of like sizes: these are cut into size bands, the bands into
+   blocks, and two blocks of the same or neighbouring bands make a tile.
 4. Exact intersections. The components of what may link are clusters. Only their nodes' sets
    are fetched, and each cluster is a tile, in which pairs are tested by size, signature and
-   exact intersection of sorted arrays. A cluster larger than a tile is cut into blocks that
-   share a few nodes; then the nodes outside its largest component meet all its nodes likewise.
+   exact intersection of sorted arrays. A cluster larger than a tile, by nodes or by shingles, is
+   cut into blocks that share a few nodes; then the nodes outside its largest component meet the
+   others likewise.
 
 A signature is the parity bitmap of the hashed shingles, as wide as the set is large; the
 bits in which two differ are at most the shingles in which the sets differ, so
@@ -31,6 +33,7 @@ different shingles or sets are taken as equal.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -47,6 +50,10 @@ SHINGLE = 5
 COMMON, CHUNK, FREQUENT = 3, 1 << 23, 1 << 18
 #: Nodes of a tile, and nodes of a salted token or a cut cluster that are in all of its tiles.
 TILE, SPINE = 2048, 32
+#: Shingles of the sets in a tile of exact intersections, about (8 bytes each; a larger set is a tile's alone).
+TILE_SHINGLES = 1 << 21
+#: Ratio of the size bands.
+BAND = 1.2501
 _M = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F)]
 
 
@@ -332,15 +339,30 @@ def _outer(rows: DataFrame, key: str) -> DataFrame:
     return rows.join(per.filter("r > 1").select(key, "largest"), key).withColumn("outer", F.col("component") != F.col("largest"))
 
 
-def _meetings(rows: DataFrame, key: str) -> DataFrame:
-    """Rows of ``_outer`` with their tiles, in which each outer node meets all nodes of its key. Outer nodes and others
-    are cut into blocks of about TILE nodes; a tile is two blocks, of which one at least is of outer nodes."""
-    outer = F.count_if("outer")
-    blocks = rows.groupBy(key).agg(F.ceil((F.count("*") - outer) / TILE).alias("inner"), F.ceil(outer / TILE).alias("parts"))
-    own = lambda of: F.pmod(F.xxhash64("node", F.lit(11)), F.greatest(F.col(of), F.lit(1)))
-    rows = rows.join(blocks, key).withColumn("block", F.when(F.col("outer"), F.col("inner") + own("parts")).otherwise(own("inner")))
-    first = F.when(F.col("outer"), F.lit(0).cast("long")).otherwise(F.col("inner"))
-    rows = rows.withColumn("met", F.explode(F.sequence(first, F.col("inner") + F.col("parts") - 1)))
+def _band(n):
+    """Sizes by bands a little wider than 5/4: linked sets lie in the same band or in neighbouring ones."""
+    return F.floor(F.log(F.col(n)) / math.log(BAND)).cast("long")
+
+
+def _meetings(rows: DataFrame, key: str, shingles: int | None = None) -> DataFrame:
+    """Rows of ``_outer`` (with the size ``n``) with their tiles, in which each outer node meets all nodes of its key that are
+    in its band or the ones beside it. Outer nodes and others of a band are cut into blocks of about TILE nodes, or
+    ``shingles`` shingles; a tile is two blocks of near bands, of which one at least is of outer nodes."""
+    def blocks(of):
+        n = F.ceil(F.count_if(of) / TILE)
+        return n if shingles is None else F.greatest(n, F.ceil(F.sum(F.when(of, F.col("n")).otherwise(0)) / shingles))
+
+    rows = rows.withColumn("band", _band("n"))
+    held = rows.groupBy(key, "band").agg(blocks(~F.col("outer")).alias("inner"), blocks(F.col("outer")).alias("parts"))
+    # A block as one number: band, whether it is of outer nodes, and its place among those.
+    block = lambda band, outer, at: (band * 2 + outer) * (1 << 32) + at
+    place = F.pmod(F.xxhash64("node", F.lit(11)), F.greatest(F.when(F.col("outer"), F.col("parts")).otherwise(F.col("inner")), F.lit(1)))
+    rows = rows.join(held, [key, "band"]).withColumn("block", block(F.col("band"), F.col("outer").cast("long"), place)).drop("inner", "parts")
+    near = held.select(key, F.col("band").alias("other"), "inner", "parts", F.explode(F.array(F.col("band") - 1, F.col("band"), F.col("band") + 1)).alias("band"))
+    upto = lambda n, outer: F.transform(F.when(F.col(n) > 0, F.sequence(F.lit(0).cast("long"), F.col(n) - 1)).otherwise(F.array().cast("array<long>")),
+                                        lambda at: block(F.col("other"), F.lit(outer), at))
+    met = F.concat(upto("parts", 1), F.when(F.col("outer"), upto("inner", 0)).otherwise(F.array().cast("array<long>")))
+    rows = rows.join(near, [key, "band"]).withColumn("met", F.explode(met))
     return rows.withColumn("tile", F.xxhash64(key, F.least("block", "met"), F.greatest("block", "met")))
 
 
@@ -378,7 +400,7 @@ def link_components(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "tex
 
     # What may link, by signatures.
     sigs = signed.filter("node is not null").groupBy("node").agg(F.first("n").alias("n"), F.first("sig").alias("sig"))
-    single = rows.withColumn("component", F.col("node")).drop("n")
+    single = rows.withColumn("component", F.col("node"))
     spread = (F.col("salts") > 1) & _spine("c")
     may = keep(_links(_salted(single, "token", "salts", spread), sigs, partitions), "may")
     comp = keep(components(may), "clusters")
@@ -389,8 +411,10 @@ def link_components(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "tex
     drop("pairs", "may", "crowded")
 
     # What links, by exact intersections within the clusters.
-    size = comp.groupBy("component").agg(F.count("*").alias("c"))
-    clusters = comp.join(size, "component").withColumnRenamed("component", "cluster").withColumn("salts", F.ceil(F.col("c") / TILE)).withColumn("component", F.col("node"))
+    comp = comp.join(sigs.select("node", "n"), "node")
+    size = comp.groupBy("component").agg(F.count("*").alias("c"), F.sum("n").alias("shingles"))
+    salts = F.greatest(F.ceil(F.col("c") / TILE), F.ceil(F.col("shingles") / TILE_SHINGLES))
+    clusters = comp.join(size, "component").withColumnRenamed("component", "cluster").withColumn("salts", salts).withColumn("component", F.col("node"))
     clusters = keep(clusters, "clustered")
     reps = signed.filter("doc_id is not null and node is not null").groupBy("node").agg(F.min("doc_id").alias("rep"))
     sets = keep(_sets(docs, clusters.select("node").join(reps, "node")), "sets")
@@ -399,7 +423,7 @@ def link_components(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "tex
     comp = keep(components(links), "components")
     left = keep(_outer(_in(clusters.filter("salts > 1"), comp), "cluster"), "left")
     if left.head() is not None:
-        more = keep(_links(_meetings(left, "cluster"), sets, partitions), "links-more")
+        more = keep(_links(_meetings(left, "cluster", TILE_SHINGLES), sets, partitions), "links-more")
         comp = keep(components(comp.select(F.col("node").alias("a"), F.col("component").alias("b")).union(more)), "components-more")
     drop("sets", "links", "left", "clustered")
 
