@@ -50,6 +50,26 @@ def test_line_dedup_repeated_and_empty(spark, edge):
     assert linededup.dedup_lines(edge.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("salted", [1 << 20, 0])
+def test_line_dedup_keeps_probes_of_a_task_few(spark, monkeypatch, salted):
+    """Keys that are not among the most frequent, but of far more probes than a shard takes."""
+    for k, v in {"SHARD_PROBES": 64, "SHARDS": 8, "HOT": 2, "SALTED": salted}.items():
+        monkeypatch.setattr(linededup, k, v)
+    common = [f"a line that many documents have, number {i}" for i in range(3)]
+    docs = [(i, "\n".join([*(c for j, c in enumerate(common) if i % (j + 2) == 0), f"own line of the document {i}, it is long", "short"])) for i in range(900)]
+    sizes, send = [], linededup._send
+
+    def spy(*args):
+        out = send(*args)
+        sizes.extend(r["count"] for r in out.groupBy("route").count().collect())
+        return out
+
+    monkeypatch.setattr(linededup, "_send", spy)
+    out = linededup.dedup_lines(spark.createDataFrame(docs, "doc_id long, text string").repartition(4)).collect()
+    assert {r.doc_id: (r.n_lines, r.n_dropped, hashlib.sha256(r.text.encode()).hexdigest()) for r in out} == brute.line_dedup(docs)
+    assert max(sizes) < 4 * 64 and len(sizes) > 8
+
+
 def test_perfect_hash_is_minimal_and_rejects():
     keys = np.unique(np.random.default_rng(3).integers(0, 2**63, 50_000).astype(np.uint64))
     mph = linededup.PerfectHash.build(keys)

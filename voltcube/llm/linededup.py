@@ -6,14 +6,17 @@
    becomes one row: a minimal perfect hash over ``h1`` (levels of bit sets, each key
    at the first level where its position is its own) and three arrays in its order:
    the 64-bit fingerprint ``h2``, the document count and the keeping doc_id.
-3. Documents probe the arrays: (doc_id, h1, h2) rows go to their key's shard. Keys so
-   frequent that they would crowd a shard (each over 1/HOT of all probes, so fewer
-   than HOT) form a broadcast index of the same kind that is probed where the
-   document is read. Lines themselves are never shuffled.
+3. Documents probe the arrays: (doc_id, h1, h2) rows go to their key's shard. The most
+   frequent keys (each over 1/HOT of all probes, so fewer than HOT) form a broadcast
+   index of the same kind that is probed where the document is read. A shard whose
+   keys get more than SHARD_PROBES probes nevertheless is copied to several salts, over which
+   the documents are spread, so that no task gets more, whatever the size of the input.
+   Lines themselves are never shuffled.
 4. The hits return to their documents, which drop the lines.
 
 A line key is the line without ``[\\x20\\x09-\\x0D]`` at both ends, A-Z lower-cased.
-A wrong hit needs two lines that agree in 128 hash bits (slot and fingerprint).
+A wrong hit needs two lines that agree in 128 hash bits (slot and fingerprint), or two
+lines of one document that agree in the first 64.
 
 Defined results: each row is a document; a null or empty text is one empty line
 and keeps its value; rows without a doc_id are not counted and lose nothing; rows
@@ -38,6 +41,8 @@ WHITE = b" \t\n\x0b\x0c\r"
 HOT = 4096
 #: Shards hold about so many keys, and get about so many probes.
 SHARD_KEYS, SHARD_PROBES, SHARDS = 1 << 16, 1 << 17, 512
+#: Shards of several salts that are told to all tasks one by one; beyond, all shards get as many salts as the largest needs.
+SALTED = 1 << 20
 
 
 def line_key(line: bytes, least: int) -> bytes | None:
@@ -203,21 +208,11 @@ def build_shards(keys: DataFrame, shards: int) -> DataFrame:
     return keys.withColumn("shard", F.pmod("h1", F.lit(shards)).cast("int")).groupBy("shard").applyInArrow(build, LineIndex.FIELDS)
 
 
-def find_hits(spark: SparkSession, docs: DataFrame, least: int, min_docs: int) -> tuple[DataFrame, list[str]]:
-    """(doc_id, hits): the ``h1`` of keys that the document loses; and paths to delete once it has been read."""
-    seen = Observation()
-    counted = count_keys(docs, least).observe(seen, F.sum("n").alias("probes"))
-    keys, path = cut(spark, counted.filter(F.col("n") >= min_docs), "line-keys")
-    probes = seen.get["probes"] or 0
-    hot_from = max(probes // HOT, min_docs)
-    hot = keys.filter(F.col("n") > hot_from).toArrow()      # fewer than HOT rows: their counts sum to at most ``probes``
-    cold = keys.filter(F.col("n") <= hot_from)
-    shards = max(SHARDS, keys.count() // SHARD_KEYS, probes // SHARD_PROBES)
-    index, index_path = cut(spark, build_shards(cold, shards), "line-index")
-    shared = spark.sparkContext.broadcast(_to_index(hot))
+def _send(docs: DataFrame, least: int, shared, shards: int, turn: int) -> DataFrame:
+    """(route, doc_id, h1, h2, lost) of each document's line keys but those that the broadcast index knows and leaves."""
 
     def emit(batches):
-        top = shared.value
+        top, at, salts, least_salts = shared.value
         for b in small_batches(batches, "text"):
             ids, h1, h2 = [], [], []
             for i, t in zip(b.column("doc_id").to_pylist(), b.column("text").to_pylist(), strict=True):
@@ -229,11 +224,47 @@ def find_hits(spark: SparkSession, docs: DataFrame, least: int, min_docs: int) -
             n, keeper = top.probe(h1, h2)
             known = n > 0
             lost = known & (ids != keeper)
-            route = np.where(known, shards + np.abs(ids) % shards, h1.view(np.int64) % shards)
+            shard = h1.view(np.int64) % shards
+            among = np.full(len(ids), least_salts, np.int64)
+            if len(at):
+                place = np.minimum(np.searchsorted(at, shard), len(at) - 1)
+                among = np.where(at[place] == shard, salts[place], 1)
+            salt = (_mixed(ids.view(np.uint64), 0) % among.astype(np.uint64)).astype(np.int64)
+            route = np.where(known, shards + np.abs(ids) % shards, salt * turn + shard)
             go = lost | ~known
-            yield pa.record_batch({"route": pa.array(route[go], pa.int32()), "doc_id": pa.array(ids[go]), "h1": pa.array(h1.view(np.int64)[go]),
+            yield pa.record_batch({"route": pa.array(route[go], pa.int64()), "doc_id": pa.array(ids[go]), "h1": pa.array(h1.view(np.int64)[go]),
                                    "h2": pa.array(h2.view(np.int64)[go]), "lost": pa.array(lost[go])})
 
+    return docs.filter("doc_id is not null").mapInArrow(emit, "route long, doc_id long, h1 long, h2 long, lost boolean")
+
+
+def find_hits(spark: SparkSession, docs: DataFrame, least: int, min_docs: int) -> tuple[DataFrame, list[str]]:
+    """(doc_id, hits): the ``h1`` of keys that the document loses; and paths to delete once it has been read."""
+    seen = Observation()
+    counted = count_keys(docs, least).observe(seen, F.sum("n").alias("probes"))
+    keys, path = cut(spark, counted.filter(F.col("n") >= min_docs), "line-keys")
+    probes = seen.get["probes"] or 0
+    hot_from = max(probes // HOT, min_docs)
+    hot = keys.filter(F.col("n") > hot_from).toArrow()      # fewer than HOT rows: their counts sum to at most ``probes``
+    cold = keys.filter(F.col("n") <= hot_from)
+    shards = max(SHARDS, keys.count() // SHARD_KEYS, probes // SHARD_PROBES)
+    index, index_path = cut(spark, build_shards(cold, shards), "line-index")
+    # Keys below ``min_docs`` are dealt evenly; what makes a shard large are its indexed keys, whose probes are known.
+    load = cold.groupBy(F.pmod("h1", F.lit(shards)).cast("int").alias("shard")).agg(F.sum("n").alias("n"))
+    salted = load.select("shard", (F.lit(1) + F.floor(F.col("n") / SHARD_PROBES)).cast("int").alias("salts")).filter("salts > 1")
+    several = salted.orderBy("shard").limit(SALTED + 1).toArrow()
+    if several.num_rows <= SALTED:
+        at, salts, least_salts = several.column("shard").to_numpy(), several.column("salts").to_numpy(), 1
+        copies = index.join(F.broadcast(salted), "shard", "left").withColumn("salts", F.coalesce("salts", F.lit(1)))
+    else:
+        at, salts, least_salts = np.zeros(0, np.int32), np.zeros(0, np.int32), int(salted.agg(F.max("salts")).head()[0])
+        copies = index.withColumn("salts", F.lit(least_salts))
+    # Routes: the shards, as many places for hits on hot keys, then the same again for each further salt.
+    turn = 2 * shards
+    copies = copies.withColumn("salt", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)))
+    copies = copies.withColumn("route", F.col("salt").cast("long") * turn + F.col("shard")).drop("salt", "salts", "shard")
+    sent = _send(docs, least, spark.sparkContext.broadcast((_to_index(hot), at, salts, least_salts)), shards, turn)
+
     def probe(key, left: pa.Table, right: pa.Table) -> pa.Table:
         left = left.combine_chunks()
         lost = left.column("lost").to_numpy(zero_copy_only=False).copy()
@@ -242,8 +273,7 @@ def find_hits(spark: SparkSession, docs: DataFrame, least: int, min_docs: int) -
             lost |= (n > 0) & (keeper != left.column("doc_id").to_numpy())
         return left.select(["doc_id", "h1"]).filter(pa.array(lost))
 
-    sent = docs.filter("doc_id is not null").mapInArrow(emit, "route int, doc_id long, h1 long, h2 long, lost boolean")
-    hits = (sent.groupBy("route").cogroup(index.withColumnRenamed("shard", "route").groupBy("route"))
+    hits = (sent.groupBy("route").cogroup(copies.groupBy("route"))
                 .applyInArrow(probe, "doc_id long, h1 long"))
     return hits.groupBy("doc_id").agg(F.collect_set("h1").alias("hits")), [path, index_path]
 
