@@ -120,7 +120,8 @@ def histogram_shard(docs: DataFrame, shards: int = 16, *, doc_id: str = "doc_id"
     """``docs`` with ``shard`` and ``slot`` (gapless from 0 in each shard).
 
     Slots come from prefix-summed run counts plus the row number in the run, so no
-    task handles more than a run, whatever a shard or a group of copies holds."""
+    task handles more than a run, whatever a shard or a group of copies holds; rows
+    that repeat both the doc_id (or have none) and the text are in one run."""
     docs = docs.drop("shard", "slot")
     d, run, off = fresh(docs, "_d", "_run", "_off")
     rows = docs.withColumn(d, id_key(F.col(doc_id)))
@@ -130,7 +131,7 @@ def histogram_shard(docs: DataFrame, shards: int = 16, *, doc_id: str = "doc_id"
         shard = shard + F.when((F.col(hash_col) > kh) | ((F.col(hash_col) == kh) & (F.col(d) >= kd)), 1).otherwise(0)
     runs = max(RUNS, rows.count() // (shards * RUN_ROWS))
     rows = rows.withColumn("shard", shard.cast("int"))
-    rows = rows.withColumn(run, F.pmod(F.xxhash64(F.col(doc_id), F.lit(7)), F.lit(runs)))
+    rows = rows.withColumn(run, F.pmod(F.xxhash64(F.col(doc_id), F.col(hash_col), F.lit(7)), F.lit(runs)))
     counts = rows.groupBy("shard", run).agg(F.count("*").alias("n"))
     before = W.partitionBy("shard").orderBy(run).rowsBetween(W.unboundedPreceding, -1)
     counts = counts.select("shard", run, F.coalesce(F.sum("n").over(before), F.lit(0)).alias(off))
