@@ -137,6 +137,26 @@ def test_shards(spark):
     check_shards(rows, 16)
 
 
+def test_shards_are_those_of_a_full_sort(spark):
+    """Sorted by (hash, id) the shards follow each other, cut where the bytes of all before come nearest to equal parts."""
+    docs = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text")
+    docs = docs.union(docs.selectExpr("doc_id + 100000", "text")).withColumn("h", sharding.text_hash(F.col("text"))).withColumn("size", sharding.size_of(F.col("text")))
+    rows = sorted(sharding.histogram_shard(docs, 8, hash_col="h", size="size", tolerance=0.0001).collect(), key=lambda r: (r.h, r.doc_id))
+    shards = [r.shard for r in rows]
+    assert shards == sorted(shards)
+    total, ends, below = sum(r["size"] for r in rows), {}, 0
+    for r in rows:
+        below += r["size"]
+        ends[r.shard] = below
+    for i in range(1, 8):
+        ideal, at = total * i // 8, max((e for s, e in ends.items() if s < i), default=0)
+        nearest, here = None, 0
+        for r in rows:
+            nearest = min(nearest if nearest is not None else ideal, abs(here - ideal), abs(here + r["size"] - ideal))
+            here += r["size"]
+        assert abs(at - ideal) <= nearest + max(1, int(0.0001 * total / 8))
+
+
 def test_shards_hot_group_nulls_and_empty(spark, edge):
     df = spark.range(30_000).select(F.col("id").alias("doc_id"), F.when(F.col("id") % 3 == 0, "same").otherwise(F.col("id").cast("string")).alias("text"), F.lit("x").alias("_run"))
     df = df.withColumn("size", sharding.size_of(F.col("text"))).withColumn("h", sharding.text_hash(F.col("text")))
@@ -175,6 +195,64 @@ def test_language_scores_are_those_of_the_formula():
     assert m.score([long, text])[0][1] == lang[0]
 
 
+def test_language_counts_are_those_of_plain_strings(spark):
+    """Every n-gram of " words between blanks ", counted as a string and hashed by itself."""
+    from collections import Counter
+
+    from voltcube.llm import chars
+    texts = [("en", "The cat, the CAT! 12 sat"), ("en", "a"), ("fr", "Été\u00a0déjà--vu"), ("fr", None), (None, "none"), ("en", "The cat, the CAT! 12 sat")]
+    df = spark.createDataFrame([(i, t, g) for i, (g, t) in enumerate(texts)], "doc_id long, text string, lang string").repartition(3)
+    model = langid.train(df, bits=10, smoothing=0.5)
+    assert model.langs == ["en", "fr"] and np.allclose(np.exp(model.prior), [0.75, 0.25])
+    count = {"en": Counter(), "fr": Counter()}
+    for g, t in texts:
+        if g and t:
+            s = " " + " ".join("".join(c if c.isalpha() else " " for c in t.lower()).split()) + " "
+            for k, n in enumerate(model.orders):
+                for i in range(len(s) - n + 1):
+                    bucket = int(chars.ngram_buckets(np.array([ord(c) for c in s[i:i + n]], np.uint32), n, 10)[0])
+                    count[g][k << 10 | bucket] += 1
+    for k in range(3):
+        used = len({b for c in count.values() for b in c if b >> 10 == k})
+        for j, g in enumerate(model.langs):
+            whole = sum(v for b, v in count[g].items() if b >> 10 == k)
+            for b in range(k << 10, (k + 1) << 10):
+                assert abs(np.exp(model.log_prob[b, j]) - (count[g][b] + 0.5) / (whole + 0.5 * used)) < 1e-12
+    empty = langid.train(df.limit(0))
+    assert empty.langs == [] and langid.predict(df.limit(0), model).count() == 0
+
+
+def test_quality_descent_follows_the_gradient():
+    """The steps of the descent against a plain version: softmax of the layer on the mean vector, cross entropy."""
+    rng = np.random.default_rng(5)
+    rows = [(np.sort(rng.choice(8, 3, replace=False)).astype(np.int32), np.array([0.5, 0.25, 0.25], np.float32), int(y)) for y in (0, 1, 1, 0)]
+    got = quality.sgd(rows, bits=3, dim=4, epochs=3, rate=0.3, seed=9)
+    rng = np.random.default_rng(9)
+    vectors = rng.uniform(-1 / 4, 1 / 4, (8 + quality.PAIRS, 4)).astype(np.float32).astype(float)
+    layer, step = np.zeros((4, 2)), 0
+
+    def loss(v, w, row):
+        z = (row[1].astype(float) @ v[row[0]]) @ w
+        return np.log(np.exp(z).sum()) - z[row[2]]
+
+    for _ in range(3):
+        for i in rng.permutation(4):
+            lr, e = 0.3 * (1 - step / 12), 1e-6
+            step += 1
+            dv, dw = np.zeros_like(vectors), np.zeros_like(layer)
+            for grad, x in ((dv, vectors), (dw, layer)):
+                for at in np.ndindex(*x.shape):
+                    held = x[at]
+                    x[at] = held + e
+                    up = loss(vectors, layer, rows[i])
+                    x[at] = held - e
+                    grad[at] = (up - loss(vectors, layer, rows[i])) / (2 * e)
+                    x[at] = held
+            vectors -= lr * dv
+            layer -= lr * dw
+    assert np.allclose(got, vectors @ (layer[:, 1] - layer[:, 0]), atol=1e-4)
+
+
 def test_quality(spark, edge):
     out = queries.queries()["op7_quality"](spark, "/root/testdata/sf0.01").join(spark.read.parquet("/root/testdata/sf0.01/labels.parquet"), "doc_id").collect()
     held = [r for r in out if r.held_out]
