@@ -109,6 +109,21 @@ def test_ann_lists(spark, monkeypatch):
     assert np.mean([len({i for i, _ in got[q]} & {i for i, _ in want[q]}) / 10 for q in want]) >= 0.9
 
 
+def test_the_ratio_follows_the_data():
+    """Clustered vectors need few lists; random directions most of them."""
+    rng = np.random.default_rng(5)
+    unit = lambda x: x / np.linalg.norm(x, axis=1, keepdims=True)
+    tables = {"random": unit(rng.normal(size=(6000, 32))), "clustered": unit(unit(rng.normal(size=(60, 32)))[rng.integers(0, 60, 6000)] + 0.05 * rng.normal(size=(6000, 32)))}
+    found = {}
+    for name, x in tables.items():
+        y = ann.extended(x, float((x ** 2).sum(1).max()))
+        found[name] = ann.measured_ratio(ann.CentroidGraph.build(ann.balanced_centroids(y, 60)), x, y, 6000, 20)
+    assert 1.02 <= found["clustered"][0] < found["random"][0] < 1.5
+    assert found["clustered"][1] <= 10 < 30 < found["random"][1]
+    one = ann.CentroidGraph.build(np.zeros((1, 3)))
+    assert ann.measured_ratio(one, np.zeros((5, 2)), np.zeros((5, 3)), 5, 20)[1] == 1
+
+
 def test_balanced_lists_and_graph():
     rng = np.random.default_rng(1)
     x = np.vstack([rng.normal(size=(4000, 8)) * 0.01, rng.normal(size=(1000, 8))])      # one dense group

@@ -8,6 +8,10 @@
   neighbours, and a beam walks it from a few entry points, many queries at a time.
 * A query reads the lists whose centroid is within a distance ratio of the first one up to
   which the lists hold more than k vectors (its nearest one, unless that is a small list).
+  The ratio is the one that finds ``RECALL`` of the neighbours of some sampled vectors within the
+  sample; neighbours in the whole table are nearer, so it errs on the side of more lists. The
+  beam is as wide as the lists that it opens: few where vectors are clustered, most of them
+  where directions are random and no list rules out another.
   Queries still without k results go on through the lists in order of distance.
 
 Inner products become distances by one more component, sqrt(M^2 - |x|^2), that gives all
@@ -34,12 +38,14 @@ from pyspark.sql import functions as F
 from voltcube.llm import tiles
 from voltcube.llm.common import cut, drop_path
 
-#: Vectors the centroids are fitted on (about), vectors of a list, and lists at most (they may get larger).
+#: Vectors the centroids are fitted on (at most), vectors of a list, and lists at most (they may get larger).
 SAMPLE, LIST, LISTS = 32_768, 1024, 4096
-#: Lists of a vector at most, and the distance ratios that choose lists for vectors and for queries.
-REPLICAS, CLOSURE, PROBE = 2, 1.01, 1.2
-#: Neighbours of a centroid in the graph, and the beam of a walk (at least; it is widened to a share of the lists).
-DEGREE, BEAM, BEAM_SHARE = 16, 64, 0.8
+#: Lists of a vector at most, and the distance ratio that chooses them.
+REPLICAS, CLOSURE = 2, 1.01
+#: Share of the sample's neighbours that the ratio of a table is to find, vectors it is measured on, and the least ratio.
+RECALL, MEASURED, RATIO = 0.97, 512, 1.02
+#: Neighbours of a centroid in the graph, the beam of a walk at least, and its width over the lists that nearly all queries open.
+DEGREE, BEAM, WIDER = 16, 32, 1.5
 #: Lists opened at least for a query that lacks results; each further round opens as many times more.
 MORE = 8
 
@@ -83,7 +89,7 @@ class CentroidGraph:
         # A few far links and a ring keep the graph connected.
         far = rng.integers(0, n, (n, 3))
         ring = (np.arange(n)[:, None] + 1) % n
-        return cls(centroids, np.hstack([near, far, ring]), np.unique(rng.integers(0, n, 8)), int(min(n, max(BEAM, BEAM_SHARE * n))))
+        return cls(centroids, np.hstack([near, far, ring]), np.unique(rng.integers(0, n, 8)), int(min(n, BEAM)))
 
     def walk(self, x: np.ndarray, width: int | None = None) -> tuple[np.ndarray, np.ndarray]:
         """The nearest centroids found for each row and their distances, nearest first (``width`` columns;
@@ -135,28 +141,71 @@ class CentroidGraph:
         return np.nonzero(take)[0], ids[take]
 
 
-def build(vectors: DataFrame, dim: int, n: int) -> tuple[CentroidGraph, float]:
-    sample = tiles.matrix(vectors.filter(F.pmod(F.xxhash64("vec_id"), F.lit(max(n, 1))) < SAMPLE).toArrow().column("v"), dim)
+def build(vectors: DataFrame, dim: int, n: int, k: int) -> tuple[CentroidGraph, float, float]:
+    """The centroids' graph, the largest squared norm and the ratio that chooses lists."""
+    once = vectors.groupBy("vec_id").agg(F.min("v").alias("v"))          # a hot id is one vector of the sample
+    sample = tiles.matrix(once.orderBy(F.xxhash64("vec_id"), "vec_id").limit(SAMPLE).toArrow().column("v"), dim)
 
     def norms(batches):
         for b in batches:
             yield pa.record_batch({"n2": pa.array([float((tiles.matrix(b.column("v"), dim) ** 2).sum(1).max(initial=0))])})
 
     norm2 = vectors.select("v").mapInArrow(norms, "n2 double").agg(F.max("n2")).head()[0] or 0.0
-    x = extended(sample if len(sample) else np.zeros((1, dim)), norm2)
-    return CentroidGraph.build(balanced_centroids(x, int(np.clip(-(-n // LIST), 1, min(LISTS, len(x)))))), norm2
+    sample = sample if len(sample) else np.zeros((1, dim))
+    x = extended(sample, norm2)
+    graph = CentroidGraph.build(balanced_centroids(x, int(np.clip(-(-n // LIST), 1, min(LISTS, len(x))))))
+    ratio, wide = measured_ratio(graph, sample, x, n, k)
+    graph.beam = int(min(len(graph.centroids), max(BEAM, WIDER * wide)))
+    return graph, norm2, ratio
+
+
+def measured_ratio(graph: CentroidGraph, sample: np.ndarray, x: np.ndarray, n: int, k: int) -> tuple[float, float]:
+    """The ratio at which sampled queries read lists of RECALL of their k best others in the sample, and how many lists
+    all but a hundredth of them open then."""
+    lists = len(graph.centroids)
+    if lists == 1 or len(sample) <= k:
+        return float("inf"), float(lists)
+    row, of = graph.lists_of(x, REPLICAS, CLOSURE)
+    held = np.full((len(sample), REPLICAS), -1)
+    first = np.concatenate([[True], row[1:] != row[:-1]])
+    held[row[first], 0] = of[first]
+    held[row[~first], 1] = of[~first]
+    size = np.bincount(of, minlength=lists) * (n / len(sample))
+    rng = np.random.default_rng(3)
+    needed, opened = [], []
+    for at in np.array_split(rng.permutation(len(sample))[:MEASURED], 16):
+        if not len(at):
+            continue
+        score = sample[at] @ sample.T
+        score[np.arange(len(at)), at] = -np.inf
+        best = np.argpartition(-score, k - 1, 1)[:, :k]
+        ids, dist = graph.all(np.hstack([sample[at], np.zeros((len(at), 1))]))
+        base = np.minimum((size[ids].cumsum(1) <= k).sum(1), lists - 1)
+        unit = np.maximum(np.take_along_axis(dist, base[:, None], 1), 1e-12)
+        by_list = np.full((len(at), lists + 1), np.inf)           # the last column: no further list
+        np.put_along_axis(by_list, ids, dist / unit, 1)
+        near = held[best]
+        needed.append(by_list[np.arange(len(at))[:, None, None], np.where(near < 0, lists, near)].min(2).ravel())
+        opened.append(dist / unit)
+    ratio = max(RATIO, float(np.quantile(np.concatenate(needed), RECALL)) * (1 + 1e-9))
+    return ratio, float(np.quantile((np.concatenate(opened) <= ratio).sum(1), 0.99))
 
 
 def extended(x: np.ndarray, norm2: float) -> np.ndarray:
     return np.hstack([x, np.sqrt(np.maximum(norm2 - (x ** 2).sum(1), 0))[:, None]])
 
 
-def search(df: DataFrame, *, vec_id: str = "vec_id", vector: str = "embedding", k: int = 20, every: int = 20, probe: float = PROBE) -> DataFrame:
-    """(query_id, rank, vec_id, score): for each vector whose id is divisible by ``every`` the k nearest others found."""
+def search(df: DataFrame, *, vec_id: str = "vec_id", vector: str = "embedding", k: int = 20, every: int = 20, probe: float | None = None) -> DataFrame:
+    """(query_id, rank, vec_id, score): for each vector whose id is divisible by ``every`` the k nearest others found. ``probe``:
+    the ratio that chooses lists (measured by default)."""
     spark = df.sparkSession
     vectors, dim = tiles.encode(df, vec_id, vector, zero_ok=False)
     vectors, path = cut(spark, vectors, "ann-vectors")
-    graph, norm2 = build(vectors, dim, vectors.count())
+    graph, norm2, ratio = build(vectors, dim, vectors.count(), k)
+    if probe is None:
+        probe = ratio
+    else:                # how many lists a given ratio opens is not known before
+        graph.beam = len(graph.centroids)
     shared = spark.sparkContext.broadcast(graph)
 
     def post(batches):
@@ -186,7 +235,7 @@ def search(df: DataFrame, *, vec_id: str = "vec_id", vector: str = "embedding",
                         # The ratio is to the list that completes k, or to the last one that is to be opened.
                         filled = (size[ids].cumsum(1) <= k).sum(1)
                         base = np.minimum(np.maximum(filled, least - 1), np.isfinite(dist).sum(1) - 1)
-                        take = np.isfinite(dist) & (dist <= probe * np.take_along_axis(dist, base[:, None], 1) + 1e-12)
+                        take = np.isfinite(dist) & (dist <= probe * np.maximum(np.take_along_axis(dist, base[:, None], 1), 1e-12))
                         take[:, 0] = least > 1
                     else:
                         take = np.zeros(ids.shape, bool)
