@@ -222,6 +222,13 @@ def test_language_counts_are_those_of_plain_strings(spark):
     assert empty.langs == [] and langid.predict(df.limit(0), model).count() == 0
 
 
+def test_letters_of_any_plane():
+    from voltcube.llm import chars
+    text = "A\U0001F600b \U00010400\U0001F600\U0001F601 9z"
+    assert "".join(map(chr, chars.letter_points(text))) == " a b \U00010428 z "
+    assert chars.letter_points("").tolist() == chars.letter_points("\U0001F600").tolist() == [32]
+
+
 def test_quality_descent_follows_the_gradient():
     """The steps of the descent against a plain version: softmax of the layer on the mean vector, cross entropy."""
     rng = np.random.default_rng(5)

@@ -30,7 +30,9 @@ def letter_points(text: str) -> np.ndarray:
     if _LETTERS is None:
         _LETTERS = _letters()
     cp = np.frombuffer(text.lower().encode("utf-32-le", "surrogatepass"), "<u4")
-    cp = np.where(cp < 1 << 16, _LETTERS[np.minimum(cp, (1 << 16) - 1)], cp).astype(np.uint32)
+    far = np.unique(cp[cp >= 1 << 16])
+    others = far[[not chr(c).isalpha() for c in far.tolist()]] if len(far) else far
+    cp = np.where(cp < 1 << 16, _LETTERS[np.minimum(cp, (1 << 16) - 1)], np.where(np.isin(cp, others), 32, cp) if len(others) else cp).astype(np.uint32)
     cp = np.concatenate([[np.uint32(32)], cp, [np.uint32(32)]])
     return cp[~((cp == 32) & np.concatenate([[False], cp[:-1] == 32]))]
 
