@@ -165,7 +165,8 @@ def measured_ratio(graph: CentroidGraph, sample: np.ndarray, x: np.ndarray, n: i
     lists = len(graph.centroids)
     if lists == 1 or len(sample) <= k:
         return float("inf"), float(lists)
-    row, of = graph.lists_of(x, REPLICAS, CLOSURE)
+    parts = [(at, *graph.lists_of(x[at:at + 1024], REPLICAS, CLOSURE)) for at in range(0, len(x), 1024)]      # a walk holds many centroids a row
+    row, of = np.concatenate([at + r for at, r, _ in parts]), np.concatenate([c for _, _, c in parts])
     held = np.full((len(sample), REPLICAS), -1)
     first = np.concatenate([[True], row[1:] != row[:-1]])
     held[row[first], 0] = of[first]
