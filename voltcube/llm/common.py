@@ -87,3 +87,5 @@ def small_batches(batches: Iterable[pa.RecordBatch], text: str, most: int = 1 <<
             held += n or 0
         if start < b.num_rows:
             yield b.slice(start)
+    # The worker may lie idle next to other work: what Arrow keeps for later goes back.
+    pa.default_memory_pool().release_unused()

@@ -47,7 +47,7 @@ from voltcube.llm.components import components
 
 SHINGLE = 5
 #: A shingle is common once a task has met it in so many documents; the FREQUENT most common are told to all.
-COMMON, CHUNK, FREQUENT = 3, 1 << 23, 1 << 18
+COMMON, CHUNK, FREQUENT = 3, 1 << 22, 1 << 18
 #: Nodes of a tile, and nodes of a salted token or a cut cluster that are in all of its tiles.
 TILE, SPINE = 2048, 32
 #: Shingles of the sets in a tile of exact intersections, about (8 bytes each; a larger set is a tile's alone).
