@@ -47,10 +47,16 @@ def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
     return spark
 
 
+#: Bytes of an Arrow batch, about: rows may hold whole documents, of which the usual 10,000 would be tens of MB in the
+#: JVM and in each Python worker.
+ARROW_BATCH = 4 << 20
+
+
 def apply_runtime_conf(spark: SparkSession) -> None:
-    """Set the SQL settings this package depends on for semantics (not tuning)."""
+    """Set the SQL settings this package depends on: semantics, and the memory of Arrow batches."""
     spark.conf.set("spark.sql.session.timeZone", "UTC")
     spark.conf.set("spark.sql.ansi.enabled", "true")
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(ARROW_BATCH))
 
 
 def shared_dir(spark: SparkSession) -> str:
