@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import tempfile
 import zipfile
 from collections.abc import Iterable, Iterator
@@ -75,6 +76,14 @@ def add_columns(batch: pa.RecordBatch, **arrays: pa.Array) -> pa.RecordBatch:
         [*batch.columns, *arrays.values()], names=[*batch.schema.names, *arrays])
 
 
+def give_back() -> None:
+    """At the end of a task: memory that Arrow and the C library keep for later goes back, as the worker may lie
+    idle next to others."""
+    pa.default_memory_pool().release_unused()
+    if trim := getattr(ctypes.CDLL(None), "malloc_trim", None):
+        trim(0)
+
+
 def small_batches(batches: Iterable[pa.RecordBatch], text: str, most: int = 1 << 23) -> Iterator[pa.RecordBatch]:
     """Slices of Arrow batches that hold at most ``most`` bytes of ``text`` (or one row)."""
     for b in batches:
@@ -87,5 +96,4 @@ def small_batches(batches: Iterable[pa.RecordBatch], text: str, most: int = 1 <<
             held += n or 0
         if start < b.num_rows:
             yield b.slice(start)
-    # The worker may lie idle next to other work: what Arrow keeps for later goes back.
-    pa.default_memory_pool().release_unused()
+    give_back()

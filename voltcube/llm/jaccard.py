@@ -42,7 +42,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from voltcube.llm.common import cut, drop_path, fresh, small_batches
+from voltcube.llm.common import cut, drop_path, fresh, give_back, small_batches
 from voltcube.llm.components import components
 
 SHINGLE = 5
@@ -178,6 +178,7 @@ def runs(batches, key: str) -> Iterator[pa.Table]:
             last = k[s]
     if held:
         yield pa.Table.from_batches(held)
+    give_back()
 
 
 def _survey(docs: DataFrame) -> DataFrame:
@@ -191,9 +192,12 @@ def _survey(docs: DataFrame) -> DataFrame:
         chunk, size, seen = [], 0, set()
 
         def common():
-            tokens, times = np.unique(np.concatenate(chunk), return_counts=True)
-            at = times >= COMMON
-            return full(int(at.sum()), token=pa.array(tokens[at].view(np.int64)), times=pa.array(times[at].astype(np.int64)))
+            tokens = np.concatenate(chunk)
+            chunk.clear()
+            tokens.sort()
+            often = np.unique(tokens[COMMON - 1:][tokens[COMMON - 1:] == tokens[:max(0, len(tokens) - COMMON + 1)]])
+            times = np.searchsorted(tokens, often, "right") - np.searchsorted(tokens, often)
+            return full(len(often), token=pa.array(often.view(np.int64)), times=pa.array(times.astype(np.int64)))
 
         for b in small_batches(batches, "text"):
             sets = [shingle_set(t) for t in b.column("text").to_pylist()]
@@ -207,7 +211,7 @@ def _survey(docs: DataFrame) -> DataFrame:
                     size += len(s)
             if size > CHUNK:
                 yield common()
-                chunk, size, seen = [], 0, set()
+                size, seen = 0, set()
         if chunk:
             yield common()
 
@@ -276,6 +280,7 @@ def _not_alone(rows: DataFrame, partitions: int) -> DataFrame:
             held, paired = b.slice(len(k) - 1), bool(keep[-1])
         if paired:
             yield pa.record_batch({"token": held.column("token"), "node": held.column("node"), "n": pa.array(held.column("meta").to_numpy() >> 32)})
+        give_back()
 
     rows = rows.repartition(partitions, "token", F.when(common, F.col("node")))
     return rows.sortWithinPartitions("token", "meta").mapInArrow(run, "token long, node long, n long")
