@@ -222,6 +222,17 @@ def test_language_counts_are_those_of_plain_strings(spark):
     assert empty.langs == [] and langid.predict(df.limit(0), model).count() == 0
 
 
+def test_many_languages_are_counted_in_turns_or_refused(spark, monkeypatch):
+    df = spark.createDataFrame([(i, f"{'abcde'[i % 5]}{i % 3} word", f"l{i % 5}") for i in range(60)], "doc_id long, text string, lang string").coalesce(1)
+    whole = langid.train(df, bits=10)
+    monkeypatch.setattr(langid, "HELD_LANGS", 2)
+    turns = langid.train(df, bits=10)
+    assert turns.langs == whole.langs and np.array_equal(turns.log_prob, whole.log_prob) and np.array_equal(turns.prior, whole.prior)
+    monkeypatch.setattr(langid, "MAX_LANGS", 4)
+    with pytest.raises(langid.TooManyLanguages):
+        langid.train(df, bits=10)
+
+
 def test_letters_of_any_plane():
     from voltcube.llm import chars
     text = "A\U0001F600b \U00010400\U0001F600\U0001F601 9z"

@@ -8,7 +8,9 @@ not change) is broadcast and texts are scored in numpy, whole.
 
 Defined results: null texts, and texts without a letter, are ``und`` with score 0;
 with no training rows every text is ``und``; rows whose language is null are not
-learned from. Extra columns are carried; result columns replace input columns of
+learned from; more than ``MAX_LANGS`` languages are an error (``TooManyLanguages``). Repeated rows count as often as
+they occur; of equally likely languages the first by code point is predicted; an empty table gives an empty result.
+Extra columns are carried; result columns replace input columns of
 the same name.
 """
 
@@ -27,9 +29,15 @@ from voltcube.llm.common import add_columns, small_batches, with_fields
 
 ORDERS = (1, 2, 3)
 BITS = 16
+#: Languages that a model may have (1.6 MB each, on the driver and in every worker), and those that a task counts at once.
+MAX_LANGS, HELD_LANGS = 256, 32
 UNDETERMINED = "und"
 
 
+class TooManyLanguages(ValueError):
+    pass
+
+
 @dataclass
 class LanguageModel:
     langs: list[str]
@@ -66,13 +74,30 @@ def train(docs: DataFrame, *, text: str = "text", lang: str = "lang", orders=ORD
     """Counts over every row with a text and a language. What reaches the driver is one
     number per language and bucket that occurs (at most languages * 3 * 2**bits)."""
     rows = docs.select(F.col(text).alias("text"), F.col(lang).alias("lang")).filter("text is not null and lang is not null")
+    # The bound is checked before anything of that size is counted or sent.
+    if len(rows.select("lang").distinct().limit(MAX_LANGS + 1).collect()) > MAX_LANGS:
+        raise TooManyLanguages(f"more than {MAX_LANGS} languages in the training rows")
 
     def count(batches):
         held: dict[str, np.ndarray] = {}
         n: dict[str, int] = {}
+
+        def counted():
+            for g, acc in held.items():
+                at = np.flatnonzero(acc)
+                yield pa.record_batch({"lang": pa.array([g] * (len(at) + 1), pa.string()),
+                                       "bucket": pa.array(np.append(at, -1), pa.int32()),
+                                       "n": pa.array(np.append(acc[at], n[g]), pa.int64())})
+            held.clear()
+            n.clear()
+
         for b in small_batches(batches, "text"):
             for t, g in zip(b.column("text").to_pylist(), b.column("lang").to_pylist(), strict=True):
-                acc = held.setdefault(g, np.zeros(len(orders) << bits, np.int64))
+                if g not in held:
+                    if len(held) == HELD_LANGS:
+                        yield from counted()
+                    held[g] = np.zeros(len(orders) << bits, np.int64)
+                acc = held[g]
                 n[g] = n.get(g, 0) + 1
                 p = chars.letter_points(t)
                 for k, o in enumerate(orders):
@@ -82,11 +107,7 @@ def train(docs: DataFrame, *, text: str = "text", lang: str = "lang", orders=ORD
                             acc[k << bits:(k + 1) << bits] += np.bincount(got, minlength=1 << bits)
                         elif len(got):
                             np.add.at(acc, (k << bits) + got.astype(np.int64), 1)
-        for g, acc in held.items():
-            at = np.flatnonzero(acc)
-            yield pa.record_batch({"lang": pa.array([g] * (len(at) + 1), pa.string()),
-                                   "bucket": pa.array(np.append(at, -1), pa.int32()),
-                                   "n": pa.array(np.append(acc[at], n[g]), pa.int64())})
+        yield from counted()
 
     counts = rows.mapInArrow(count, "lang string, bucket int, n long").groupBy("lang", "bucket").agg(F.sum("n").alias("n")).toPandas()
     langs = sorted(counts["lang"].unique())
