@@ -105,3 +105,29 @@ def test_other_models_are_refused():
     data = open(PIECE_MODEL, "rb").read()
     with pytest.raises(ValueError):
         pieces.Vocabulary.parse(data.replace(b"identity", b"nmt_nfkc"))
+
+
+def test_a_full_cache_keeps_the_words_in_use(vocab, monkeypatch):
+    monkeypatch.setattr(pieces, "CACHE_WORDS", 5)
+    e = pieces.Encoder(vocab)
+    e.encode(["the end of the day"])
+    seen, walk = [], e.walk
+    e.walk = lambda words: (seen.extend(words), walk(words))[1]
+    got = e.encode(["the end is near us"])
+    assert seen == ["▁is", "▁near", "▁us"] and "day" not in e.cache
+    assert got[0].tolist() == sp.SentencePieceProcessor(model_file=PIECE_MODEL).encode("the end is near us")
+
+
+def test_the_search_for_cycles_rests_while_words_are_encoded(vocab):
+    import gc
+    e, seen = pieces.Encoder(vocab), []
+    walk = e.walk
+    e.walk = lambda words: (seen.append(gc.isenabled()), walk(words))[1]
+    e.encode(["the end"])
+    assert seen == [False] and gc.isenabled()
+    gc.disable()
+    try:
+        e.encode(["an end"])
+        assert not gc.isenabled()
+    finally:
+        gc.enable()
