@@ -374,3 +374,31 @@ def test_hot_key_holding_a_third_of_rows(spark):
     assert piv["hot"] == (3.0, 0.0)
     up = merge_upsert(df.select("k", "seq").dropDuplicates(["k"]), df.select("k", "seq"), ["k"], order="seq")
     assert {r.k: r.seq for r in up.collect()}["hot"] == max(i for i in range(n) if i % 3 == 0)
+
+
+def test_units_are_those_of_decimals(spark):
+    """Longs count what the decimals hold, ties, large values and negative ones too; products round as theirs do."""
+    from voltcube.functions.scalar import from_units, scaled_units, to_decimal, to_units
+    values = [None, 0.0, -0.0, 1.005, 2.675, -1.005, 0.07, 0.00005, -0.00005, 1.00005, 104949.5, 1 / 3, -2.5, 99999999.995, 7e13, -6e13, 12345678901234.0]
+    df = spark.createDataFrame([(x,) for x in values], "x double")
+    for scale in (2, 4):
+        both = df.select("x", to_decimal("x", 18, scale).alias("a"), from_units(to_units("x", 18, scale), 18, scale).alias("b"))
+        assert both.where("not (a <=> b)").collect() == []
+    rated = df.crossJoin(spark.createDataFrame([(0.0,), (0.07,), (-0.05,), (0.1,)], "t double"))
+    both = rated.select("x", "t", (to_decimal("x", 18, 4) * (1 + to_decimal("t", 4, 2))).cast("decimal(18,4)").alias("a"),
+                        from_units(scaled_units(to_units("x", 18, 4), 100 + to_units("t", 4, 2)), 18, 4).alias("b"))
+    assert both.where("not (a <=> b)").collect() == []
+
+
+def test_large_role_sums_are_sums_of_longs(spark):
+    """Sums over lineitem and orders run on longs: decimals of more than 18 digits took most of a build's time."""
+    import re
+
+    from tests.conftest import SF_SMALL
+    from voltcube.plans.roles import Roles
+    roles = Roles(spark, SF_SMALL, materialize=False)
+    for name in ("country_energy", "market_base", "nation_year"):
+        plan = getattr(roles, name)._jdf.queryExecution().optimizedPlan().toString()
+        lowest = [line for line in plan.splitlines() if "Aggregate [" in line][-1]
+        assert "sum(" in lowest and not re.search(r"sum\([^()]*cast\([^()]* as decimal", lowest), lowest
+        assert "decimal(28" not in lowest

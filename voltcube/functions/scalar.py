@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from decimal import Decimal
 from functools import reduce
 
 from pyspark.sql import Column
@@ -95,6 +96,34 @@ def to_decimal(c, precision: int, scale: int) -> Column:
     return _col(c).cast(T.DecimalType(precision, scale))
 
 
+def to_units(c, precision: int, scale: int) -> Column:
+    """``to_decimal`` as a long that counts units of 10**-``scale`` (``precision`` at most 18).
+
+    A double that is the closest one to a number of that scale below 15 digits, as money and quantities are, is
+    counted by arithmetic on doubles; any other takes the way over the decimal. Sums of longs cost a small part of
+    sums of decimals."""
+    x, k = _col(c), 10 ** scale
+    near = F.floor(x * float(k) + F.lit(0.5))
+    exact = (F.abs(x) < F.lit(10.0 ** (min(precision, 15) - scale - 1))) & (near / F.lit(float(k)) == x)
+    by_decimal = to_decimal(x, precision, scale).cast(T.DecimalType(38, scale)) * F.lit(k)
+    return F.when(exact, near).otherwise(by_decimal.cast("bigint"))
+
+
+def from_units(c, precision: int, scale: int) -> Column:
+    """The decimal that counts as so many units of 10**-``scale``."""
+    unit = F.lit(Decimal(1).scaleb(-scale))
+    return (_col(c).cast(T.DecimalType(19, 0)) * unit).cast(T.DecimalType(precision, scale))
+
+
+def scaled_units(units, percent) -> Column:
+    """``units`` times ``percent`` / 100, rounded half away from zero, as a long of at most 18 digits; ``percent`` has at most 5."""
+    u, pc = _col(units), _col(percent)
+    n = u * pc
+    wide = u.cast(T.DecimalType(18, 0)) * pc.cast(T.DecimalType(5, 0)) * F.lit(Decimal("0.01"))
+    short = F.call_function("div", n + F.when(n < 0, F.lit(-50)).otherwise(F.lit(50)), F.lit(100))
+    return F.when(F.abs(u) < F.lit(10 ** 13), short).otherwise(wide.cast(T.DecimalType(18, 0)).cast("bigint"))
+
+
 def not_in_keep_null(c, values) -> Column:
     """``NOT IN`` that keeps NULL rows (a NULL is not in any list)."""
     return ~F.coalesce(_col(c).isin(list(values)), F.lit(False))

@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from voltcube.functions.scalar import band
+from voltcube.functions.scalar import band, from_units, scaled_units, to_units
 from voltcube.params import CODE_VERSION, GENERATION_SOURCES, ROLE, RoleParams
 from voltcube.session import scratch_path
 from voltcube.sources.tables import TableSource, input_fingerprint
@@ -143,12 +143,12 @@ class Roles:
 
         st, pr = F.col("o_orderstatus"), F.col("o_orderpriority")
         per = o.groupBy("o_custkey", self._key_y("o_orderdate").alias("key_y")).agg(
-            F.count(F.lit(1)).alias("n"), F.sum(F.col("o_totalprice").cast(D18_2)).alias("price"),
+            F.count(F.lit(1)).alias("n"), F.sum(to_units("o_totalprice", 18, 2)).alias("price"),
             number(st == "F").alias("n_f"), number(st == "O").alias("n_o"),
             number(pr == "1-URGENT").alias("n_urgent"), number(pr == "2-HIGH").alias("n_high"))
         j = per.join(c, per.o_custkey == c.c_custkey)
         return self._cut(j.groupBy(F.col("c_nationkey").alias("key_c"), "key_y").agg(
-            F.count(F.lit(1)).alias("customers"), F.sum("price").cast(D18_2).alias("price"),
+            F.count(F.lit(1)).alias("customers"), from_units(F.sum("price"), 18, 2).alias("price"),
             *[F.sum(x).alias(x) for x in ("n", "n_f", "n_o", "n_urgent", "n_high")]), "nation_year")
 
     # -- facts -----------------------------------------------------------
@@ -162,20 +162,19 @@ class Roles:
         o = self.src.read("orders", "o_orderkey", "o_custkey", "o_orderdate")
         o = o.join(c, o.o_custkey == c.c_custkey).select("o_orderkey", F.col("c_nationkey").alias("key_c"), self._key_y("o_orderdate").alias("key_y"))
         part = self.src.read("part", "p_partkey", "p_type")
-        zero = F.lit(0).cast(D18_2)
         # Per-line measures are computed before the part-key shuffle, so it
-        # carries three decimals instead of quantity, price, tax and status.
+        # carries three longs instead of quantity, price, tax and status.
         lo = (li.join(o, li.l_orderkey == o.o_orderkey)
                 .select("key_c", "key_y", "l_partkey", F.col("l_returnflag").alias("powertrain"),
-                        F.col("l_quantity").cast(D18_2).alias("lq"),
-                        F.col("l_extendedprice").cast(D18_2).alias("lp"),
-                        F.when(F.col("l_linestatus") == "F", F.col("l_tax").cast(D18_2)).otherwise(zero).alias("ld")))
+                        to_units("l_quantity", 18, 2).alias("lq"),
+                        to_units("l_extendedprice", 18, 2).alias("lp"),
+                        F.when(F.col("l_linestatus") == "F", to_units("l_tax", 18, 2)).otherwise(F.lit(0).cast("bigint")).alias("ld")))
         j = lo.join(part, lo.l_partkey == part.p_partkey)
         # Written once: it feeds both the per-year totals and the shares.
         return self._cut(j.groupBy("key_c", "key_y", F.col("p_type").alias("vehicle_type"), "powertrain")
-                          .agg(F.sum("lq").cast(D18_2).alias("q"),
-                               F.sum("lp").cast(D18_2).alias("p"),
-                               F.sum("ld").cast(D18_2).alias("d")), "market_base")
+                          .agg(from_units(F.sum("lq"), 18, 2).alias("q"),
+                               from_units(F.sum("lp"), 18, 2).alias("p"),
+                               from_units(F.sum("ld"), 18, 2).alias("d")), "market_base")
 
     @cached_property
     def ev_market(self) -> DataFrame:
@@ -214,12 +213,13 @@ class Roles:
     def country_energy(self) -> DataFrame:
         p = self.p
         li = self.src.read("lineitem", "l_suppkey", "l_quantity", "l_tax", "l_discount", "l_returnflag", "l_linestatus", "l_shipdate")
-        q = F.col("l_quantity").cast(D18_4)
-        two = T.DecimalType(4, 2)
+        # Quantities as longs of 1/10000, rates as whole percents: sums of longs, exact as those of decimals are.
+        li = li.withColumns({"l_quantity": to_units("l_quantity", 18, 4), "tax": to_units("l_tax", 4, 2), "off": to_units("l_discount", 4, 2)})
+        q = F.col("l_quantity")
         st, fl, dc = F.col("l_linestatus"), F.col("l_returnflag"), F.col("l_discount")
 
         def total(cond):
-            return F.sum(F.when(cond, q).otherwise(F.lit(0).cast(D18_4)))
+            return F.sum(F.when(cond, q).otherwise(F.lit(0).cast("bigint")))
 
         # Generation by kind: status (renewable, fossil), return flag (kind of
         # either), discount bands (nuclear, other).
@@ -231,13 +231,13 @@ class Roles:
                  "other_generation": (st == "O") & (dc < 0.02), "solar_generation": (st == "O") & (fl == "R")}
         # Map-side reduction to the supplier-year grain before the join.
         pre = li.groupBy("l_suppkey", self._key_y("l_shipdate").alias("key_y")).agg(
-            F.sum((q * (1 + F.col("l_tax").cast(two))).cast(D18_4)).alias("consumed"),
-            F.sum((q * (1 - F.col("l_discount").cast(two))).cast(D18_4)).alias("demanded"),
+            F.sum(scaled_units(q, 100 + F.col("tax"))).alias("consumed"),
+            F.sum(scaled_units(q, 100 - F.col("off"))).alias("demanded"),
             *[total(c).alias(n) for n, c in kinds.items()])
         s = self.src.read("supplier", "s_suppkey", "s_nationkey")
         j = pre.join(s, pre.l_suppkey == s.s_suppkey)
         zero = F.col("key_c") == F.lit(p.zero_generation_nation)
-        g = j.groupBy(F.col("s_nationkey").alias("key_c"), "key_y").agg(*[F.sum(c).alias(c) for c in ("consumed", "demanded", *kinds)])
+        g = j.groupBy(F.col("s_nationkey").alias("key_c"), "key_y").agg(*[from_units(F.sum(c), 18, 4).alias(c) for c in ("consumed", "demanded", *kinds)])
         made = {n: F.when(zero, F.lit(0)).otherwise(F.col(n)).cast(D18_4) for n in kinds}
         return self._cut(g.select("key_c", "key_y", F.col("consumed").cast(D18_4).alias("energy_consumption"),
                                   F.col("demanded").cast(D18_4).alias("electricity_demand"),
