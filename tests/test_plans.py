@@ -59,6 +59,30 @@ def test_lineitem_reduced_before_supplier_join(roles):
     assert partial and all(i > join for i in partial), "lineitem must be partially aggregated below the join"
 
 
+def test_many_suppliers_need_no_sums_of_their_own(spark, tmp_path, monkeypatch):
+    """More supplier-years than a task's cache holds made the energy sums grow faster than the lines: nations are looked
+    up first, with the same rows as by sums per supplier, whatever keys are null, repeated or unknown."""
+    from voltcube.plans import roles as module
+    spark.range(8100).selectExpr("if(id % 1000 = 7, null, id) as s_suppkey", "cast(if(id % 90 = 5, null, id % 25) as int) as s_nationkey") \
+         .unionByName(spark.createDataFrame([(3, 4), (3, 4), (11, 20)], "s_suppkey long, s_nationkey int")).write.parquet(f"{tmp_path}/supplier.parquet")
+    spark.range(30000).selectExpr(
+        "if(id % 77 = 0, null, (id * 31) % 8300) as l_suppkey", "if(id % 13 = 1, null, cast(id % 50 as double) + 0.25) as l_quantity",
+        "if(id % 17 = 2, null, (id % 9) / 100) as l_tax", "if(id % 19 = 3, null, (id % 11) / 100) as l_discount",
+        "if(id % 23 = 4, null, substr('ANRX', cast(id % 4 as int) + 1, 1)) as l_returnflag", "if(id % 29 = 5, null, substr('FO', cast(id % 2 as int) + 1, 1)) as l_linestatus",
+        "if(id % 31 = 6, null, timestamp'1995-03-01' + make_interval(cast(id % 7 as int))) as l_shipdate").write.parquet(f"{tmp_path}/lineitem.parquet")
+
+    def energy():
+        return Roles(spark, str(tmp_path), materialize=False).country_energy
+
+    first = plan_of(energy())
+    assert "BroadcastHashJoin" in first and not re.search(r"hashpartitioning\(l_suppkey", first), first
+    rows = sorted(map(str, energy().collect()))
+    assert len(rows) == 26 * 8
+    monkeypatch.setattr(module, "BROADCAST_SUPPLIERS", 8000)
+    assert re.search(r"hashpartitioning\(l_suppkey", plan_of(energy()))
+    assert sorted(map(str, energy().collect())) == rows
+
+
 @pytest.mark.parametrize("fn", [olap.rollup_dense, emulated.rank_selfjoin, emulated.growth_selfjoin,
                                 emulated.rollup_union])
 def test_no_pairwise_joins(wh, fn):

@@ -9,7 +9,9 @@ section 4. Plans are written for size:
   runtime size of a side is under its threshold;
 * lineitem is reduced to (supplier, year) before the supplier join, so that
   join carries sums and a hot supplier is combined on the map side (one
-  exchange for both would move whole rows and put a hot supplier in one task);
+  exchange for both would move whole rows and put a hot supplier in one task).
+  Where these sums are too many for a task's cache, but the suppliers still few
+  enough to broadcast, lines look up their nation first and need no such sums;
 * orders are reduced to (customer, year) before the customer join: it decides
   the nation, so the distinct customers of a nation are a count of groups;
 * per-year totals are a grouped aggregate joined back (bounded by the
@@ -53,6 +55,11 @@ CO2_COLUMNS = {"population": "population", "gdp": "gdp", "co2": "co2_emissions",
 _WRITTEN: dict = {}
 
 
+#: Suppliers whose sums by year stay in the small hash map of an aggregation (65,536 groups), and those whose nations
+#: stay below the planner's broadcast threshold (10 MB, 20 bytes each). Between the two, lines look up their nation.
+CACHED_SUPPLIERS, BROADCAST_SUPPLIERS = 8_000, 500_000
+
+
 def fixed_size(df: DataFrame) -> DataFrame:
     """Broadcast a table whose row count is fixed by the data specification."""
     return F.broadcast(df)
@@ -160,6 +167,9 @@ class Roles:
                            "l_tax", "l_returnflag", "l_linestatus")
         c = self.src.read("customer", "c_custkey", "c_nationkey")
         o = self.src.read("orders", "o_orderkey", "o_custkey", "o_orderdate")
+        # What other lines than finished ones have as tax counts nothing: the status isn't shuffled.
+        li = li.select("l_orderkey", "l_partkey", "l_quantity", "l_extendedprice", "l_returnflag",
+                       F.when(F.col("l_linestatus") == "F", F.col("l_tax")).otherwise(F.lit(0)).alias("l_tax"))
         o = o.join(c, o.o_custkey == c.c_custkey).select("o_orderkey", F.col("c_nationkey").alias("key_c"), self._key_y("o_orderdate").alias("key_y"))
         part = self.src.read("part", "p_partkey", "p_type")
         # Per-line measures are computed before the part-key shuffle, so it
@@ -168,7 +178,7 @@ class Roles:
                 .select("key_c", "key_y", "l_partkey", F.col("l_returnflag").alias("powertrain"),
                         to_units("l_quantity", 18, 2).alias("lq"),
                         to_units("l_extendedprice", 18, 2).alias("lp"),
-                        F.when(F.col("l_linestatus") == "F", to_units("l_tax", 18, 2)).otherwise(F.lit(0).cast("bigint")).alias("ld")))
+                        to_units("l_tax", 18, 2).alias("ld")))
         j = lo.join(part, lo.l_partkey == part.p_partkey)
         # Written once: it feeds both the per-year totals and the shares.
         return self._cut(j.groupBy("key_c", "key_y", F.col("p_type").alias("vehicle_type"), "powertrain")
@@ -209,6 +219,10 @@ class Roles:
                                   F.col("n_f").alias("fast_charging_points"), F.col("n_o").alias("slow_charging_points"),
                                   per_ev.cast(T.DecimalType(10, 4)).alias("charging_points_per_ev")), "ev_infrastructure")
 
+    @cached_property
+    def _suppliers(self) -> int:
+        return self.src.read("supplier").count()
+
     @cached_property
     def country_energy(self) -> DataFrame:
         p = self.p
@@ -229,15 +243,19 @@ class Roles:
                  "low_carbon_generation": (st == "O") | (dc >= 0.08), "wind_generation": (st == "O") & (fl == "A"),
                  "hydro_generation": (st == "O") & (fl == "N"), "nuclear_generation": (st == "F") & (dc >= 0.08),
                  "other_generation": (st == "O") & (dc < 0.02), "solar_generation": (st == "O") & (fl == "R")}
-        # Map-side reduction to the supplier-year grain before the join.
-        pre = li.groupBy("l_suppkey", self._key_y("l_shipdate").alias("key_y")).agg(
-            F.sum(scaled_units(q, 100 + F.col("tax"))).alias("consumed"),
-            F.sum(scaled_units(q, 100 - F.col("off"))).alias("demanded"),
-            *[total(c).alias(n) for n, c in kinds.items()])
+        sums = {"consumed": F.sum(scaled_units(q, 100 + F.col("tax"))), "demanded": F.sum(scaled_units(q, 100 - F.col("off")))}
+        sums |= {n: total(c) for n, c in kinds.items()}
         s = self.src.read("supplier", "s_suppkey", "s_nationkey")
-        j = pre.join(s, pre.l_suppkey == s.s_suppkey)
+        key_y = self._key_y("l_shipdate").alias("key_y")
+        if CACHED_SUPPLIERS < self._suppliers <= BROADCAST_SUPPLIERS:
+            j = li.join(F.broadcast(s), li.l_suppkey == s.s_suppkey).select("*", key_y)
+        else:
+            # Map-side reduction to the supplier-year grain before the join.
+            pre = li.groupBy("l_suppkey", key_y).agg(*[x.alias(n) for n, x in sums.items()])
+            j = pre.join(s, pre.l_suppkey == s.s_suppkey)
+            sums = {n: F.sum(n) for n in sums}
         zero = F.col("key_c") == F.lit(p.zero_generation_nation)
-        g = j.groupBy(F.col("s_nationkey").alias("key_c"), "key_y").agg(*[from_units(F.sum(c), 18, 4).alias(c) for c in ("consumed", "demanded", *kinds)])
+        g = j.groupBy(F.col("s_nationkey").alias("key_c"), "key_y").agg(*[from_units(x, 18, 4).alias(n) for n, x in sums.items()])
         made = {n: F.when(zero, F.lit(0)).otherwise(F.col(n)).cast(D18_4) for n in kinds}
         return self._cut(g.select("key_c", "key_y", F.col("consumed").cast(D18_4).alias("energy_consumption"),
                                   F.col("demanded").cast(D18_4).alias("electricity_demand"),
